@@ -12,6 +12,9 @@ target ranks, then only values inside the bracket are counted exactly:
 3. running counts over the bracket keys of each (group, prob) — the window
    holds at most ~6·n/accuracy + 2 rows — pick ranks floor/ceil of
    ``p·(n-1)`` and interpolate linearly (type 7, the pandas/SQL default).
+   The collapsed sides keep their max/min, so a rank one step outside the
+   bracket (type-7 positions sit up to one rank from the sketch's) is still
+   answered exactly.
 
 A bracket that misses its rank (outside the sketch's guarantee) fails the job
 via ``raise_error`` instead of returning a wrong value.
@@ -32,6 +35,9 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     Nulls are ignored; a group with no non-null value is absent (callers
     left-join when they need every group).
     """
+    if not group_cols:  # one global group: a constant key keeps every join an equi-join
+        out = exact_quantiles(df.withColumn("_g0", F.lit(0)), ["_g0"], value_col, probs, accuracy)
+        return out.drop("_g0")
     names = list(probs)
     ps = [float(probs[n]) for n in names]
     k = len(ps)
@@ -59,7 +65,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
              .otherwise(F.col("_v")))
     counted = (base.join(brackets, group_cols)
                    .groupBy(*group_cols, "_i", "_pos", key.alias("_k"))
-                   .agg(F.count(F.lit(1)).alias("_c")))
+                   .agg(F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_mx"), F.min("_v").alias("_mn")))
 
     w = (Window.partitionBy(*group_cols, "_i").orderBy("_k")
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -69,8 +75,15 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     r_hi = F.ceil("_pos")
 
     def at(rank):
+        # Inside the bracket every key is one distinct value.  The collapsed
+        # sides still answer the rank next to the bracket exactly: the last
+        # rank below is the max below, the first rank above the min above.
         hit = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
-        return F.max(F.when(hit, F.col("_k")))
+        k = F.col("_k")
+        exact = (F.when(k == -_INF, F.when(rank == F.col("_before") + F.col("_c") - 1, F.col("_mx")))
+                  .when(k == _INF, F.when(rank == F.col("_before"), F.col("_mn")))
+                  .otherwise(k))
+        return F.max(F.when(hit, F.coalesce(exact, F.lit(_INF))))
 
     picked = ranked.groupBy(*group_cols, "_i", "_pos").agg(at(r_lo).alias("_a"), at(r_hi).alias("_b"))
     frac = F.col("_pos") - F.floor("_pos")

@@ -123,3 +123,240 @@ def q_one_hot(spark, sf_dir):
     f = features(_t(spark, sf_dir))
     dummies = [c for c in f.columns if c.startswith(("prov_", "area_", "sexo_"))]
     return f.select(*KEY, *dummies)
+
+
+# ---------------------------------------------------------------- descriptive statistics
+from panelkit.operators import stats as st  # noqa: E402
+
+ERA_SPLIT = 1998  # first "post" year of the fixture (its years run 1995-2001)
+CORR_COLS = ["tasa_desempleo", "tasa_participacion", "pct_subempleo", "empleo_informal_pct",
+             "pct_universitaria", "pct_sin_educacion", "pct_sector_primario", "pct_sector_terciario",
+             "pct_empresa_grande", "mediana_salario", "pib_crecimiento"]
+DESCRIBE_COLS = ["tasa_desempleo", "tasa_participacion", "pea", "pct_subempleo", "empleo_informal_pct",
+                 "mediana_salario", "pct_universitaria", "pct_sector_terciario"]
+
+
+def total_slice(df: DataFrame) -> DataFrame:
+    """The area=total, sex=total slice."""
+    return df.where((F.col(SPEC.area) == SPEC.total) & (F.col(SPEC.sex) == SPEC.total))
+
+
+def _tot(spark, sf_dir, enrich=False):
+    t = _t(spark, sf_dir)
+    return total_slice(enriched(t) if enrich else panel(t))
+
+
+@query
+def q_member_counts(spark, sf_dir):
+    return st.member_counts(panel(_t(spark, sf_dir)), [SPEC.area, SPEC.sex])
+
+
+@query
+def q_panel_shape(spark, sf_dir):
+    return st.panel_shape(panel(_t(spark, sf_dir)), SPEC.entity, SPEC.period)
+
+
+@query
+def q_coverage(spark, sf_dir):
+    return round_doubles(st.coverage(enriched(_t(spark, sf_dir))))
+
+
+@query
+def q_null_matrix(spark, sf_dir):
+    e = enriched(_t(spark, sf_dir))
+    return st.null_matrix(e, SPEC.entity, SPEC.period, feat.numeric_columns(e))
+
+
+@query
+def q_period_stats(spark, sf_dir):
+    return round_doubles(st.group_stats(_tot(spark, sf_dir), [SPEC.period], SPEC.target))
+
+
+@query
+def q_entity_ranking(spark, sf_dir):
+    r = st.group_stats(_tot(spark, sf_dir), [SPEC.entity], SPEC.target, dp=2)
+    return r.orderBy(F.desc("media"), SPEC.entity)
+
+
+@query
+def q_heatmap_matrix(spark, sf_dir):
+    d = _tot(spark, sf_dir)
+    periods = feat.categories_of(d, SPEC.period)  # bounded by the number of periods
+    return round_doubles(st.pivot_matrix(d, SPEC.entity, SPEC.period, SPEC.target, periods))
+
+
+@query
+def q_median_by_group(spark, sf_dir):
+    from panelkit.operators.quantiles import exact_quantiles
+    m = exact_quantiles(_tot(spark, sf_dir), [SPEC.entity], SPEC.target, {"mediana": 0.5})
+    return round_doubles(m).orderBy(F.desc("mediana"), SPEC.entity)
+
+
+@query
+def q_gap_by_period(spark, sf_dir):
+    p = panel(_t(spark, sf_dir))
+    g = st.conditional_gap(p, [SPEC.period], SPEC.sex, SPEC.women, SPEC.men, SPEC.target,
+                           "brecha_genero", F.col(SPEC.area) == SPEC.total)
+    u = st.conditional_gap(p, [SPEC.period], SPEC.area, SPEC.urban, SPEC.rural, SPEC.target,
+                           "brecha_urb_rur", F.col(SPEC.sex) == SPEC.total)
+    out = g.join(u, SPEC.period, "full")
+    out = out.withColumns({"brecha_genero_media": out.select(F.avg("brecha_genero")).scalar(),
+                           "brecha_urb_rur_media": out.select(F.avg("brecha_urb_rur")).scalar()})
+    return round_doubles(out)
+
+
+@query
+def q_era_change(spark, sf_dir):
+    d = _tot(spark, sf_dir).withColumn(
+        "etapa", F.when(F.col(SPEC.year) < ERA_SPLIT, F.lit("Pre")).otherwise(F.lit("Post")))
+    r = d.groupBy(SPEC.entity).agg(
+        F.avg(F.when(F.col("etapa").contains("Pre"), F.col(SPEC.target))).alias("media_pre"),
+        F.avg(F.when(F.col("etapa").contains("Post"), F.col(SPEC.target))).alias("media_post"))
+    r = r.withColumn("cambio", F.col("media_post") - F.col("media_pre"))
+    r = r.withColumn("cambio_medio", r.select(F.avg("cambio")).scalar())
+    return round_doubles(r)
+
+
+@query
+def q_describe_panel(spark, sf_dir):
+    return st.describe(enriched(_t(spark, sf_dir)), DESCRIBE_COLS, dp=2)
+
+
+@query
+def q_box_stats(spark, sf_dir):
+    return round_doubles(st.box_stats(_tot(spark, sf_dir), [SPEC.entity], SPEC.target))
+
+
+@query
+def q_histogram(spark, sf_dir):
+    return round_doubles(st.histogram(_tot(spark, sf_dir), SPEC.target, 25))
+
+
+@query
+def q_scale_limits(spark, sf_dir):
+    """Shared colour/axis limits over two periods."""
+    d = _tot(spark, sf_dir).where(F.col(SPEC.period).isin(*PERIOD_PAIR))
+    r = d.agg(F.max(SPEC.target).alias("_m"), F.min(SPEC.target).alias("_n"))
+    return round_doubles(r.select(
+        F.greatest(F.lit(15.0), F.col("_m") * 1.1).alias("lim_color"),
+        (F.col("_n") - 1).alias("eje_min"), (F.col("_m") + 1).alias("eje_max"),
+        (F.col("_m") * 1.15).alias("lim_barras")))
+
+
+PERIOD_PAIR = ("1996-08", "2000-08")
+
+
+@query
+def q_corr_pairwise(spark, sf_dir):
+    return round_doubles(st.corr_long(_tot(spark, sf_dir, enrich=True), CORR_COLS))
+
+
+@query
+def q_corr_listwise(spark, sf_dir):
+    cols = ["tasa_participacion", "pct_subempleo", "pct_sector_primario", "mediana_salario", SPEC.target]
+    return round_doubles(st.corr_long(_tot(spark, sf_dir, enrich=True), cols, listwise=True))
+
+
+@query
+def q_corr_target(spark, sf_dir):
+    """Variables ranked by |r| with the target, sign kept, top 4."""
+    c = st.corr_long(_tot(spark, sf_dir, enrich=True), CORR_COLS)
+    c = c.where((F.col("var_b") == SPEC.target) & (F.col("var_a") != SPEC.target))
+    c = c.select(F.col("var_a").alias("variable"), "r", F.abs("r").alias("abs_r"),
+                 F.when(F.col("r") > 0, F.lit("+")).otherwise(F.lit("-")).alias("signo"))
+    return round_doubles(c.orderBy(F.desc("abs_r"), "variable").limit(4))
+
+
+@query
+def q_trend_line(spark, sf_dir):
+    return round_doubles(st.trend_lines(_tot(spark, sf_dir, enrich=True), SPEC.target, CORR_COLS[1:]))
+
+
+@query
+def q_iqr_outliers(spark, sf_dir):
+    o = st.iqr_outliers(_tot(spark, sf_dir), SPEC.target)
+    return round_doubles(o.select(SPEC.entity, SPEC.period, SPEC.target, "lado", "limite_inf", "limite_sup",
+                                  "pct_atipicos"))
+
+
+@query
+def q_iqr_top_outliers(spark, sf_dir):
+    """The ten highest high-side outliers (a top-k report)."""
+    o = st.iqr_outliers(_tot(spark, sf_dir), SPEC.target).where(F.col("lado") == "alto")
+    return round_doubles(o.select(SPEC.entity, SPEC.period, SPEC.target)
+                         .orderBy(F.desc(SPEC.target), SPEC.entity, SPEC.period).limit(10))
+
+
+@query
+def q_rank_sum_test(spark, sf_dir):
+    d = _tot(spark, sf_dir)
+    return round_doubles(st.rank_sum_test(d, SPEC.target, F.col(SPEC.year) < ERA_SPLIT))
+
+
+@query
+def q_rank_sum_pvalue(spark, sf_dir):
+    """X5 p-value: 2·sf(z) = erfc(z/√2) on the one result row (Arrow UDF)."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("double")
+    def erfc(x):
+        import math
+        return x.map(lambda v: math.erfc(v) if v == v else float("nan"))
+
+    r = q_rank_sum_test(spark, sf_dir)
+    return r.withColumn("p_valor", erfc(F.col("z") / F.lit(2 ** 0.5)))
+
+
+@query
+def q_normality_jb(spark, sf_dir):
+    return round_doubles(st.normality_jb(_tot(spark, sf_dir), SPEC.target))
+
+
+@query
+def q_qq_points(spark, sf_dir):
+    return st.qq_points(_tot(spark, sf_dir), SPEC.target)
+
+
+@query
+def q_kde_grid(spark, sf_dir):
+    return round_doubles(st.kde_grid(_tot(spark, sf_dir), SPEC.target, 50))
+
+
+@query
+def q_frame_ranking(spark, sf_dir):
+    """Per-period ranking (animation frames); partitioned by period."""
+    from pyspark.sql import Window
+    d = _tot(spark, sf_dir).where(F.col(SPEC.target).isNotNull())
+    w = Window.partitionBy(SPEC.period).orderBy(F.desc(SPEC.target), SPEC.entity)
+    return round_doubles(d.select(SPEC.period, SPEC.entity, SPEC.target, F.row_number().over(w).alias("puesto")))
+
+
+def slice_panel(df: DataFrame, area=None, sex=None, entities=None) -> DataFrame:
+    """Slice by area, sex and entity list, each only if the column exists;
+    an empty entity list means no entity filter."""
+    if area is not None and SPEC.area in df.columns:
+        df = df.where(F.col(SPEC.area) == area)
+    if sex is not None and SPEC.sex in df.columns:
+        df = df.where(F.col(SPEC.sex) == sex)
+    if entities:
+        df = df.where(F.col(SPEC.entity).isin(*entities))
+    return df
+
+
+@query
+def q_slice(spark, sf_dir):
+    """P1 + T11: series of two entities, urban area, ordered by period."""
+    s = slice_panel(panel(_t(spark, sf_dir)), SPEC.urban, SPEC.total, ["NATION_1", "NATION_2"])
+    return round_doubles(s.select(SPEC.entity, SPEC.period, SPEC.target).orderBy(SPEC.entity, SPEC.period))
+
+
+@query
+def q_period_compare(spark, sf_dir):
+    """Z3 + P3: two periods side by side per entity with shared limits."""
+    p1, p2 = PERIOD_PAIR
+    d = _tot(spark, sf_dir).where(F.col(SPEC.period).isin(p1, p2))
+    r = d.groupBy(SPEC.entity).agg(F.max(F.when(F.col(SPEC.period) == p1, F.col(SPEC.target))).alias("tasa_p1"),
+                                   F.max(F.when(F.col(SPEC.period) == p2, F.col(SPEC.target))).alias("tasa_p2"))
+    r = r.withColumn("cambio", F.col("tasa_p2") - F.col("tasa_p1"))
+    lim = d.select(F.greatest(F.lit(15.0), F.max(SPEC.target) * 1.1)).scalar()
+    return round_doubles(r.withColumn("lim_max", lim))

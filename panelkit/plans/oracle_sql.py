@@ -209,4 +209,160 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
     s["interactions"] = with_(FEATURES, f"SELECT {KEY}, tasa_desempleo_lag1, {', '.join(INTERACTIONS)} FROM features",
                                     ["tasa_desempleo_lag1"] + INTERACTIONS)
     s["one_hot"] = with_(FEATURES, f"SELECT {KEY}, {', '.join(q(c) for c in DUMMY_COLS)} FROM features")
+    stats_sql(s)
     return s
+
+
+# ------------------------------------------------------------------ statistics
+ERA_SPLIT = 1998
+PERIOD_PAIR = ("1996-08", "2000-08")
+CORR_COLS = ["tasa_desempleo", "tasa_participacion", "pct_subempleo", "empleo_informal_pct",
+             "pct_universitaria", "pct_sin_educacion", "pct_sector_primario", "pct_sector_terciario",
+             "pct_empresa_grande", "mediana_salario", "pib_crecimiento"]
+DESCRIBE_COLS = ["tasa_desempleo", "tasa_participacion", "pea", "pct_subempleo", "empleo_informal_pct",
+                 "mediana_salario", "pct_universitaria", "pct_sector_terciario"]
+TOT = PANEL + ",\ntot AS (SELECT * FROM panel WHERE area = 'total' AND sexo = 'total')"
+ETOT = PANEL + ATTRS + ",\netot AS (SELECT * FROM enriched WHERE area = 'total' AND sexo = 'total')"
+
+
+def corr_sql(src: str, cols: list[str], listwise: bool) -> str:
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[: i + 1]]
+    where = (" WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols)) if listwise else ""
+    parts = [f"SELECT '{a}' AS var_a, '{b}' AS var_b, corr({a}, {b}) AS r, "
+             f"CAST(count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS BIGINT) AS n FROM {src}{where}"
+             for a, b in pairs]
+    return "\nUNION ALL\n".join(parts)
+
+
+def stats_sql(s: dict) -> None:
+    s["member_counts"] = with_(PANEL, """
+SELECT 'area' AS dimension, area AS member, CAST(count(*) AS BIGINT) AS n FROM panel GROUP BY area
+UNION ALL SELECT 'sexo', sexo, CAST(count(*) AS BIGINT) FROM panel GROUP BY sexo""")
+    s["panel_shape"] = with_(PANEL, """
+SELECT CAST(count(*) AS BIGINT) AS n_filas, CAST(count(DISTINCT provincia) AS BIGINT) AS n_provincias,
+       CAST(count(DISTINCT periodo) AS BIGINT) AS n_periodos, list_sort(list(DISTINCT periodo)) AS periodos,
+       min(periodo) AS periodo_min, max(periodo) AS periodo_max FROM panel""")
+    cols = ["provincia", "periodo", "anio", "area", "sexo"] + ENRICHED_NUM[1:]
+    s["coverage"] = with_(PANEL + ATTRS, "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS columna, CAST(count({c}) AS BIGINT) AS no_nulos, CAST(count(*) - count({c}) AS BIGINT) AS nulos, "
+        f"round((count(*) - count({c})) * 100.0 / count(*), 1) AS pct_nulos, "
+        f"count({c}) * 100.0 / count(*) AS pct_cobertura FROM enriched" for c in cols),
+        ["pct_nulos", "pct_cobertura"])
+    s["null_matrix"] = with_(PANEL + ATTRS, "SELECT provincia, periodo, CAST(sum(" + " + ".join(
+        f"CAST({c} IS NULL AS INTEGER)" for c in ENRICHED_NUM) + ") AS BIGINT) AS nulos FROM enriched GROUP BY ALL")
+    band = ("CAST(count(tasa_desempleo) AS BIGINT) AS n, avg(tasa_desempleo) AS media, stddev_samp(tasa_desempleo) AS std, "
+            "min(tasa_desempleo) AS minimo, max(tasa_desempleo) AS maximo, "
+            "avg(tasa_desempleo) - stddev_samp(tasa_desempleo) AS banda_inf, "
+            "avg(tasa_desempleo) + stddev_samp(tasa_desempleo) AS banda_sup")
+    six = ["media", "std", "minimo", "maximo", "banda_inf", "banda_sup"]
+    s["period_stats"] = with_(TOT, f"SELECT periodo, {band} FROM tot GROUP BY periodo", six)
+    s["entity_ranking"] = with_(TOT, f"SELECT provincia, {band} FROM tot GROUP BY provincia",
+                                ) .replace("SELECT provincia, ", "SELECT provincia, ", 1)
+    s["entity_ranking"] = with_(TOT, "SELECT provincia, n, " + ", ".join(f"round({c}, 2) AS {c}" for c in six)
+                                + f" FROM (SELECT provincia, {band} FROM tot GROUP BY provincia)")
+    s["heatmap_matrix"] = with_(TOT, "SELECT provincia, round(COLUMNS(* EXCLUDE (provincia)), 6) FROM "
+                                     "(PIVOT tot ON periodo USING avg(tasa_desempleo) GROUP BY provincia)")
+    s["median_by_group"] = with_(TOT, "SELECT provincia, quantile_cont(tasa_desempleo, 0.5) AS mediana "
+                                      "FROM tot WHERE tasa_desempleo IS NOT NULL GROUP BY provincia", ["mediana"])
+    s["gap_by_period"] = with_(PANEL + """,
+g AS (SELECT periodo, avg(CASE WHEN sexo = 'mujeres' THEN tasa_desempleo END)
+                    - avg(CASE WHEN sexo = 'hombres' THEN tasa_desempleo END) AS brecha_genero
+      FROM panel WHERE area = 'total' GROUP BY periodo),
+u AS (SELECT periodo, avg(CASE WHEN area = 'urbana' THEN tasa_desempleo END)
+                    - avg(CASE WHEN area = 'rural' THEN tasa_desempleo END) AS brecha_urb_rur
+      FROM panel WHERE sexo = 'total' GROUP BY periodo),
+gu AS (SELECT coalesce(g.periodo, u.periodo) AS periodo, brecha_genero, brecha_urb_rur
+       FROM g FULL JOIN u ON g.periodo = u.periodo)""",
+        "SELECT *, (SELECT avg(brecha_genero) FROM gu) AS brecha_genero_media, "
+        "(SELECT avg(brecha_urb_rur) FROM gu) AS brecha_urb_rur_media FROM gu",
+        ["brecha_genero", "brecha_urb_rur", "brecha_genero_media", "brecha_urb_rur_media"])
+    s["era_change"] = with_(TOT + f""",
+r AS (SELECT provincia, avg(CASE WHEN anio < {ERA_SPLIT} THEN tasa_desempleo END) AS media_pre,
+             avg(CASE WHEN anio >= {ERA_SPLIT} THEN tasa_desempleo END) AS media_post FROM tot GROUP BY provincia)""",
+        "SELECT *, media_post - media_pre AS cambio, (SELECT avg(media_post - media_pre) FROM r) AS cambio_medio FROM r",
+        ["media_pre", "media_post", "cambio", "cambio_medio"])
+    s["describe_panel"] = with_(PANEL + ATTRS, "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS columna, CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 2) AS mean, "
+        f"round(stddev_samp({c}), 2) AS std, round(min({c}), 2) AS min, round(quantile_cont({c}, 0.25), 2) AS q25, "
+        f"round(quantile_cont({c}, 0.5), 2) AS q50, round(quantile_cont({c}, 0.75), 2) AS q75, "
+        f"round(max({c}), 2) AS max FROM enriched" for c in DESCRIBE_COLS))
+    s["box_stats"] = with_(TOT + """,
+q AS (SELECT provincia, quantile_cont(tasa_desempleo, 0.25) AS q1, quantile_cont(tasa_desempleo, 0.5) AS mediana,
+             quantile_cont(tasa_desempleo, 0.75) AS q3 FROM tot WHERE tasa_desempleo IS NOT NULL GROUP BY provincia),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lim_inf, q3 + 1.5 * (q3 - q1) AS lim_sup FROM q)""", """
+SELECT f.*, min(CASE WHEN t.tasa_desempleo BETWEEN lim_inf AND lim_sup THEN t.tasa_desempleo END) AS bigote_inf,
+       max(CASE WHEN t.tasa_desempleo BETWEEN lim_inf AND lim_sup THEN t.tasa_desempleo END) AS bigote_sup,
+       CAST(count(*) FILTER (WHERE NOT t.tasa_desempleo BETWEEN lim_inf AND lim_sup) AS BIGINT) AS n_atipicos,
+       CAST(count(*) AS BIGINT) AS n
+FROM f JOIN tot t ON f.provincia = t.provincia AND t.tasa_desempleo IS NOT NULL
+GROUP BY ALL""", ["q1", "mediana", "q3", "iqr", "lim_inf", "lim_sup", "bigote_inf", "bigote_sup"])
+    s["histogram"] = with_(TOT + """,
+lim AS (SELECT min(tasa_desempleo) AS lo, (max(tasa_desempleo) - min(tasa_desempleo)) / 25 AS w FROM tot),
+b AS (SELECT CAST(coalesce(least(floor((tasa_desempleo - lo) / nullif(w, 0)), 24), 0) AS INTEGER) AS bin, count(*) AS n
+      FROM tot, lim WHERE tasa_desempleo IS NOT NULL GROUP BY 1)""", """
+SELECT CAST(r.bin AS INTEGER) AS bin, lo + r.bin * w AS desde, lo + (r.bin + 1) * w AS hasta, CAST(coalesce(b.n, 0) AS BIGINT) AS n
+FROM (SELECT range AS bin FROM range(25)) r CROSS JOIN lim LEFT JOIN b ON b.bin = r.bin""", ["desde", "hasta"])
+    s["scale_limits"] = with_(TOT, f"""
+SELECT greatest(15.0, max(tasa_desempleo) * 1.1) AS lim_color, min(tasa_desempleo) - 1 AS eje_min,
+       max(tasa_desempleo) + 1 AS eje_max, max(tasa_desempleo) * 1.15 AS lim_barras
+FROM tot WHERE periodo IN ('{PERIOD_PAIR[0]}', '{PERIOD_PAIR[1]}')""", ["lim_color", "eje_min", "eje_max", "lim_barras"])
+    s["corr_pairwise"] = with_(ETOT, corr_sql("etot", CORR_COLS, False), ["r"])
+    s["corr_listwise"] = with_(ETOT, corr_sql("etot", ["tasa_participacion", "pct_subempleo", "pct_sector_primario",
+                                                       "mediana_salario", "tasa_desempleo"], True), ["r"])
+    s["corr_target"] = with_(ETOT + ",\nc AS (" + corr_sql("etot", CORR_COLS, False) + ")", """
+SELECT var_a AS variable, r, abs(r) AS abs_r, CASE WHEN r > 0 THEN '+' ELSE '-' END AS signo
+FROM c WHERE var_b = 'tasa_desempleo' AND var_a <> 'tasa_desempleo' ORDER BY abs_r DESC, variable LIMIT 4""",
+        ["r", "abs_r"])
+    s["trend_line"] = with_(ETOT, "\nUNION ALL\n".join(
+        f"SELECT '{x}' AS variable, regr_slope(tasa_desempleo, {x}) AS pendiente, "
+        f"regr_intercept(tasa_desempleo, {x}) AS intercepto, CAST(regr_count(tasa_desempleo, {x}) AS BIGINT) AS n FROM etot"
+        for x in CORR_COLS[1:]), ["pendiente", "intercepto"])
+    out = TOT + """,
+d AS (SELECT * FROM tot WHERE tasa_desempleo IS NOT NULL),
+q AS (SELECT quantile_cont(tasa_desempleo, 0.25) AS q1, quantile_cont(tasa_desempleo, 0.75) AS q3 FROM d),
+f AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q),
+o AS (SELECT d.provincia, d.periodo, d.tasa_desempleo,
+             CASE WHEN tasa_desempleo > hi THEN 'alto' ELSE 'bajo' END AS lado, lo AS limite_inf, hi AS limite_sup,
+             (SELECT count(*) FILTER (WHERE tasa_desempleo < lo OR tasa_desempleo > hi) * 100.0 / count(*) FROM d, f) AS pct_atipicos
+      FROM d, f WHERE tasa_desempleo < lo OR tasa_desempleo > hi)"""
+    s["iqr_outliers"] = with_(out, "SELECT * FROM o", ["tasa_desempleo", "limite_inf", "limite_sup", "pct_atipicos"])
+    s["iqr_top_outliers"] = with_(out, "SELECT provincia, periodo, tasa_desempleo FROM o WHERE lado = 'alto' "
+                                       "ORDER BY tasa_desempleo DESC, provincia, periodo LIMIT 10", ["tasa_desempleo"])
+    s["rank_sum_test"] = with_(TOT + f""",
+d AS (SELECT tasa_desempleo AS v, anio < {ERA_SPLIT} AS g FROM tot WHERE tasa_desempleo IS NOT NULL),
+r AS (SELECT v, g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS mr FROM d),
+t AS (SELECT sum(CASE WHEN g THEN mr END) AS r1, CAST(count(*) FILTER (WHERE g) AS DOUBLE) AS n1,
+             CAST(count(*) FILTER (WHERE NOT g) AS DOUBLE) AS n2 FROM r),
+ties AS (SELECT sum(c * c * c - c) AS tt FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM d GROUP BY v)),
+u AS (SELECT n1, n2, r1 - n1 * (n1 + 1) / 2 AS u1, tt FROM t, ties)""", """
+SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, u1, n1 * n2 - u1 AS u2,
+       (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2 - 0.5)
+         / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - tt / ((n1 + n2) * (n1 + n2 - 1)))) AS z
+FROM u""", ["u1", "u2", "z"])
+    s["normality_jb"] = with_(TOT + """,
+d AS (SELECT tasa_desempleo AS v FROM tot WHERE tasa_desempleo IS NOT NULL),
+m AS (SELECT avg(v) AS mu, count(*) AS n FROM d),
+c AS (SELECT n, avg(power(v - mu, 2)) AS m2, avg(power(v - mu, 3)) AS m3, avg(power(v - mu, 4)) AS m4 FROM d, m GROUP BY n),
+k AS (SELECT CAST(n AS BIGINT) AS n, m3 / power(m2, 1.5) AS asimetria, m4 / (m2 * m2) - 3 AS curtosis FROM c)""",
+        "SELECT *, n / 6.0 * (asimetria * asimetria + curtosis * curtosis / 4) AS jb, "
+        "exp(-(n / 6.0 * (asimetria * asimetria + curtosis * curtosis / 4)) / 2) AS p_valor FROM k",
+        ["asimetria", "curtosis", "jb", "p_valor"])
+    s["kde_grid"] = with_(TOT + """,
+d AS (SELECT tasa_desempleo AS x FROM tot WHERE tasa_desempleo IS NOT NULL),
+p AS (SELECT min(x) AS lo, (max(x) - min(x)) / 49 AS step, count(*) AS n, stddev_samp(x) * power(count(*), -0.2) AS h FROM d),
+g AS (SELECT CAST(range AS INTEGER) AS k FROM range(50))""", """
+SELECT g.k, lo + g.k * step AS x,
+       sum(exp(-0.5 * power((lo + g.k * step - d.x) / h, 2))) / sqrt(2 * pi()) / (n * h) AS densidad
+FROM g CROSS JOIN p CROSS JOIN d GROUP BY g.k, lo, step, n, h""", ["x", "densidad"])
+    s["frame_ranking"] = with_(TOT, "SELECT periodo, provincia, tasa_desempleo, CAST(row_number() OVER "
+                                    "(PARTITION BY periodo ORDER BY tasa_desempleo DESC, provincia) AS INTEGER) AS puesto "
+                                    "FROM tot WHERE tasa_desempleo IS NOT NULL", ["tasa_desempleo"])
+    s["slice"] = with_(PANEL, "SELECT provincia, periodo, tasa_desempleo FROM panel WHERE area = 'urbana' AND "
+                              "sexo = 'total' AND provincia IN ('NATION_1', 'NATION_2')", ["tasa_desempleo"])
+    p1, p2 = PERIOD_PAIR
+    s["period_compare"] = with_(TOT + f""",
+r AS (SELECT provincia, max(CASE WHEN periodo = '{p1}' THEN tasa_desempleo END) AS tasa_p1,
+             max(CASE WHEN periodo = '{p2}' THEN tasa_desempleo END) AS tasa_p2
+      FROM tot WHERE periodo IN ('{p1}', '{p2}') GROUP BY provincia)""",
+        f"SELECT *, tasa_p2 - tasa_p1 AS cambio, (SELECT greatest(15.0, max(tasa_desempleo) * 1.1) FROM tot "
+        f"WHERE periodo IN ('{p1}', '{p2}')) AS lim_max FROM r", ["tasa_p1", "tasa_p2", "cambio", "lim_max"])
