@@ -360,3 +360,156 @@ def q_period_compare(spark, sf_dir):
     r = r.withColumn("cambio", F.col("tasa_p2") - F.col("tasa_p1"))
     lim = d.select(F.greatest(F.lit(15.0), F.max(SPEC.target) * 1.1)).scalar()
     return round_doubles(r.withColumn("lim_max", lim))
+
+
+# ---------------------------------------------------------------- consolidation and sources
+MEASURES = ["poblacion_15_mas", "pea", "ocupados", "desocupados", "tasa_desempleo", "tasa_participacion"]
+
+
+@query
+def q_vintage_latest(spark, sf_dir):
+    """U1 + W5: consolidate publication vintages, latest wins per key."""
+    v = bridge.vintages(_t(spark, sf_dir), SPEC)
+    frames = [v.where(F.col("pub_seq") % 2 == 0), v.where(F.col("pub_seq") % 2 == 1)]  # two publication files
+    return round_doubles(pan.vintage_latest(frames, SPEC).select(*KEY, "anio", *MEASURES))
+
+
+@query
+def q_composition_shares(spark, sf_dir):
+    """Guarded shares per entity-period from the report tables."""
+    tabs = bridge.attribute_tables(_t(spark, sf_dir), SPEC)
+    key = [SPEC.entity, SPEC.period]
+    out = tabs["cuadro4"]
+    for name in ("cuadro16", "cuadro19", "cuadro22"):
+        out = out.join(tabs[name], key, "full")
+    return round_doubles(out)
+
+
+@query
+def q_activity_rates(spark, sf_dir):
+    """Activity rates total/urban/rural per entity-period."""
+    return round_doubles(bridge.attribute_tables(_t(spark, sf_dir), SPEC)["cuadro6"])
+
+
+@query
+def q_median_wage(spark, sf_dir):
+    """Exact median order value per entity-period."""
+    return round_doubles(bridge.wage_attributes(_t(spark, sf_dir), SPEC))
+
+
+# ---------------------------------------------------------------- text functions and report grids
+from panelkit.functions import text as tx  # noqa: E402
+from panelkit.operators import grid as gr  # noqa: E402
+
+TOTAL_ONLY = [f"NATION_{k}" for k in range(bridge.COMARCA_FROM_KEY, 25)]
+
+
+def _patterns(t: Tables):
+    names = [r[0] for r in t.nation.select("n_name").collect()]  # 25 rows: the entity dimension
+    return bridge.entity_patterns(names)
+
+
+def label_variants(t: Tables) -> DataFrame:
+    """Decorated entity labels and caption rows, six variants per nation."""
+    n = t.nation.select("n_nationkey", "n_name")
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    variants = F.array(
+        bridge.decorate(name, k),
+        F.concat(F.lit("  "), name, F.lit(" ...... "), F.lit("x")),
+        F.concat(F.lit("Total "), name),
+        F.concat(k.cast("string"), F.lit(" "), name),
+        F.concat(F.lit("Urbana")),
+        F.concat(F.lit("República de "), name, F.lit(" y sus provincias y comarcas indígenas del país")),
+    )
+    return n.select("n_nationkey", F.posexplode(variants).alias("variante", "etiqueta"))
+
+
+@query
+def q_clean_label(spark, sf_dir):
+    v = label_variants(_t(spark, sf_dir))
+    return v.select("n_nationkey", "variante", "etiqueta", tx.clean_label(F.col("etiqueta")).alias("limpia"))
+
+
+@query
+def q_canonical_entity(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    v = label_variants(t)
+    return v.select("n_nationkey", "variante", tx.canonical_entity(F.col("etiqueta"), _patterns(t)).alias("entidad"))
+
+
+@query
+def q_entity_rows(spark, sf_dir):
+    v = label_variants(_t(spark, sf_dir))
+    return v.select("n_nationkey", "variante", tx.is_entity_row(F.col("etiqueta")).alias("valida"))
+
+
+def numeric_texts(t: Tables) -> DataFrame:
+    """Cell texts in the shapes reports use: thousands separators, '..',
+    '-', blanks, underscores, a Java-only suffix, words."""
+    o = t.orders.select("o_orderkey", "o_totalprice")
+    k, v = F.col("o_orderkey") % 8, F.col("o_totalprice")
+    txt = (F.when(k == 0, F.format_number(v, 2))
+            .when(k == 1, F.lit(".."))
+            .when(k == 2, F.lit("-"))
+            .when(k == 3, F.concat(v.cast("string"), F.lit("d")))
+            .when(k == 4, F.concat(F.lit(" \t"), v.cast("string"), F.lit(" ")))
+            .when(k == 5, F.regexp_replace(v.cast("string"), r"\.", "_"))
+            .when(k == 6, F.lit("n/d"))
+            .otherwise(F.concat(v.cast("string"), F.lit("e-2"))))
+    return o.select("o_orderkey", txt.alias("texto"))
+
+
+@query
+def q_safe_double(spark, sf_dir):
+    n = numeric_texts(_t(spark, sf_dir))
+    return round_doubles(n.select("o_orderkey", "texto", tx.safe_double(F.col("texto")).alias("valor")))
+
+
+@query
+def q_parse_period_label(spark, sf_dir):
+    o = _t(spark, sf_dir).orders.select("o_orderkey", "o_orderdate")
+    y = F.year("o_orderdate").cast("string")
+    k = F.col("o_orderkey") % 5
+    lab = (F.when(k == 0, F.concat(y, F.lit(" (octubre)"))).when(k == 1, F.concat(y, F.lit(" (Abril)")))
+            .when(k == 2, F.concat(y, F.lit(" (R)"))).when(k == 3, F.concat(F.lit("Año "), y))
+            .otherwise(F.lit("Nota: cifras preliminares")))
+    d = o.select(lab.alias("etiqueta")).distinct()
+    year, period = tx.period_from_label(F.col("etiqueta"))
+    return d.select("etiqueta", year.alias("anio"), period.alias("periodo")).where(F.col("anio").isNotNull())
+
+
+def _core(t):
+    return gr.core_blocks(bridge.core_grid(t, SPEC), bridge.grid_registry(t, SPEC), _patterns(t), TOTAL_ONLY)
+
+
+@query
+def q_grid_build(spark, sf_dir):
+    """The report grid (long table) — cells per file."""
+    g = bridge.core_grid(_t(spark, sf_dir), SPEC)
+    return g.groupBy("file_id").agg(F.count(F.lit(1)).alias("celdas"), F.max("row").alias("ultima_fila"))
+
+
+@query
+def q_grid_anchors(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    g = gr.drop_page_breaks(bridge.core_grid(t, SPEC))
+    reg = bridge.grid_registry(t, SPEC).select("file_id", "layout").distinct()
+    cands = gr.entity_candidates(g, _patterns(t)).join(F.broadcast(reg), "file_id")
+    skip = gr.block_skip(F.col("layout"), F.col("entity").isin(*TOTAL_ONLY))
+    return gr.greedy_anchors(cands, skip).withColumnRenamed("entity", "provincia")
+
+
+CORE_OUT = ["poblacion_15_mas", "pea", "ocupados", "desocupados", "tasa_desempleo", "tasa_participacion"]
+
+
+@query
+def q_grid_core(spark, sf_dir):
+    c = _core(_t(spark, sf_dir))
+    return round_doubles(c.select("file_id", "provincia", "periodo", "anio", "area", "sexo", *CORE_OUT))
+
+
+@query
+def q_grid_panel(spark, sf_dir):
+    """Grid -> per-file records -> keep-last across publications."""
+    c = _core(_t(spark, sf_dir)).withColumn("row", F.lit(0))
+    return round_doubles(pan.keep_last(c.drop("file_id"), KEY).drop("pub_seq", "row"))

@@ -210,6 +210,8 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
                                     ["tasa_desempleo_lag1"] + INTERACTIONS)
     s["one_hot"] = with_(FEATURES, f"SELECT {KEY}, {', '.join(q(c) for c in DUMMY_COLS)} FROM features")
     stats_sql(s)
+    consolidation_sql(s)
+    grid_sql(s)
     return s
 
 
@@ -366,3 +368,118 @@ r AS (SELECT provincia, max(CASE WHEN periodo = '{p1}' THEN tasa_desempleo END)
       FROM tot WHERE periodo IN ('{p1}', '{p2}') GROUP BY provincia)""",
         f"SELECT *, tasa_p2 - tasa_p1 AS cambio, (SELECT greatest(15.0, max(tasa_desempleo) * 1.1) FROM tot "
         f"WHERE periodo IN ('{p1}', '{p2}')) AS lim_max FROM r", ["tasa_p1", "tasa_p2", "cambio", "lim_max"])
+
+
+def consolidation_sql(s: dict) -> None:
+    meas = "poblacion_15_mas, pea, ocupados, desocupados, tasa_desempleo, tasa_participacion"
+    s["vintage_latest"] = with_(PANEL + """,
+v AS (
+  SELECT provincia, periodo, anio, area, sexo, poblacion_15_mas, pea, ocupados, desocupados + 1 AS desocupados,
+         tasa_desempleo + 0.5 AS tasa_desempleo, tasa_participacion,
+         (CAST(substr(periodo, 1, 4) AS INTEGER) - 1990) * 2 + CAST(substr(periodo, 6, 2) > '06' AS INTEGER) AS pub_seq,
+         0 AS "row"
+  FROM panel
+  UNION ALL
+  SELECT provincia, periodo, anio, area, sexo, poblacion_15_mas, pea, ocupados, desocupados, tasa_desempleo,
+         tasa_participacion,
+         (CAST(substr(periodo, 1, 4) AS INTEGER) - 1990) * 2 + CAST(substr(periodo, 6, 2) > '06' AS INTEGER) + 1,
+         0
+  FROM panel WHERE NOT (area = 'rural' AND sexo = 'mujeres'))""",
+        f"SELECT {KEY}, anio, {meas} FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} "
+        f"ORDER BY pub_seq DESC, \"row\" DESC) AS rn FROM v) WHERE rn = 1",
+        ["tasa_desempleo", "tasa_participacion"])
+    shares = ["pct_jovenes_pea", "pct_mayores_pea", "pct_sin_educacion", "pct_primaria", "pct_secundaria",
+              "pct_universitaria", "pct_subempleo", "pct_microempresa", "pct_empresa_grande"]
+    s["composition_shares"] = with_(PANEL + ATTRS, "SELECT coalesce(l.provincia, o.provincia) AS provincia, "
+                                    "coalesce(l.periodo, o.periodo) AS periodo, " + ", ".join(shares)
+                                    + " FROM lattr l FULL JOIN oattr o ON l.provincia = o.provincia AND l.periodo = o.periodo",
+                                    shares)
+    act = ["tasa_actividad_total", "tasa_actividad_urbana", "tasa_actividad_rural"]
+    s["activity_rates"] = with_(PANEL + ATTRS, "SELECT provincia, periodo, " + ", ".join(act) + " FROM oattr", act)
+    s["median_wage"] = with_(PANEL + ATTRS, "SELECT provincia, periodo, mediana_salario FROM oattr", ["mediana_salario"])
+
+
+SEQ = "(CAST(substr(periodo, 1, 4) AS INTEGER) - 1990) * 2 + CAST(substr(periodo, 6, 2) > '06' AS INTEGER)"
+GRID = PANEL + f""",
+pers AS (SELECT DISTINCT periodo, anio, {SEQ} AS seq FROM panel),
+reg0 AS (SELECT seq AS pub_seq, periodo, anio, 'cur' AS role FROM pers
+         UNION ALL SELECT seq + 1, periodo, anio, 'prev' FROM pers),
+reg AS (SELECT *, 'c2_' || lpad(CAST(pub_seq AS VARCHAR), 3, '0') AS file_id,
+               CASE pub_seq % 3 WHEN 0 THEN 'expanded' WHEN 1 THEN 'compact' ELSE 'format_b' END AS layout
+        FROM reg0),
+fe AS (SELECT DISTINCT r.file_id, r.pub_seq, r.layout, p.provincia, n.n_nationkey AS k
+       FROM panel p JOIN reg r ON p.periodo = r.periodo JOIN nation n ON n.n_name = p.provincia),
+anch AS (SELECT file_id, provincia,
+           CAST(CASE WHEN k >= 22 THEN 8 + 22 * (CASE layout WHEN 'expanded' THEN 66 WHEN 'compact' THEN 30 ELSE 54 END)
+                                       + (k - 22) * (CASE layout WHEN 'expanded' THEN 22 WHEN 'compact' THEN 10 ELSE 54 END)
+                ELSE 8 + k * (CASE layout WHEN 'expanded' THEN 66 WHEN 'compact' THEN 30 ELSE 54 END) END AS INTEGER) AS "row",
+           pub_seq, layout, k
+         FROM fe),
+areas AS (SELECT * FROM (VALUES ('total'), ('urbana'), ('rural')) a(area)),
+sexes AS (SELECT * FROM (VALUES ('total'), ('hombres'), ('mujeres')) s(sexo)),
+exp AS (SELECT a.file_id, a.pub_seq, a.provincia, r.periodo, r.anio, r.role, ar.area, sx.sexo
+        FROM anch a JOIN reg r ON a.file_id = r.file_id CROSS JOIN areas ar CROSS JOIN sexes sx
+        WHERE ar.area = 'total' OR (a.layout <> 'format_b' AND a.k < 22)),
+core AS (
+  SELECT e.file_id, e.pub_seq, e.provincia, e.periodo, e.anio, e.area, e.sexo,
+         CAST(CASE WHEN NOT (e.role = 'prev' AND e.area = 'rural' AND e.sexo = 'mujeres') THEN p.poblacion_15_mas END AS DOUBLE) AS poblacion_15_mas,
+         CAST(CASE WHEN NOT (e.role = 'prev' AND e.area = 'rural' AND e.sexo = 'mujeres') THEN p.pea END AS DOUBLE) AS pea,
+         CAST(CASE WHEN NOT (e.role = 'prev' AND e.area = 'rural' AND e.sexo = 'mujeres') THEN p.ocupados END AS DOUBLE) AS ocupados,
+         CAST(CASE WHEN e.role = 'cur' THEN p.desocupados + 1
+                   WHEN NOT (e.area = 'rural' AND e.sexo = 'mujeres') THEN p.desocupados END AS DOUBLE) AS desocupados,
+         CASE WHEN e.role = 'cur' THEN p.tasa_desempleo + 0.5
+              WHEN NOT (e.area = 'rural' AND e.sexo = 'mujeres') THEN p.tasa_desempleo END AS tasa_desempleo
+  FROM exp e LEFT JOIN panel p ON p.provincia = e.provincia AND p.periodo = e.periodo AND p.area = e.area AND p.sexo = e.sexo),
+core2 AS (SELECT *, CASE WHEN poblacion_15_mas > 0 AND pea IS NOT NULL THEN pea / poblacion_15_mas * 100 END AS tasa_participacion FROM core)"""
+
+LABELS = """lv AS (
+  SELECT n_nationkey, v.variante, CASE v.variante
+      WHEN 0 THEN CASE n_nationkey % 4 WHEN 0 THEN n_name WHEN 1 THEN n_name || ' ..........'
+                                       WHEN 2 THEN '  ' || lower(n_name) || '…' ELSE n_name || ' ··' END
+      WHEN 1 THEN '  ' || n_name || ' ...... x'
+      WHEN 2 THEN 'Total ' || n_name
+      WHEN 3 THEN CAST(n_nationkey AS VARCHAR) || ' ' || n_name
+      WHEN 4 THEN 'Urbana'
+      ELSE 'República de ' || n_name || ' y sus provincias y comarcas indígenas del país' END AS etiqueta
+  FROM nation CROSS JOIN (SELECT CAST(range AS INTEGER) AS variante FROM range(6)) v),
+lc AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(etiqueta, '^\\s+|\\s+$', '', 'g'),
+                 '[\\.…·]+\\s*$', ''), '\\.{3,}', '', 'g')) AS limpia FROM lv)"""
+
+
+CORE_OUT = ["poblacion_15_mas", "pea", "ocupados", "desocupados", "tasa_desempleo", "tasa_participacion"]
+
+
+def grid_sql(s: dict) -> None:
+    s["grid_anchors"] = with_(GRID, 'SELECT file_id, "row", provincia FROM anch')
+    cols = "file_id, provincia, periodo, anio, area, sexo, " + ", ".join(CORE_OUT)
+    s["grid_core"] = with_(GRID, f"SELECT {cols} FROM core2", CORE_OUT)
+    s["grid_panel"] = with_(GRID, f"SELECT provincia, periodo, anio, area, sexo, {', '.join(CORE_OUT)} FROM "
+                                  f"(SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY pub_seq DESC) AS rn FROM core2) "
+                                  f"WHERE rn = 1", CORE_OUT)
+    s["clean_label"] = "WITH " + LABELS + "\nSELECT n_nationkey, variante, etiqueta, limpia FROM lc"
+    pats = sorted(ENTITIES, key=lambda n: (-len(n), n))
+    case = " ".join(f"WHEN contains(lower(limpia), '{p.lower()}') THEN '{p}'" for p in pats)
+    s["canonical_entity"] = ("WITH " + LABELS + "\nSELECT n_nationkey, variante, CASE WHEN limpia = '' OR length(limpia) > 40 "
+                             f"THEN NULL ELSE CASE {case} END END AS entidad FROM lc")
+    s["entity_rows"] = ("WITH " + LABELS + "\nSELECT n_nationkey, variante, NOT (lower(limpia) IN ('urbana', 'rural', 'hombres', "
+                        "'mujeres') OR contains(lower(limpia), 'total') OR contains(lower(limpia), 'no ind') OR "
+                        "regexp_matches(lower(limpia), '^[0-9]')) AS valida FROM lc")
+    s["safe_double"] = with_("""t AS (
+  SELECT o_orderkey, CASE o_orderkey % 8
+      WHEN 0 THEN format('{:,.2f}', o_totalprice) WHEN 1 THEN '..' WHEN 2 THEN '-'
+      WHEN 3 THEN CAST(o_totalprice AS VARCHAR) || 'd' WHEN 4 THEN ' \t' || CAST(o_totalprice AS VARCHAR) || ' '
+      WHEN 5 THEN replace(CAST(o_totalprice AS VARCHAR), '.', '_') WHEN 6 THEN 'n/d'
+      ELSE CAST(o_totalprice AS VARCHAR) || 'e-2' END AS texto
+  FROM orders),
+c AS (SELECT o_orderkey, texto, replace(replace(trim(texto, ' \t'), ',', ''), '..', '') AS s FROM t)""", """
+SELECT o_orderkey, texto, CASE WHEN s = '' OR s = '-' THEN NULL
+  WHEN regexp_full_match(lower(s), '[+-]?(([0-9](_?[0-9])*(\\.([0-9](_?[0-9])*)?)?|\\.[0-9](_?[0-9])*)(e[+-]?[0-9](_?[0-9])*)?|inf|infinity|nan)')
+  THEN TRY_CAST(replace(s, '_', '') AS DOUBLE) END AS valor FROM c""", ["valor"])
+    s["parse_period_label"] = with_("""l AS (SELECT DISTINCT CASE o_orderkey % 5
+      WHEN 0 THEN CAST(year(o_orderdate) AS VARCHAR) || ' (octubre)' WHEN 1 THEN CAST(year(o_orderdate) AS VARCHAR) || ' (Abril)'
+      WHEN 2 THEN CAST(year(o_orderdate) AS VARCHAR) || ' (R)' WHEN 3 THEN 'Año ' || CAST(year(o_orderdate) AS VARCHAR)
+      ELSE 'Nota: cifras preliminares' END AS etiqueta FROM orders)""", """
+SELECT etiqueta, CAST(regexp_extract(etiqueta, '([0-9]{4})', 1) AS INTEGER) AS anio,
+       regexp_extract(etiqueta, '([0-9]{4})', 1) || '-' || CASE WHEN contains(lower(etiqueta), 'oct') THEN '10'
+           WHEN contains(lower(etiqueta), 'abr') THEN '04' ELSE '08' END AS periodo
+FROM l WHERE regexp_extract(etiqueta, '([0-9]{4})', 1) <> ''""")

@@ -206,3 +206,182 @@ def macro_wide(t: Tables) -> DataFrame:
     keep = [y for y in years if y in present]
     order = F.create_map(*[x for i, c in enumerate(MACRO_SOURCE.values()) for x in (F.lit(c), F.lit(i))])
     return wide.select("codigo_indicador", order[F.col("codigo_indicador")].alias("_row"), *keep)
+
+
+def publication_seq(period_col) -> F.Column:
+    """Publication number of a period label 'YYYY-MM': two per year, in order."""
+    yr = F.substring(period_col, 1, 4).cast("int")
+    return ((yr - 1990) * 2 + (F.substring(period_col, 6, 2) > "06").cast("int")).cast("int")
+
+
+def vintages(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Publication vintages of the panel.
+
+    Publication k reports its own period (preliminary: rate + 0.5, one more
+    unemployed) and revises the previous period (final values).  The
+    revision omits the rural/women cells, so for those keys the preliminary
+    value survives a keep-last consolidation.  ``row`` = position in the
+    publication (a stable hash of the cell)."""
+    p = build_panel(t, spec)
+    seq = publication_seq(F.col(spec.period))
+    row = (F.xxhash64(spec.entity, spec.area, spec.sex) % 100000).cast("int")
+    prelim = p.withColumns({
+        spec.target: F.col(spec.target) + 0.5,
+        spec.unemployed: F.col(spec.unemployed) + 1,
+        "pub_seq": seq, "row": row,
+    })
+    final = (p.where(~((F.col(spec.area) == spec.rural) & (F.col(spec.sex) == spec.women)))
+              .withColumns({"pub_seq": seq + 1, "row": row}))
+    return prelim.unionByName(final)
+
+
+# ------------------------------------------------------------------ report grids
+COMARCA_FROM_KEY = 22  # nations 22-24 play the total-only entities ("comarcas")
+GRID_HEADER = [  # (row, col, text): title, captions and decoy labels above the first block
+    (0, 0, "Cuadro 2. Población de 15 y más años por condición de actividad según NATION_0 y área"),
+    (1, 0, "Provincia, área y sexo"),
+    (2, 0, "TOTAL"), (2, 1, "1"),
+    (3, 0, "15-19"), (3, 1, "1"),
+    (4, 0, "Urbana"), (4, 1, "1"),
+    (5, 0, "Total NATION_0"), (5, 1, "1"),
+    (6, 0, "República de NATION_0 y sus provincias y comarcas indígenas"), (6, 1, "1"),
+    (7, 0, "Nota NATION_1"),
+]
+PAGE_ROWS = 50  # a '(Continuación)' row after every 50 rows of content
+
+
+def entity_patterns(names: list[str]) -> list[tuple[str, str]]:
+    """Ordered (pattern, canonical) list: longer names first so that a
+    name that is a prefix of another never wins (NATION_1 vs NATION_10)."""
+    return [(n, n) for n in sorted(names, key=lambda n: (-len(n), n))]
+
+
+def decorate(name: F.Column, k: F.Column) -> F.Column:
+    """Label decorations seen in reports: trailing dot leaders, ellipsis,
+    middle dots, case and leading blanks."""
+    m = k % 4
+    return (F.when(m == 0, name)
+             .when(m == 1, F.concat(name, F.lit(" ..........")))
+             .when(m == 2, F.concat(F.lit("  "), F.lower(name), F.lit("…")))
+             .otherwise(F.concat(name, F.lit(" ··"))))
+
+
+def _layout_of(seq: F.Column) -> F.Column:
+    return F.when(seq % 3 == 0, F.lit("expanded")).when(seq % 3 == 1, F.lit("compact")).otherwise(F.lit("format_b"))
+
+
+def grid_registry(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Publication registry — file s reports period s (current) and
+    period s-1 (previous); columns: previous at 2-4, current at 5-7 (or the
+    only period at 2-4); sector percentages at 3 (previous) / 4 (current)."""
+    p = build_panel(t, spec).select(spec.period, spec.year).distinct()
+    seq = publication_seq(F.col(spec.period))
+    reg = (p.select(spec.period, spec.year, seq.alias("pub_seq"), F.lit("cur").alias("role"))
+             .unionByName(p.select(spec.period, spec.year, (seq + 1).alias("pub_seq"), F.lit("prev").alias("role"))))
+    n = reg.groupBy("pub_seq").agg(F.count(F.lit(1)).alias("_np"))
+    reg = reg.join(n, "pub_seq")
+    first = (F.col("role") == "prev") | (F.col("_np") == 1)
+    return reg.select(
+        F.concat(F.lit("c2_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("file_id"),
+        "pub_seq", _layout_of(F.col("pub_seq")).alias("layout"), "role",
+        F.col(spec.period).alias("periodo"), F.col(spec.year).alias("anio"),
+        F.when(first, F.lit(2)).otherwise(F.lit(5)).alias("col_total"),
+        F.when(first, F.lit(3)).otherwise(F.lit(4)).alias("col_pct"),
+    )
+
+
+def _page(row: F.Column) -> F.Column:
+    return (row + F.floor(row / PAGE_ROWS)).cast("int")
+
+
+def _fmt(v: F.Column, measure: F.Column) -> F.Column:
+    txt = F.when(measure == "tasa_desempleo", F.format_string("%.12f", v.cast("double"))) \
+           .otherwise(F.format_number(v.cast("double"), 0))
+    return F.coalesce(txt, F.lit(".."))
+
+
+def core_grid(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Report grid of the core table: each publication written at the layout
+    offsets (current period preliminary, previous period revised, the
+    revision without rural/women cells), with decorated labels, a decoy
+    label inside every block, sub-block captions, header decoys and
+    page-break rows.  Long format (file_id, row, col, text)."""
+    from panelkit.operators.grid import LAYOUTS, SEXES
+    p = build_panel(t, spec)
+    seq = publication_seq(F.col(spec.period))
+    cur = p.select(*spec.key, seq.alias("pub_seq"),
+                   F.col(spec.population).alias("poblacion_15_mas"), F.col(spec.labour_force).alias("pea"),
+                   F.col(spec.employed).alias("ocupados"), (F.col(spec.unemployed) + 1).alias("desocupados"),
+                   (F.col(spec.target) + 0.5).alias("tasa_desempleo"))
+    prev = (p.where(~((F.col(spec.area) == spec.rural) & (F.col(spec.sex) == spec.women)))
+             .select(*spec.key, (seq + 1).alias("pub_seq"),
+                     F.col(spec.population).alias("poblacion_15_mas"), F.col(spec.labour_force).alias("pea"),
+                     F.col(spec.employed).alias("ocupados"), F.col(spec.unemployed).alias("desocupados"),
+                     F.col(spec.target).alias("tasa_desempleo")))
+    reg = grid_registry(t, spec).select("file_id", "pub_seq", "layout", "periodo", "col_total")
+    nat = F.broadcast(t.nation.select(F.col("n_name").alias(spec.entity), F.col("n_nationkey").alias("_k")))
+    rows = cur.unionByName(prev).join(reg, ["pub_seq", "periodo"]).join(nat, spec.entity)
+
+    sub = F.lit(0)
+    areas = F.lit(True)
+    offs = {}
+    for name, lay in LAYOUTS.items():
+        sub = F.when(F.col("layout") == name, F.lit(lay["sub"])).otherwise(sub)
+        areas = F.when(F.col("layout") == name, F.lit(lay["areas"])).otherwise(areas)
+    comarca = F.col("_k") >= COMARCA_FROM_KEY
+    block = F.when(areas, sub * 3).otherwise(sub)
+    start = F.when(comarca, 8 + COMARCA_FROM_KEY * block + (F.col("_k") - COMARCA_FROM_KEY) * sub) \
+             .otherwise(8 + F.col("_k") * block)
+    area_off = (F.when(F.col(spec.area) == spec.urban, sub).when(F.col(spec.area) == spec.rural, sub * 2)
+                 .otherwise(F.lit(0)))
+    sex_off = F.when(F.col(spec.sex) == SEXES[1], 1).when(F.col(spec.sex) == SEXES[2], 2).otherwise(0)
+    measures = list(LAYOUTS["expanded"]["offsets"])
+    for m in measures:
+        o = F.lit(None).cast("int")
+        for name, lay in LAYOUTS.items():
+            o = F.when(F.col("layout") == name, F.lit(lay["offsets"][m])).otherwise(o)
+        offs[m] = o
+    keep = (areas & ~comarca) | (F.col(spec.area) == spec.total)
+    cells = rows.where(keep).select(
+        "file_id", start.alias("_start"), area_off.alias("_aoff"), (F.col("col_total") + sex_off).alias("col"),
+        F.explode(F.array(*[F.struct(F.lit(m).alias("_m"), offs[m].alias("_o"), F.col(m).cast("double").alias("_v"))
+                            for m in measures])).alias("_x"))
+    values = cells.select("file_id", (F.col("_start") + F.col("_aoff") + F.col("_x._o")).alias("row"), "col",
+                          _fmt(F.col("_x._v"), F.col("_x._m")).alias("text"))
+
+    ents = rows.select("file_id", "layout", spec.entity, "_k").distinct()
+    sub_e = F.lit(0)
+    areas_e = F.lit(True)
+    for name, lay in LAYOUTS.items():
+        sub_e = F.when(F.col("layout") == name, F.lit(lay["sub"])).otherwise(sub_e)
+        areas_e = F.when(F.col("layout") == name, F.lit(lay["areas"])).otherwise(areas_e)
+    comarca_e = F.col("_k") >= COMARCA_FROM_KEY
+    block_e = F.when(areas_e, sub_e * 3).otherwise(sub_e)
+    start_e = F.when(comarca_e, 8 + COMARCA_FROM_KEY * block_e + (F.col("_k") - COMARCA_FROM_KEY) * sub_e) \
+               .otherwise(8 + F.col("_k") * block_e)
+    name = F.col(spec.entity)
+    lab = [F.struct(F.lit(0).alias("_o"), F.lit(0).alias("col"), decorate(name, F.col("_k")).alias("text")),
+           F.struct(F.lit(0).alias("_o"), F.lit(1).alias("col"), F.lit("1").alias("text")),
+           F.struct(F.lit(1).alias("_o"), F.lit(0).alias("col"), F.concat(name, F.lit(" (cont.)")).alias("text")),
+           F.struct(F.lit(1).alias("_o"), F.lit(1).alias("col"), F.lit("1").alias("text"))]
+    labels = ents.select("file_id", start_e.alias("_start"), sub_e.alias("_sub"),
+                         (areas_e & ~comarca_e).alias("_areas"), F.explode(F.array(*lab)).alias("_x"))
+    captions = (ents.where(areas_e & ~comarca_e)
+                    .select("file_id", start_e.alias("_start"), sub_e.alias("_sub"))
+                    .select("file_id", F.explode(F.array(
+                        F.struct((F.col("_start") + F.col("_sub")).alias("row"), F.lit("Urbana").alias("text")),
+                        F.struct((F.col("_start") + 2 * F.col("_sub")).alias("row"), F.lit("Rural").alias("text")))).alias("_c"))
+                    .select("file_id", F.col("_c.row").alias("row"), F.lit(0).alias("col"), F.col("_c.text").alias("text")))
+    labels = labels.select("file_id", (F.col("_start") + F.col("_x._o")).alias("row"), F.col("_x.col").alias("col"),
+                           F.col("_x.text").alias("text"))
+    files = reg.select("file_id").distinct()
+    header = files.select("file_id", F.explode(F.array(*[
+        F.struct(F.lit(r).alias("row"), F.lit(c).alias("col"), F.lit(x).alias("text")) for r, c, x in GRID_HEADER
+    ])).alias("_h")).select("file_id", "_h.*")
+    content = values.unionByName(labels).unionByName(captions).unionByName(header)
+    content = content.select("file_id", _page(F.col("row")).alias("row"), "col", "text")
+    last = content.groupBy("file_id").agg(F.max("row").alias("_max"))
+    breaks = (last.select("file_id", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.col("_max") / (PAGE_ROWS + 1)).cast("int")))).alias("_m"))
+                  .select("file_id", (F.col("_m") * (PAGE_ROWS + 1) - 1).cast("int").alias("row"), F.lit(0).alias("col"),
+                          F.lit("(Continuación)").alias("text")))
+    return content.unionByName(breaks)
