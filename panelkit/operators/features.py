@@ -95,8 +95,8 @@ def time_features(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     the post-era flag.  min/max are a scalar subquery (one tiny aggregate),
     never a global window."""
     y = F.col(spec.year)
-    lo = df.select(F.min(spec.year)).scalar()
-    hi = df.select(F.max(spec.year)).scalar()
+    lim = df.select(F.struct(F.min(spec.year).alias("lo"), F.max(spec.year).alias("hi"))).scalar()
+    lo, hi = lim["lo"], lim["hi"]
     return df.withColumns({
         "anio_norm": (y - lo) / F.greatest(hi - lo, F.lit(1)),
         "post_covid": (y >= spec.post_year).cast("int"),

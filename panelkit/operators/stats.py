@@ -133,8 +133,8 @@ def histogram(df: DataFrame, value: str, bins: int = 25) -> DataFrame:
     kept with count 0.  min/max are scalar subqueries."""
     v = F.col(value)
     d = df.where(v.isNotNull())
-    lo = d.select(F.min(v)).scalar()
-    hi = d.select(F.max(v)).scalar()
+    lim = d.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+    lo, hi = lim["lo"], lim["hi"]
     width = (hi - lo) / bins
     idx = F.least(F.floor(F.try_divide(v - lo, width)), F.lit(bins - 1))
     idx = F.coalesce(idx, F.lit(0)).cast("int")
@@ -182,12 +182,12 @@ def iqr_outliers(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
     v = F.col(value)
     d = df.where(v.isNotNull())
     q = exact_quantiles(d, [], value, {"q1": 0.25, "q3": 0.75})
-    q1 = q.select("q1").scalar()
-    q3 = q.select("q3").scalar()
+    qs = q.select(F.struct("q1", "q3")).scalar()
+    q1, q3 = qs["q1"], qs["q3"]
     lo = q1 - k * (q3 - q1)
     hi = q3 + k * (q3 - q1)
-    n_out = d.select(F.count_if((v < lo) | (v > hi))).scalar()
-    n_all = d.select(F.count(F.lit(1))).scalar()
+    cnt = d.select(F.struct(F.count_if((v < lo) | (v > hi)).alias("o"), F.count(F.lit(1)).alias("n"))).scalar()
+    n_out, n_all = cnt["o"], cnt["n"]
     return (d.where((v < lo) | (v > hi))
              .withColumns({"lado": F.when(v > hi, F.lit("alto")).otherwise(F.lit("bajo")),
                            "limite_inf": lo, "limite_sup": hi,
@@ -297,7 +297,8 @@ def kde_grid(df: DataFrame, value: str, points: int = 100, by: list[str] | None
         j = d.select(*by, v.alias("_x")).join(s, by)
     else:  # one group: the four statistics are scalar subqueries
         s = d.agg(*stats)
-        j = d.select(v.alias("_x"), *[s.select(c).scalar().alias(c) for c in ("_lo", "_hi", "_n", "_sd")])
+        one = s.select(F.struct("_lo", "_hi", "_n", "_sd")).scalar()
+        j = d.select(v.alias("_x"), *[one[c].alias(c) for c in ("_lo", "_hi", "_n", "_sd")])
     j = j.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), -0.2))
     step = (F.col("_hi") - F.col("_lo")) / (points - 1)
     grid = F.sequence(F.lit(0), F.lit(points - 1))

@@ -200,8 +200,8 @@ def q_gap_by_period(spark, sf_dir):
     u = st.conditional_gap(p, [SPEC.period], SPEC.area, SPEC.urban, SPEC.rural, SPEC.target,
                            "brecha_urb_rur", F.col(SPEC.sex) == SPEC.total)
     out = g.join(u, SPEC.period, "full")
-    out = out.withColumns({"brecha_genero_media": out.select(F.avg("brecha_genero")).scalar(),
-                           "brecha_urb_rur_media": out.select(F.avg("brecha_urb_rur")).scalar()})
+    means = out.select(F.struct(F.avg("brecha_genero").alias("g"), F.avg("brecha_urb_rur").alias("u"))).scalar()
+    out = out.withColumns({"brecha_genero_media": means["g"], "brecha_urb_rur_media": means["u"]})
     return round_doubles(out)
 
 
@@ -513,3 +513,140 @@ def q_grid_panel(spark, sf_dir):
     """Grid -> per-file records -> keep-last across publications."""
     c = _core(_t(spark, sf_dir)).withColumn("row", F.lit(0))
     return round_doubles(pan.keep_last(c.drop("file_id"), KEY).drop("pub_seq", "row"))
+
+
+# ---------------------------------------------------------------- model evaluation
+from panelkit.operators import evaluate as ev  # noqa: E402
+from panelkit.spec import SELECTED_FEATURES  # noqa: E402
+
+
+def model_features(df: DataFrame) -> list[str]:
+    """P5: the selected features that exist in this feature table."""
+    return pan.existing(df, SELECTED_FEATURES)
+
+
+def _ft(spark, sf_dir):
+    return features(_t(spark, sf_dir))
+
+
+@query
+def q_lopo_split(spark, sf_dir):
+    return ev.lopo_split(_ft(spark, sf_dir), SPEC.period)
+
+
+@query
+def q_fold_impute(spark, sf_dir):
+    f = _ft(spark, sf_dir)
+    return round_doubles(ev.fold_medians(f, model_features(f), SPEC.period, ev.periods_of(f, SPEC.period)))
+
+
+@query
+def q_fold_scale(spark, sf_dir):
+    f = _ft(spark, sf_dir)
+    feats, folds = model_features(f), ev.periods_of(f, SPEC.period)
+    med = ev.fold_medians(f, feats, SPEC.period, folds)
+    return round_doubles(ev.fold_scaler(f, feats, SPEC.period, folds, med))
+
+
+def baseline_predictions(f: DataFrame) -> DataFrame:
+    lag = f"{SPEC.target}_lag1"
+    a = ev.lopo_persistence(f, SPEC.target, lag, SPEC.period, KEY).withColumn("modelo", F.lit("Persistencia"))
+    b = ev.lopo_ols1(f, SPEC.target, lag, SPEC.period, KEY).withColumn("modelo", F.lit("MCO1"))
+    return a.unionByName(b)
+
+
+@query
+def q_lopo_persistence(spark, sf_dir):
+    p = ev.lopo_persistence(_ft(spark, sf_dir), SPEC.target, f"{SPEC.target}_lag1", SPEC.period, KEY)
+    return round_doubles(ev.cv_metrics(p, [ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo"))
+
+
+@query
+def q_lopo_ols1(spark, sf_dir):
+    p = ev.lopo_ols1(_ft(spark, sf_dir), SPEC.target, f"{SPEC.target}_lag1", SPEC.period, KEY)
+    return round_doubles(ev.cv_metrics(p, [ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo"))
+
+
+@query
+def q_cv_predictions(spark, sf_dir):
+    """Out-of-fold predictions with the full row key."""
+    return round_doubles(baseline_predictions(_ft(spark, sf_dir)).drop(ev.FOLD))
+
+
+def _cv_metrics(spark, sf_dir):
+    p = baseline_predictions(_ft(spark, sf_dir))
+    return ev.cv_metrics(p, ["modelo", ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo")
+
+
+@query
+def q_cv_metrics(spark, sf_dir):
+    return round_doubles(_cv_metrics(spark, sf_dir))
+
+
+@query
+def q_cv_summary(spark, sf_dir):
+    """Mean metrics per model, best flagged, best's folds."""
+    m = _cv_metrics(spark, sf_dir)
+    s = ev.cv_summary(m)
+    best = s.where("mejor").select("modelo")
+    detail = m.join(best, "modelo").select("modelo", "periodo", F.col("rmse").alias("rmse_periodo"))
+    return round_doubles(s.join(detail, "modelo", "left").drop("n_folds"))
+
+
+@query
+def q_risk_accuracy(spark, sf_dir):
+    p = ev.with_bands(baseline_predictions(_ft(spark, sf_dir)), "real", "predicho", LOW, HIGH)
+    return round_doubles(ev.risk_accuracy(p, ["modelo"]))
+
+
+@query
+def q_cv_matrix(spark, sf_dir):
+    """Period x model matrix of RMSE, MAE and R² (4 dp)."""
+    m = _cv_metrics(spark, sf_dir)
+    pv = m.groupBy("periodo").pivot("modelo", ["MCO1", "Persistencia"]).agg(
+        F.round(F.max("rmse"), 4).alias("rmse"), F.round(F.max("mae"), 4).alias("mae"), F.round(F.max("r2"), 4).alias("r2"))
+    return pv
+
+
+@query
+def q_model_table(spark, sf_dir):
+    """T9 + U6: model summary as a map model -> metrics, exploded back to
+    rows, ranked by R² with the best value of each metric flagged."""
+    s = ev.cv_summary(_cv_metrics(spark, sf_dir))
+    nested = s.agg(F.map_from_entries(F.collect_list(F.struct("modelo", F.struct("mae", "rmse", "r2")))).alias("m"))
+    rows = nested.select(F.explode("m").alias("modelo", "v")).select("modelo", "v.*")
+    best = rows.select(F.struct(F.min("mae").alias("mae"), F.min("rmse").alias("rmse"), F.max("r2").alias("r2"))).scalar()
+    flags = {"mejor_mae": F.col("mae") == best["mae"], "mejor_rmse": F.col("rmse") == best["rmse"],
+             "mejor_r2": F.col("r2") == best["r2"]}
+    return round_doubles(rows.withColumns(flags).orderBy(F.desc("r2")))
+
+
+def _lopo_model(spark, sf_dir, name, fn):
+    f = _ft(spark, sf_dir)
+    p = fn(f, model_features(f))
+    return round_doubles(ev.cv_metrics(p, [ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo")
+                         .withColumn("modelo", F.lit(name)))
+
+
+@query
+def q_lopo_ridge(spark, sf_dir):
+    return _lopo_model(spark, sf_dir, "Ridge",
+                       lambda f, x: ev.lopo_linear(f, x, SPEC.target, SPEC.period, KEY, "ridge", 1.0))
+
+
+@query
+def q_lopo_lasso(spark, sf_dir):
+    return _lopo_model(spark, sf_dir, "Lasso",
+                       lambda f, x: ev.lopo_linear(f, x, SPEC.target, SPEC.period, KEY, "lasso", 0.1))
+
+
+@query
+def q_lopo_forest(spark, sf_dir):
+    return _lopo_model(spark, sf_dir, "RandomForest",
+                       lambda f, x: ev.lopo_spark_ml(f, x, SPEC.target, SPEC.period, ev.forest))
+
+
+@query
+def q_lopo_gbt(spark, sf_dir):
+    return _lopo_model(spark, sf_dir, "GradientBoosting",
+                       lambda f, x: ev.lopo_spark_ml(f, x, SPEC.target, SPEC.period, ev.boosting))

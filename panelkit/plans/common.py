@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from panelkit.operators import features as feat
 from panelkit.operators import panel as pan
+from panelkit.session import materialize
 from panelkit.sources import bridge
 from panelkit.sources.tables import Tables
 from panelkit.spec import DEFAULT_SPEC
@@ -40,5 +41,19 @@ def enriched(t: Tables) -> DataFrame:
     return pan.order_columns(p)
 
 
+_STORE: dict = {}
+
+
+def stored(t: Tables, name: str, build) -> DataFrame:
+    """A shared intermediate table, materialised once per session and input
+    directory as a reliable checkpoint (the analogue of the feature file the
+    pipeline steps hand to each other).  Later queries read the checkpoint
+    instead of replaying the whole lineage."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _STORE:
+        _STORE[key] = materialize(build())
+    return _STORE[key]
+
+
 def features(t: Tables) -> DataFrame:
-    return feat.feature_table(enriched(t), SPEC, categories=CATEGORIES)
+    return stored(t, "features", lambda: feat.feature_table(enriched(t), SPEC, categories=CATEGORIES))

@@ -212,6 +212,7 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
     stats_sql(s)
     consolidation_sql(s)
     grid_sql(s)
+    evaluation_sql(s)
     return s
 
 
@@ -483,3 +484,100 @@ SELECT etiqueta, CAST(regexp_extract(etiqueta, '([0-9]{4})', 1) AS INTEGER) AS a
        regexp_extract(etiqueta, '([0-9]{4})', 1) || '-' || CASE WHEN contains(lower(etiqueta), 'oct') THEN '10'
            WHEN contains(lower(etiqueta), 'abr') THEN '04' ELSE '08' END AS periodo
 FROM l WHERE regexp_extract(etiqueta, '([0-9]{4})', 1) <> ''""")
+
+
+SELECTED = ["tasa_desempleo_lag1", "tasa_participacion", "pct_subempleo", "empleo_informal_pct",
+            "pct_sin_educacion", "pct_universitaria", "pct_jovenes_pea", "pct_mayores_pea",
+            "pct_sector_primario", "pct_sector_secundario", "pct_empresa_grande",
+            "brecha_desempleo_urb_rur", "brecha_desempleo_genero", "ratio_pea_urbana",
+            "area_total", "area_urbana", "sexo_mujeres", "sexo_total",
+            "pct_subempleo_lag1", "empleo_informal_pct_delta", "post_covid",
+            "lag_x_post_covid", "lag_x_sexo_mujeres", "lag_x_area_urbana",
+            "pib_crecimiento", "desempleo_juvenil_nacional", "mediana_salario",
+            "ratio_terciario_primario", "educacion_alta"]
+
+
+def unpivot_features(src: str, keys: str) -> str:
+    return "\nUNION ALL\n".join(f"SELECT {keys}, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {src}"
+                                for c in SELECTED)
+
+
+BASE_PRED = FEATURES + f""",
+folds AS (SELECT DISTINCT periodo AS fold FROM features),
+dy AS (SELECT * FROM features WHERE tasa_desempleo IS NOT NULL),
+pp AS (SELECT periodo, count(*) AS n, sum(tasa_desempleo) AS sy FROM dy GROUP BY periodo),
+pers_pred AS (
+  SELECT {KEY}, d.periodo AS fold, tasa_desempleo AS real,
+         greatest(coalesce(tasa_desempleo_lag1,
+                           ((SELECT sum(sy) FROM pp) - pp.sy) / ((SELECT sum(n) FROM pp) - pp.n)), 0) AS predicho,
+         'Persistencia' AS modelo
+  FROM dy d JOIN pp USING (periodo)),
+dx AS (SELECT * FROM dy WHERE tasa_desempleo_lag1 IS NOT NULL),
+px AS (SELECT periodo, count(*) AS n, sum(tasa_desempleo_lag1) AS sx, sum(tasa_desempleo) AS sy,
+              sum(tasa_desempleo_lag1 * tasa_desempleo_lag1) AS sxx, sum(tasa_desempleo_lag1 * tasa_desempleo) AS sxy
+       FROM dx GROUP BY periodo),
+tx AS (SELECT sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM px),
+fx AS (SELECT p.periodo, t.n - p.n AS n, t.sx - p.sx AS sx, t.sy - p.sy AS sy, t.sxx - p.sxx AS sxx, t.sxy - p.sxy AS sxy
+       FROM px p, tx t),
+fb AS (SELECT periodo, (sxy - sx * sy / n) / (sxx - sx * sx / n) AS b, sx, sy, n FROM fx),
+fab AS (SELECT periodo, b, (sy - b * sx) / n AS a FROM fb),
+ols_pred AS (
+  SELECT {KEY}, d.periodo AS fold, tasa_desempleo AS real, greatest(a + b * tasa_desempleo_lag1, 0) AS predicho,
+         'MCO1' AS modelo
+  FROM dx d JOIN fab USING (periodo)),
+preds AS (SELECT * FROM pers_pred UNION ALL SELECT * FROM ols_pred),
+met AS (
+  SELECT modelo, fold AS periodo, CAST(count(*) AS BIGINT) AS n, avg(abs(real - predicho)) AS mae,
+         sqrt(avg((real - predicho) * (real - predicho))) AS rmse,
+         CASE WHEN count(*) <= 1 THEN 0.0
+              WHEN var_pop(real) * count(*) = 0 THEN CASE WHEN sum((real - predicho) * (real - predicho)) = 0 THEN 1.0 ELSE 0.0 END
+              ELSE 1 - sum((real - predicho) * (real - predicho)) / (var_pop(real) * count(*)) END AS r2
+  FROM preds GROUP BY modelo, fold),
+summ AS (SELECT modelo, avg(mae) AS mae, avg(rmse) AS rmse, avg(r2) AS r2 FROM met GROUP BY modelo),
+best AS (SELECT arg_min(modelo, (rmse, modelo)) AS modelo FROM summ)"""
+
+
+def band_sql(col: str) -> str:
+    return (f"CASE WHEN {col} < {LOW} THEN 'bajo' WHEN {col} < {HIGH} THEN 'moderado' ELSE 'critico' END")
+
+
+def evaluation_sql(s: dict) -> None:
+    s["lopo_split"] = with_(FEATURES, "SELECT periodo AS fold, CAST((SELECT count(*) FROM features) - count(*) AS BIGINT) AS n_train, "
+                                      "CAST(count(*) AS BIGINT) AS n_test FROM features GROUP BY periodo")
+    tr = FEATURES + ",\nfolds AS (SELECT DISTINCT periodo AS fold FROM features),\nfl AS (" + unpivot_features(
+        "features", "periodo") + "),\ntrl AS (SELECT f.fold, l.feature, l.value FROM fl l JOIN folds f ON l.periodo <> f.fold)"
+    s["fold_impute"] = with_(tr, "SELECT fold, feature, quantile_cont(value, 0.5) AS median FROM trl "
+                                 "WHERE value IS NOT NULL GROUP BY fold, feature", ["median"])
+    s["fold_scale"] = with_(tr + """,
+med AS (SELECT fold, feature, quantile_cont(value, 0.5) AS median FROM trl WHERE value IS NOT NULL GROUP BY fold, feature),
+imp AS (SELECT t.fold, t.feature, coalesce(t.value, m.median) AS value FROM trl t LEFT JOIN med m USING (fold, feature)),
+sc AS (SELECT fold, feature, avg(value) AS media, stddev_pop(value) AS sd FROM imp GROUP BY fold, feature)""",
+        "SELECT fold, feature, media, CASE WHEN sd = 0 OR sd IS NULL THEN 1.0 ELSE sd END AS escala FROM sc",
+        ["media", "escala"])
+    m6 = ["mae", "rmse", "r2"]
+    s["lopo_persistence"] = with_(BASE_PRED, "SELECT periodo, n, mae, rmse, r2 FROM met WHERE modelo = 'Persistencia'", m6)
+    s["lopo_ols1"] = with_(BASE_PRED, "SELECT periodo, n, mae, rmse, r2 FROM met WHERE modelo = 'MCO1'", m6)
+    s["cv_predictions"] = with_(BASE_PRED, f"SELECT {KEY}, real, predicho, modelo FROM preds", ["real", "predicho"])
+    s["cv_metrics"] = with_(BASE_PRED, "SELECT * FROM met", m6)
+    s["cv_summary"] = with_(BASE_PRED, """
+SELECT s.modelo, s.mae, s.rmse, s.r2, s.modelo = (SELECT modelo FROM best) AS mejor, m.periodo, m.rmse AS rmse_periodo
+FROM summ s LEFT JOIN met m ON m.modelo = s.modelo AND s.modelo = (SELECT modelo FROM best)""",
+        m6 + ["rmse_periodo"])
+    s["risk_accuracy"] = with_(BASE_PRED + f""",
+rb AS (SELECT modelo, {band_sql('real')} AS riesgo_real, {band_sql('predicho')} AS riesgo_pred FROM preds)""", """
+SELECT modelo, riesgo_real, avg(CAST(riesgo_real = riesgo_pred AS DOUBLE)) AS precision, CAST(count(*) AS BIGINT) AS soporte
+FROM rb GROUP BY modelo, riesgo_real
+UNION ALL
+SELECT modelo, 'todas', avg(CAST(riesgo_real = riesgo_pred AS DOUBLE)), CAST(count(*) AS BIGINT) FROM rb GROUP BY modelo""",
+        ["precision"])
+    s["cv_matrix"] = with_(BASE_PRED, """
+SELECT periodo,
+  round(max(CASE WHEN modelo = 'MCO1' THEN rmse END), 4) AS MCO1_rmse, round(max(CASE WHEN modelo = 'MCO1' THEN mae END), 4) AS MCO1_mae,
+  round(max(CASE WHEN modelo = 'MCO1' THEN r2 END), 4) AS MCO1_r2,
+  round(max(CASE WHEN modelo = 'Persistencia' THEN rmse END), 4) AS Persistencia_rmse,
+  round(max(CASE WHEN modelo = 'Persistencia' THEN mae END), 4) AS Persistencia_mae,
+  round(max(CASE WHEN modelo = 'Persistencia' THEN r2 END), 4) AS Persistencia_r2
+FROM met GROUP BY periodo""")
+    s["model_table"] = with_(BASE_PRED, """
+SELECT modelo, mae, rmse, r2, mae = (SELECT min(mae) FROM summ) AS mejor_mae, rmse = (SELECT min(rmse) FROM summ) AS mejor_rmse,
+       r2 = (SELECT max(r2) FROM summ) AS mejor_r2 FROM summ""", m6)

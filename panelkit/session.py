@@ -25,6 +25,9 @@ def get_session(app: str = "panelkit", master: str | None = None,
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false"))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
