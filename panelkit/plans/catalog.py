@@ -650,3 +650,189 @@ def q_lopo_forest(spark, sf_dir):
 def q_lopo_gbt(spark, sf_dir):
     return _lopo_model(spark, sf_dir, "GradientBoosting",
                        lambda f, x: ev.lopo_spark_ml(f, x, SPEC.target, SPEC.period, ev.boosting))
+
+
+# ---------------------------------------------------------------- scoring, risk, explanation, scenarios
+from panelkit.functions.bands import risk_band_nullsafe  # noqa: E402
+from panelkit.operators import explain as xp  # noqa: E402
+from panelkit.operators import scenario as scn  # noqa: E402
+from panelkit.operators import scoring as sco  # noqa: E402
+from panelkit.plans.common import EXPLAIN_ROW, FIXTURE_SLIDERS, INTERCEPT, SCENARIOS, WEIGHTS  # noqa: E402
+
+
+def _scored(spark, sf_dir):
+    return sco.score_panel(_ft(spark, sf_dir), KEY + ["anio"], SPEC.target, WEIGHTS, INTERCEPT, LOW, HIGH)
+
+
+@query
+def q_score_panel(spark, sf_dir):
+    return round_doubles(_scored(spark, sf_dir))
+
+
+@query
+def q_latest_predicted(spark, sf_dir):
+    """P4 + T3: latest period, total/total, ranked by prediction."""
+    s = _scored(spark, sf_dir)
+    latest = s.select(F.max(SPEC.period)).scalar()
+    return round_doubles(total_slice(s).where(F.col(SPEC.period) == latest)
+                         .orderBy(F.desc("prediccion"), SPEC.entity))
+
+
+@query
+def q_risk_band(spark, sf_dir):
+    """F5 and F6 side by side on the panel rate."""
+    p = panel(_t(spark, sf_dir))
+    return p.select(*KEY, risk_band(F.col(SPEC.target), LOW, HIGH).alias("riesgo"),
+                    risk_band_nullsafe(F.col(SPEC.target), LOW, HIGH).alias("riesgo_mapa"))
+
+
+@query
+def q_risk_kpis(spark, sf_dir):
+    """Rows per actual risk class in the latest total/total slice."""
+    s = total_slice(_scored(spark, sf_dir))
+    latest = s.select(F.max(SPEC.period)).scalar()
+    return s.where(F.col(SPEC.period) == latest).groupBy("riesgo_real").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_risk_table(spark, sf_dir):
+    """T4: entity detail of one period, ranked by the actual rate."""
+    s = total_slice(_scored(spark, sf_dir)).where(F.col(SPEC.period) == PERIOD_PAIR[1])
+    return round_doubles(s.select(SPEC.entity, SPEC.target, "prediccion", "riesgo_real", "riesgo_predicho")
+                         .orderBy(F.desc(SPEC.target), SPEC.entity))
+
+
+@query
+def q_residual_stats(spark, sf_dir):
+    """Mean residual (and spread) per period."""
+    s = _scored(spark, sf_dir)
+    return round_doubles(s.groupBy(SPEC.period).agg(F.avg("residuo").alias("residuo_medio"),
+                                                    F.avg(F.abs("residuo")).alias("residuo_abs_medio"),
+                                                    F.count("residuo").alias("n")))
+
+
+@query
+def q_real_vs_pred(spark, sf_dir):
+    """X9 + T10 + Z4: one period's actual vs predicted pairs, ascending by
+    rate, with the shared 45° line limits."""
+    s = total_slice(_scored(spark, sf_dir)).where(F.col(SPEC.period) == PERIOD_PAIR[1])
+    lim = s.select(F.struct(F.least(F.min(SPEC.target), F.min("prediccion")).alias("lo"),
+                            F.greatest(F.max(SPEC.target), F.max("prediccion")).alias("hi"))).scalar()
+    return round_doubles(s.select(SPEC.entity, SPEC.target, "prediccion", "riesgo_real", "riesgo_predicho",
+                                  lim["lo"].alias("lim_inf"), lim["hi"].alias("lim_sup"))
+                         .orderBy(SPEC.target, SPEC.entity))
+
+
+def _phi(spark, sf_dir):
+    return xp.explain_linear(_ft(spark, sf_dir), KEY, WEIGHTS, INTERCEPT)
+
+
+@query
+def q_explain_linear(spark, sf_dir):
+    return round_doubles(_phi(spark, sf_dir))
+
+
+@query
+def q_explain_global(spark, sf_dir):
+    return round_doubles(xp.explain_global(_phi(spark, sf_dir), top=5))
+
+
+def _one_row(df):
+    e, p, a, s = EXPLAIN_ROW
+    return df.where((F.col(SPEC.entity) == e) & (F.col(SPEC.period) == p) & (F.col(SPEC.area) == a)
+                    & (F.col(SPEC.sex) == s))
+
+
+@query
+def q_explain_row(spark, sf_dir):
+    return round_doubles(xp.explain_row(_one_row(_phi(spark, sf_dir)), KEY, top=5))
+
+
+@query
+def q_explain_text(spark, sf_dir):
+    return xp.explain_text(xp.explain_row(total_slice(_phi(spark, sf_dir)), KEY, top=3), KEY)
+
+
+@query
+def q_explain_dependence(spark, sf_dir):
+    """H5/H6: (value, φ, colour value) points for the top-3 features."""
+    phi = _phi(spark, sf_dir)
+    top = xp.explain_global(phi, top=3).select("feature")
+    pts = phi.join(F.broadcast(top), "feature")  # top-3 list: 3 rows
+    colour = _ft(spark, sf_dir).select(*KEY, F.col("tasa_participacion").alias("color"))
+    return round_doubles(pts.join(colour, KEY).select(*KEY, "feature", "valor", "phi", "color"))
+
+
+@query
+def q_importance_compare(spark, sf_dir):
+    """Model importance |w| vs φ importance (top 5), scaled."""
+    model = spark.createDataFrame([(k, abs(v)) for k, v in WEIGHTS.items()], "feature string, importancia double")
+    phi_imp = xp.explain_global(_phi(spark, sf_dir), top=5)
+    return round_doubles(xp.importance_compare(model, phi_imp, "modelo", "shap"))
+
+
+def _final_gbt(f, feats):
+    from pyspark.ml.feature import VectorAssembler
+    med = sco.column_medians(f, feats)
+    filled = f.select(*KEY, SPEC.target, *[F.coalesce(F.col(c).cast("double"), med[c]).alias(c) for c in feats])
+    data = VectorAssembler(inputCols=feats, outputCol="features").transform(filled)
+    model = ev.boosting(featuresCol="features", labelCol=SPEC.target).fit(data.where(F.col(SPEC.target).isNotNull()))
+    return model, filled
+
+
+@query
+def q_top_importance(spark, sf_dir):
+    """M12 + T2: final boosted model on all rows; tree importances, top 15."""
+    f = _ft(spark, sf_dir)
+    feats = model_features(f)
+    model, _ = _final_gbt(f, feats)
+    imp = model.featureImportances.toArray().tolist()  # one value per feature
+    t = spark.createDataFrame(list(zip(feats, imp)), "feature string, importancia double")
+    return t.orderBy(F.desc("importancia"), "feature").limit(15)
+
+
+def sample_fixed(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """Deterministic sample of n rows (smallest hash of the key)."""
+    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in KEY]), *KEY).limit(n)
+
+
+@query
+def q_sample_fixed(spark, sf_dir):
+    return sample_fixed(_ft(spark, sf_dir).select(*KEY, SPEC.target), 500)
+
+
+@query
+def q_explain_sampled(spark, sf_dir):
+    """H1 for a tree model: permutation Shapley on a fixed sample of 100
+    rows, 8 orders each, scored by the boosted model itself."""
+    f = _ft(spark, sf_dir)
+    feats = model_features(f)
+    model, filled = _final_gbt(f, feats)
+    rows = sample_fixed(filled, 100)
+    return round_doubles(xp.permutation_shapley(rows, KEY, feats, model, reps=8))
+
+
+@query
+def q_what_if(spark, sf_dir):
+    sc = spark.createDataFrame(SCENARIOS, "scenario_id int, provincia string, area string, sexo string, "
+                                          "variable string, value double")
+    r = scn.what_if(_ft(spark, sf_dir), sc, WEIGHTS, INTERCEPT, LOW, HIGH, FIXTURE_SLIDERS, SPEC)
+    return round_doubles(r)
+
+
+@query
+def q_scenario_values(spark, sf_dir):
+    r = q_what_if(spark, sf_dir)
+    return scn.scenario_values(r, list(FIXTURE_SLIDERS))
+
+
+@query
+def q_row_profile(spark, sf_dir):
+    """P11 + P12: one cell's non-null measures as rows, with its option label."""
+    e, p, a, s = EXPLAIN_ROW
+    r = enriched(_t(spark, sf_dir))
+    r = r.where((F.col(SPEC.entity) == e) & (F.col(SPEC.period) == p) & (F.col(SPEC.area) == a) & (F.col(SPEC.sex) == s))
+    cols = feat.numeric_columns(r)
+    long = r.select(F.concat_ws(" - ", SPEC.entity, SPEC.period).alias("opcion"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("valor")) for c in cols])).alias("_v"))
+    return round_doubles(long.select("opcion", "_v.*").where(F.col("valor").isNotNull()))

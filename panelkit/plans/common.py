@@ -57,3 +57,31 @@ def stored(t: Tables, name: str, build) -> DataFrame:
 
 def features(t: Tables) -> DataFrame:
     return stored(t, "features", lambda: feat.feature_table(enriched(t), SPEC, categories=CATEGORIES))
+
+
+# Literal linear model of the fixture queries (scoring, explanation, what-if),
+# so that the SQL twin can repeat every prediction exactly.
+WEIGHTS = {
+    "tasa_desempleo_lag1": 0.6, "tasa_participacion": -0.1, "pct_subempleo": 0.15,
+    "empleo_informal_pct": 0.2, "pct_universitaria": -0.05, "pct_empresa_grande": -0.08,
+    "mediana_salario": 0.00001, "pib_crecimiento": 0.002, "pct_subempleo_lag1": 0.1,
+    "lag_x_sexo_mujeres": 0.05, "lag_x_area_urbana": -0.04, "brecha_desempleo_genero": 0.3,
+    "area_urbana": 2.0, "sexo_mujeres": 1.5,
+}
+INTERCEPT = 12.0
+# Slider ranges for the fixture's scale (its rates run 0-100).
+FIXTURE_SLIDERS = {
+    "tasa_desempleo_lag1": (0.0, 100.0), "tasa_participacion": (0.0, 100.0), "pct_subempleo": (0.0, 50.0),
+    "empleo_informal_pct": (0.0, 40.0), "pct_universitaria": (0.0, 30.0), "pct_empresa_grande": (0.0, 5.0),
+    "mediana_salario": (0.0, 1_000_000.0), "pib_crecimiento": (-10_000.0, 10_000.0),
+}
+SCENARIOS = [  # (scenario_id, provincia, area, sexo, variable, value)
+    (1, "NATION_1", "total", "total", "tasa_participacion", 90.0),
+    (1, "NATION_1", "total", "total", "pct_subempleo", 60.0),
+    (2, "NATION_2", "urbana", "mujeres", "tasa_desempleo_lag1", -5.0),
+    (3, "NATION_3", "rural", "hombres", "mediana_salario", 5_000_000.0),
+    (3, "NATION_3", "rural", "hombres", "pib_crecimiento", 3.0),
+    (4, "NATION_10", "total", "mujeres", "pct_universitaria", 10.0),
+    (5, "NATION_24", "total", "total", "empleo_informal_pct", 50.0),
+]
+EXPLAIN_ROW = ("NATION_1", "2000-08", "total", "total")

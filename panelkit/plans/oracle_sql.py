@@ -213,6 +213,7 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
     consolidation_sql(s)
     grid_sql(s)
     evaluation_sql(s)
+    scoring_sql(s)
     return s
 
 
@@ -581,3 +582,105 @@ FROM met GROUP BY periodo""")
     s["model_table"] = with_(BASE_PRED, """
 SELECT modelo, mae, rmse, r2, mae = (SELECT min(mae) FROM summ) AS mejor_mae, rmse = (SELECT min(rmse) FROM summ) AS mejor_rmse,
        r2 = (SELECT max(r2) FROM summ) AS mejor_r2 FROM summ""", m6)
+
+
+# ------------------------------------------------------------------ scoring / explanation / what-if
+from panelkit.plans.common import EXPLAIN_ROW, FIXTURE_SLIDERS, INTERCEPT, SCENARIOS, WEIGHTS  # noqa: E402
+
+
+def lit(v: float) -> str:
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def linear_sql(fill: dict) -> str:
+    return lit(INTERCEPT) + "".join(f" + {lit(w)} * coalesce({c}, {fill[c]})" for c, w in WEIGHTS.items())
+
+
+MEDS = ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in WEIGHTS)
+SCORED = FEATURES + f""",
+med AS (SELECT {MEDS} FROM features),
+sc0 AS (SELECT f.provincia, f.periodo, f.area, f.sexo, f.anio, f.tasa_desempleo,
+               {linear_sql({c: 'med.' + c for c in WEIGHTS}).replace('coalesce(', 'coalesce(f.')} AS raw
+        FROM features f, med),
+scored AS (SELECT provincia, periodo, area, sexo, anio, tasa_desempleo, greatest(raw, 0) AS prediccion,
+                  tasa_desempleo - raw AS residuo, {band_sql('tasa_desempleo')} AS riesgo_real,
+                  {band_sql('raw')} AS riesgo_predicho FROM sc0),
+stot AS (SELECT * FROM scored WHERE area = 'total' AND sexo = 'total')"""
+
+PHI = SCORED + f""",
+filled AS (SELECT f.provincia, f.periodo, f.area, f.sexo, {", ".join(f"coalesce(f.{c}, med.{c}) AS {c}" for c in WEIGHTS)}
+           FROM features f, med),
+mu AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in WEIGHTS)} FROM filled),
+phi AS (
+  {" UNION ALL ".join(f"SELECT {KEY}, '{c}' AS feature, filled.{c} AS valor, {lit(w)} * (filled.{c} - mu.{c}) AS phi, "
+                      f"{lit(INTERCEPT)}{''.join(f' + {lit(w2)} * mu.{c2}' for c2, w2 in WEIGHTS.items())} AS base FROM filled, mu"
+                      for c, w in WEIGHTS.items())}),
+gimp AS (SELECT feature, avg(abs(phi)) AS importancia FROM phi GROUP BY feature)"""
+
+
+def scoring_sql(s: dict) -> None:
+    sc_cols = ["tasa_desempleo", "prediccion", "residuo"]
+    s["score_panel"] = with_(SCORED, "SELECT * FROM scored", sc_cols)
+    s["latest_predicted"] = with_(SCORED, "SELECT * FROM stot WHERE periodo = (SELECT max(periodo) FROM scored)", sc_cols)
+    s["risk_band"] = with_(PANEL, f"SELECT {KEY}, {band_sql('tasa_desempleo')} AS riesgo, CASE WHEN tasa_desempleo IS NULL "
+                                  f"THEN 'sin datos' ELSE {band_sql('tasa_desempleo')} END AS riesgo_mapa FROM panel")
+    s["risk_kpis"] = with_(SCORED, "SELECT riesgo_real, CAST(count(*) AS BIGINT) AS n FROM stot WHERE periodo = "
+                                   "(SELECT max(periodo) FROM scored) GROUP BY riesgo_real")
+    s["risk_table"] = with_(SCORED, f"SELECT provincia, tasa_desempleo, prediccion, riesgo_real, riesgo_predicho FROM stot "
+                                    f"WHERE periodo = '{PERIOD_PAIR[1]}'", ["tasa_desempleo", "prediccion"])
+    s["residual_stats"] = with_(SCORED, "SELECT periodo, avg(residuo) AS residuo_medio, avg(abs(residuo)) AS residuo_abs_medio, "
+                                        "CAST(count(residuo) AS BIGINT) AS n FROM scored GROUP BY periodo",
+                                ["residuo_medio", "residuo_abs_medio"])
+    s["real_vs_pred"] = with_(SCORED + f""",
+one AS (SELECT * FROM stot WHERE periodo = '{PERIOD_PAIR[1]}')""", """
+SELECT provincia, tasa_desempleo, prediccion, riesgo_real, riesgo_predicho,
+       (SELECT least(min(tasa_desempleo), min(prediccion)) FROM one) AS lim_inf,
+       (SELECT greatest(max(tasa_desempleo), max(prediccion)) FROM one) AS lim_sup FROM one""",
+        ["tasa_desempleo", "prediccion", "lim_inf", "lim_sup"])
+    ph = ["valor", "phi", "base"]
+    s["explain_linear"] = with_(PHI, "SELECT * FROM phi", ph)
+    s["explain_global"] = with_(PHI, "SELECT * FROM gimp ORDER BY importancia DESC, feature LIMIT 5", ["importancia"])
+    e, p, a, x = EXPLAIN_ROW
+    s["explain_row"] = with_(PHI + f""",
+r AS (SELECT *, row_number() OVER (ORDER BY abs(phi) DESC, feature) AS puesto FROM phi
+      WHERE provincia = '{e}' AND periodo = '{p}' AND area = '{a}' AND sexo = '{x}')""", """
+SELECT *, base + sum(phi) OVER (ORDER BY puesto ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acumulado
+FROM r WHERE puesto <= 5""", ph + ["acumulado"])
+    s["explain_dependence"] = with_(PHI + """,
+top AS (SELECT feature FROM gimp ORDER BY importancia DESC, feature LIMIT 3)""", f"""
+SELECT p.provincia, p.periodo, p.area, p.sexo, p.feature, p.valor, p.phi, f.tasa_participacion AS color
+FROM phi p JOIN top USING (feature) JOIN features f USING (provincia, periodo, area, sexo)""", ["valor", "phi", "color"])
+    model = " UNION ALL ".join(f"SELECT '{c}' AS feature, {lit(abs(w))} AS importancia" for c, w in WEIGHTS.items())
+    s["importance_compare"] = with_(PHI + f""",
+mdl AS ({model}),
+t5 AS (SELECT * FROM gimp ORDER BY importancia DESC, feature LIMIT 5),
+j AS (SELECT coalesce(m.feature, t.feature) AS feature, coalesce(m.importancia, 0) AS modelo, coalesce(t.importancia, 0) AS shap
+      FROM mdl m FULL JOIN t5 t ON m.feature = t.feature)""",
+        "SELECT *, modelo / (SELECT max(modelo) FROM j) AS modelo_rel, shap / (SELECT max(shap) FROM j) AS shap_rel FROM j",
+        ["modelo", "shap", "modelo_rel", "shap_rel"])
+    names = list(FIXTURE_SLIDERS)
+    vals = ", ".join(f"({i}, '{e}', '{a}', '{x}', '{v}', {lit(val)})" for i, e, a, x, v, val in SCENARIOS)
+    piv = ", ".join(f"max(CASE WHEN variable = '{n}' THEN value END) AS o_{n}" for n in names)
+    clamp = ", ".join(f"greatest({lit(lo)}, least({lit(hi)}, coalesce(pv.o_{n}, b.{n}))) AS {n}"
+                      for n, (lo, hi) in FIXTURE_SLIDERS.items())
+    zero = {c: "0" for c in WEIGHTS}
+    wi = FEATURES + f""",
+base AS (SELECT * FROM features WHERE periodo = (SELECT max(periodo) FROM features)),
+scn AS (SELECT * FROM (VALUES {vals}) t(scenario_id, provincia, area, sexo, variable, value)),
+pv AS (SELECT scenario_id, provincia, area, sexo, {piv} FROM scn GROUP BY scenario_id, provincia, area, sexo),
+j0 AS (SELECT pv.scenario_id, b.* REPLACE ({clamp}) FROM base b JOIN pv USING (provincia, area, sexo)),
+j1 AS (SELECT * REPLACE (tasa_desempleo_lag1 * post_covid AS lag_x_post_covid,
+                         tasa_desempleo_lag1 * sexo_mujeres AS lag_x_sexo_mujeres,
+                         tasa_desempleo_lag1 * area_urbana AS lag_x_area_urbana,
+                         pct_subempleo AS pct_subempleo_lag1) FROM j0),
+wf AS (SELECT *, {linear_sql(zero)} AS prediccion FROM j1)"""
+    s["what_if"] = with_(wi, f"""
+SELECT scenario_id, provincia, area, sexo, periodo, tasa_desempleo AS tasa_real, prediccion, {band_sql('prediccion')} AS riesgo,
+       prediccion - tasa_desempleo AS delta, {", ".join(names)} FROM wf""",
+        ["tasa_real", "prediccion", "delta"] + names)
+    s["scenario_values"] = with_(wi, " UNION ALL ".join(
+        f"SELECT scenario_id, '{n}' AS variable, round({n}, 6) AS valor FROM wf" for n in names))
+    s["row_profile"] = with_(PANEL + ATTRS, " UNION ALL ".join(
+        f"SELECT provincia || ' - ' || periodo AS opcion, '{c}' AS variable, round(CAST({c} AS DOUBLE), 6) AS valor "
+        f"FROM enriched WHERE provincia = '{e}' AND periodo = '{p}' AND area = '{a}' AND sexo = '{x}' AND {c} IS NOT NULL"
+        for c in ENRICHED_NUM))
