@@ -151,13 +151,14 @@ def row_records(grid: DataFrame, registry: DataFrame, patterns, label_col: int,
     cands = entity_candidates(grid, patterns, label_col, probe_col, check_row, start_row, end_row)
     if first_per_entity:
         cands = (cands.groupBy("file_id", "entity").agg(F.min("row").alias("row")))
+    keep_row = [] if first_per_entity else ["row"]
     recs = cands.join(F.broadcast(registry), "file_id")
     names = list(value_cols)
     cells = recs.select("*", F.explode(F.array(*[
         F.struct(F.lit(n).alias("_m"), F.col(value_cols[n]).alias("col")) for n in names])).alias("_x")
     ).select("file_id", "pub_seq", "entity", "periodo", "anio", "row", "_x._m", "_x.col")
     vals = cells.join(grid, ["file_id", "row", "col"], "left").withColumn("value", safe_double(F.col("text")))
-    return (vals.groupBy("file_id", "pub_seq", F.col("entity").alias("provincia"), "periodo", "anio")
+    return (vals.groupBy("file_id", "pub_seq", F.col("entity").alias("provincia"), "periodo", "anio", *keep_row)
                 .agg(*[F.max(F.when(F.col("_m") == n, F.col("value"))).alias(n) for n in names]))
 
 

@@ -836,3 +836,272 @@ def q_row_profile(spark, sf_dir):
     long = r.select(F.concat_ws(" - ", SPEC.entity, SPEC.period).alias("opcion"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("valor")) for c in cols])).alias("_v"))
     return round_doubles(long.select("opcion", "_v.*").where(F.col("valor").isNotNull()))
+
+
+# ---------------------------------------------------------------- regional layer
+from panelkit.operators import regions as rg  # noqa: E402
+
+# Region names of the fixture layer: "Nation k" (one in five keeps the raw
+# name, nation 24 has a long name) and the name map back to entities.
+REGION_MAP = {(f"Nation {k}" if k != 24 else "Nation 24 Comarca Indigena"): f"NATION_{k}"
+              for k in range(25) if k % 5 != 0}
+
+
+def region_name(t: Tables) -> F.Column:
+    k = F.col("n_nationkey")
+    return (F.when(k % 5 == 0, F.col("n_name")).when(k == 24, F.lit("Nation 24 Comarca Indigena"))
+             .otherwise(F.concat(F.lit("Nation "), k.cast("string"))))
+
+
+def region_vertices(t: Tables) -> DataFrame:
+    """The layer as GeoJSON lines, read back into the vertex table."""
+    n = t.nation.select("n_nationkey", "n_name")
+    v = rg.regular_polygons(n, "n_nationkey", region_name(t))
+    return rg.read_features(rg.to_features(v))
+
+
+@query
+def q_region_vertices(spark, sf_dir):
+    return round_doubles(region_vertices(_t(spark, sf_dir)))
+
+
+@query
+def q_polygon_measures(spark, sf_dir):
+    return round_doubles(rg.polygon_measures(region_vertices(_t(spark, sf_dir))))
+
+
+@query
+def q_layer_profile(spark, sf_dir):
+    return round_doubles(rg.layer_profile(rg.polygon_measures(region_vertices(_t(spark, sf_dir))), ["level"]))
+
+
+@query
+def q_geo_enrich(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    to_entity, _ = rg.name_map(REGION_MAP)
+    regions = region_vertices(t).select("region").distinct()
+    d = total_slice(panel(t))
+    periods = feat.categories_of(d, SPEC.period)  # bounded by the calendar
+    return round_doubles(rg.geo_enrich(regions, d, to_entity, SPEC.entity, SPEC.period, SPEC.target, periods, LOW, HIGH))
+
+
+@query
+def q_geo_export(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    to_entity, _ = rg.name_map(REGION_MAP)
+    s = total_slice(_scored(spark, sf_dir))
+    latest = s.select(F.max(SPEC.period)).scalar()
+    preds = s.where(F.col(SPEC.period) == latest)
+    return rg.geo_export(region_vertices(t), preds, to_entity, SPEC.entity, SPEC.period, SPEC.target, "prediccion", LOW, HIGH)
+
+
+# ---------------------------------------------------------------- sources and sinks
+from panelkit.sources import files as fl  # noqa: E402
+from panelkit.sources import indicators as ind  # noqa: E402
+from panelkit.sources import links as lk  # noqa: E402
+
+
+@query
+def q_harvest_links(spark, sf_dir):
+    """S7 on the page table; the fixture pages hold no spreadsheet links, so
+    the pattern is '/de' (links whose path starts with 'de')."""
+    return lk.harvest_links(_t(spark, sf_dir).pages, "/de")
+
+
+def _records(t):
+    return ind.indicator_records(bridge.indicator_payloads(t))
+
+
+@query
+def q_indicator_records(spark, sf_dir):
+    return round_doubles(_records(_t(spark, sf_dir)))
+
+
+@query
+def q_indicator_wide(spark, sf_dir):
+    return round_doubles(ind.indicator_wide(_records(_t(spark, sf_dir))))
+
+
+@query
+def q_indicator_coverage(spark, sf_dir):
+    return ind.indicator_coverage(_records(_t(spark, sf_dir)))
+
+
+@query
+def q_indicators_per_year(spark, sf_dir):
+    return ind.indicators_per_year(_records(_t(spark, sf_dir)))
+
+
+@query
+def q_locate_report(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return fl.locate_reports(bridge.report_listing(t, SPEC), bridge.report_requests(t, SPEC))
+
+
+@query
+def q_file_manifest(spark, sf_dir):
+    return fl.file_manifest(spark, sf_dir, "*.parquet")
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    import uuid
+    from panelkit.session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query
+def q_src_panel(spark, sf_dir):
+    """S1 + K7: panel written as CSV with a header, read back with an
+    explicit schema (no inference)."""
+    p = panel(_t(spark, sf_dir))
+    path = _scratch(spark, "panel-csv")
+    p.write.option("header", True).csv(path)
+    back = spark.read.option("header", True).schema(p.schema).csv(path)
+    return round_doubles(back)
+
+
+@query
+def q_sink_roundtrip(spark, sf_dir):
+    """K1-K3 + T1: enriched panel in canonical column order, written as
+    parquet partitioned by period and sorted inside partitions, read back
+    with an explicit schema."""
+    e = enriched(_t(spark, sf_dir))
+    path = _scratch(spark, "panel-parquet")
+    (e.repartition(SPEC.period).sortWithinPartitions(SPEC.period, SPEC.entity, SPEC.area, SPEC.sex)
+      .write.partitionBy(SPEC.period).parquet(path))
+    back = spark.read.schema(e.schema).parquet(path)
+    return round_doubles(back.select(*e.columns))
+
+
+def _summary(spark, sf_dir):
+    """M14 summary of the checkable models: best model, rounded metrics,
+    map model -> metrics, counts, risk accuracies and the top-10 weights."""
+    f = _ft(spark, sf_dir)
+    s = ev.cv_summary(_cv_metrics(spark, sf_dir))
+    preds = ev.with_bands(baseline_predictions(f), "real", "predicho", LOW, HIGH)
+    acc = preds.groupBy("modelo").agg(F.avg((F.col("riesgo_real") == F.col("riesgo_pred")).cast("double")).alias("acc"))
+    sc = _scored(spark, sf_dir)
+    acc_train = sc.select(F.avg((F.col("riesgo_real") == F.col("riesgo_predicho")).cast("double"))).scalar()
+    top10 = [k for k, _ in sorted(WEIGHTS.items(), key=lambda kv: -abs(kv[1]))[:10]]
+    m = F.struct(F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 4).alias("r2"))
+    j = s.join(acc, "modelo")
+    one = j.agg(F.max_by("modelo", F.col("mejor").cast("int")).alias("mejor_modelo"),
+                F.max_by(m, F.col("mejor").cast("int")).alias("metricas_cv"),
+                F.map_from_entries(F.collect_list(F.struct("modelo", m))).alias("todos_modelos_cv"),
+                F.round(F.max_by("acc", F.col("mejor").cast("int")), 4).alias("precision_riesgo_cv"))
+    counts = f.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct(SPEC.period).alias("p"),
+                               F.count_distinct(SPEC.entity).alias("e"))).scalar()
+    return one.select("mejor_modelo", "metricas_cv", "todos_modelos_cv",
+                      F.lit(len(model_features(f))).alias("n_features"), counts["n"].alias("n_filas"),
+                      counts["p"].alias("n_periodos"), counts["e"].alias("n_provincias"),
+                      F.round(acc_train, 4).alias("precision_riesgo_train"), "precision_riesgo_cv",
+                      F.array(*[F.lit(x) for x in top10]).alias("features_top10"))
+
+
+@query
+def q_run_summary(spark, sf_dir):
+    """M14 + K5: the summary as one JSON document."""
+    return _summary(spark, sf_dir).select(F.to_json(F.struct("*")).alias("resumen"))
+
+
+@query
+def q_src_summary(spark, sf_dir):
+    """The summary written as a (multi-line) JSON file and read back
+    with an explicit schema."""
+    s = _summary(spark, sf_dir)
+    path = _scratch(spark, "summary-json")
+    s.coalesce(1).write.json(path)
+    return spark.read.schema(s.schema).option("multiLine", True).json(path)
+
+
+@query
+def q_score_loaded(spark, sf_dir):
+    """K6 + S10: a fitted pipeline (assembler + ridge-mapped linear
+    regression) saved to the shared folder, loaded back and used to score."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    f = _ft(spark, sf_dir)
+    feats = model_features(f)
+    med = sco.column_medians(f, feats)
+    data = f.select(*KEY, SPEC.target, *[F.coalesce(F.col(c).cast("double"), med[c]).alias(c) for c in feats])
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                            LinearRegression(featuresCol="features", labelCol=SPEC.target, regParam=0.001,
+                                             elasticNetParam=0.0, solver="normal")])
+    model = pipe.fit(data.where(F.col(SPEC.target).isNotNull()))
+    path = _scratch(spark, "model")
+    model.write().save(path)
+    loaded = PipelineModel.load(path)
+    out = loaded.transform(data).select(*KEY, SPEC.target, F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediccion"))
+    return round_doubles(out)
+
+
+# ---------------------------------------------------------------- other report grids
+@query
+def q_national_series(spark, sf_dir):
+    """G10 + U7 + K2: national series from the newest report only, by year."""
+    g = bridge.national_grid(_t(spark, sf_dir), SPEC)
+    ns = gr.national_series(g)
+    newest = ns.agg(F.max("file_id").alias("file_id"))  # one row: the latest report
+    return round_doubles(ns.join(F.broadcast(newest), "file_id").drop("file_id", "row").orderBy("anio", "periodo"))
+
+
+@query
+def q_national_range(spark, sf_dir):
+    """First and last year, and the last record of the series."""
+    s = q_national_series(spark, sf_dir)
+    return s.agg(F.min("anio").alias("anio_min"), F.max("anio").alias("anio_max"),
+                 F.max_by("periodo", F.struct("anio", "periodo")).alias("ultimo_periodo"),
+                 F.max_by("tasa_desempleo", F.struct("anio", "periodo")).alias("ultima_tasa"))
+
+
+@query
+def q_sector_shares(spark, sf_dir):
+    """Sector shares found below each anchor in the sector reports."""
+    t = _t(spark, sf_dir)
+    reg = bridge.grid_registry(t, SPEC).withColumn("file_id", F.regexp_replace("file_id", "^c2_", "c13_"))
+    s = gr.sector_blocks(bridge.sector_grid(t, SPEC), reg, _patterns(t))
+    return round_doubles(s.drop("pub_seq"))
+
+
+@query
+def q_grid_informal(spark, sf_dir):
+    """Informality rows 10-29, label in column 1, consolidated keep-last
+    over (publication, row)."""
+    t = _t(spark, sf_dir)
+    reg = (bridge.grid_registry(t, SPEC).withColumn("file_id", F.regexp_replace("file_id", "^c2_", "c39_"))
+           .withColumn("col_inf", F.col("col_pct") - 1))
+    r = gr.row_records(bridge.informal_grid(t, SPEC), reg, _patterns(t), label_col=1, probe_col=None,
+                       value_cols={"empleo_informal_pct": "col_inf"}, start_row=10, end_row=30, check_row=False,
+                       first_per_entity=False)
+    out = pan.keep_last(r.drop("file_id"), ["provincia", "periodo"], ("pub_seq", "row"))
+    return round_doubles(out.drop("pub_seq", "row"))
+
+
+# ---------------------------------------------------------------- quality and streaming
+from panelkit.operators import quality as qa  # noqa: E402
+
+
+@query
+def q_quality_report(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    p = panel(t)
+    a = qa.panel_quality(p, SPEC).withColumn("tabla", F.lit("panel"))
+    b = qa.feature_quality(_ft(spark, sf_dir), len(enriched(t).columns), SPEC).withColumn("tabla", F.lit("features"))
+    c = qa.prediction_quality(_scored(spark, sf_dir), ev.cv_summary(_cv_metrics(spark, sf_dir))).withColumn(
+        "tabla", F.lit("predicciones"))
+    return a.unionByName(b).unionByName(c)
+
+
+@query
+def q_stream_consolidate(spark, sf_dir):
+    """Publications streamed in as files and consolidated by foreachBatch."""
+    from panelkit.streaming.consolidate import consolidate_stream
+    v = bridge.vintages(_t(spark, sf_dir), SPEC)
+    src = _scratch(spark, "publications")
+    v.repartition("pub_seq").write.partitionBy("pub_seq").parquet(src)
+    schema = spark.read.parquet(src).schema
+    table = consolidate_stream(spark, src, schema, KEY, _scratch(spark, "panel-table"), _scratch(spark, "stream-ckpt"))
+    out = spark.read.parquet(table)
+    return round_doubles(out.select(*KEY, "anio", *MEASURES))

@@ -214,6 +214,8 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
     grid_sql(s)
     evaluation_sql(s)
     scoring_sql(s)
+    misc_sql(s)
+    quality_sql(s)
     return s
 
 
@@ -684,3 +686,178 @@ SELECT scenario_id, provincia, area, sexo, periodo, tasa_desempleo AS tasa_real,
         f"SELECT provincia || ' - ' || periodo AS opcion, '{c}' AS variable, round(CAST({c} AS DOUBLE), 6) AS valor "
         f"FROM enriched WHERE provincia = '{e}' AND periodo = '{p}' AND area = '{a}' AND sexo = '{x}' AND {c} IS NOT NULL"
         for c in ENRICHED_NUM))
+
+
+# ------------------------------------------------------------------ regions, sources, other grids, quality
+REGION_SQL = """rv AS (
+  SELECT CASE WHEN n_nationkey % 5 = 0 THEN n_name WHEN n_nationkey = 24 THEN 'Nation 24 Comarca Indigena'
+              ELSE 'Nation ' || CAST(n_nationkey AS VARCHAR) END AS region,
+         CAST(n_nationkey % 4 AS INTEGER) AS level, 0 AS ring, CAST(s AS INTEGER) AS seq,
+         CAST(-80.0 AS DOUBLE) + (n_nationkey % 5) * CAST(1.0 AS DOUBLE)
+           + (CAST(0.2 AS DOUBLE) + (n_nationkey % 3) * CAST(0.05 AS DOUBLE)) * cos(2 * pi() * s / (3 + n_nationkey % 5)) AS x,
+         CAST(8.0 AS DOUBLE) + floor(n_nationkey / 5) * CAST(0.5 AS DOUBLE)
+           + (CAST(0.2 AS DOUBLE) + (n_nationkey % 3) * CAST(0.05 AS DOUBLE)) * sin(2 * pi() * s / (3 + n_nationkey % 5)) AS y
+  FROM (SELECT n_nationkey, n_name, unnest(range(0, 3 + n_nationkey % 5)) AS s FROM nation)),
+edges AS (SELECT region, level, x, y,
+                 coalesce(lead(x) OVER (PARTITION BY region ORDER BY seq), first_value(x) OVER (PARTITION BY region ORDER BY seq)) AS x2,
+                 coalesce(lead(y) OVER (PARTITION BY region ORDER BY seq), first_value(y) OVER (PARTITION BY region ORDER BY seq)) AS y2
+          FROM rv WHERE ring = 0),
+pm0 AS (SELECT region, level, sum(x * y2 - x2 * y) / 2 AS a, sum((x + x2) * (x * y2 - x2 * y)) AS cx,
+               sum((y + y2) * (x * y2 - x2 * y)) AS cy, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax,
+               CAST(count(*) AS BIGINT) AS vertices FROM edges GROUP BY region, level),
+pm AS (SELECT region, level, vertices, abs(a) AS area_grados2, cx / (6 * a) AS centro_x, cy / (6 * a) AS centro_y,
+              abs(a) * 110.574 * 111.320 * cos(radians(cy / (6 * a))) AS area_km2, xmin, xmax, ymin, ymax FROM pm0),
+rmap AS (SELECT DISTINCT region, CASE WHEN region LIKE 'Nation %' THEN 'NATION_' || split_part(region, ' ', 2) ELSE region END AS provincia
+         FROM rv)"""
+
+
+def colour_sql(band: str) -> str:
+    return (f"CASE {band} WHEN 'bajo' THEN '#2ecc71' WHEN 'moderado' THEN '#f39c12' WHEN 'critico' THEN '#e74c3c' "
+            f"ELSE '#cccccc' END")
+
+
+def nullsafe_band(col: str) -> str:
+    return f"CASE WHEN {col} IS NULL THEN 'sin datos' ELSE {band_sql(col)} END"
+
+
+LINKS = r"""a0 AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*>.*?</a>') AS l FROM pages),
+a1 AS (SELECT page_id, url, unnest(l) AS a, unnest(generate_series(0, len(l) - 1)) AS pos FROM a0),
+a2 AS (SELECT page_id, url, CAST(pos AS INTEGER) AS pos,
+              regexp_extract(a, '(?is)^<a\s[^>]*?\bhref\s*=\s*"([^"]*)"', 1) AS href0,
+              regexp_matches(a, '(?is)^<a\s[^>]*?\bhref\s*=\s*"([^"]*)"') AS has_href,
+              CASE WHEN regexp_matches(a, '(?is)^<a\s[^>]*?\btitle\s*=\s*"([^"]*)"')
+                   THEN regexp_extract(a, '(?is)^<a\s[^>]*?\btitle\s*=\s*"([^"]*)"', 1) END AS title0,
+              regexp_replace(regexp_extract(a, '(?is)^<a\s[^>]*>(.*)</a>$', 1), '<[^>]*>', '', 'g') AS text0
+       FROM a1),
+a3 AS (SELECT page_id, url, pos,
+              replace(replace(replace(replace(replace(replace(href0, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS href,
+              replace(replace(replace(replace(replace(replace(title0, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS title,
+              regexp_replace(replace(replace(replace(replace(replace(replace(text0, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '^\s+|\s+$', '', 'g') AS text
+       FROM a2 WHERE has_href)"""
+
+
+def misc_sql(s: dict) -> None:
+    s["region_vertices"] = with_(REGION_SQL, "SELECT region, level, ring, seq, x, y FROM rv", ["x", "y"])
+    pmc = ["area_grados2", "centro_x", "centro_y", "area_km2", "xmin", "xmax", "ymin", "ymax"]
+    s["polygon_measures"] = with_(REGION_SQL, "SELECT * FROM pm", pmc)
+    s["layer_profile"] = with_(REGION_SQL, """
+SELECT level, CAST(count(*) AS BIGINT) AS regiones, min(xmin) AS xmin, max(xmax) AS xmax, min(ymin) AS ymin, max(ymax) AS ymax,
+       min(area_km2) AS area_min, max(area_km2) AS area_max, avg(area_km2) AS area_media, sum(area_km2) AS area_total
+FROM pm GROUP BY level""", ["xmin", "xmax", "ymin", "ymax", "area_min", "area_max", "area_media", "area_total"])
+    s["geo_enrich"] = with_(TOT + ",\n" + REGION_SQL + """,
+grid AS (SELECT m.region, m.provincia, p.periodo FROM rmap m CROSS JOIN (SELECT DISTINCT periodo FROM tot) p),
+ge AS (SELECT g.region, g.provincia, g.periodo, t.tasa_desempleo FROM grid g LEFT JOIN tot t USING (provincia, periodo))""",
+        f"SELECT *, {nullsafe_band('tasa_desempleo')} AS riesgo, {colour_sql(nullsafe_band('tasa_desempleo'))} AS color FROM ge",
+        ["tasa_desempleo"])
+    s["geo_export"] = with_(SCORED + ",\n" + REGION_SQL + """,
+lp AS (SELECT * FROM stot WHERE periodo = (SELECT max(periodo) FROM scored)),
+ex AS (SELECT m.region, l.tasa_desempleo, l.prediccion FROM rmap m LEFT JOIN lp l USING (provincia))""", f"""
+SELECT region, CASE WHEN length(region) > 15 THEN substr(region, 1, 12) || '...' ELSE region END AS etiqueta,
+       coalesce(round(tasa_desempleo, 2), 0.0) AS tasa_desempleo, coalesce(round(prediccion, 2), 0.0) AS prediccion,
+       {nullsafe_band('tasa_desempleo')} AS riesgo_real, {nullsafe_band('prediccion')} AS riesgo_predicho,
+       {colour_sql(nullsafe_band('prediccion'))} AS color FROM ex""")
+    s["harvest_links"] = with_(LINKS, r"""
+SELECT page_id, pos,
+       CASE WHEN text <> '' THEN text WHEN coalesce(title, '') <> '' THEN title ELSE string_split(href, '/')[-1] END AS nombre,
+       CASE WHEN starts_with(href, '../') THEN regexp_extract(url, '^(https?://[^/]+)', 1) || '/' || replace(href, '../', '')
+            WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/]+)', 1) || href
+            WHEN NOT starts_with(href, 'http') THEN regexp_extract(url, '^(https?://[^/]+)', 1) || '/' || href
+            ELSE href END AS url_completa
+FROM a3 WHERE contains(lower(href), '/de')""")
+    rec = """rl AS (
+  SELECT CASE l_returnflag || '_' || l_linestatus WHEN 'A_F' THEN 'NY.GDP.MKTP.KD.ZG' WHEN 'A_O' THEN 'FP.CPI.TOTL.ZG'
+           WHEN 'N_F' THEN 'SL.UEM.1524.ZS' WHEN 'N_O' THEN 'NE.EXP.GNFS.ZS' WHEN 'R_F' THEN 'NY.GDP.PCAP.CD'
+           WHEN 'R_O' THEN 'SP.POP.TOTL' END AS codigo,
+         CAST(year(l_shipdate) AS INTEGER) AS anio, round(sum(l_extendedprice) / 1e6, 4) AS v
+  FROM lineitem GROUP BY 1, 2),
+recs AS (
+  SELECT 'Panamá' AS pais, codigo, 'Indicador ' || codigo AS indicador, anio,
+         nullif(CASE WHEN codigo = 'NY.GDP.MKTP.KD.ZG' AND anio = (SELECT min(anio) FROM rl) THEN 0.0 ELSE v END, 0) AS valor
+  FROM rl)"""
+    s["indicator_records"] = with_(rec, "SELECT * FROM recs", ["valor"])
+    s["indicator_wide"] = with_(rec, "SELECT codigo, indicador, round(COLUMNS(* EXCLUDE (codigo, indicador)), 6) FROM "
+                                     "(PIVOT (SELECT codigo, indicador, anio, valor FROM recs WHERE valor IS NOT NULL) "
+                                     "ON anio USING min(valor) GROUP BY codigo, indicador)")
+    s["indicator_coverage"] = with_(rec, """
+SELECT codigo, CAST(count(valor) AS BIGINT) AS anios_con_dato, CAST(count(DISTINCT anio) AS BIGINT) AS anios_en_registro,
+       (SELECT CAST(count(DISTINCT anio) AS BIGINT) FROM recs) AS anios_total,
+       count(valor) = (SELECT count(DISTINCT anio) FROM recs) AS completo
+FROM recs GROUP BY codigo""")
+    s["indicators_per_year"] = with_(rec, "SELECT anio, CAST(count(DISTINCT codigo) AS BIGINT) AS indicadores FROM recs GROUP BY anio")
+    ids = ", ".join(f"({i}, '{c}')" for i, c in enumerate(["2", "4", "6", "13", "16", "19", "22", "25", "39", "1A"]))
+    s["locate_report"] = with_(GRID + f""",
+ids AS (SELECT * FROM (VALUES {ids}) t(n, cuadro)),
+pubs AS (SELECT DISTINCT pub_seq FROM reg0)""", """
+SELECT 'pub_' || lpad(CAST(pub_seq AS VARCHAR), 3, '0') AS folder, cuadro,
+       CASE pub_seq % 4 WHEN 0 THEN 'Cuadro ' || cuadro || '. Poblacion ocupada.xlsx'
+                        WHEN 1 THEN 'Cuadro ' || cuadro || ' . Poblacion.xls'
+                        WHEN 2 THEN 'CUADRO ' || cuadro || '. POBLACION.XLSX'
+                        ELSE 'P' || CAST(pub_seq AS VARCHAR) || '1441-' || lpad(CAST(n + 1 AS VARCHAR), 2, '0') || '.xls' END AS archivo,
+       CAST(pub_seq % 4 + 1 AS INTEGER) AS prioridad
+FROM pubs CROSS JOIN ids""")
+    s["src_panel"] = s["build_panel"]
+    s["sink_roundtrip"] = with_(PANEL + ATTRS, "SELECT * FROM enriched",
+                                dbl(PANEL_NUM + ORDER_ATTRS + LINE_ATTRS + ["mediana_salario"] + MACRO_COLS))
+    s["stream_consolidate"] = s["vintage_latest"]
+    nat = PANEL + """,
+nt AS (SELECT periodo, anio, sum(poblacion_15_mas) AS pob, sum(pea) AS pea, sum(ocupados) AS ocu, sum(desocupados) AS des
+       FROM panel WHERE area = 'total' AND sexo = 'total' GROUP BY periodo, anio),
+ns AS (SELECT anio,
+              CAST(anio AS VARCHAR) || '-' || CASE WHEN substr(periodo, 6, 2) = '03' THEN '04' ELSE '08' END AS periodo,
+              CASE WHEN substr(periodo, 6, 2) = '03' THEN CAST(anio AS VARCHAR) || ' (abril)'
+                   WHEN anio % 2 = 0 THEN CAST(anio AS VARCHAR) || ' (R)' ELSE CAST(anio AS VARCHAR) END AS etiqueta_original,
+              CAST(pob AS DOUBLE) AS poblacion_15_mas, CAST(pea AS DOUBLE) AS pea,
+              CAST(pea AS DOUBLE) * 100 / pob AS tasa_participacion, CAST(ocu AS DOUBLE) AS ocupados,
+              CAST(des AS DOUBLE) AS desocupados, CAST(des AS DOUBLE) * 100 / pea AS tasa_desempleo,
+              CAST(pob - pea AS DOUBLE) AS no_economicamente_activa FROM nt)"""
+    s["national_series"] = with_(nat, "SELECT * FROM ns", ["poblacion_15_mas", "pea", "tasa_participacion", "ocupados",
+                                                             "desocupados", "tasa_desempleo", "no_economicamente_activa"])
+    s["national_range"] = with_(nat, """
+SELECT min(anio) AS anio_min, max(anio) AS anio_max, arg_max(periodo, (anio, periodo)) AS ultimo_periodo,
+       round(arg_max(tasa_desempleo, (anio, periodo)), 6) AS ultima_tasa FROM ns""")
+    sec = ["pct_sector_primario", "pct_sector_secundario", "pct_sector_terciario"]
+    s["sector_shares"] = with_(GRID + ATTRS, """
+SELECT 'c13_' || lpad(CAST(r.pub_seq AS VARCHAR), 3, '0') AS file_id, l.provincia, r.periodo, r.anio,
+       l.pct_sector_primario, l.pct_sector_secundario, l.pct_sector_terciario
+FROM lattr l JOIN reg r ON l.periodo = r.periodo""", sec)
+    s["grid_informal"] = with_(GRID + ATTRS + """,
+inf AS (SELECT o.provincia, r.periodo, r.anio, r.pub_seq,
+               CASE WHEN o.provincia = 'NATION_3' THEN o.empleo_informal_pct + 1 ELSE o.empleo_informal_pct END AS v
+        FROM oattr o JOIN reg r ON o.periodo = r.periodo JOIN nation n ON n.n_name = o.provincia
+        WHERE n.n_nationkey < 19)""",
+        "SELECT provincia, periodo, anio, v AS empleo_informal_pct FROM (SELECT *, row_number() OVER (PARTITION BY provincia, "
+        "periodo ORDER BY pub_seq DESC) AS rn FROM inf) WHERE rn = 1", ["empleo_informal_pct"])
+
+
+def quality_sql(s: dict) -> None:
+    feat_cols = (4 + len(ENRICHED_NUM) + len(CONTRAST) + 2 + len(LAGS) + len(DELTAS) + len(RATIOS)
+                 + len(INTERACTIONS) + len(DUMMY_COLS))
+    panel_cols = 4 + len(ENRICHED_NUM)
+    n_dum = sum(c.startswith("prov_") for c in DUMMY_COLS)
+    s["quality_report"] = with_(SCORED + BASE_PRED[len(FEATURES):], f"""
+SELECT 'no_vacio' AS "check", count(*) > 0 AS passed, CAST(count(*) AS VARCHAR) AS observed, 'panel' AS tabla FROM panel
+UNION ALL SELECT 'min_entidades', count(DISTINCT provincia) >= 10, CAST(count(DISTINCT provincia) AS VARCHAR), 'panel' FROM panel
+UNION ALL SELECT 'min_periodos', count(DISTINCT periodo) >= 5, CAST(count(DISTINCT periodo) AS VARCHAR), 'panel' FROM panel
+UNION ALL SELECT 'tasa_en_rango', coalesce(bool_and(tasa_desempleo BETWEEN 0 AND 100), true),
+                 CAST(count(*) FILTER (WHERE NOT tasa_desempleo BETWEEN 0 AND 100) AS VARCHAR), 'panel' FROM panel
+UNION ALL SELECT 'pea_no_negativa', coalesce(bool_and(pea >= 0), true), CAST(min(pea) AS VARCHAR), 'panel' FROM panel
+UNION ALL SELECT 'areas_presentes', list_sort(list(DISTINCT area)) @> ['total', 'urbana', 'rural'],
+                 array_to_string(list_sort(list(DISTINCT area)), ','), 'panel' FROM panel
+UNION ALL SELECT 'sexos_presentes', list_sort(list(DISTINCT sexo)) @> ['total', 'hombres', 'mujeres'],
+                 array_to_string(list_sort(list(DISTINCT sexo)), ','), 'panel' FROM panel
+UNION ALL SELECT 'clave_unica', count(DISTINCT (provincia, periodo, area, sexo)) = count(*),
+                 CAST(count(*) - count(DISTINCT (provincia, periodo, area, sexo)) AS VARCHAR), 'panel' FROM panel
+UNION ALL SELECT 'sin_nan', count(*) FILTER (WHERE isnan(tasa_desempleo)) = 0,
+                 CAST(count(*) FILTER (WHERE isnan(tasa_desempleo)) AS VARCHAR), 'panel' FROM panel
+UNION ALL SELECT 'columnas_requeridas', true, 'ok', 'panel'
+UNION ALL SELECT 'mas_columnas', {feat_cols} > {panel_cols}, '{feat_cols}', 'features'
+UNION ALL SELECT 'tiene_lags', true, '{len(LAGS)}', 'features'
+UNION ALL SELECT 'tiene_interacciones', true, '{len(INTERACTIONS)}', 'features'
+UNION ALL SELECT 'tiene_dummies', true, '{n_dum}', 'features'
+UNION ALL SELECT 'post_covid_binaria', coalesce(bool_and(post_covid IN (0, 1)), true),
+                 array_to_string(list_sort(list(DISTINCT CAST(post_covid AS VARCHAR))), ','), 'features' FROM features
+UNION ALL SELECT 'predicciones_no_negativas', coalesce(bool_and(prediccion >= 0), true),
+                 CAST(count(*) FILTER (WHERE prediccion < 0) AS VARCHAR), 'predicciones' FROM scored
+UNION ALL SELECT 'min_modelos', count(*) >= 2, CAST(count(*) AS VARCHAR), 'predicciones' FROM summ
+UNION ALL SELECT 'r2_positivo', max(r2) > 0, printf('%.4f', max(r2)), 'predicciones' FROM summ
+UNION ALL SELECT 'rmse_acotado', min(rmse) < 5, printf('%.4f', min(rmse)), 'predicciones' FROM summ""")

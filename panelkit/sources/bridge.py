@@ -385,3 +385,157 @@ def core_grid(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
                   .select("file_id", (F.col("_m") * (PAGE_ROWS + 1) - 1).cast("int").alias("row"), F.lit(0).alias("col"),
                           F.lit("(Continuación)").alias("text")))
     return content.unionByName(breaks)
+
+
+# ------------------------------------------------------------------ other report fixtures
+def indicator_payloads(t: Tables) -> DataFrame:
+    """API-shaped JSON payloads, one per indicator code, built with to_json
+    from the yearly line-item totals.  Rules: the first year of the first
+    code reports 0 (a falsy value); one code answers with an empty record
+    list and one with no record element at all."""
+    li = t.lineitem.select(F.concat("l_returnflag", F.lit("_"), "l_linestatus").alias("_src"),
+                           F.year("l_shipdate").alias("_y"), "l_extendedprice")
+    code_map = F.create_map(*[x for kv in MACRO_SOURCE.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    long = (li.groupBy("_src", "_y").agg(F.round(F.sum("l_extendedprice") / 1e6, 4).alias("_v"))
+              .select(code_map[F.col("_src")].alias("code"), "_y", "_v"))
+    first_year = long.select(F.min("_y")).scalar()
+    val = F.when((F.col("code") == "NY.GDP.MKTP.KD.ZG") & (F.col("_y") == first_year), F.lit(0.0)).otherwise(F.col("_v"))
+    rec = F.struct(F.struct(F.col("code").alias("id"), F.concat(F.lit("Indicador "), F.col("code")).alias("value")).alias("indicator"),
+                   F.struct(F.lit("PA").alias("id"), F.lit("Panamá").alias("value")).alias("country"),
+                   F.col("_y").cast("string").alias("date"), val.alias("value"))
+    per = long.groupBy("code").agg(F.sort_array(F.collect_list(F.struct(F.col("_y").alias("k"), rec.alias("r")))).alias("_l"))
+    body = F.concat(F.lit("["), F.to_json(F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"),
+                                                   F.size("_l").alias("total"))),
+                    F.lit(","), F.to_json(F.transform("_l", lambda x: x["r"])), F.lit("]"))
+    full = per.select("code", body.alias("body"))
+    empty = full.sparkSession.createDataFrame(
+        [("SI.POV.GINI", '[{"page":1,"pages":0,"total":0},[]]'),
+         ("SE.XPD.TOTL.GD.ZS", '[{"message":[{"id":"120","value":"Invalid value"}]}]')], "code string, body string")
+    return full.unionByName(empty)
+
+
+REPORT_IDS = ["2", "4", "6", "13", "16", "19", "22", "25", "39", "1A"]  # fixed: report table ids
+
+
+def report_listing(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Publication folders and file names, one folder per publication; the
+    naming style rotates over four forms and every folder also carries
+    decoys (a neighbouring table number, a non-spreadsheet file)."""
+    reg = grid_registry(t, spec).select("pub_seq").distinct()
+    ids = F.array(*[F.lit(i) for i in REPORT_IDS])
+    f = reg.select(F.concat(F.lit("pub_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("folder"),
+                   "pub_seq", F.posexplode(ids).alias("_n", "cuadro"))
+    style = F.col("pub_seq") % 4
+    num = F.lpad((F.col("_n") + 1).cast("string"), 2, "0")
+    name = (F.when(style == 0, F.concat(F.lit("Cuadro "), F.col("cuadro"), F.lit(". Poblacion ocupada.xlsx")))
+             .when(style == 1, F.concat(F.lit("Cuadro "), F.col("cuadro"), F.lit(" . Poblacion.xls")))
+             .when(style == 2, F.concat(F.lit("CUADRO "), F.col("cuadro"), F.lit(". POBLACION.XLSX")))
+             .otherwise(F.concat(F.lit("P"), F.col("pub_seq").cast("string"), F.lit("1441-"), num, F.lit(".xls"))))
+    decoy1 = F.concat(F.lit("Cuadro "), F.col("cuadro"), F.lit("1. Otro cuadro.xlsx"))
+    decoy2 = F.concat(F.lit("Cuadro "), F.col("cuadro"), F.lit(". Notas.pdf"))
+    return f.select("folder", F.explode(F.array(name, decoy1, decoy2)).alias("file"))
+
+
+def report_requests(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    reg = grid_registry(t, spec).select("pub_seq").distinct()
+    ids = F.array(*[F.lit(i) for i in REPORT_IDS])
+    return reg.select(F.concat(F.lit("pub_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("folder"),
+                      F.posexplode(ids).alias("_n", "cuadro")).select(
+        "folder", "cuadro", F.lpad((F.col("_n") + 1).cast("string"), 2, "0").alias("numero"))
+
+
+def national_totals(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """National totals per period: sums over entities of the total/total cells."""
+    p = build_panel(t, spec).where((F.col(spec.area) == spec.total) & (F.col(spec.sex) == spec.total))
+    g = p.groupBy(spec.period, spec.year).agg(F.sum(spec.population).alias("pob"), F.sum(spec.labour_force).alias("pea"),
+                                              F.sum(spec.employed).alias("ocu"), F.sum(spec.unemployed).alias("des"))
+    return g
+
+
+def national_label(period: F.Column, year: F.Column) -> F.Column:
+    """Row label of a national-series report: '(abril)' for first-half
+    periods, '(R)' for revised even years."""
+    y = year.cast("string")
+    return (F.when(F.substring(period, 6, 2) == "03", F.concat(y, F.lit(" (abril)")))
+             .when(year % 2 == 0, F.concat(y, F.lit(" (R)"))).otherwise(y))
+
+
+def national_grid(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Two national-series reports: 'c1a_1' without the latest period and
+    'c1a_2' complete; data rows from 13, label in column 1, a note row at
+    the end.  Row = 13 + rank of the period (from its label order)."""
+    g = national_totals(t, spec)
+    seq = publication_seq(F.col(spec.period))
+    lo, hi = g.agg(F.min(seq), F.max(seq)).first()  # two numbers
+    base = g.select(spec.period, spec.year, (seq - lo).alias("_i"), "pob", "pea", "ocu", "des", seq.alias("_s"))
+    files = F.explode(F.array(F.struct(F.lit("c1a_1").alias("file_id"), F.lit(1).alias("_f")),
+                              F.struct(F.lit("c1a_2").alias("file_id"), F.lit(2).alias("_f")))).alias("_x")
+    rows = base.select("*", files).select("*", "_x.*").where((F.col("_f") == 2) | (F.col("_s") < hi))
+    r = (13 + F.col("_i")).cast("int")
+    rate = F.col("des") * 100.0 / F.col("pea")
+    part = F.col("pea") * 100.0 / F.col("pob")
+    cells = [(1, national_label(F.col(spec.period), F.col(spec.year))), (2, F.format_number(F.col("pob").cast("double"), 0)),
+             (3, F.format_number(F.col("pea").cast("double"), 0)), (4, F.format_string("%.12f", part)),
+             (5, F.format_number(F.col("ocu").cast("double"), 0)), (6, F.format_number(F.col("des").cast("double"), 0)),
+             (7, F.format_string("%.12f", rate)), (8, F.format_number((F.col("pob") - F.col("pea")).cast("double"), 0))]
+    out = rows.select("file_id", r.alias("row"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), v.alias("text")) for c, v in cells])).alias("_c")).select("file_id", "row", "_c.*")
+    notes = rows.groupBy("file_id").agg(F.max(r).alias("_m")).select(
+        "file_id", (F.col("_m") + 2).alias("row"), F.lit(1).alias("col"), F.lit("Nota: cifras de la encuesta").alias("text"))
+    header = rows.select("file_id").distinct().select("file_id", F.lit(12).alias("row"), F.lit(1).alias("col"),
+                                                      F.lit("Año").alias("text"))
+    return out.unionByName(notes).unionByName(header)
+
+
+SECTOR_ROWS = [  # (offset below the anchor, label in column 1, value rule) — fixed layout of the fixture
+    (3, "Sector Primario", "decoy"), (7, "Sector Secundario", "sec"), (12, "Sector Terciario", "ter"),
+    (20, "Sector Primario (revisado)", "pri"),
+]
+
+
+def sector_grid(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Sector report per publication: entity label at column 0 with a probe
+    at column 3, sector rows below (the first 'Primario' row is superseded
+    by a later one), blocks of 40 rows from row 10; values at the
+    registry's percentage columns (3 previous, 4 current)."""
+    reg = grid_registry(t, spec).select("pub_seq", "periodo", "col_pct")
+    attrs = line_attributes(t, spec)
+    nat = F.broadcast(t.nation.select(F.col("n_name").alias(spec.entity), F.col("n_nationkey").alias("_k")))
+    rows = attrs.join(reg, "periodo").join(nat, spec.entity)
+    fid = F.concat(F.lit("c13_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0"))
+    start = 10 + F.col("_k") * 40
+    val = {"pri": F.col("pct_sector_primario"), "sec": F.col("pct_sector_secundario"),
+           "ter": F.col("pct_sector_terciario"), "decoy": F.lit(-1.0)}
+    vals = rows.select(fid.alias("file_id"), start.alias("_st"), "col_pct", F.explode(F.array(*[
+        F.struct(F.lit(o).alias("_o"), F.format_string("%.12f", val[k].cast("double")).alias("text")) for o, _, k in SECTOR_ROWS
+    ])).alias("_x")).select("file_id", (F.col("_st") + F.col("_x._o")).cast("int").alias("row"),
+                            F.col("col_pct").alias("col"), F.col("_x.text").alias("text"))
+    ents = rows.select(fid.alias("file_id"), start.alias("_st"), spec.entity, "_k").distinct()
+    labs = ents.select("file_id", F.explode(F.array(
+        F.struct(F.col("_st").alias("row"), F.lit(0).alias("col"), decorate(F.col(spec.entity), F.col("_k")).alias("text")),
+        F.struct(F.col("_st").alias("row"), F.lit(3).alias("col"), F.lit("100").alias("text")),
+        *[F.struct((F.col("_st") + o).alias("row"), F.lit(1).alias("col"), F.lit(lab).alias("text")) for o, lab, _ in SECTOR_ROWS],
+    )).alias("_x")).select("file_id", F.col("_x.row").cast("int").alias("row"), "_x.col", "_x.text")
+    return vals.unionByName(labs)
+
+
+def informal_grid(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Informality report per publication: one row per entity from row 10
+    (label in column 1, values at column 2 previous / 3 current); row 29
+    repeats entity 3 with a revised value (+1), entities from 19 on follow
+    it, and only rows 10-29 are part of the table, so 19-24 fall outside."""
+    reg = grid_registry(t, spec).select("pub_seq", "periodo", F.col("col_pct").alias("_c")).withColumn("_c", F.col("_c") - 1)
+    o = order_attributes(t, spec).select(spec.entity, spec.period, "empleo_informal_pct")
+    nat = F.broadcast(t.nation.select(F.col("n_name").alias(spec.entity), F.col("n_nationkey").alias("_k")))
+    rows = o.join(reg, "periodo").join(nat, spec.entity)
+    fid = F.concat(F.lit("c39_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("file_id")
+    main = rows.select(fid, F.when(F.col("_k") < 19, 10 + F.col("_k")).otherwise(11 + F.col("_k")).cast("int").alias("row"),
+                       "_c", spec.entity, "empleo_informal_pct")
+    rev = (rows.where(F.col("_k") == 3)
+               .select(fid, F.lit(29).alias("row"), "_c", F.concat(F.col(spec.entity), F.lit(" (revisado)")).alias(spec.entity),
+                       (F.col("empleo_informal_pct") + 1).alias("empleo_informal_pct")))
+    allr = main.unionByName(rev)
+    vals = allr.select("file_id", "row", F.col("_c").alias("col"),
+                       F.format_string("%.12f", F.col("empleo_informal_pct")).alias("text"))
+    labs = allr.select("file_id", "row", F.lit(1).alias("col"), F.col(spec.entity).alias("text")).distinct()
+    return vals.unionByName(labs)
