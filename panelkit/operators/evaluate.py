@@ -316,3 +316,39 @@ def lopo_ols1(df: DataFrame, target: str, x: str, period: str, keys: list[str])
     out = d.join(F.broadcast(fm), d[period] == fm[FOLD])
     p = F.col("_a") + F.col("_b") * xv
     return out.select(*keys, FOLD, F.col(target).alias("real"), F.greatest(p, F.lit(0.0)).alias("predicho"))
+
+
+# ----------------------------------------------------------- hyper-parameter search (M8)
+# The boosting search space (five axes) of the evaluation step.
+BOOSTING_GRID = {
+    "stepSize": [0.01, 0.03, 0.05, 0.08],
+    "maxIter": [100, 200, 300],
+    "maxDepth": [3, 4, 5],
+    "minInstancesPerNode": [3, 4, 6],
+    "subsamplingRate": [0.8, 0.9, 1.0],
+}
+
+
+def random_search(data: DataFrame, estimator, grid: dict, n_iter: int = 30, folds: int = 5, seed: int = 42,
+                  label: str = "label", parallelism: int = 4):
+    """M8: ``n_iter`` parameter maps drawn without replacement (seeded) from
+    the full grid, each scored by k-fold RMSE with Spark ML's
+    CrossValidator (fits run ``parallelism`` at a time); returns the
+    refitted best model and the (params, rmse) table."""
+    import itertools
+    import random
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    axes = list(grid)
+    combos = list(itertools.product(*[grid[a] for a in axes]))
+    picked = random.Random(seed).sample(combos, min(n_iter, len(combos)))
+    maps = [{estimator.getParam(a): v for a, v in zip(axes, c)} for c in picked]
+    ev_ = RegressionEvaluator(labelCol=label, predictionCol=estimator.getPredictionCol(), metricName="rmse")
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev_, numFolds=folds, seed=seed,
+                        parallelism=parallelism)
+    model = cv.fit(data)
+    rows = [tuple(float(x) for x in c) + (float(m),) for c, m in zip(picked, model.avgMetrics)]
+    table = data.sparkSession.createDataFrame(rows, ", ".join(f"{a} double" for a in axes) + ", rmse double")
+    return model.bestModel, table
