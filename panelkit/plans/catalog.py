@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.bands import risk_band
 from panelkit.operators import features as feat
 from panelkit.operators import panel as pan
-from panelkit.plans.common import CATEGORIES, HIGH, LOW, SPEC, enriched, features, panel, round_doubles
+from panelkit.plans.common import CATEGORIES, HIGH, LOW, SPEC, enriched, features, panel, round_doubles, source
 from panelkit.sources import bridge
 from panelkit.sources.tables import Tables
 
@@ -369,7 +369,7 @@ MEASURES = ["poblacion_15_mas", "pea", "ocupados", "desocupados", "tasa_desemple
 @query
 def q_vintage_latest(spark, sf_dir):
     """U1 + W5: consolidate publication vintages, latest wins per key."""
-    v = bridge.vintages(_t(spark, sf_dir), SPEC)
+    v = source(_t(spark, sf_dir), "vintages", lambda: bridge.vintages(_t(spark, sf_dir), SPEC))
     frames = [v.where(F.col("pub_seq") % 2 == 0), v.where(F.col("pub_seq") % 2 == 1)]  # two publication files
     return round_doubles(pan.vintage_latest(frames, SPEC).select(*KEY, "anio", *MEASURES))
 
@@ -478,22 +478,30 @@ def q_parse_period_label(spark, sf_dir):
     return d.select("etiqueta", year.alias("anio"), period.alias("periodo")).where(F.col("anio").isNotNull())
 
 
+def _grid(t):
+    return source(t, "core_grid", lambda: bridge.core_grid(t, SPEC))
+
+
+def _registry(t):
+    return source(t, "registry", lambda: bridge.grid_registry(t, SPEC))
+
+
 def _core(t):
-    return gr.core_blocks(bridge.core_grid(t, SPEC), bridge.grid_registry(t, SPEC), _patterns(t), TOTAL_ONLY)
+    return gr.core_blocks(_grid(t), _registry(t), _patterns(t), TOTAL_ONLY)
 
 
 @query
 def q_grid_build(spark, sf_dir):
     """The report grid (long table) — cells per file."""
-    g = bridge.core_grid(_t(spark, sf_dir), SPEC)
+    g = _grid(_t(spark, sf_dir))
     return g.groupBy("file_id").agg(F.count(F.lit(1)).alias("celdas"), F.max("row").alias("ultima_fila"))
 
 
 @query
 def q_grid_anchors(spark, sf_dir):
     t = _t(spark, sf_dir)
-    g = gr.drop_page_breaks(bridge.core_grid(t, SPEC))
-    reg = bridge.grid_registry(t, SPEC).select("file_id", "layout").distinct()
+    g = gr.drop_page_breaks(_grid(t))
+    reg = _registry(t).select("file_id", "layout").distinct()
     cands = gr.entity_candidates(g, _patterns(t)).join(F.broadcast(reg), "file_id")
     skip = gr.block_skip(F.col("layout"), F.col("entity").isin(*TOTAL_ONLY))
     return gr.greedy_anchors(cands, skip).withColumnRenamed("entity", "provincia")
@@ -909,7 +917,7 @@ def q_harvest_links(spark, sf_dir):
 
 
 def _records(t):
-    return ind.indicator_records(bridge.indicator_payloads(t))
+    return ind.indicator_records(source(t, "payloads", lambda: bridge.indicator_payloads(t)))
 
 
 @query
@@ -935,7 +943,8 @@ def q_indicators_per_year(spark, sf_dir):
 @query
 def q_locate_report(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return fl.locate_reports(bridge.report_listing(t, SPEC), bridge.report_requests(t, SPEC))
+    return fl.locate_reports(source(t, "listing", lambda: bridge.report_listing(t, SPEC)),
+                             source(t, "requests", lambda: bridge.report_requests(t, SPEC)))
 
 
 @query
@@ -1041,7 +1050,8 @@ def q_score_loaded(spark, sf_dir):
 @query
 def q_national_series(spark, sf_dir):
     """G10 + U7 + K2: national series from the newest report only, by year."""
-    g = bridge.national_grid(_t(spark, sf_dir), SPEC)
+    t = _t(spark, sf_dir)
+    g = source(t, "national_grid", lambda: bridge.national_grid(t, SPEC))
     ns = gr.national_series(g)
     newest = ns.agg(F.max("file_id").alias("file_id"))  # one row: the latest report
     return round_doubles(ns.join(F.broadcast(newest), "file_id").drop("file_id", "row").orderBy("anio", "periodo"))
@@ -1060,8 +1070,8 @@ def q_national_range(spark, sf_dir):
 def q_sector_shares(spark, sf_dir):
     """Sector shares found below each anchor in the sector reports."""
     t = _t(spark, sf_dir)
-    reg = bridge.grid_registry(t, SPEC).withColumn("file_id", F.regexp_replace("file_id", "^c2_", "c13_"))
-    s = gr.sector_blocks(bridge.sector_grid(t, SPEC), reg, _patterns(t))
+    reg = _registry(t).withColumn("file_id", F.regexp_replace("file_id", "^c2_", "c13_"))
+    s = gr.sector_blocks(source(t, "sector_grid", lambda: bridge.sector_grid(t, SPEC)), reg, _patterns(t))
     return round_doubles(s.drop("pub_seq"))
 
 
@@ -1070,9 +1080,9 @@ def q_grid_informal(spark, sf_dir):
     """Informality rows 10-29, label in column 1, consolidated keep-last
     over (publication, row)."""
     t = _t(spark, sf_dir)
-    reg = (bridge.grid_registry(t, SPEC).withColumn("file_id", F.regexp_replace("file_id", "^c2_", "c39_"))
+    reg = (_registry(t).withColumn("file_id", F.regexp_replace("file_id", "^c2_", "c39_"))
            .withColumn("col_inf", F.col("col_pct") - 1))
-    r = gr.row_records(bridge.informal_grid(t, SPEC), reg, _patterns(t), label_col=1, probe_col=None,
+    r = gr.row_records(source(t, "informal_grid", lambda: bridge.informal_grid(t, SPEC)), reg, _patterns(t), label_col=1, probe_col=None,
                        value_cols={"empleo_informal_pct": "col_inf"}, start_row=10, end_row=30, check_row=False,
                        first_per_entity=False)
     out = pan.keep_last(r.drop("file_id"), ["provincia", "periodo"], ("pub_seq", "row"))
@@ -1098,10 +1108,25 @@ def q_quality_report(spark, sf_dir):
 def q_stream_consolidate(spark, sf_dir):
     """Publications streamed in as files and consolidated by foreachBatch."""
     from panelkit.streaming.consolidate import consolidate_stream
-    v = bridge.vintages(_t(spark, sf_dir), SPEC)
+    t = _t(spark, sf_dir)
+    v = source(t, "vintages", lambda: bridge.vintages(t, SPEC))
     src = _scratch(spark, "publications")
     v.repartition("pub_seq").write.partitionBy("pub_seq").parquet(src)
     schema = spark.read.parquet(src).schema
     table = consolidate_stream(spark, src, schema, KEY, _scratch(spark, "panel-table"), _scratch(spark, "stream-ckpt"))
     out = spark.read.parquet(table)
     return round_doubles(out.select(*KEY, "anio", *MEASURES))
+
+
+def prepare_sources(spark, sf_dir) -> None:
+    """Write the fixture inputs (report grids, publications, payloads,
+    listings) once, before any timing: they play the role of input files."""
+    t = _t(spark, sf_dir)
+    _grid(t), _registry(t)
+    source(t, "vintages", lambda: bridge.vintages(t, SPEC))
+    source(t, "payloads", lambda: bridge.indicator_payloads(t))
+    source(t, "listing", lambda: bridge.report_listing(t, SPEC))
+    source(t, "requests", lambda: bridge.report_requests(t, SPEC))
+    source(t, "national_grid", lambda: bridge.national_grid(t, SPEC))
+    source(t, "sector_grid", lambda: bridge.sector_grid(t, SPEC))
+    source(t, "informal_grid", lambda: bridge.informal_grid(t, SPEC))

@@ -67,19 +67,30 @@ def order_facts(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     )
 
 
-def build_panel(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    """Panel with marginal 'total' members.
-
-    Counts are pre-aggregated at the finest grain (one partial aggregation
-    over the facts), then the four grouping sets run over that small result,
-    so the fact scan is never expanded 4x.
-    """
+def order_cube(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """One partial aggregation of the order facts at the finest panel grain
+    (entity, period, area, sex) with every count the panel and the
+    order-level attribute tables need.  Both are rolled up from this small
+    result, so the order fact join is scanned once."""
     e, p, y, a, s = spec.entity, spec.period, spec.year, spec.area, spec.sex
-    fine = order_facts(t, spec).groupBy(e, p, y, a, s).agg(
+    pri = F.substring("o_orderpriority", 1, 1)
+    return order_facts(t, spec).groupBy(e, p, y, a, s).agg(
         F.count(F.lit(1)).alias("_pob"),
         F.count_if(F.col("o_orderstatus") != "P").alias("_pea"),
         F.count_if(F.col("o_orderstatus") == "F").alias("_des"),
+        *[F.count_if(pri == str(k)).alias(f"_p{k}") for k in range(1, 6)],
     )
+
+
+def build_panel(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Panel with marginal 'total' members.
+
+    Counts come pre-aggregated at the finest grain (``order_cube``); the
+    four grouping sets run over that small result, so the fact scan is
+    never expanded 4x.
+    """
+    e, p, y, a, s = spec.entity, spec.period, spec.year, spec.area, spec.sex
+    fine = order_cube(t, spec)
     sets = fine.groupingSets([[e, p, y, a, s], [e, p, y, a], [e, p, y, s], [e, p, y]], e, p, y, a, s)
     rolled = sets.agg(
         F.sum("_pob").cast("bigint").alias(spec.population),
@@ -101,26 +112,28 @@ def _share(cond, denom) -> F.Column:
     return F.when(denom > 0, F.count_if(cond) * 100.0 / denom)
 
 
+def _pct(num, den) -> F.Column:
+    return F.when(den > 0, num * 100.0 / den)
+
+
 def order_attributes(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    """Entity-period attributes from orders, one aggregation: activity rates
-    (table 6), education shares by priority (16), informality (39)."""
+    """Entity-period attributes from orders, rolled up from ``order_cube``:
+    activity rates (table 6), education shares by priority (16),
+    informality (39)."""
     e, p = spec.entity, spec.period
-    f = order_facts(t, spec)
-    pri = F.substring("o_orderpriority", 1, 1)
-    act = F.col("o_orderstatus") != "P"
     urb = F.col(spec.area) == spec.urban
-    n = F.count(F.lit(1))
-    n_urb = F.count_if(urb)
-    n_rur = F.count_if(~urb)
-    return f.groupBy(e, p).agg(
-        _share(act, n).alias("tasa_actividad_total"),
-        F.when(n_urb > 0, F.count_if(act & urb) * 100.0 / n_urb).alias("tasa_actividad_urbana"),
-        F.when(n_rur > 0, F.count_if(act & ~urb) * 100.0 / n_rur).alias("tasa_actividad_rural"),
-        _share(pri == "5", n).alias("pct_sin_educacion"),
-        _share(pri == "3", n).alias("pct_primaria"),
-        _share(pri == "2", n).alias("pct_secundaria"),
-        _share(pri == "1", n).alias("pct_universitaria"),
-        _share(pri == "4", n).alias("empleo_informal_pct"),
+    pob, pea = F.sum("_pob"), F.sum("_pea")
+    pob_u, pea_u = F.sum(F.when(urb, F.col("_pob"))), F.sum(F.when(urb, F.col("_pea")))
+    pob_r, pea_r = F.sum(F.when(~urb, F.col("_pob"))), F.sum(F.when(~urb, F.col("_pea")))
+    return order_cube(t, spec).groupBy(e, p).agg(
+        _pct(pea, pob).alias("tasa_actividad_total"),
+        _pct(pea_u, pob_u).alias("tasa_actividad_urbana"),
+        _pct(pea_r, pob_r).alias("tasa_actividad_rural"),
+        _pct(F.sum("_p5"), pob).alias("pct_sin_educacion"),
+        _pct(F.sum("_p3"), pob).alias("pct_primaria"),
+        _pct(F.sum("_p2"), pob).alias("pct_secundaria"),
+        _pct(F.sum("_p1"), pob).alias("pct_universitaria"),
+        _pct(F.sum("_p4"), pob).alias("empleo_informal_pct"),
     )
 
 
