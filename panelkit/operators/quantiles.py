@@ -35,42 +35,57 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     Nulls are ignored; a group with no non-null value is absent (callers
     left-join when they need every group).
     """
-    if not group_cols:  # one global group: a constant key keeps every join an equi-join
-        out = exact_quantiles(df.withColumn("_g0", F.lit(0)), ["_g0"], value_col, probs, accuracy)
-        return out.drop("_g0")
     names = list(probs)
     ps = [float(probs[n]) for n in names]
     k = len(ps)
     eps = 1.0 / accuracy
-    base = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
-              .where(F.col("_v").isNotNull()))
-
     lo_ps = [max(0.0, p - 3 * eps) for p in ps]
     hi_ps = [min(1.0, p + 3 * eps) for p in ps]
-    sketch = base.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(x) for x in lo_ps + hi_ps]), accuracy).alias("_q"),
-    )
+    sketch_q = F.percentile_approx("_v", F.array(*[F.lit(x) for x in lo_ps + hi_ps]), accuracy)
+    if not group_cols:
+        return _global_quantiles(df, value_col, names, ps, sketch_q)
+    base = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
+              .where(F.col("_v").isNotNull()))
+    sketch = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), sketch_q.alias("_q"))
     per_prob = F.explode(F.array(*[
         F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p"),
                  F.col("_q")[i].alias("_lo"), F.col("_q")[k + i].alias("_hi"))
         for i, p in enumerate(ps)
     ])).alias("_b")
     brackets = (sketch.select(*group_cols, "_n", per_prob)
-                      .select(*group_cols, "_n", "_b.*")
-                      .withColumn("_pos", F.col("_p") * (F.col("_n") - 1)))
+                      .select(*group_cols, "_b.*", (F.col("_b._p") * (F.col("_n") - 1)).alias("_pos")))
+    picked = _select(base.join(brackets, group_cols), group_cols)
+    return picked.groupBy(*group_cols).agg(
+        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+
 
+def _global_quantiles(df: DataFrame, value_col: str, names: list[str], ps: list[float], sketch_q) -> DataFrame:
+    """Single group: the count and the sketch brackets (2 numbers per
+    probability) come back as one row and enter the counting pass as
+    literals, so no join is needed."""
+    k = len(ps)
+    base = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    row = base.agg(F.count(F.lit(1)).alias("n"), sketch_q.alias("q")).first()
+    n, q = row["n"], row["q"]
+    if not n:
+        return df.sparkSession.createDataFrame([], ", ".join(f"`{x}` double" for x in names))
+    per_prob = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.lit(float(p * (n - 1))).alias("_pos"), F.lit(float(q[i])).alias("_lo"),
+                 F.lit(float(q[k + i])).alias("_hi")) for i, p in enumerate(ps)])).alias("_b")
+    picked = _select(base.select("_v", per_prob).select("_v", "_b.*"), [])
+    return picked.agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)])
+
+
+def _select(rows: DataFrame, group_cols: list[str]) -> DataFrame:
+    """rows: (group..., _v, _i, _pos, _lo, _hi) -> (group..., _i, _q)."""
     key = (F.when(F.col("_v") < F.col("_lo"), F.lit(-_INF))
              .when(F.col("_v") > F.col("_hi"), F.lit(_INF))
              .otherwise(F.col("_v")))
-    counted = (base.join(brackets, group_cols)
-                   .groupBy(*group_cols, "_i", "_pos", key.alias("_k"))
+    counted = (rows.groupBy(*group_cols, "_i", "_pos", key.alias("_k"))
                    .agg(F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_mx"), F.min("_v").alias("_mn")))
-
     w = (Window.partitionBy(*group_cols, "_i").orderBy("_k")
                .rowsBetween(Window.unboundedPreceding, -1))
-    before = F.coalesce(F.sum("_c").over(w), F.lit(0))
-    ranked = counted.withColumn("_before", before)
+    ranked = counted.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
     r_lo = F.floor("_pos")
     r_hi = F.ceil("_pos")
 
@@ -91,10 +106,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     missed = F.col("_a").isin(_INF, -_INF) | F.col("_b").isin(_INF, -_INF)
     value = F.when(missed, F.raise_error(F.lit("exact_quantiles: sketch bracket missed its rank"))
                    .cast("double")).otherwise(value)
-    picked = picked.withColumn("_q", value)
-    return picked.groupBy(*group_cols).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
-    )
+    return picked.select(*group_cols, "_i", value.alias("_q"))
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, alias: str,

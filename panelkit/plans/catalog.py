@@ -58,7 +58,7 @@ def q_latest_ranked(spark, sf_dir):
 @query
 def q_enrich_panel(spark, sf_dir):
     t = _t(spark, sf_dir)
-    p = pan.enrich_panel(panel(t), bridge.attribute_tables(t, SPEC), SPEC)
+    p = pan.enrich_panel(panel(t), bridge.attribute_sources(t, SPEC), SPEC)
     return round_doubles(p)
 
 

@@ -36,7 +36,7 @@ def panel(t: Tables) -> DataFrame:
 
 
 def enriched(t: Tables) -> DataFrame:
-    p = pan.enrich_panel(panel(t), bridge.attribute_tables(t, SPEC), SPEC)
+    p = pan.enrich_panel(panel(t), bridge.attribute_sources(t, SPEC), SPEC)
     p = pan.enrich_macro(p, pan.macro_by_year(bridge.macro_wide(t)), SPEC)
     return pan.order_columns(p)
 

@@ -189,10 +189,19 @@ REPORT_COLUMNS = {
 }
 
 
+def attribute_sources(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
+    """The three aggregations the eight report tables come from.  Enrichment
+    takes these whole: a per-report projection would be column-pruned into
+    a separate plan per report and the line-item join would run once per
+    report instead of once."""
+    return {"orders": order_attributes(t, spec), "lines": line_attributes(t, spec),
+            "wage": wage_attributes(t, spec)}
+
+
 def attribute_tables(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
-    """The eight entity-period report tables.  They are projections of three
-    aggregations; identical exchanges are reused within one plan."""
-    sources = [order_attributes(t, spec), line_attributes(t, spec), wage_attributes(t, spec)]
+    """The eight entity-period report tables (projections of the three
+    attribute aggregations), for report-level queries."""
+    sources = list(attribute_sources(t, spec).values())
     out = {}
     for name, cols in REPORT_COLUMNS.items():
         src = next(s for s in sources if cols[0] in s.columns)
