@@ -198,7 +198,8 @@ def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, ke
                 .select(*keys, FOLD, "real", F.greatest(F.col("prediccion_raw"), F.lit(0.0)).alias("predicho")))
 
 
-def fold_frame(df: DataFrame, features: list[str], target: str, period: str, folds: list[str]) -> DataFrame:
+def fold_frame(df: DataFrame, features: list[str], target: str, period: str, folds: list[str],
+               partitions: int | None = None) -> DataFrame:
     """Training rows of every fold plus each fold's test rows (``_test``),
     imputed with that fold's medians; checkpointed because every fold's fit
     re-reads it."""
@@ -207,11 +208,14 @@ def fold_frame(df: DataFrame, features: list[str], target: str, period: str, fol
     base = df.select(period, target, *features).where(F.col(target).isNotNull())
     tr = train_rows(base, period, folds).withColumn("_test", F.lit(False))
     te = base.withColumn(FOLD, F.col(period)).withColumn("_test", F.lit(True))
-    return materialize(impute(tr.unionByName(te), features, med))
+    out = impute(tr.unionByName(te), features, med)
+    if partitions:
+        out = out.repartition(partitions, FOLD)
+    return materialize(out)
 
 
 def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str, make_estimator,
-                  folds: list[str] | None = None, parallelism: int = 4) -> DataFrame:
+                  folds: list[str] | None = None, parallelism: int = 8) -> DataFrame:
     """M5-M7: a Spark ML regressor per fold on the imputed fold frame;
     folds are fitted as concurrent jobs.  Returns (fold, real, predicho)."""
     from pyspark.ml.feature import VectorAssembler

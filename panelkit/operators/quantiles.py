@@ -29,7 +29,7 @@ _INF = float("inf")
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
-                    probs: dict[str, float], accuracy: int = 100_000) -> DataFrame:
+                    probs: dict[str, float], accuracy: int = 10_000) -> DataFrame:
     """One row per group with one column per named probability.
 
     Nulls are ignored; a group with no non-null value is absent (callers
@@ -110,5 +110,5 @@ def _select(rows: DataFrame, group_cols: list[str]) -> DataFrame:
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, alias: str,
-                 accuracy: int = 100_000) -> DataFrame:
+                 accuracy: int = 10_000) -> DataFrame:
     return exact_quantiles(df, group_cols, value_col, {alias: 0.5}, accuracy)

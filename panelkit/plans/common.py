@@ -73,7 +73,10 @@ def stored(t: Tables, name: str, build) -> DataFrame:
 
 
 def features(t: Tables) -> DataFrame:
-    return stored(t, "features", lambda: feat.feature_table(enriched(t), SPEC, categories=CATEGORIES))
+    """Feature table built from the checkpointed enriched panel (the chain
+    reads it twice: the rows and the year range)."""
+    return stored(t, "features", lambda: feat.feature_table(
+        stored(t, "enriched", lambda: enriched(t)), SPEC, categories=CATEGORIES))
 
 
 # Literal linear model of the fixture queries (scoring, explanation, what-if),
