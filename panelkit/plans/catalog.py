@@ -1130,3 +1130,17 @@ def prepare_sources(spark, sf_dir) -> None:
     source(t, "national_grid", lambda: bridge.national_grid(t, SPEC))
     source(t, "sector_grid", lambda: bridge.sector_grid(t, SPEC))
     source(t, "informal_grid", lambda: bridge.informal_grid(t, SPEC))
+
+
+@query
+def q_sink_reports(spark, sf_dir):
+    """K4: evaluation outputs (per-fold metrics and out-of-fold predictions)
+    written as parquet report tables and read back."""
+    f = _ft(spark, sf_dir)
+    preds = baseline_predictions(f).drop(ev.FOLD)
+    metrics = _cv_metrics(spark, sf_dir)
+    base = _scratch(spark, "reports")
+    preds.write.partitionBy("modelo").parquet(base + "/predicciones_cv")
+    metrics.write.parquet(base + "/cv_resultados")
+    back = spark.read.schema(preds.schema).parquet(base + "/predicciones_cv")
+    return round_doubles(back.select(*preds.columns))

@@ -562,6 +562,7 @@ sc AS (SELECT fold, feature, avg(value) AS media, stddev_pop(value) AS sd FROM i
     s["lopo_ols1"] = with_(BASE_PRED, "SELECT periodo, n, mae, rmse, r2 FROM met WHERE modelo = 'MCO1'", m6)
     s["cv_predictions"] = with_(BASE_PRED, f"SELECT {KEY}, real, predicho, modelo FROM preds", ["real", "predicho"])
     s["cv_metrics"] = with_(BASE_PRED, "SELECT * FROM met", m6)
+    s["sink_reports"] = s["cv_predictions"]
     s["cv_summary"] = with_(BASE_PRED, """
 SELECT s.modelo, s.mae, s.rmse, s.r2, s.modelo = (SELECT modelo FROM best) AS mejor, m.periodo, m.rmse AS rmse_periodo
 FROM summ s LEFT JOIN met m ON m.modelo = s.modelo AND s.modelo = (SELECT modelo FROM best)""",
@@ -816,15 +817,19 @@ ns AS (SELECT anio,
 SELECT min(anio) AS anio_min, max(anio) AS anio_max, arg_max(periodo, (anio, periodo)) AS ultimo_periodo,
        round(arg_max(tasa_desempleo, (anio, periodo)), 6) AS ultima_tasa FROM ns""")
     sec = ["pct_sector_primario", "pct_sector_secundario", "pct_sector_terciario"]
-    s["sector_shares"] = with_(GRID + ATTRS, """
-SELECT 'c13_' || lpad(CAST(r.pub_seq AS VARCHAR), 3, '0') AS file_id, l.provincia, r.periodo, r.anio,
+    s["sector_shares"] = with_(GRID + ATTRS + """,
+fe13 AS (SELECT DISTINCT r.pub_seq, l.provincia FROM lattr l JOIN reg r ON l.periodo = r.periodo)""", """
+SELECT 'c13_' || lpad(CAST(r.pub_seq AS VARCHAR), 3, '0') AS file_id, fe.provincia, r.periodo, r.anio,
        l.pct_sector_primario, l.pct_sector_secundario, l.pct_sector_terciario
-FROM lattr l JOIN reg r ON l.periodo = r.periodo""", sec)
+FROM fe13 fe JOIN reg r ON r.pub_seq = fe.pub_seq
+LEFT JOIN lattr l ON l.provincia = fe.provincia AND l.periodo = r.periodo""", sec)
     s["grid_informal"] = with_(GRID + ATTRS + """,
-inf AS (SELECT o.provincia, r.periodo, r.anio, r.pub_seq,
-               CASE WHEN o.provincia = 'NATION_3' THEN o.empleo_informal_pct + 1 ELSE o.empleo_informal_pct END AS v
-        FROM oattr o JOIN reg r ON o.periodo = r.periodo JOIN nation n ON n.n_name = o.provincia
-        WHERE n.n_nationkey < 19)""",
+fe39 AS (SELECT DISTINCT r.pub_seq, o.provincia FROM oattr o JOIN reg r ON o.periodo = r.periodo
+         JOIN nation n ON n.n_name = o.provincia WHERE n.n_nationkey < 19),
+inf AS (SELECT fe.provincia, r.periodo, r.anio, r.pub_seq,
+               CASE WHEN fe.provincia = 'NATION_3' THEN o.empleo_informal_pct + 1 ELSE o.empleo_informal_pct END AS v
+        FROM fe39 fe JOIN reg r ON r.pub_seq = fe.pub_seq
+        LEFT JOIN oattr o ON o.provincia = fe.provincia AND o.periodo = r.periodo)""",
         "SELECT provincia, periodo, anio, v AS empleo_informal_pct FROM (SELECT *, row_number() OVER (PARTITION BY provincia, "
         "periodo ORDER BY pub_seq DESC) AS rn FROM inf) WHERE rn = 1", ["empleo_informal_pct"])
 
