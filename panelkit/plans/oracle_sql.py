@@ -645,7 +645,7 @@ SELECT provincia, tasa_desempleo, prediccion, riesgo_real, riesgo_predicho,
     s["explain_global"] = with_(PHI, "SELECT * FROM gimp ORDER BY importancia DESC, feature LIMIT 5", ["importancia"])
     e, p, a, x = EXPLAIN_ROW
     s["explain_row"] = with_(PHI + f""",
-r AS (SELECT *, row_number() OVER (ORDER BY abs(phi) DESC, feature) AS puesto FROM phi
+r AS (SELECT *, CAST(row_number() OVER (ORDER BY abs(phi) DESC, feature) AS INTEGER) AS puesto FROM phi
       WHERE provincia = '{e}' AND periodo = '{p}' AND area = '{a}' AND sexo = '{x}')""", """
 SELECT *, base + sum(phi) OVER (ORDER BY puesto ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acumulado
 FROM r WHERE puesto <= 5""", ph + ["acumulado"])
