@@ -71,15 +71,16 @@ def order_cube(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """One partial aggregation of the order facts at the finest panel grain
     (entity, period, area, sex) with every count the panel and the
     order-level attribute tables need.  Both are rolled up from this small
-    result, so the order fact join is scanned once."""
+    result (materialised once per table accessor), so the order fact join
+    is scanned once."""
     e, p, y, a, s = spec.entity, spec.period, spec.year, spec.area, spec.sex
     pri = F.substring("o_orderpriority", 1, 1)
-    return order_facts(t, spec).groupBy(e, p, y, a, s).agg(
+    return t.derived(f"order_cube:{spec}", lambda: order_facts(t, spec).groupBy(e, p, y, a, s).agg(
         F.count(F.lit(1)).alias("_pob"),
         F.count_if(F.col("o_orderstatus") != "P").alias("_pea"),
         F.count_if(F.col("o_orderstatus") == "F").alias("_des"),
         *[F.count_if(pri == str(k)).alias(f"_p{k}") for k in range(1, 6)],
-    )
+    ))
 
 
 def build_panel(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:

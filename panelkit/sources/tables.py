@@ -36,6 +36,16 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
+        self._derived: dict[str, DataFrame] = {}
+
+    def derived(self, name: str, build) -> DataFrame:
+        """A small aggregate of the facts (panel grain), materialised once
+        for this accessor so every plan that needs it reads the same result
+        instead of re-scanning the facts with a differently pruned plan."""
+        if name not in self._derived:
+            from panelkit.session import materialize
+            self._derived[name] = materialize(build())
+        return self._derived[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:

@@ -92,3 +92,30 @@ def test_harvest_links_url_forms(spark):
     got = [(r.nombre, r.url_completa) for r in harvest_links(pages, ".xls").orderBy("pos").collect()]
     assert got == [("Tabla A", "https://site.test/data/a.xls"), ("T", "https://site.test/x/b.XLSX"),
                    ("C", "https://site.test/c.xls"), ("d.xls", "http://o.org/d.xls")]
+
+
+def _greedy_python(rows, skip):
+    """The reference's sequential scan: accept a candidate at or past the
+    next allowed row, then jump."""
+    out, nxt = [], 0
+    for r in sorted(rows):
+        if r >= nxt:
+            out.append(r)
+            nxt = r + skip[r]
+    return out
+
+
+def test_greedy_anchors_match_sequential_scan(spark):
+    import random
+    rnd = random.Random(7)
+    data, expected = [], {}
+    for f in range(6):
+        rows = sorted(rnd.sample(range(300), 40))
+        skip = {r: rnd.choice([1, 5, 10, 22, 66]) for r in rows}
+        data += [(f"f{f}", r, "E", skip[r]) for r in rows]
+        expected[f"f{f}"] = _greedy_python(rows, skip)
+    c = spark.createDataFrame(data, "file_id string, row int, entity string, s int")
+    got = {}
+    for r in gr.greedy_anchors(c, F.col("s")).collect():
+        got.setdefault(r.file_id, []).append(r.row)
+    assert {k: sorted(v) for k, v in got.items()} == expected
