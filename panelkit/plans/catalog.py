@@ -370,7 +370,10 @@ MEASURES = ["poblacion_15_mas", "pea", "ocupados", "desocupados", "tasa_desemple
 def q_vintage_latest(spark, sf_dir):
     """U1 + W5: consolidate publication vintages, latest wins per key."""
     v = source(_t(spark, sf_dir), "vintages", lambda: bridge.vintages(_t(spark, sf_dir), SPEC))
-    frames = [v.where(F.col("pub_seq") % 2 == 0), v.where(F.col("pub_seq") % 2 == 1)]  # two publication files
+    own = bridge.publication_seq(F.col(SPEC.period))
+    # preliminary rows (published with their own period) and revisions (one
+    # publication later, with a note column the first frame lacks)
+    frames = [v.where(F.col("pub_seq") == own), v.where(F.col("pub_seq") != own).withColumn("nota", F.lit("revisado"))]
     return round_doubles(pan.vintage_latest(frames, SPEC).select(*KEY, "anio", *MEASURES))
 
 
