@@ -11,6 +11,39 @@ from pyspark.sql import functions as F
 
 _WS = r"(?U)^\s+|\s+$"
 
+# Ordered (pattern, canonical entity) pairs used to recognise
+# the regional entities in report labels, first match wins; the longer
+# "Panamá Oeste" forms come before "Panamá".
+ENTITY_PATTERNS = [
+    ("Bocas del Toro", "Bocas del Toro"),
+    ("Coclé", "Coclé"),
+    ("Cocl", "Coclé"),
+    ("Colón", "Colón"),
+    ("Col", "Colón"),
+    ("Chiriquí", "Chiriquí"),
+    ("Chiriqu", "Chiriquí"),
+    ("Darién", "Darién"),
+    ("Dari", "Darién"),
+    ("Herrera", "Herrera"),
+    ("Los Santos", "Los Santos"),
+    ("Panamá Oeste", "Panamá Oeste"),
+    ("Panama Oeste", "Panamá Oeste"),
+    ("Panamá", "Panamá"),
+    ("Panama", "Panamá"),
+    ("Veraguas", "Veraguas"),
+    ("Comarca Kuna Yala", "Comarca Kuna Yala"),
+    ("Kuna Yala", "Comarca Kuna Yala"),
+    ("Com. Kuna Yala", "Comarca Kuna Yala"),
+    ("Comarca Emberá", "Comarca Emberá"),
+    ("Ember", "Comarca Emberá"),
+    ("Com. Ember", "Comarca Emberá"),
+    ("Comarca Ngäbe", "Comarca Ngäbe Buglé"),
+    ("Ng", "Comarca Ngäbe Buglé"),
+    ("Com. Ng", "Comarca Ngäbe Buglé"),
+]
+# Entities reported with a total block only (no area split).
+TOTAL_ONLY_ENTITIES = ["Comarca Kuna Yala", "Comarca Emberá", "Comarca Ngäbe Buglé"]
+
 
 def ustrip(c: Column) -> Column:
     """Strip Unicode whitespace at both ends (Spark ``trim`` strips spaces only)."""
@@ -26,7 +59,7 @@ def clean_label(c: Column) -> Column:
     return ustrip(s)
 
 
-def canonical_entity(c: Column, patterns: list[tuple[str, str]], max_len: int = 40) -> Column:
+def canonical_entity(c: Column, patterns: list[tuple[str, str]] = ENTITY_PATTERNS, max_len: int = 40) -> Column:
     """first pattern (in list order) contained case-insensitively in the
     cleaned label; empty or longer than ``max_len`` -> null."""
     t = clean_label(c)

@@ -285,25 +285,28 @@ def qq_points(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
 
 def kde_grid(df: DataFrame, value: str, points: int = 100, by: list[str] | None = None) -> DataFrame:
     """Gaussian kernel density on an evenly spaced grid between the
-    group's min and max, Scott bandwidth h = std·n^(-1/5).  Each row adds its
-    kernel to every grid point through an array (no join); partial sums are
-    combined map-side."""
+    group's min and max, Scott bandwidth h = std·n^(-1/5).
+
+    Values are first counted per distinct value (partial aggregation), then
+    each distinct value adds count × kernel to every grid point through an
+    array (no join); the grid sums are combined map-side."""
     by = by or []
     v = F.col(value)
     d = df.where(v.isNotNull())
     stats = [F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.count(v).alias("_n"), F.stddev_samp(v).alias("_sd")]
+    vals = d.groupBy(*by, v.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
     if by:
         s = d.groupBy(*by).agg(*stats)
-        j = d.select(*by, v.alias("_x")).join(s, by)
-    else:  # one group: the four statistics are scalar subqueries
-        s = d.agg(*stats)
-        one = s.select(F.struct("_lo", "_hi", "_n", "_sd")).scalar()
-        j = d.select(v.alias("_x"), *[one[c].alias(c) for c in ("_lo", "_hi", "_n", "_sd")])
+        j = vals.join(s, by)
+    else:  # one group: the four statistics come back as one row of literals
+        one = d.agg(*stats).first()
+        j = vals.select("_x", "_c", *[F.lit(one[c]).alias(c) for c in ("_lo", "_hi", "_n", "_sd")])
     j = j.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), -0.2))
     step = (F.col("_hi") - F.col("_lo")) / (points - 1)
     grid = F.sequence(F.lit(0), F.lit(points - 1))
     pts = j.select(*by, "_n", "_h", "_lo", step.alias("_step"), F.posexplode(F.transform(
-        grid, lambda g: F.exp(-0.5 * F.pow((F.col("_lo") + g * step - F.col("_x")) / F.col("_h"), 2)))).alias("k", "_w"))
+        grid, lambda g: F.col("_c") * F.exp(-0.5 * F.pow((F.col("_lo") + g * step - F.col("_x")) / F.col("_h"), 2)))
+    ).alias("k", "_w"))
     norm = 1.0 / math.sqrt(2 * math.pi)
     return pts.groupBy(*by, "k").agg(
         F.max(F.col("_lo") + F.col("k") * F.col("_step")).alias("x"),

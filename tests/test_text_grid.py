@@ -119,3 +119,9 @@ def test_greedy_anchors_match_sequential_scan(spark):
     for r in gr.greedy_anchors(c, F.col("s")).collect():
         got.setdefault(r.file_id, []).append(r.row)
     assert {k: sorted(v) for k, v in got.items()} == expected
+
+
+@pytest.mark.parametrize("raw,ent", [("Panamá Oeste", "Panamá Oeste"), ("Panama", "Panamá"), ("Com. Kuna Yala ....", "Comarca Kuna Yala"),
+                                     ("Agrícola", "Colón"), ("Total", None)])
+def test_default_entity_patterns(spark, raw, ent):
+    assert _one(spark, tx.canonical_entity, raw) == ent
