@@ -183,8 +183,9 @@ def apply_linear(df: DataFrame, keys: list[str], features: list[str], model: Dat
 def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, keys: list[str],
                 kind: str = "ridge", alpha: float | None = None, folds: list[str] | None = None) -> DataFrame:
     """M3/M4 + M9: out-of-fold predictions (keys, fold, real, predicho)."""
+    from panelkit.session import materialize
     folds = folds or periods_of(df, period)
-    med = fold_medians(df, features, period, folds)
+    med = materialize(fold_medians(df, features, period, folds))  # folds x features rows, read twice
     stats = fold_gram(df, features, target, period, folds, med)
     if kind == "ridge":
         fits = {k: ridge_from_gram(s, 1.0 if alpha is None else alpha) for k, s in stats.items()}
