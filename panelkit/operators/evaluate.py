@@ -113,6 +113,64 @@ def fold_gram(df: DataFrame, features: list[str], target: str, period: str, fold
     return out
 
 
+def fold_gram_by_period(df: DataFrame, features: list[str], target: str, period: str, folds: list[str],
+                        medians: DataFrame) -> dict:
+    """Same statistics as ``fold_gram`` without exploding rows to folds.
+
+    One aggregation per period collects masked sums; a fold's training
+    statistics are (all periods) − (its own period), and median imputation
+    enters as scalar corrections:
+
+      Σx̃ᵢ     = Σ_{xᵢ set} xᵢ + mᵢ·#(xᵢ null)
+      Σx̃ᵢx̃ⱼ   = Σ_{both set} xᵢxⱼ + mⱼ·Σ_{xᵢ set, xⱼ null} xᵢ + mᵢ·Σ_{xᵢ null, xⱼ set} xⱼ + mᵢmⱼ·#(both null)
+      Σx̃ᵢy    = Σ_{xᵢ set} xᵢy + mᵢ·Σ_{xᵢ null} y
+
+    Null-correction sums are only built for columns that have nulls (one
+    small counting job decides).  Work is one pass over the rows, whatever
+    the number of folds; the driver receives periods × O(F²) numbers."""
+    d = df.select(period, target, *features).where(F.col(target).isNotNull())
+    nf = len(features)
+    cnt = d.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in features]).first()
+    nullable = [i for i, f in enumerate(features) if cnt[f]]
+    x = [F.col(f).cast("double") for f in features]
+    y = F.col(target)
+    miss = {i: x[i].isNull() for i in nullable}
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
+    aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(nf)]
+    aggs += [F.count(x[i]).alias(f"c{i}") for i in range(nf)]
+    aggs += [F.sum(x[i] * y).alias(f"d{i}") for i in range(nf)]
+    aggs += [F.sum(x[i] * x[j]).alias(f"a{i}_{j}") for i in range(nf) for j in range(i, nf)]
+    aggs += [F.sum(F.when(miss[i], y)).alias(f"e{i}") for i in nullable]
+    aggs += [F.sum(F.when(miss[j], x[i])).alias(f"b{i}_{j}") for j in nullable for i in range(nf) if i != j]
+    aggs += [F.count_if(miss[i] & miss[j]).alias(f"z{i}_{j}") for i in nullable for j in nullable if i <= j]
+    per = {r[period]: r.asDict() for r in d.groupBy(period).agg(*aggs).collect()}
+    total = {k: sum((r[k] or 0) for r in per.values()) for k in next(iter(per.values())) if k != period}
+    med = {}
+    for r in medians.collect():
+        med.setdefault(r[FOLD], {})[r["feature"]] = r["median"]
+    out = {}
+    for k in folds:
+        own = per.get(k, {})
+        g = {key: total[key] - (own.get(key) or 0) for key in total}
+        n = g["n"]
+        m = np.array([(med.get(k, {}).get(f) or 0.0) if i in nullable else 0.0 for i, f in enumerate(features)])
+        sx = np.array([g[f"s{i}"] + m[i] * (n - g[f"c{i}"]) for i in range(nf)])
+        sxy = np.array([g[f"d{i}"] + (m[i] * g[f"e{i}"] if i in nullable else 0.0) for i in range(nf)])
+        sxx = np.zeros((nf, nf))
+        for i in range(nf):
+            for j in range(i, nf):
+                v = g[f"a{i}_{j}"]
+                if j in nullable and i != j:
+                    v += m[j] * g[f"b{i}_{j}"]
+                if i in nullable and i != j:
+                    v += m[i] * g[f"b{j}_{i}"]
+                if i in nullable and j in nullable:
+                    v += m[i] * m[j] * g[f"z{i}_{j}"]
+                sxx[i, j] = sxx[j, i] = v
+        out[k] = {"n": n, "sy": g["sy"], "syy": g["syy"], "sx": sx, "sxy": sxy, "sxx": sxx}
+    return out
+
+
 def _standardised(st: dict):
     n = st["n"]
     mu = st["sx"] / n
@@ -186,7 +244,7 @@ def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, ke
     from panelkit.session import materialize
     folds = folds or periods_of(df, period)
     med = materialize(fold_medians(df, features, period, folds))  # folds x features rows, read twice
-    stats = fold_gram(df, features, target, period, folds, med)
+    stats = fold_gram_by_period(df, features, target, period, folds, med)
     if kind == "ridge":
         fits = {k: ridge_from_gram(s, 1.0 if alpha is None else alpha) for k, s in stats.items()}
     else:

@@ -94,3 +94,22 @@ def test_random_search_picks_from_grid(spark):
     best, table = ev.random_search(data, DecisionTreeRegressor(seed=1), grid, n_iter=4, folds=3, parallelism=2)
     assert table.count() == 4
     assert best.getOrDefault("maxDepth") in (1, 2, 4)
+
+
+def test_gram_by_period_equals_exploded(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(120):
+        per = f"p{i % 5}"
+        x = rng.normal(size=3)
+        a = None if rng.random() < 0.2 else float(x[0])
+        b = None if rng.random() < 0.3 else float(x[1])
+        rows.append((per, float(x @ [1, 2, 3] + rng.normal()), a, b, float(x[2])))
+    df = spark.createDataFrame(rows, "periodo string, y double, a double, b double, c double")
+    feats, folds = ["a", "b", "c"], [f"p{i}" for i in range(5)]
+    med = ev.fold_medians(df, feats, "periodo", folds)
+    g1 = ev.fold_gram(df, feats, "y", "periodo", folds, med)
+    g2 = ev.fold_gram_by_period(df, feats, "y", "periodo", folds, med)
+    for k in folds:
+        for key in ("n", "sy", "syy", "sx", "sxy", "sxx"):
+            assert np.allclose(g1[k][key], g2[k][key], rtol=1e-9, atol=1e-9), (k, key)
