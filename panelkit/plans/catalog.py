@@ -1147,3 +1147,9 @@ def q_sink_reports(spark, sf_dir):
     metrics.write.parquet(base + "/cv_resultados")
     back = spark.read.schema(preds.schema).parquet(base + "/predicciones_cv")
     return round_doubles(back.select(*preds.columns))
+
+
+@query
+def q_qq_positions(spark, sf_dir):
+    """X7 part 1: order statistics and Filliben plotting positions."""
+    return round_doubles(st.qq_positions(_tot(spark, sf_dir), SPEC.target))

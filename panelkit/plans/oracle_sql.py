@@ -216,6 +216,7 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
     scoring_sql(s)
     misc_sql(s)
     quality_sql(s)
+    qq_sql(s)
     return s
 
 
@@ -866,3 +867,11 @@ UNION ALL SELECT 'predicciones_no_negativas', coalesce(bool_and(prediccion >= 0)
 UNION ALL SELECT 'min_modelos', count(*) >= 2, CAST(count(*) AS VARCHAR), 'predicciones' FROM summ
 UNION ALL SELECT 'r2_positivo', max(r2) > 0, printf('%.4f', max(r2)), 'predicciones' FROM summ
 UNION ALL SELECT 'rmse_acotado', min(rmse) < 5, printf('%.4f', min(rmse)), 'predicciones' FROM summ""")
+
+
+def qq_sql(s: dict) -> None:
+    s["qq_positions"] = with_(TOT + """,
+d AS (SELECT tasa_desempleo AS v FROM tot WHERE tasa_desempleo IS NOT NULL),
+o AS (SELECT CAST(row_number() OVER (ORDER BY v) AS BIGINT) AS i, v AS valor, count(*) OVER () AS n FROM d)""", """
+SELECT i, valor, CASE WHEN i = 1 THEN 1 - power(0.5, 1.0 / n) WHEN i = n THEN power(0.5, 1.0 / n)
+                      ELSE (i - 0.3175) / (n + 0.365) END AS p FROM o""", ["valor", "p"])
