@@ -257,40 +257,40 @@ def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, ke
                 .select(*keys, FOLD, "real", F.greatest(F.col("prediccion_raw"), F.lit(0.0)).alias("predicho")))
 
 
-def fold_frame(df: DataFrame, features: list[str], target: str, period: str, folds: list[str],
-               partitions: int | None = None) -> DataFrame:
-    """Training rows of every fold plus each fold's test rows (``_test``),
-    imputed with that fold's medians; checkpointed because every fold's fit
-    re-reads it."""
-    from panelkit.session import materialize
-    med = medians_wide(fold_medians(df, features, period, folds), features)
-    base = df.select(period, target, *features).where(F.col(target).isNotNull())
-    tr = train_rows(base, period, folds).withColumn("_test", F.lit(False))
-    te = base.withColumn(FOLD, F.col(period)).withColumn("_test", F.lit(True))
-    out = impute(tr.unionByName(te), features, med)
-    if partitions:
-        out = out.repartition(partitions, FOLD)
-    return materialize(out)
-
-
 def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str, make_estimator,
                   folds: list[str] | None = None, parallelism: int = 8) -> DataFrame:
-    """M5-M7: a Spark ML regressor per fold on the imputed fold frame;
-    folds are fitted as concurrent jobs.  Returns (fold, real, predicho)."""
+    """M5-M7: a Spark ML regressor per fold; folds are fitted as concurrent
+    jobs.  Returns (fold, real, predicho).
+
+    The rows are checkpointed once; fold k trains on ``period != k`` and
+    tests on ``period == k``, both imputed with fold k's medians (fitted
+    parameters: one number per feature), so no per-fold copy of the data is
+    built."""
+    from functools import reduce
+
     from pyspark.ml.feature import VectorAssembler
+
+    from panelkit.session import materialize
     folds = folds or periods_of(df, period)
-    ff = fold_frame(df, features, target, period, folds)
+    med = {}
+    for r in fold_medians(df, features, period, folds).collect():  # folds x features numbers
+        med.setdefault(r[FOLD], {})[r["feature"]] = r["median"]
+    base = materialize(df.select(period, target, *features).where(F.col(target).isNotNull()))
     va = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
-    data = va.transform(ff)
+
+    def prepared(rows: DataFrame, k: str) -> DataFrame:
+        m = med.get(k, {})
+        filled = rows.select(period, target, *[F.coalesce(F.col(f).cast("double"), F.lit(m.get(f)).cast("double"))
+                                               .alias(f) for f in features])
+        return va.transform(filled)
 
     def run(k):
         est = make_estimator(featuresCol="_features", labelCol=target, predictionCol="_pred")
-        m = est.fit(data.where((F.col(FOLD) == k) & ~F.col("_test")))
-        return m.transform(data.where((F.col(FOLD) == k) & F.col("_test")))
+        model = est.fit(prepared(base.where(F.col(period) != k), k))
+        return model.transform(prepared(base.where(F.col(period) == k), k)).withColumn(FOLD, F.lit(k))
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         parts = list(pool.map(run, folds))
-    from functools import reduce
     out = reduce(DataFrame.unionByName, parts)
     return out.select(FOLD, F.col(target).alias("real"), F.greatest(F.col("_pred"), F.lit(0.0)).alias("predicho"))
 
