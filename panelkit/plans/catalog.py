@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.bands import risk_band
 from panelkit.operators import features as feat
 from panelkit.operators import panel as pan
-from panelkit.plans.common import CATEGORIES, HIGH, LOW, SPEC, enriched, features, panel, round_doubles, source
+from panelkit.plans.common import HIGH, LOW, SPEC, enriched, features, panel, round_doubles, source
 from panelkit.sources import bridge
 from panelkit.sources.tables import Tables
 

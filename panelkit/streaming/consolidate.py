@@ -18,7 +18,6 @@ writers, so the folders can sit on any shared file system.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelkit.operators.panel import keep_last
 
