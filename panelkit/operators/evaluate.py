@@ -59,6 +59,13 @@ def fold_medians(df: DataFrame, features: list[str], period: str, folds: list[st
     return exact_quantiles(_long(tr, [FOLD], features), [FOLD, "feature"], "value", {"median": 0.5})
 
 
+def null_columns(df: DataFrame, features: list[str]) -> list[str]:
+    """Features with at least one null (one counting job).  Only these
+    need fold medians: imputing a complete column is a no-op."""
+    row = df.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in features]).first()
+    return [f for f in features if row[f]]
+
+
 def medians_wide(medians: DataFrame, features: list[str], key: str = FOLD) -> DataFrame:
     """(fold, feature, median) -> one row per fold, ``_m_<feature>`` columns."""
     pv = medians.groupBy(key).pivot("feature", features).agg(F.max("median"))
@@ -114,7 +121,7 @@ def fold_gram(df: DataFrame, features: list[str], target: str, period: str, fold
 
 
 def fold_gram_by_period(df: DataFrame, features: list[str], target: str, period: str, folds: list[str],
-                        medians: DataFrame) -> dict:
+                        medians: DataFrame | None) -> dict:
     """Same statistics as ``fold_gram`` without exploding rows to folds.
 
     One aggregation per period collects masked sums; a fold's training
@@ -146,7 +153,7 @@ def fold_gram_by_period(df: DataFrame, features: list[str], target: str, period:
     per = {r[period]: r.asDict() for r in d.groupBy(period).agg(*aggs).collect()}
     total = {k: sum((r[k] or 0) for r in per.values()) for k in next(iter(per.values())) if k != period}
     med = {}
-    for r in medians.collect():
+    for r in (medians.collect() if medians is not None else []):
         med.setdefault(r[FOLD], {})[r["feature"]] = r["median"]
     out = {}
     for k in folds:
@@ -243,7 +250,9 @@ def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, ke
     """M3/M4 + M9: out-of-fold predictions (keys, fold, real, predicho)."""
     from panelkit.session import materialize
     folds = folds or periods_of(df, period)
-    med = materialize(fold_medians(df, features, period, folds))  # folds x features rows, read twice
+    holes = null_columns(df, features)
+    # folds x (features with nulls) rows, read twice
+    med = materialize(fold_medians(df, holes, period, folds)) if holes else None
     stats = fold_gram_by_period(df, features, target, period, folds, med)
     if kind == "ridge":
         fits = {k: ridge_from_gram(s, 1.0 if alpha is None else alpha) for k, s in stats.items()}
@@ -273,7 +282,8 @@ def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str,
     from panelkit.session import materialize
     folds = folds or periods_of(df, period)
     med = {}
-    for r in fold_medians(df, features, period, folds).collect():  # folds x features numbers
+    holes = null_columns(df, features)
+    for r in (fold_medians(df, holes, period, folds).collect() if holes else []):  # folds x features numbers
         med.setdefault(r[FOLD], {})[r["feature"]] = r["median"]
     base = materialize(df.select(period, target, *features).where(F.col(target).isNotNull()))
     va = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
