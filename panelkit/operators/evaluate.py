@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.bands import risk_band
 from panelkit.operators.quantiles import exact_quantiles
+from panelkit.operators.util import fitted
 
 FOLD = "fold"
 
@@ -360,8 +361,8 @@ def risk_accuracy(df: DataFrame, by: list[str]) -> DataFrame:
 def _per_period(df: DataFrame, period: str, aggs) -> tuple[DataFrame, dict]:
     per = df.groupBy(period).agg(*aggs)
     names = [c for c in per.columns if c != period]
-    one = per.select(F.struct(*[F.sum(c).alias(c) for c in names])).scalar()  # one scalar subquery
-    return per, {c: one[c] for c in names}
+    tot = fitted(per, **{c: F.sum(c) for c in names})  # a few numbers, not a per-reference subquery
+    return per, tot
 
 
 def lopo_persistence(df: DataFrame, target: str, lag: str, period: str, keys: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.scoring import column_means, column_medians
+from panelkit.operators.util import fitted
 
 
 def explain_linear(df: DataFrame, keys: list[str], weights: dict[str, float], intercept: float,
@@ -66,9 +67,9 @@ def importance_compare(a: DataFrame, b: DataFrame, name_a: str, name_b: str) ->
     j = (a.select("feature", F.col("importancia").alias(name_a))
           .join(b.select("feature", F.col("importancia").alias(name_b)), "feature", "full")
           .fillna(0.0, [name_a, name_b]))
-    mx = j.select(F.struct(F.max(name_a).alias("a"), F.max(name_b).alias("b"))).scalar()
-    return j.withColumns({f"{name_a}_rel": F.try_divide(F.col(name_a), mx["a"]),
-                          f"{name_b}_rel": F.try_divide(F.col(name_b), mx["b"])})
+    mx = fitted(j, a=F.max(name_a), b=F.max(name_b))
+    return j.withColumns({f"{name_a}_rel": F.try_divide(F.col(name_a), F.lit(mx["a"])),
+                          f"{name_b}_rel": F.try_divide(F.col(name_b), F.lit(mx["b"]))})
 
 
 def permutation_shapley(df: DataFrame, keys: list[str], features: list[str], model, reps: int = 8,
@@ -78,9 +79,9 @@ def permutation_shapley(df: DataFrame, keys: list[str], features: list[str], mod
     ``df`` holds imputed numeric features; the background is their mean."""
     from pyspark.ml.functions import array_to_vector
     nf = len(features)
-    means = df.select(F.struct(*[F.avg(c).alias(c) for c in features])).scalar()
+    means = fitted(df, **{c: F.avg(c) for c in features})
     x = F.array(*[F.col(c).cast("double") for c in features])
-    bg = F.array(*[means[c].cast("double") for c in features])
+    bg = F.array(*[F.lit(means[c]).cast("double") for c in features])
     base = df.select(*keys, x.alias("_x"), bg.alias("_b"))
     rep = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_rep"))
     # random order: rank of a per-(row, rep, feature) hash; _pos[j] = place of feature j

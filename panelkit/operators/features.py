@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from panelkit.operators.util import fitted
 from panelkit.spec import DEFAULT_SPEC, PanelSpec
 
 
@@ -92,13 +93,14 @@ def fill_panel(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC, exclude_suffixes=(
 
 def time_features(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """Year scaled to [0, 1] over the whole frame (denominator >= 1) and
-    the post-era flag.  min/max are a scalar subquery (one tiny aggregate),
-    never a global window."""
+    the post-era flag.  min/max come from one small aggregation, never a
+    global window."""
     y = F.col(spec.year)
-    lim = df.select(F.struct(F.min(spec.year).alias("lo"), F.max(spec.year).alias("hi"))).scalar()
+    lim = fitted(df, lo=F.min(spec.year), hi=F.max(spec.year))
     lo, hi = lim["lo"], lim["hi"]
+    span = max(hi - lo, 1) if lo is not None else 1
     return df.withColumns({
-        "anio_norm": (y - lo) / F.greatest(hi - lo, F.lit(1)),
+        "anio_norm": (y - F.lit(lo)) / F.lit(span),
         "post_covid": (y >= spec.post_year).cast("int"),
     })
 

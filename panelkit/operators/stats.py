@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.quantiles import exact_quantiles
+from panelkit.operators.util import fitted
 
 
 # ------------------------------------------------------------------ counts
@@ -133,8 +134,8 @@ def histogram(df: DataFrame, value: str, bins: int = 25) -> DataFrame:
     kept with count 0.  min/max are scalar subqueries."""
     v = F.col(value)
     d = df.where(v.isNotNull())
-    lim = d.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
-    lo, hi = lim["lo"], lim["hi"]
+    lim = fitted(d, lo=F.min(v), hi=F.max(v))
+    lo, hi = F.lit(lim["lo"]).cast("double"), F.lit(lim["hi"]).cast("double")
     width = (hi - lo) / bins
     idx = F.least(F.floor(F.try_divide(v - lo, width)), F.lit(bins - 1))
     idx = F.coalesce(idx, F.lit(0)).cast("int")
@@ -182,12 +183,12 @@ def iqr_outliers(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
     v = F.col(value)
     d = df.where(v.isNotNull())
     q = exact_quantiles(d, [], value, {"q1": 0.25, "q3": 0.75})
-    qs = q.select(F.struct("q1", "q3")).scalar()
+    qs = q.first()
     q1, q3 = qs["q1"], qs["q3"]
-    lo = q1 - k * (q3 - q1)
-    hi = q3 + k * (q3 - q1)
-    cnt = d.select(F.struct(F.count_if((v < lo) | (v > hi)).alias("o"), F.count(F.lit(1)).alias("n"))).scalar()
-    n_out, n_all = cnt["o"], cnt["n"]
+    lo = F.lit(q1 - k * (q3 - q1))
+    hi = F.lit(q3 + k * (q3 - q1))
+    cnt = fitted(d, o=F.count_if((v < lo) | (v > hi)), n=F.count(F.lit(1)))
+    n_out, n_all = F.lit(cnt["o"]), F.lit(cnt["n"])
     return (d.where((v < lo) | (v > hi))
              .withColumns({"lado": F.when(v > hi, F.lit("alto")).otherwise(F.lit("bajo")),
                            "limite_inf": lo, "limite_sup": hi,

@@ -12,6 +12,7 @@ from panelkit.operators import features as feat
 from panelkit.operators import panel as pan
 from panelkit.plans.common import HIGH, LOW, SPEC, enriched, features, panel, round_doubles, source
 from panelkit.sources import bridge
+from panelkit.operators.util import fitted
 from panelkit.sources.tables import Tables
 
 KEY = ["provincia", "periodo", "area", "sexo"]
@@ -200,8 +201,9 @@ def q_gap_by_period(spark, sf_dir):
     u = st.conditional_gap(p, [SPEC.period], SPEC.area, SPEC.urban, SPEC.rural, SPEC.target,
                            "brecha_urb_rur", F.col(SPEC.sex) == SPEC.total)
     out = g.join(u, SPEC.period, "full")
-    means = out.select(F.struct(F.avg("brecha_genero").alias("g"), F.avg("brecha_urb_rur").alias("u"))).scalar()
-    out = out.withColumns({"brecha_genero_media": means["g"], "brecha_urb_rur_media": means["u"]})
+    means = fitted(out, g=F.avg("brecha_genero"), u=F.avg("brecha_urb_rur"))
+    out = out.withColumns({"brecha_genero_media": F.lit(means["g"]).cast("double"),
+                           "brecha_urb_rur_media": F.lit(means["u"]).cast("double")})
     return round_doubles(out)
 
 
@@ -626,7 +628,7 @@ def q_model_table(spark, sf_dir):
     s = ev.cv_summary(_cv_metrics(spark, sf_dir))
     nested = s.agg(F.map_from_entries(F.collect_list(F.struct("modelo", F.struct("mae", "rmse", "r2")))).alias("m"))
     rows = nested.select(F.explode("m").alias("modelo", "v")).select("modelo", "v.*")
-    best = rows.select(F.struct(F.min("mae").alias("mae"), F.min("rmse").alias("rmse"), F.max("r2").alias("r2"))).scalar()
+    best = fitted(rows, mae=F.min("mae"), rmse=F.min("rmse"), r2=F.max("r2"))
     flags = {"mejor_mae": F.col("mae") == best["mae"], "mejor_rmse": F.col("rmse") == best["rmse"],
              "mejor_r2": F.col("r2") == best["r2"]}
     return round_doubles(rows.withColumns(flags).orderBy(F.desc("r2")))
@@ -727,10 +729,11 @@ def q_real_vs_pred(spark, sf_dir):
     """X9 + T10 + Z4: one period's actual vs predicted pairs, ascending by
     rate, with the shared 45° line limits."""
     s = total_slice(_scored(spark, sf_dir)).where(F.col(SPEC.period) == PERIOD_PAIR[1])
-    lim = s.select(F.struct(F.least(F.min(SPEC.target), F.min("prediccion")).alias("lo"),
-                            F.greatest(F.max(SPEC.target), F.max("prediccion")).alias("hi"))).scalar()
+    lim = fitted(s, lo=F.least(F.min(SPEC.target), F.min("prediccion")),
+                 hi=F.greatest(F.max(SPEC.target), F.max("prediccion")))
     return round_doubles(s.select(SPEC.entity, SPEC.target, "prediccion", "riesgo_real", "riesgo_predicho",
-                                  lim["lo"].alias("lim_inf"), lim["hi"].alias("lim_sup"))
+                                  F.lit(lim["lo"]).cast("double").alias("lim_inf"),
+                                  F.lit(lim["hi"]).cast("double").alias("lim_sup"))
                          .orderBy(SPEC.target, SPEC.entity))
 
 
@@ -1002,11 +1005,10 @@ def _summary(spark, sf_dir):
                 F.max_by(m, F.col("mejor").cast("int")).alias("metricas_cv"),
                 F.map_from_entries(F.collect_list(F.struct("modelo", m))).alias("todos_modelos_cv"),
                 F.round(F.max_by("acc", F.col("mejor").cast("int")), 4).alias("precision_riesgo_cv"))
-    counts = f.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct(SPEC.period).alias("p"),
-                               F.count_distinct(SPEC.entity).alias("e"))).scalar()
+    counts = fitted(f, n=F.count(F.lit(1)), p=F.count_distinct(SPEC.period), e=F.count_distinct(SPEC.entity))
     return one.select("mejor_modelo", "metricas_cv", "todos_modelos_cv",
-                      F.lit(len(model_features(f))).alias("n_features"), counts["n"].alias("n_filas"),
-                      counts["p"].alias("n_periodos"), counts["e"].alias("n_provincias"),
+                      F.lit(len(model_features(f))).alias("n_features"), F.lit(counts["n"]).alias("n_filas"),
+                      F.lit(counts["p"]).alias("n_periodos"), F.lit(counts["e"]).alias("n_provincias"),
                       F.round(acc_train, 4).alias("precision_riesgo_train"), "precision_riesgo_cv",
                       F.array(*[F.lit(x) for x in top10]).alias("features_top10"))
 
