@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.bands import risk_band
 from panelkit.operators import features as feat
 from panelkit.operators import panel as pan
-from panelkit.plans.common import HIGH, LOW, SPEC, enriched, features, panel, round_doubles, source
+from panelkit.plans.common import HIGH, LOW, SPEC, enriched, enriched_table, features, panel, round_doubles, source
 from panelkit.sources import bridge
 from panelkit.operators.util import fitted
 from panelkit.sources.tables import Tables
@@ -144,7 +144,7 @@ def total_slice(df: DataFrame) -> DataFrame:
 
 def _tot(spark, sf_dir, enrich=False):
     t = _t(spark, sf_dir)
-    return total_slice(enriched(t) if enrich else panel(t))
+    return total_slice(enriched_table(t) if enrich else panel(t))
 
 
 @query
@@ -159,12 +159,12 @@ def q_panel_shape(spark, sf_dir):
 
 @query
 def q_coverage(spark, sf_dir):
-    return round_doubles(st.coverage(enriched(_t(spark, sf_dir))))
+    return round_doubles(st.coverage(enriched_table(_t(spark, sf_dir))))
 
 
 @query
 def q_null_matrix(spark, sf_dir):
-    e = enriched(_t(spark, sf_dir))
+    e = enriched_table(_t(spark, sf_dir))
     return st.null_matrix(e, SPEC.entity, SPEC.period, feat.numeric_columns(e))
 
 
@@ -221,7 +221,7 @@ def q_era_change(spark, sf_dir):
 
 @query
 def q_describe_panel(spark, sf_dir):
-    return st.describe(enriched(_t(spark, sf_dir)), DESCRIBE_COLS, dp=2)
+    return st.describe(enriched_table(_t(spark, sf_dir)), DESCRIBE_COLS, dp=2)
 
 
 @query
@@ -844,7 +844,7 @@ def q_scenario_values(spark, sf_dir):
 def q_row_profile(spark, sf_dir):
     """P11 + P12: one cell's non-null measures as rows, with its option label."""
     e, p, a, s = EXPLAIN_ROW
-    r = enriched(_t(spark, sf_dir))
+    r = enriched_table(_t(spark, sf_dir))
     r = r.where((F.col(SPEC.entity) == e) & (F.col(SPEC.period) == p) & (F.col(SPEC.area) == a) & (F.col(SPEC.sex) == s))
     cols = feat.numeric_columns(r)
     long = r.select(F.concat_ws(" - ", SPEC.entity, SPEC.period).alias("opcion"), F.explode(F.array(*[
@@ -1103,7 +1103,7 @@ def q_quality_report(spark, sf_dir):
     t = _t(spark, sf_dir)
     p = panel(t)
     a = qa.panel_quality(p, SPEC).withColumn("tabla", F.lit("panel"))
-    b = qa.feature_quality(_ft(spark, sf_dir), len(enriched(t).columns), SPEC).withColumn("tabla", F.lit("features"))
+    b = qa.feature_quality(_ft(spark, sf_dir), len(enriched_table(t).columns), SPEC).withColumn("tabla", F.lit("features"))
     c = qa.prediction_quality(_scored(spark, sf_dir), ev.cv_summary(_cv_metrics(spark, sf_dir))).withColumn(
         "tabla", F.lit("predicciones"))
     return a.unionByName(b).unionByName(c)

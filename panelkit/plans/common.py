@@ -72,11 +72,16 @@ def stored(t: Tables, name: str, build) -> DataFrame:
     return _STORE[key]
 
 
+def enriched_table(t: Tables) -> DataFrame:
+    """The enriched panel as a shared checkpoint, for queries that read it
+    more than once (statistics over many columns, profiles)."""
+    return stored(t, "enriched", lambda: enriched(t))
+
+
 def features(t: Tables) -> DataFrame:
     """Feature table built from the checkpointed enriched panel (the chain
     reads it twice: the rows and the year range)."""
-    return stored(t, "features", lambda: feat.feature_table(
-        stored(t, "enriched", lambda: enriched(t)), SPEC, categories=CATEGORIES))
+    return stored(t, "features", lambda: feat.feature_table(enriched_table(t), SPEC, categories=CATEGORIES))
 
 
 # Literal linear model of the fixture queries (scoring, explanation, what-if),
