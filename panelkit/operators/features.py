@@ -91,13 +91,15 @@ def fill_panel(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC, exclude_suffixes=(
     return df.withColumns(repl)
 
 
-def time_features(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def time_features(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC, year_range: tuple | None = None) -> DataFrame:
     """Year scaled to [0, 1] over the whole frame (denominator >= 1) and
     the post-era flag.  min/max come from one small aggregation, never a
     global window."""
     y = F.col(spec.year)
-    lim = fitted(df, lo=F.min(spec.year), hi=F.max(spec.year))
-    lo, hi = lim["lo"], lim["hi"]
+    if year_range is None:  # one small aggregation over the input
+        lim = fitted(df, lo=F.min(spec.year), hi=F.max(spec.year))
+        year_range = (lim["lo"], lim["hi"])
+    lo, hi = year_range
     span = max(hi - lo, 1) if lo is not None else 1
     return df.withColumns({
         "anio_norm": (y - F.lit(lo)) / F.lit(span),
@@ -177,17 +179,19 @@ def one_hot(df: DataFrame, specs, categories: dict | None = None) -> DataFrame:
 
 
 def feature_table(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, categories: dict | None = None,
-                  refill_interactions: bool = True) -> DataFrame:
+                  refill_interactions: bool = True, year_range: tuple | None = None) -> DataFrame:
     """Contrast -> fill -> time -> lag -> delta -> ratio -> interaction ->
     one-hot -> second fill (excluding ``_lag1``/``_delta``).
 
     With ``refill_interactions`` (the default, as in the reference) the
     second fill also back-fills the ``lag_x_*`` interactions of the first
     period; set it False to keep them null where the lag is null.
+    ``year_range`` (min, max year) may be passed when the caller knows it,
+    which saves the pass over the input that would find it.
     """
     df = contrast_features(panel, spec)
     df = fill_panel(df, spec)
-    df = time_features(df, spec)
+    df = time_features(df, spec, year_range)
     df = lag_features(df, spec)
     df = delta_features(df, spec)
     df = ratio_features(df)

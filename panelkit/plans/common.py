@@ -79,9 +79,14 @@ def enriched_table(t: Tables) -> DataFrame:
 
 
 def features(t: Tables) -> DataFrame:
-    """Feature table built from the checkpointed enriched panel (the chain
-    reads it twice: the rows and the year range)."""
-    return stored(t, "features", lambda: feat.feature_table(enriched_table(t), SPEC, categories=CATEGORIES))
+    """Feature table; the year range comes from the (materialised) order
+    cube, so the enriched panel is read once."""
+    def build():
+        from pyspark.sql import functions as F
+        from panelkit.operators.util import fitted
+        yr = fitted(panel(t), lo=F.min(SPEC.year), hi=F.max(SPEC.year))
+        return feat.feature_table(enriched(t), SPEC, categories=CATEGORIES, year_range=(yr["lo"], yr["hi"]))
+    return stored(t, "features", build)
 
 
 # Literal linear model of the fixture queries (scoring, explanation, what-if),
