@@ -1103,7 +1103,7 @@ def q_quality_report(spark, sf_dir):
     t = _t(spark, sf_dir)
     p = panel(t)
     a = qa.panel_quality(p, SPEC).withColumn("tabla", F.lit("panel"))
-    b = qa.feature_quality(_ft(spark, sf_dir), len(enriched_table(t).columns), SPEC).withColumn("tabla", F.lit("features"))
+    b = qa.feature_quality(_ft(spark, sf_dir), len(enriched(t).columns), SPEC)  # schema only.withColumn("tabla", F.lit("features"))
     c = qa.prediction_quality(_scored(spark, sf_dir), ev.cv_summary(_cv_metrics(spark, sf_dir))).withColumn(
         "tabla", F.lit("predicciones"))
     return a.unionByName(b).unionByName(c)
