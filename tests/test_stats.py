@@ -122,3 +122,18 @@ def test_kde_integrates_to_about_one(spark):
     k = stats.kde_grid(df, "v", points=200).orderBy("k").collect()
     step = k[1].x - k[0].x
     assert 0.85 < sum(r.densidad for r in k) * step < 1.0
+
+
+def test_exact_quantiles_hot_group_and_hot_value(spark):
+    """One group holds most rows and one value a third of that group, in the
+    approximate regime (n far above the sketch accuracy)."""
+    rng = np.random.default_rng(9)
+    hot = list(rng.normal(50, 10, 20000).round(3)) + [50.0] * 10000
+    rows = [("hot", float(v)) for v in hot] + [("cold", float(v)) for v in rng.normal(size=50)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = {"q01": 0.01, "q33": 0.33, "q50": 0.5, "q67": 0.67, "q99": 0.99}
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", probs, accuracy=200).collect()}
+    for g in ("hot", "cold"):
+        vals = [v for k, v in rows if k == g]
+        for name, p in probs.items():
+            assert abs(getattr(got[g], name) - _q(vals, p)) < 1e-9, (g, name)
