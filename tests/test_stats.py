@@ -137,3 +137,13 @@ def test_exact_quantiles_hot_group_and_hot_value(spark):
         vals = [v for k, v in rows if k == g]
         for name, p in probs.items():
             assert abs(getattr(got[g], name) - _q(vals, p)) < 1e-9, (g, name)
+
+
+def test_rank_sum_with_a_hot_tied_value(spark):
+    rng = np.random.default_rng(13)
+    a = [float(x) for x in rng.integers(0, 50, 300)] + [25.0] * 200
+    b = [float(x) for x in rng.integers(10, 60, 250)] + [25.0] * 150
+    df = spark.createDataFrame([(v, True) for v in a] + [(v, False) for v in b], "v double, g boolean")
+    r = stats.rank_sum_test(df, "v", F.col("g"), buckets=8).first()
+    u1, z = _mann_whitney(a, b)
+    assert abs(r.u1 - u1) < 1e-6 and abs(r.z - z) < 1e-9
