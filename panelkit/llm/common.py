@@ -48,6 +48,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """``df``, a written table, with a broadcast hint if it has ``most`` rows or
+    fewer by count; else as it is, for a shuffled join that splits hot keys."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def packed(docs: DataFrame, **columns: Column) -> DataFrame:
     """One ``row`` struct per input row, next to the operator's own columns."""
     return docs.select(F.struct("*").alias(ROW), *(c.alias(k) for k, c in columns.items()))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ROW, column_of, packed, stage
+from .common import ROW, column_of, packed, small, stage
 
 FRAME = 1000
 BLOCK_CHARS = 1 << 16
@@ -112,8 +112,8 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "d
         weights = target_weights(sizes, alpha)
     else:
         weights = weights.join(sizes.select(F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s")), "left_semi")
-    slots = stage(slots_of(weights, frame), "slots")
-    cells = stage(frame_table(slots), "frame").select(F.col("source").alias("s2"), "j", F.col("slot").alias("frame_slot"))
+    slots = small(stage(slots_of(weights, frame), "slots"))
+    cells = small(stage(frame_table(slots), "frame")).select(F.col("source").alias("s2"), "j", F.col("slot").alias("frame_slot"))
     placed = placed.join(slots.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
     placed = placed.join(cells, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") % F.col("n") == F.col("j")), "left")
     return placed.withColumn("slot", F.expr("(block DIV n) * total + frame_slot")).select(

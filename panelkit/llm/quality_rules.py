@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, column_of, packed, stage
+from .common import ROW, column_of, packed, small, stage
 from .textarrays import LEAD, SPACE, buffers, chunks, count_where, mix, span_hash, word_bounds
 
 ORDER = 5
@@ -276,7 +276,7 @@ def judge(rows: DataFrame, text: Column, lang: Column, keep: list[Column], reach
     scored = scored.select("*", *(F.col(f"m.{c}").alias(c) for c in names)).drop("m")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PCT * F.col("n_words"))
     scored = stage(scored.withColumn("base_failed", failed), "quality")
-    bands = language_bands(scored, reach)
+    bands = small(stage(language_bands(scored, reach), "bands"))
     judged = scored.join(bands, "band_lang", "left")
     inside = F.col("nll").isNull() | F.col("low").isNull() | F.col("nll").between(F.col("low"), F.col("high"))
     return judged.withColumn("kept", ~F.col("base_failed") & inside).drop("band_lang", "low", "high")
