@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import ROW, column_of, packed, stage
-from .textarrays import chunks, span_hash, word_bounds
+from .textarrays import chunks, mix, span_hash, word_bounds
 
 LEAST_WORDS = 50
 GRAM = 5
@@ -102,8 +102,10 @@ def kept_suffixes(texts: DataFrame, least_words: int, gram: int, window: int) ->
 
 
 def candidate_runs(texts: DataFrame, least_words: int, window: int) -> DataFrame:
-    """(h, no, pos, again): every run of ``least_words`` words that starts at
-    most ``window - 1`` words before an anchor; ``again``: seen before in its text.
+    """(h, no, pos, kind): every run of ``least_words`` words that starts at most
+    ``window - 1`` words before an anchor. ``kind``: 0 once in its text, 1 the
+    first of several there, 2 a later one. Later ones are repeats whatever other
+    texts hold, so their ``h`` is salted: a run that fills a text is no hot key.
     ``texts`` has (no, text, spots)."""
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,12 +124,16 @@ def candidate_runs(texts: DataFrame, least_words: int, window: int) -> DataFrame
                 first = first[doc[first] == doc[first + least_words - 1]]
                 h, owner = _run_hash(word, first, least_words), doc[first]
                 order = np.lexsort((h, owner))
-                again = np.zeros(len(h), bool)
-                again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
-                yield from _parts([pa.array(h.view(np.int64)), pa.array(number[owner + low]),
-                                   pa.array((first - base[owner]).astype(np.int32)), pa.array(again)], ["h", "no", "pos", "again"])
+                again = (h[order[1:]] == h[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+                kind = np.zeros(len(h), np.int8)
+                kind[order[:-1][again]] = 1
+                kind[order[1:][again]] = 2
+                pos, no = first - base[owner], number[owner + low]
+                salted = mix(h ^ mix(no.astype(_U)) ^ mix(pos.astype(_U)))
+                h = np.where(kind == 2, salted, h)
+                yield from _parts([pa.array(h.view(np.int64)), pa.array(no), pa.array(pos.astype(np.int32)), pa.array(kind)], ["h", "no", "pos", "kind"])
 
-    return texts.select("no", "text", "spots").mapInArrow(extend, "h long, no long, pos int, again boolean")
+    return texts.select("no", "text", "spots").mapInArrow(extend, "h long, no long, pos int, kind tinyint")
 
 
 SPANS = "array<struct<start: int, end: int>>"
@@ -183,10 +189,10 @@ def find_passages(texts: DataFrame, least_words: int = LEAST_WORDS, gram: int =
     anchors = stage(anchors, "anchors")
 
     runs = candidate_runs(anchors.join(texts, "doc"), least_words, window)
-    places = runs.groupBy("h").agg(F.min("no").alias("least"), F.max("no").alias("most"), F.max("again").alias("twice"))
-    places = places.where("least < most OR twice").select("h", "least")
-    stays = ((F.col("no") == F.col("least")) & ~F.col("again")).cast("int")
-    found = runs.join(places, "h").groupBy("no").agg(F.collect_set(2 * F.col("pos") + stays).alias("runs"))
+    places = runs.where("kind < 2").groupBy("h").agg(F.min("no").alias("least"), F.max("no").alias("most"), F.max("kind").alias("kinds"))
+    places = places.where("least < most OR kinds = 1").select("h", "least")
+    stays = F.when((F.col("no") == F.col("least")) & (F.col("kind") < 2), 1).otherwise(0)
+    found = runs.join(places, "h", "left").where("least IS NOT NULL OR kind = 2").groupBy("no").agg(F.collect_set(2 * F.col("pos") + stays).alias("runs"))
     found = found.select("no", _spans_udf(least_words)("runs").alias("s")).join(anchors.select("no", "doc"), "no")
     found = found.join(whole.select("doc", "n_words"), "doc").select("doc", "n_words", "s.repeated", "s.removed")
 
