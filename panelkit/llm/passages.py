@@ -81,9 +81,21 @@ def _parts(arrays: list[pa.Array], names: list[str], size: int = 1 << 16) -> Ite
         yield whole.slice(low, size)
 
 
+def _salted(key: np.ndarray, owner: np.ndarray, pos: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their kind in their text (``owner``): 0 once, 1 the first of several, 2 a later one,
+    whose key is made its own: it is a repeat whatever other texts hold, and a text full of one run is no hot key."""
+    order = np.lexsort((key, owner))
+    again = (key[order[1:]] == key[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+    kind = np.zeros(len(key), np.int8)
+    kind[order[:-1][again]] = 1
+    kind[order[1:][again]] = 2
+    return np.where(kind == 2, mix(key ^ mix(salt.astype(_U)) ^ mix(pos.astype(_U) + _U(1))), key), kind
+
+
 def kept_suffixes(texts: DataFrame, least_words: int, gram: int, window: int) -> DataFrame:
-    """(doc, pos, key): every selected suffix of every text, and for every text
-    of ``least_words`` words or more a row with its number of words as ``pos`` and no key."""
+    """(doc, pos, key, kind): every selected suffix of every text, and for every text
+    of ``least_words`` words or more a row with its number of words as ``pos`` and no
+    key. ``kind`` and salt as in ``candidate_runs``."""
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, at in chunks(batch.column(1)):
@@ -92,20 +104,21 @@ def kept_suffixes(texts: DataFrame, least_words: int, gram: int, window: int) ->
                 spot, key = selected(span_hash(data, starts, ends), doc, least_words, gram, window)
                 length = np.diff(base)
                 long = np.flatnonzero(length >= least_words)
+                place = spot - base[doc[spot]]
+                key, kind = _salted(key, doc[spot], place, doc[spot])
                 owner = batch.column(0).take(pa.array(np.concatenate([doc[spot], long]) + low))
-                pos = np.concatenate([spot - base[doc[spot]], length[long]]).astype(np.int32)
+                pos = np.concatenate([place, length[long]]).astype(np.int32)
                 keys = pa.concat_arrays([pa.array(key.view(np.int64)), pa.nulls(len(long), pa.int64())])
-                yield from _parts([owner, pa.array(pos), keys], ["doc", "pos", "key"])
+                yield from _parts([owner, pa.array(pos), keys, pa.array(np.append(kind, np.zeros(len(long), np.int8)))], ["doc", "pos", "key", "kind"])
 
-    schema = T.StructType([texts.schema["doc"], T.StructField("pos", T.IntegerType()), T.StructField("key", T.LongType())])
+    schema = T.StructType([texts.schema["doc"], T.StructField("pos", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("kind", T.ByteType())])
     return texts.select("doc", "text").mapInArrow(select, schema)
 
 
 def candidate_runs(texts: DataFrame, least_words: int, window: int) -> DataFrame:
     """(h, no, pos, kind): every run of ``least_words`` words that starts at most
     ``window - 1`` words before an anchor. ``kind``: 0 once in its text, 1 the
-    first of several there, 2 a later one. Later ones are repeats whatever other
-    texts hold, so their ``h`` is salted: a run that fills a text is no hot key.
+    first of several there, 2 a later one (with salted ``h``).
     ``texts`` has (no, text, spots)."""
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,14 +136,8 @@ def candidate_runs(texts: DataFrame, least_words: int, window: int) -> DataFrame
                 first = first[first + least_words <= len(word)]
                 first = first[doc[first] == doc[first + least_words - 1]]
                 h, owner = _run_hash(word, first, least_words), doc[first]
-                order = np.lexsort((h, owner))
-                again = (h[order[1:]] == h[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
-                kind = np.zeros(len(h), np.int8)
-                kind[order[:-1][again]] = 1
-                kind[order[1:][again]] = 2
                 pos, no = first - base[owner], number[owner + low]
-                salted = mix(h ^ mix(no.astype(_U)) ^ mix(pos.astype(_U)))
-                h = np.where(kind == 2, salted, h)
+                h, kind = _salted(h, owner, pos, no)
                 yield from _parts([pa.array(h.view(np.int64)), pa.array(no), pa.array(pos.astype(np.int32)), pa.array(kind)], ["h", "no", "pos", "kind"])
 
     return texts.select("no", "text", "spots").mapInArrow(extend, "h long, no long, pos int, kind tinyint")
@@ -183,8 +190,9 @@ def find_passages(texts: DataFrame, least_words: int = LEAST_WORDS, gram: int =
 
     # anchors of the texts that stay, numbered in the documents' order
     suffixes = kept.where("key IS NOT NULL")
-    shared = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    anchors = suffixes.join(shared, "key", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("spots"))
+    shared = suffixes.where("kind < 2").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("kinds"))
+    shared = shared.where("n > 1 OR kinds = 1").select("key", "n")
+    anchors = suffixes.join(shared, "key", "left").where("n IS NOT NULL OR kind = 2").groupBy("doc").agg(F.collect_set("pos").alias("spots"))
     anchors = anchors.join(spare, "doc", "left_anti").orderBy("doc").withColumn("no", F.monotonically_increasing_id())
     anchors = stage(anchors, "anchors")
 
