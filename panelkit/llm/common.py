@@ -13,6 +13,8 @@ from ..session import ensure_checkpoint_dir
 #: Field that holds a caller's whole row while an operator works beside it, so
 #: that columns of any name (clashing ones too) pass through untouched.
 ROW = "row"
+#: Bytes of one Arrow batch between Spark and a Python worker.
+BATCH_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ready(spark: SparkSession) -> None:
     """Let Python workers import this package from the driver's path, where
-    they share it; elsewhere it is shipped with ``--py-files``."""
+    they share it (elsewhere it is shipped with ``--py-files``), and bound the
+    Arrow batches by bytes, as texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):

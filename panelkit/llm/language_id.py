@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_of, crc_fold
+from .common import column_of, crc_fold, small, stage
 from .textarrays import chunks
 
 SAMPLE = 1 << 15
@@ -166,6 +166,7 @@ def draw_samples(rows: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("long", F.length("text") > SHORT)
     sizes = rows.groupBy("lang", "long").agg(F.sum(F.length("text")).alias("chars"))
     totals = sizes.groupBy("lang").agg(*(F.coalesce(F.sum(F.when(F.col("long") == v, F.col("chars"))), F.lit(0)).alias(n) for n, v in (("short_chars", False), ("long_chars", True))))
+    totals = small(stage(totals, "langs"))
     share = F.when(~F.col("long"), 2.0 * sample / F.col("short_chars")).when(F.col("short_chars") < sample, 2.0 * sample / F.col("long_chars")).otherwise(0.0)
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"), F.lit(1 << 30)) / float(1 << 30)
     drawn = rows.join(totals, "lang").withColumn("draw", draw).where(F.col("draw") < share).select("lang", "long", "draw", "text")
@@ -191,7 +192,7 @@ def predict_udf(spark, parser: Parser):
     def predict(text: pa.Array) -> pa.Array:
         parser = shared.value
         names, scores = [], []
-        for low, high, data, at in chunks(text, 1 << 22):
+        for low, high, data, at in chunks(text, 1 << 21):
             value, ends = symbols(data, at)
             lettered = _has_letters(text, low, data, at)
             if not parser.languages:

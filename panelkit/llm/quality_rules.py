@@ -134,7 +134,7 @@ def count_ngrams(docs: DataFrame, text: Column, lang: Column, bits: int = BITS)
             for low, high, data, at in chunks(batch.column(0)):
                 keys, _ = ngram_keys(data, at, code[low:high])
                 slot = slots(keys, bits)
-                total += np.bincount(slot, minlength=1 << bits)
+                np.add.at(total, slot, 1)
                 np.minimum.at(least, slot, keys.astype(np.int64))
         used = np.flatnonzero(total)
         for part in np.array_split(used, max(1, len(used) >> 16)):

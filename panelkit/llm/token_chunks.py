@@ -18,7 +18,7 @@ import pyarrow as pa
 from .textarrays import buffers, span_hash
 
 #: Bytes of text that are cut and looked up together (a longer text alone).
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 _U = np.uint64
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
@@ -68,7 +68,7 @@ class PieceTable:
     an open-addressed table of places in one pool of ids. Beyond ``most`` pieces
     it starts anew. ``encode`` gives the ids of new pieces and how many each has."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
         self.encode, self.most = encode, most
         self.bits = int(2 * most - 1).bit_length()
         self.key = np.zeros(1 << self.bits, _U)
