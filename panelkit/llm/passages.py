@@ -246,13 +246,14 @@ def trim_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     place, and ``length_col`` (if there is one) brought up to date. A row of which
     no word is left goes; rows without passages are unchanged."""
     text = column_of(docs, text_col).cast("string")
-    rows = packed(docs, doc=_identity(column_of(docs, id_col), text), text=text)
-    cuts = find_passages(rows.select("doc", "text"), **params).where(F.size("removed") > 0).select("doc", "n_words", "removed")
+    doc = _identity(column_of(docs, id_col), text)
+    rows = packed(docs, doc=doc)
+    cuts = find_passages(docs.select(doc.alias("doc"), text.alias("text")), **params).where(F.size("removed") > 0).select("doc", "n_words", "removed")
     rows = rows.join(cuts, "doc", "left")
     gone = F.aggregate("removed", F.lit(0), lambda n, x: n + x["end"] - x["start"]) >= F.col("n_words")
     rows = rows.where(F.col("removed").isNull() | ~gone)
     # only texts with a cut go through Python
-    cut = rows.where("removed IS NOT NULL").withColumn("text", _without("text", "removed"))
+    cut = rows.where("removed IS NOT NULL").withColumn("text", _without(F.col(ROW).getField(text_col).cast("string"), "removed"))
 
     def unpacked(rows: DataFrame, changed: bool) -> DataFrame:
         out = []

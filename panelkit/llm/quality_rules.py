@@ -267,15 +267,19 @@ def measure(spark, model: Model):
 STATS_DDL = f"struct<{STATS.replace(' long', ': bigint').replace(' double', ': double')}>"
 
 
-def judge(rows: DataFrame, text: Column, lang: Column, keep: list[Column], reach: float = REACH, bits: int = BITS) -> DataFrame:
-    """``keep`` columns plus the counts, ``nll``, ``base_failed`` and ``kept`` of every row."""
+def judge(rows: DataFrame, text: Column, lang: Column, keep: list[Column], reach: float = REACH, bits: int = BITS, written: bool = True) -> DataFrame:
+    """``keep`` columns plus the counts, ``nll``, ``base_failed`` and ``kept`` of every row.
+    The scores are needed twice (for the bands, then to judge): they are ``written`` with
+    the ``keep`` columns, or, where those hold whole texts, found twice instead."""
     model = train(rows, text, lang, bits)
     scored = rows.select(*keep, F.coalesce(lang.cast("string"), F.lit("")).alias("band_lang"),
                          measure(rows.sparkSession, model)(text.cast("string"), language_code(lang)).alias("m"))
     names = [c.split(" ")[0] for c in STATS.split(", ")]
     scored = scored.select("*", *(F.col(f"m.{c}").alias(c) for c in names)).drop("m")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PCT * F.col("n_words"))
-    scored = stage(scored.withColumn("base_failed", failed), "quality")
+    scored = scored.withColumn("base_failed", failed)
+    if written:
+        scored = stage(scored, "quality")
     bands = small(stage(language_bands(scored, reach), "bands"))
     judged = scored.join(bands, "band_lang", "left")
     inside = F.col("nll").isNull() | F.col("low").isNull() | F.col("nll").between(F.col("low"), F.col("high"))
@@ -294,7 +298,7 @@ def language_bands(scored: DataFrame, reach: float) -> DataFrame:
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", reach: float = REACH) -> DataFrame:
     """The rows of ``docs`` that pass, unchanged."""
     rows = packed(docs, text=column_of(docs, text_col), lang=column_of(docs, lang_col))
-    judged = judge(rows, F.col("text"), F.col("lang"), [F.col(ROW)], reach)
+    judged = judge(rows, F.col("text"), F.col("lang"), [F.col(ROW)], reach, written=False)
     return judged.where("kept").select(f"{ROW}.*")
 
 

@@ -199,10 +199,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, unchanged, of which one per component stays: that
     with the smallest id (of equal ids the first by text hash, of equal rows one)."""
-    fp = fingerprint_udf(shingle)(column_of(docs, text_col).cast("string"))
-    rows = packed(docs, doc_id=column_of(docs, id_col), fp=fp, tie=F.xxhash64(column_of(docs, text_col).cast("string")))
-    rows = stage(rows.withColumn("place", F.monotonically_increasing_id()), "simhash")
-    found = components(rows.select("doc_id", "fp", "tie", "place"), max_bits)
-    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tie", "place")
-    kept = found.groupBy("component_id").agg(F.min(order).alias("k")).select(F.col("k.place").alias("place"))
-    return rows.join(kept, "place", "left_semi").select(f"{ROW}.*")
+    text = column_of(docs, text_col).cast("string")
+    same = dict(doc_id=column_of(docs, id_col), tie=F.xxhash64(text))
+    rows = stage(docs.select(*(c.alias(k) for k, c in same.items()), fingerprint_udf(shingle)(text).alias("fp")), "simhash")
+    found = components(rows, max_bits)
+    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tie")
+    first = found.groupBy("component_id").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("d"), F.col("k.tie").alias("t"))
+    again = rows.groupBy(F.col("doc_id").alias("d"), F.col("tie").alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    first = first.join(again, first["d"].eqNullSafe(again["d"]) & (first["t"] == again["t"])).select(first["d"], first["t"], "n")
+    kept = packed(docs, **same).join(first, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")))
+    # only rows that agree in id and text are brought together again
+    repeated = kept.where("n > 1").dropDuplicates(["doc_id", "tie"])
+    return kept.where("n = 1").unionAll(repeated).select(f"{ROW}.*")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_of, crc_fold
+from .common import column_of, crc_fold, small, stage
 from .linear import Sparse, collect_features, distinct, fit_logistic, presence_sum, sigmoid, to_index
 from .textarrays import chunks, span_hash
 
@@ -100,10 +100,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
     labels = labels.where("label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     labels = labels.where(crc_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     # the classes are counted, and the rows drawn, before any text is joined
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = small(stage(labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "classes"), 100)
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    drawn = labels.join(F.broadcast(sizes), "label").withColumn("share", F.least(F.lit(1.0), per_class / F.col("n"))).where(draw < F.col("share"))
-    return docs.join(drawn.select("doc_id", "label", "share"), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("double"), "share")
+    drawn = labels.join(sizes, "label").withColumn("share", F.least(F.lit(1.0), per_class / F.col("n"))).where(draw < F.col("share"))
+    drawn = small(stage(drawn.select("doc_id", "label", "share"), "drawn"), 4 * per_class)
+    return docs.join(drawn, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("double"), "share")
 
 
 class Model:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_of, stage
+from .common import column_of, small, stage
 from .linear import Sparse, collect_features, distinct, fit_logistic, presence_sum, sigmoid, to_index
 from .quality_rules import base_counts
 from .textarrays import LEAD, SPACE, chunks, count_where, span_hash, word_bounds
@@ -207,7 +207,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     # at most 3 ** labellers rows
     known = F.broadcast(spark.createDataFrame(list(zip(patterns, map(float, posterior))), "votes string, posterior double"))
 
-    drawn = voted.where(F.col("draw") < int((1 << 30) * min(1.0, sample / max(n.sum(), 1)))).join(known, "votes").select("doc_id", "posterior").groupBy("doc_id").agg(F.first("posterior").alias("posterior"))
+    drawn = voted.where(F.col("draw") < int((1 << 30) * min(1.0, sample / max(n.sum(), 1)))).join(known, "votes").select("doc_id", "posterior").groupBy("doc_id").agg(F.min("posterior").alias("posterior"))
+    drawn = small(stage(drawn, "drawn"), 2 * sample)
     model = train(texts.join(drawn, "doc_id").select("text", "posterior"))
     scored = texts.select("doc_id", draw, counts_udf()("text").alias("c"), score_udf(spark, model)("text").alias("score"))
     scored = scored.select("doc_id", "score", "c.*").withColumn("votes", votes()).join(known, "votes", "left")
