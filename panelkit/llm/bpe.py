@@ -32,8 +32,8 @@ from .token_chunks import PieceTable, encoded, joins_safely, ragged
 _U = np.uint64
 _NONE = np.int64(1) << 40
 _SPREAD = _U(0x9E3779B97F4A7C15)
-#: Rows of one matrix.
-ROWS = 1 << 15
+#: Rows of one matrix, and pieces a worker remembers.
+ROWS, PIECES = 1 << 14, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -205,7 +205,7 @@ def worker_encoder(path: str, pattern: str) -> tuple[Encoder, PieceTable]:
     """This worker's encoder; the vocabulary file lies at the same path on every node."""
     if (path, pattern) not in _caches:
         encoder = Encoder(read_ranks(path), pattern)
-        _caches[path, pattern] = encoder, PieceTable(encoder.encode_pieces)
+        _caches[path, pattern] = encoder, PieceTable(encoder.encode_pieces, PIECES)
     return _caches[path, pattern]
 
 

@@ -192,7 +192,7 @@ def predict_udf(spark, parser: Parser):
     def predict(text: pa.Array) -> pa.Array:
         parser = shared.value
         names, scores = [], []
-        for low, high, data, at in chunks(text, 1 << 21):
+        for low, high, data, at in chunks(text, (1 << 21) - (1 << 12)):
             value, ends = symbols(data, at)
             lettered = _has_letters(text, low, data, at)
             if not parser.languages:

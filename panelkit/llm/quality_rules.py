@@ -127,7 +127,7 @@ def slots(keys: np.ndarray, bits: int) -> np.ndarray:
 def count_ngrams(docs: DataFrame, text: Column, lang: Column, bits: int = BITS) -> DataFrame:
     """(slot, key, n): one row per used slot, over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.int32)
         least = np.full(1 << bits, np.iinfo(np.int64).max, np.int64)
         for batch in batches:
             code = batch.column(1).to_numpy(zero_copy_only=False)
@@ -138,7 +138,7 @@ def count_ngrams(docs: DataFrame, text: Column, lang: Column, bits: int = BITS)
                 np.minimum.at(least, slot, keys.astype(np.int64))
         used = np.flatnonzero(total)
         for part in np.array_split(used, max(1, len(used) >> 16)):
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(least[part]), pa.array(total[part])], ["slot", "key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(least[part]), pa.array(total[part].astype(np.int64))], ["slot", "key", "n"])
 
     rows = docs.select(text.cast("string").alias("text"), language_code(lang).alias("lang"))
     return (rows.mapInArrow(count, "slot long, key long, n long")

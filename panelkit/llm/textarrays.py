@@ -10,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+#: (just below a power of two, to which the tables of powers are rounded)
+CHUNK_BYTES = (1 << 20) - (1 << 12)
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 _INV = _U(pow(int(_BASE), -1, 1 << 64))

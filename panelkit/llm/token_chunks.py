@@ -18,7 +18,7 @@ import pyarrow as pa
 from .textarrays import buffers, span_hash
 
 #: Bytes of text that are cut and looked up together (a longer text alone).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = (1 << 20) - (1 << 12)
 _U = np.uint64
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
