@@ -261,7 +261,8 @@ def measure(spark, model: Model):
         arrays.append(pa.array(columns[5], mask=np.isnan(columns[5])))
         return pa.StructArray.from_arrays(arrays, fields=list(_STATS_TYPE))
 
-    return measured
+    # so that a filter on the result does not evaluate it again
+    return measured.asNondeterministic()
 
 
 STATS_DDL = f"struct<{STATS.replace(' long', ': bigint').replace(' double', ': double')}>"
