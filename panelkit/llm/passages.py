@@ -229,6 +229,9 @@ def _without(text: pa.Array, removed: pa.Array) -> pa.Array:
     """The text without the words of the removed spans (and the space after each)."""
     out = []
     for value, spans in zip(text, removed):
+        if not spans.is_valid:
+            out.append(None)
+            continue
         raw = (value.as_py() or "").encode()
         data = np.frombuffer(raw, np.uint8)
         starts, _, _ = word_bounds(data, np.array([0, len(data)]))
@@ -252,18 +255,16 @@ def trim_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.join(cuts, "doc", "left")
     gone = F.aggregate("removed", F.lit(0), lambda n, x: n + x["end"] - x["start"]) >= F.col("n_words")
     rows = rows.where(F.col("removed").isNull() | ~gone)
-    # only texts with a cut go through Python
-    cut = rows.where("removed IS NOT NULL").withColumn("text", _without(F.col(ROW).getField(text_col).cast("string"), "removed"))
-
-    def unpacked(rows: DataFrame, changed: bool) -> DataFrame:
-        out = []
-        for f in docs.schema.fields:
-            c = F.col(ROW).getField(f.name)
-            if changed and f.name == text_col:
-                c = F.col("text")
-            elif changed and f.name == length_col:
-                c = F.length("text").cast(f.dataType)
-            out.append(c.alias(f.name))
-        return rows.select(*out)
-
-    return unpacked(rows.where("removed IS NULL"), False).unionAll(unpacked(cut, True))
+    # only texts with a cut are sent through Python
+    old = F.col(ROW).getField(text_col)
+    new = _without(F.when(F.col("removed").isNotNull(), old.cast("string")), F.col("removed"))
+    rows = rows.withColumn("cut", new)
+    out = []
+    for f in docs.schema.fields:
+        c = F.col(ROW).getField(f.name)
+        if f.name == text_col:
+            c = F.when(F.col("removed").isNull(), c).otherwise(F.col("cut"))
+        elif f.name == length_col:
+            c = F.when(F.col("removed").isNull(), c).otherwise(F.length("cut").cast(f.dataType))
+        out.append(c.alias(f.name))
+    return rows.select(*out)
