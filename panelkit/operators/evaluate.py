@@ -308,6 +308,7 @@ def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str,
 
 def forest(**kw):
     from pyspark.ml.regression import RandomForestRegressor
+    kw.setdefault("featureSubsetStrategy", "all")
     return RandomForestRegressor(numTrees=200, maxDepth=5, minInstancesPerNode=4, seed=42, **kw)
 
 

@@ -184,6 +184,8 @@ def iqr_outliers(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
     d = df.where(v.isNotNull())
     q = exact_quantiles(d, [], value, {"q1": 0.25, "q3": 0.75})
     qs = q.first()
+    if qs is None or qs["q1"] is None:  # no value, no fences
+        return d.where(F.lit(False)).withColumns({"lado": F.lit(""), "limite_inf": F.lit(0.0), "limite_sup": F.lit(0.0), "pct_atipicos": F.lit(0.0)})
     q1, q3 = qs["q1"], qs["q3"]
     lo = F.lit(q1 - k * (q3 - q1))
     hi = F.lit(q3 + k * (q3 - q1))

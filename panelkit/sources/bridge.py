@@ -223,12 +223,11 @@ def macro_wide(t: Tables) -> DataFrame:
     long = (li.groupBy("_src", "_year").agg((F.sum("l_extendedprice") / 1e6).alias("_val"))
               .select(code_map[F.col("_src")].alias("codigo_indicador"), "_year", "_val")
               .where(F.col("codigo_indicador").isNotNull()))
-    years = [str(y) for y in range(1992, 2031)]  # calendar bound of the fixture; empty years are dropped below
+    # one column per calendar year of the data
+    years = sorted(r[0] for r in t.lineitem.select(F.year("l_shipdate").cast("string").alias("y")).distinct().where("y IS NOT NULL").collect())
     wide = long.groupBy("codigo_indicador").pivot("_year", years).agg(F.first("_val"))
-    present = [r[0] for r in long.select("_year").distinct().collect()]  # <= 39 values
-    keep = [y for y in years if y in present]
     order = F.create_map(*[x for i, c in enumerate(MACRO_SOURCE.values()) for x in (F.lit(c), F.lit(i))])
-    return wide.select("codigo_indicador", order[F.col("codigo_indicador")].alias("_row"), *keep)
+    return wide.select("codigo_indicador", order[F.col("codigo_indicador")].alias("_row"), *years)
 
 
 def publication_seq(period_col) -> F.Column:
@@ -305,7 +304,7 @@ def grid_registry(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     reg = reg.join(n, "pub_seq")
     first = (F.col("role") == "prev") | (F.col("_np") == 1)
     return reg.select(
-        F.concat(F.lit("c2_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("file_id"),
+        F.concat(F.lit("c2_"), F.format_string("%03d", F.col("pub_seq").cast("int"))).alias("file_id"),
         "pub_seq", _layout_of(F.col("pub_seq")).alias("layout"), "role",
         F.col(spec.period).alias("periodo"), F.col(spec.year).alias("anio"),
         F.when(first, F.lit(2)).otherwise(F.lit(5)).alias("col_total"),
@@ -446,10 +445,10 @@ def report_listing(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     decoys (a neighbouring table number, a non-spreadsheet file)."""
     reg = grid_registry(t, spec).select("pub_seq").distinct()
     ids = F.array(*[F.lit(i) for i in REPORT_IDS])
-    f = reg.select(F.concat(F.lit("pub_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("folder"),
+    f = reg.select(F.concat(F.lit("pub_"), F.format_string("%03d", F.col("pub_seq").cast("int"))).alias("folder"),
                    "pub_seq", F.posexplode(ids).alias("_n", "cuadro"))
     style = F.col("pub_seq") % 4
-    num = F.lpad((F.col("_n") + 1).cast("string"), 2, "0")
+    num = F.format_string("%02d", (F.col("_n") + 1).cast("int"))
     name = (F.when(style == 0, F.concat(F.lit("Cuadro "), F.col("cuadro"), F.lit(". Poblacion ocupada.xlsx")))
              .when(style == 1, F.concat(F.lit("Cuadro "), F.col("cuadro"), F.lit(" . Poblacion.xls")))
              .when(style == 2, F.concat(F.lit("CUADRO "), F.col("cuadro"), F.lit(". POBLACION.XLSX")))
@@ -462,9 +461,9 @@ def report_listing(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
 def report_requests(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     reg = grid_registry(t, spec).select("pub_seq").distinct()
     ids = F.array(*[F.lit(i) for i in REPORT_IDS])
-    return reg.select(F.concat(F.lit("pub_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("folder"),
+    return reg.select(F.concat(F.lit("pub_"), F.format_string("%03d", F.col("pub_seq").cast("int"))).alias("folder"),
                       F.posexplode(ids).alias("_n", "cuadro")).select(
-        "folder", "cuadro", F.lpad((F.col("_n") + 1).cast("string"), 2, "0").alias("numero"))
+        "folder", "cuadro", F.format_string("%02d", (F.col("_n") + 1).cast("int")).alias("numero"))
 
 
 def national_totals(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
@@ -525,7 +524,7 @@ def sector_grid(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     attrs = line_attributes(t, spec)
     nat = F.broadcast(t.nation.select(F.col("n_name").alias(spec.entity), F.col("n_nationkey").alias("_k")))
     rows = attrs.join(reg, "periodo").join(nat, spec.entity)
-    fid = F.concat(F.lit("c13_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0"))
+    fid = F.concat(F.lit("c13_"), F.format_string("%03d", F.col("pub_seq").cast("int")))
     start = 10 + F.col("_k") * 40
     val = {"pri": F.col("pct_sector_primario"), "sec": F.col("pct_sector_secundario"),
            "ter": F.col("pct_sector_terciario"), "decoy": F.lit(-1.0)}
@@ -551,7 +550,7 @@ def informal_grid(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     o = order_attributes(t, spec).select(spec.entity, spec.period, "empleo_informal_pct")
     nat = F.broadcast(t.nation.select(F.col("n_name").alias(spec.entity), F.col("n_nationkey").alias("_k")))
     rows = o.join(reg, "periodo").join(nat, spec.entity)
-    fid = F.concat(F.lit("c39_"), F.lpad(F.col("pub_seq").cast("string"), 3, "0")).alias("file_id")
+    fid = F.concat(F.lit("c39_"), F.format_string("%03d", F.col("pub_seq").cast("int"))).alias("file_id")
     main = rows.select(fid, F.when(F.col("_k") < 19, 10 + F.col("_k")).otherwise(11 + F.col("_k")).cast("int").alias("row"),
                        "_c", spec.entity, "empleo_informal_pct")
     rev = (rows.where(F.col("_k") == 3)
