@@ -42,6 +42,8 @@ from .token_chunks import PieceTable, encoded, joins_safely, ragged
 MOST_BITS = 20
 BLOCK_IDS = 1 << 16
 STRIDE = 512
+#: Pieces a worker remembers.
+PIECES = 1_500_000
 _U = np.uint64
 
 _tables: dict[str, PieceTable] = {}
@@ -58,7 +60,7 @@ def worker_table(path: str) -> PieceTable:
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # a byte-level token has one character for each byte
         width = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())], np.int64)
-        _tables[path] = PieceTable(lambda values: encode_pieces(tokenizer, width, values))
+        _tables[path] = PieceTable(lambda values: encode_pieces(tokenizer, width, values), PIECES)
     return _tables[path]
 
 
