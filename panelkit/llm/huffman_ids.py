@@ -42,6 +42,8 @@ from .token_chunks import PieceTable, encoded, joins_safely, ragged
 MOST_BITS = 20
 BLOCK_IDS = 1 << 16
 STRIDE = 512
+#: Bytes of text looked up together: fewer, larger additions to the worker's table.
+CHUNK_BYTES = (1 << 22) - (1 << 12)
 #: Pieces a worker remembers.
 PIECES = 1_500_000
 _U = np.uint64
@@ -98,7 +100,7 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def encode(text: pa.Array) -> pa.Array:
         end = np.array([end_id], np.int32)
         table = worker_table(path)
-        return pa.array([_narrow(np.append(ids[a:b], end)) for ids, at in encoded(text, table)
+        return pa.array([_narrow(np.append(ids[a:b], end)) for ids, at in encoded(text, table, CHUNK_BYTES)
                          for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
 
     return rows.select(F.monotonically_increasing_id().alias("place"), "doc_id", encode("text").alias("ids"))

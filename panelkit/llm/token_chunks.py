@@ -150,11 +150,11 @@ def _gather(pool, start, size, begin, at) -> tuple[np.ndarray, np.ndarray]:
     return pool[ragged(start, size)], np.append(0, np.cumsum(size))[np.searchsorted(begin, at)]
 
 
-def encoded(texts: pa.Array, table: PieceTable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def encoded(texts: pa.Array, table: PieceTable, most: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, n+1 offsets) of runs of consecutive texts; null counts as empty."""
     data, at = buffers(texts)
     low, n = 0, len(at) - 1
     while low < n:
-        high = max(low + 1, int(np.searchsorted(at, at[low] + CHUNK_BYTES, "right")) - 1)
+        high = max(low + 1, int(np.searchsorted(at, at[low] + most, "right")) - 1)
         yield table.ids(data[at[low]:at[high]], at[low:high + 1] - at[low])
         low = high
