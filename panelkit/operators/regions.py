@@ -1,5 +1,7 @@
 """Regional layer (S8, Z1-Z7, F7, F13, F14, F16) on a vertex table
-``(region, level, ring, seq, x, y)`` in degrees (WGS84)."""
+``(region, level, part, ring, seq, x, y)`` in degrees (WGS84).  A region is
+one or more parts (polygons); ring 0 of a part is its outline, further rings
+are holes.  Tables without ``part`` hold one-part regions."""
 
 from __future__ import annotations
 
@@ -7,71 +9,94 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from panelkit.functions.bands import band_colour, risk_band_nullsafe
 from panelkit.functions.text import short_label
 
+# The nesting of the coordinates depends on the geometry type, so they are
+# first taken as JSON text.
 FEATURE_SCHEMA = StructType([
     StructField("type", StringType()),
     StructField("properties", StructType([StructField("name", StringType()), StructField("level", IntegerType())])),
-    StructField("geometry", StructType([
-        StructField("type", StringType()),
-        StructField("coordinates", ArrayType(ArrayType(ArrayType(DoubleType())))),
-    ])),
+    StructField("geometry", StructType([StructField("type", StringType()), StructField("coordinates", StringType())])),
 ])
+POLYGON = "array<array<array<double>>>"
 
 KM_PER_DEG_LAT = 110.574
 KM_PER_DEG_LON = 111.320
 
 
 def read_features(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """GeoJSON features, one per line (JSON Lines, so a large layer
-    splits across tasks) -> vertex table.  The closing vertex that repeats
-    the first one is dropped."""
+    """GeoJSON Polygon and MultiPolygon features, one per line (JSON
+    Lines, so a large layer splits across tasks) -> vertex table.  The
+    closing vertex that repeats the first one is dropped.  Features without
+    a geometry have no vertices; any other geometry type is an error."""
     f = lines.select(F.from_json(F.col(text_col), FEATURE_SCHEMA).alias("f")).where(F.col("f.geometry").isNotNull())
-    rings = f.select(F.col("f.properties.name").alias("region"), F.col("f.properties.level").alias("level"),
-                     F.posexplode("f.geometry.coordinates").alias("ring", "_r"))
-    pts = rings.select("region", "level", "ring", F.size("_r").alias("_n"), F.posexplode("_r").alias("seq", "_p"))
+    kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    parts = (F.when(kind == "Polygon", F.array(F.from_json(text, POLYGON)))
+              .when(kind == "MultiPolygon", F.from_json(text, f"array<{POLYGON}>"))
+              .otherwise(F.raise_error(F.concat(F.lit("not a polygon layer: "), F.coalesce(kind, F.lit("no type"))))))
+    parts = f.select(F.col("f.properties.name").alias("region"), F.col("f.properties.level").alias("level"),
+                     F.posexplode(parts).alias("part", "_rs"))
+    rings = parts.select("region", "level", "part", F.posexplode("_rs").alias("ring", "_r"))
+    pts = rings.select("region", "level", "part", "ring", F.size("_r").alias("_n"), F.posexplode("_r").alias("seq", "_p"))
     closing = (F.col("seq") == F.col("_n") - 1) & (F.col("_n") > 1)
-    return pts.where(~closing).select("region", "level", "ring", "seq", F.col("_p")[0].alias("x"), F.col("_p")[1].alias("y"))
+    return pts.where(~closing).select("region", "level", "part", "ring", "seq", F.col("_p")[0].alias("x"), F.col("_p")[1].alias("y"))
+
+
+def _with_part(vertices: DataFrame) -> DataFrame:
+    return vertices if "part" in vertices.columns else vertices.withColumn("part", F.lit(0))
 
 
 def to_features(vertices: DataFrame) -> DataFrame:
-    """Vertex table -> one GeoJSON feature per line (closed rings).
-    Vertices are gathered per polygon, which is bounded by its vertex count."""
-    ring = vertices.groupBy("region", "level", "ring").agg(
+    """Vertex table -> one GeoJSON feature per line (closed rings): a Polygon,
+    or a MultiPolygon where a region has several parts.  Vertices are gathered
+    per region, which is bounded by its vertex count."""
+    ring = _with_part(vertices).groupBy("region", "level", "part", "ring").agg(
         F.sort_array(F.collect_list(F.struct("seq", F.array("x", "y").alias("p")))).alias("_v"))
-    ring = ring.select("region", "level", "ring", F.transform("_v", lambda v: v["p"]).alias("_pts"))
-    ring = ring.select("region", "level", "ring", F.concat("_pts", F.slice("_pts", 1, 1)).alias("_pts"))
-    poly = ring.groupBy("region", "level").agg(F.sort_array(F.collect_list(F.struct("ring", "_pts"))).alias("_rs"))
-    feat = F.struct(F.lit("Feature").alias("type"),
-                    F.struct(F.col("region").alias("name"), F.col("level").alias("level")).alias("properties"),
-                    F.struct(F.lit("Polygon").alias("type"),
-                             F.transform("_rs", lambda r: r["_pts"]).alias("coordinates")).alias("geometry"))
-    return poly.select(F.to_json(feat).alias("value"))
+    ring = ring.select("region", "level", "part", "ring", F.transform("_v", lambda v: v["p"]).alias("_pts"))
+    ring = ring.withColumn("_pts", F.concat("_pts", F.slice("_pts", 1, 1)))
+    part = ring.groupBy("region", "level", "part").agg(F.sort_array(F.collect_list(F.struct("ring", "_pts"))).alias("_rs"))
+    part = part.withColumn("_rs", F.transform("_rs", lambda r: r["_pts"]))
+    region = part.groupBy("region", "level").agg(F.sort_array(F.collect_list(F.struct("part", "_rs"))).alias("_ps"))
+    polygons = F.transform("_ps", lambda q: q["_rs"])
+
+    def feature(kind: str, coordinates) -> F.Column:
+        return F.to_json(F.struct(F.lit("Feature").alias("type"),
+                                  F.struct(F.col("region").alias("name"), F.col("level").alias("level")).alias("properties"),
+                                  F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry")))
+
+    return region.select(F.when(F.size("_ps") == 1, feature("Polygon", polygons[0]))
+                          .otherwise(feature("MultiPolygon", polygons)).alias("value"))
 
 
 def polygon_measures(vertices: DataFrame) -> DataFrame:
-    """Shoelace area and centroid per region (outer ring 0), planar in
-    degrees, plus km² with a local equirectangular scale at the centroid
-    latitude (an approximation; not a UTM projection).  The ring window
-    holds one polygon's vertices."""
-    v = vertices.where(F.col("ring") == 0)
-    w = Window.partitionBy("region").orderBy("seq")
-    nxt_x = F.coalesce(F.lead("x").over(w), F.first("x").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    nxt_y = F.coalesce(F.lead("y").over(w), F.first("y").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    e = v.select("region", "level", "x", "y", nxt_x.alias("x2"), nxt_y.alias("y2"))
+    """Shoelace area and centroid per (region, level) over all its
+    parts, holes taken off whichever way their rings turn; planar in degrees,
+    plus km² with a local equirectangular scale at the centroid latitude (an
+    approximation; not a UTM projection).  The window holds one ring."""
+    ring = ["region", "level", "part", "ring"]
+    w = Window.partitionBy(*ring).orderBy("seq")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nxt_x = F.coalesce(F.lead("x").over(w), F.first("x").over(whole))
+    nxt_y = F.coalesce(F.lead("y").over(w), F.first("y").over(whole))
+    e = _with_part(vertices).select(*ring, "x", "y", nxt_x.alias("x2"), nxt_y.alias("y2"))
     cross = F.col("x") * F.col("y2") - F.col("x2") * F.col("y")
-    a = e.groupBy("region", "level").agg(
+    r = e.groupBy(*ring).agg(
         (F.sum(cross) / 2).alias("_a"),
         F.sum((F.col("x") + F.col("x2")) * cross).alias("_cx"), F.sum((F.col("y") + F.col("y2")) * cross).alias("_cy"),
         F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"),
         F.count(F.lit(1)).alias("vertices"))
-    cx = F.col("_cx") / (6 * F.col("_a"))
-    cy = F.col("_cy") / (6 * F.col("_a"))
-    km2 = F.abs("_a") * KM_PER_DEG_LAT * KM_PER_DEG_LON * F.cos(F.radians(cy))
-    return a.select("region", "level", "vertices", F.abs("_a").alias("area_grados2"), cx.alias("centro_x"),
+    sign = F.signum("_a") * F.when(F.col("ring") == 0, 1).otherwise(-1)
+    a = r.groupBy("region", "level").agg(
+        F.sum(sign * F.col("_a")).alias("_a"), F.sum(sign * F.col("_cx")).alias("_cx"), F.sum(sign * F.col("_cy")).alias("_cy"),
+        F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"),
+        F.sum("vertices").alias("vertices"))
+    cx = F.try_divide("_cx", 6 * F.col("_a"))
+    cy = F.try_divide("_cy", 6 * F.col("_a"))
+    km2 = F.col("_a") * KM_PER_DEG_LAT * KM_PER_DEG_LON * F.cos(F.radians(cy))
+    return a.select("region", "level", "vertices", F.col("_a").alias("area_grados2"), cx.alias("centro_x"),
                     cy.alias("centro_y"), km2.alias("area_km2"), "xmin", "xmax", "ymin", "ymax")
 
 
@@ -130,5 +155,16 @@ def regular_polygons(keys: DataFrame, key: str, name: F.Column) -> DataFrame:
     v = keys.select(name.alias("region"), (k % 4).cast("int").alias("level"), cx.alias("_cx"), cy.alias("_cy"),
                     rad.alias("_r"), nv.alias("_nv"), F.explode(F.sequence(F.lit(0), nv - 1)).alias("seq"))
     ang = 2 * math.pi * F.col("seq") / F.col("_nv")
-    return v.select("region", "level", F.lit(0).alias("ring"), F.col("seq").cast("int").alias("seq"),
+    return v.select("region", "level", F.lit(0).alias("part"), F.lit(0).alias("ring"), F.col("seq").cast("int").alias("seq"),
                     (F.col("_cx") + F.col("_r") * F.cos(ang)).alias("x"), (F.col("_cy") + F.col("_r") * F.sin(ang)).alias("y"))
+
+
+def holes_and_islands(vertices: DataFrame) -> DataFrame:
+    """Fixture rule: every outline gets a hole of half its size around the
+    same centre, and every region of an even level a second part ten degrees east."""
+    mid = vertices.groupBy("region", "level").agg(F.avg("x").alias("_mx"), F.avg("y").alias("_my"))
+    v = vertices.join(mid, ["region", "level"])
+    cols = vertices.columns
+    hole = v.withColumns({"ring": F.lit(1), "x": (F.col("x") + F.col("_mx")) / 2, "y": (F.col("y") + F.col("_my")) / 2})
+    island = v.where(F.col("level") % 2 == 0).withColumns({"part": F.lit(1), "x": F.col("x") + 10})
+    return v.select(*cols).unionByName(hole.select(*cols)).unionByName(island.select(*cols))

@@ -39,18 +39,20 @@ def what_if(features: DataFrame, scenarios: DataFrame, weights: dict[str, float]
     with the actual rate.
 
     Scenarios are pivoted over the fixed slider list and joined to their
-    base rows on the cell key — no cross product."""
+    base rows on the cell key — no cross product.  A scenario whose cell has
+    no row in the latest period stays, without values and with ``estado``
+    'sin fila base' ('ok' otherwise)."""
     keys = [c for c in (spec.entity, spec.area, spec.sex) if c in features.columns]
     latest = features.select(F.max(spec.period)).scalar()
-    base = features.where(F.col(spec.period) == latest)
+    base = features.where(F.col(spec.period) == latest).withColumn("_found", F.lit(True))
     names = list(sliders)
     sc = (scenarios.groupBy("scenario_id", *keys).pivot("variable", names).agg(F.max("value"))
                    .select("scenario_id", *keys, *[F.col(n).alias(f"_o_{n}") for n in names]))
-    j = base.join(sc, keys)
+    j = sc.join(base, keys, "left").withColumn("_found", F.col("_found").isNotNull())
     new = {}
     for n, (lo, hi) in sliders.items():
         cur = F.col(n).cast("double") if n in features.columns else F.lit((lo + hi) / 2)
-        new[n] = clamp(F.coalesce(F.col(f"_o_{n}"), cur), lo, hi)
+        new[n] = F.when(F.col("_found"), clamp(F.coalesce(F.col(f"_o_{n}"), cur), lo, hi))
     j = j.withColumns(new)
     lag = f"{spec.target}_lag1"
     inter = {}
@@ -65,10 +67,11 @@ def what_if(features: DataFrame, scenarios: DataFrame, weights: dict[str, float]
     j = j.withColumns(inter)
     cols = list(weights)
     fill = column_medians(features, cols) if impute == "median" else {c: F.lit(0.0) for c in cols}
-    pred = linear_score(j, weights, intercept, fill)
+    pred = F.when(F.col("_found"), linear_score(j, weights, intercept, fill))
     return j.select("scenario_id", *keys, spec.period, F.col(spec.target).alias("tasa_real"),
-                    pred.alias("prediccion"), risk_band(pred, low, high).alias("riesgo"),
-                    (pred - F.col(spec.target)).alias("delta"), *names)
+                    pred.alias("prediccion"), F.when(F.col("_found"), risk_band(pred, low, high)).alias("riesgo"),
+                    (pred - F.col(spec.target)).alias("delta"),
+                    F.when(F.col("_found"), "ok").otherwise("sin fila base").alias("estado"), *names)
 
 
 def scenario_values(result: DataFrame, names: list[str]) -> DataFrame:

@@ -113,5 +113,6 @@ SCENARIOS = [  # (scenario_id, provincia, area, sexo, variable, value)
     (3, "NATION_3", "rural", "hombres", "pib_crecimiento", 3.0),
     (4, "NATION_10", "total", "mujeres", "pct_universitaria", 10.0),
     (5, "NATION_24", "total", "total", "empleo_informal_pct", 50.0),
+    (6, "NATION_99", "total", "total", "pct_subempleo", 10.0),  # no such cell
 ]
 EXPLAIN_ROW = ("NATION_1", "2000-08", "total", "total")

@@ -668,22 +668,24 @@ j AS (SELECT coalesce(m.feature, t.feature) AS feature, coalesce(m.importancia,
     names = list(FIXTURE_SLIDERS)
     vals = ", ".join(f"({i}, '{e}', '{a}', '{x}', '{v}', {lit(val)})" for i, e, a, x, v, val in SCENARIOS)
     piv = ", ".join(f"max(CASE WHEN variable = '{n}' THEN value END) AS o_{n}" for n in names)
-    clamp = ", ".join(f"greatest({lit(lo)}, least({lit(hi)}, coalesce(pv.o_{n}, b.{n}))) AS {n}"
+    clamp = ", ".join(f"CASE WHEN b.periodo IS NOT NULL THEN greatest({lit(lo)}, least({lit(hi)}, coalesce(pv.o_{n}, b.{n}))) END AS {n}"
                       for n, (lo, hi) in FIXTURE_SLIDERS.items())
     zero = {c: "0" for c in WEIGHTS}
     wi = FEATURES + f""",
 base AS (SELECT * FROM features WHERE periodo = (SELECT max(periodo) FROM features)),
 scn AS (SELECT * FROM (VALUES {vals}) t(scenario_id, provincia, area, sexo, variable, value)),
 pv AS (SELECT scenario_id, provincia, area, sexo, {piv} FROM scn GROUP BY scenario_id, provincia, area, sexo),
-j0 AS (SELECT pv.scenario_id, b.* REPLACE ({clamp}) FROM base b JOIN pv USING (provincia, area, sexo)),
+j0 AS (SELECT pv.scenario_id, b.periodo IS NOT NULL AS found, b.* REPLACE ({clamp}, pv.provincia AS provincia, pv.area AS area, pv.sexo AS sexo)
+       FROM pv LEFT JOIN base b ON b.provincia = pv.provincia AND b.area = pv.area AND b.sexo = pv.sexo),
 j1 AS (SELECT * REPLACE (tasa_desempleo_lag1 * post_covid AS lag_x_post_covid,
                          tasa_desempleo_lag1 * sexo_mujeres AS lag_x_sexo_mujeres,
                          tasa_desempleo_lag1 * area_urbana AS lag_x_area_urbana,
                          pct_subempleo AS pct_subempleo_lag1) FROM j0),
-wf AS (SELECT *, {linear_sql(zero)} AS prediccion FROM j1)"""
+wf AS (SELECT *, CASE WHEN found THEN {linear_sql(zero)} END AS prediccion FROM j1)"""
     s["what_if"] = with_(wi, f"""
-SELECT scenario_id, provincia, area, sexo, periodo, tasa_desempleo AS tasa_real, prediccion, {band_sql('prediccion')} AS riesgo,
-       prediccion - tasa_desempleo AS delta, {", ".join(names)} FROM wf""",
+SELECT scenario_id, provincia, area, sexo, periodo, tasa_desempleo AS tasa_real, prediccion,
+       CASE WHEN found THEN {band_sql('prediccion')} END AS riesgo, prediccion - tasa_desempleo AS delta,
+       CASE WHEN found THEN 'ok' ELSE 'sin fila base' END AS estado, {", ".join(names)} FROM wf""",
         ["tasa_real", "prediccion", "delta"] + names)
     s["scenario_values"] = with_(wi, " UNION ALL ".join(
         f"SELECT scenario_id, '{n}' AS variable, round({n}, 6) AS valor FROM wf" for n in names))
@@ -697,7 +699,7 @@ SELECT scenario_id, provincia, area, sexo, periodo, tasa_desempleo AS tasa_real,
 REGION_SQL = """rv AS (
   SELECT CASE WHEN n_nationkey % 5 = 0 THEN n_name WHEN n_nationkey = 24 THEN 'Nation 24 Comarca Indigena'
               ELSE 'Nation ' || CAST(n_nationkey AS VARCHAR) END AS region,
-         CAST(n_nationkey % 4 AS INTEGER) AS level, 0 AS ring, CAST(s AS INTEGER) AS seq,
+         CAST(n_nationkey % 4 AS INTEGER) AS level, 0 AS part, 0 AS ring, CAST(s AS INTEGER) AS seq,
          CAST(-80.0 AS DOUBLE) + (n_nationkey % 5) * CAST(1.0 AS DOUBLE)
            + (CAST(0.2 AS DOUBLE) + (n_nationkey % 3) * CAST(0.05 AS DOUBLE)) * cos(2 * pi() * s / (3 + n_nationkey % 5)) AS x,
          CAST(8.0 AS DOUBLE) + floor(n_nationkey / 5) * CAST(0.5 AS DOUBLE)
@@ -742,9 +744,19 @@ a3 AS (SELECT page_id, url, pos,
 
 
 def misc_sql(s: dict) -> None:
-    s["region_vertices"] = with_(REGION_SQL, "SELECT region, level, ring, seq, x, y FROM rv", ["x", "y"])
+    s["region_vertices"] = with_(REGION_SQL, "SELECT region, level, part, ring, seq, x, y FROM rv", ["x", "y"])
     pmc = ["area_grados2", "centro_x", "centro_y", "area_km2", "xmin", "xmax", "ymin", "ymax"]
     s["polygon_measures"] = with_(REGION_SQL, "SELECT * FROM pm", pmc)
+    # closed form: n/2 r^2 sin(2 pi / n) for an outline, a quarter of it for its hole
+    s["multipart_measures"] = with_(REGION_SQL + """,
+k AS (SELECT n_nationkey AS k, n_name, 3 + n_nationkey % 5 AS n, 0.2 + (n_nationkey % 3) * 0.05 AS r,
+             -80.0 + n_nationkey % 5 AS cx, 8.0 + floor(n_nationkey / 5) * 0.5 AS cy, n_nationkey % 4 AS level FROM nation),
+ar AS (SELECT *, n / 2.0 * r * r * sin(2 * pi() / n) AS a, CASE WHEN level % 2 = 0 THEN 1 ELSE 0 END AS isl FROM k)""", """
+SELECT CASE WHEN k % 5 = 0 THEN n_name WHEN k = 24 THEN 'Nation 24 Comarca Indigena'
+            ELSE 'Nation ' || CAST(k AS VARCHAR) END AS region,
+       CAST(level AS INTEGER) AS level, CAST(n * (2 + isl) AS BIGINT) AS vertices, CAST(a * (0.75 + isl) AS DOUBLE) AS area_grados2,
+       CAST((0.75 * cx + isl * (cx + 10)) / (0.75 + isl) AS DOUBLE) AS centro_x, CAST(cy AS DOUBLE) AS centro_y FROM ar""",
+        ["area_grados2", "centro_x", "centro_y"])
     s["layer_profile"] = with_(REGION_SQL, """
 SELECT level, CAST(count(*) AS BIGINT) AS regiones, min(xmin) AS xmin, max(xmax) AS xmax, min(ymin) AS ymin, max(ymax) AS ymax,
        min(area_km2) AS area_min, max(area_km2) AS area_max, avg(area_km2) AS area_media, sum(area_km2) AS area_total

@@ -113,3 +113,36 @@ def test_stream_resumes_with_new_publications(spark, tables, tmp_path):
     got = spark.read.parquet(second).select(*keys, "tasa_desempleo", "pub_seq")
     exp = keep_last(v, keys).select(*keys, "tasa_desempleo", "pub_seq")
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def _square(region, level, part, ring, x, y, size):
+    return [(region, level, part, ring, i, x + dx * size, y + dy * size) for i, (dx, dy) in enumerate([(0., 0.), (1., 0.), (1., 1.), (0., 1.)])]
+
+
+def test_holes_parts_and_levels(spark):
+    from panelkit.operators import regions as rg
+    rows = (_square("a", 1, 0, 0, 0., 0., 4.) + _square("a", 1, 0, 1, 1., 1., 2.) + _square("a", 1, 1, 0, 10., 0., 2.)
+            + _square("a", 2, 0, 0, 0., 0., 4.))
+    v = spark.createDataFrame(rows, "region string, level int, part int, ring int, seq int, x double, y double")
+    back = rg.read_features(rg.to_features(v))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    out = {r.level: r for r in rg.polygon_measures(back).collect()}
+    assert out[1].area_grados2 == 16 - 4 + 4 and out[1].vertices == 12 and out[1].xmax == 12
+    assert out[1].centro_x == (12 * 2 + 4 * 11) / 16
+    assert out[2].area_grados2 == 16
+
+
+def test_other_geometries_are_an_error(spark):
+    import pytest
+    from panelkit.operators import regions as rg
+    line = '{"type": "Feature", "properties": {"name": "r", "level": 1}, "geometry": {"type": "Point", "coordinates": [1, 2]}}'
+    with pytest.raises(Exception, match="not a polygon layer"):
+        rg.read_features(spark.createDataFrame([(line,)], "value string")).collect()
+
+
+def test_scenario_without_base_row_is_reported(spark, synthetic):
+    f = synthetic.withColumn("tasa_desempleo_lag1", F.lit(5.0))
+    sc = spark.createDataFrame([(7, "nowhere", "total", "total", "pct_subempleo", 1.0)],
+                               "scenario_id int, provincia string, area string, sexo string, variable string, value double")
+    r = scn.what_if(f, sc, {"pct_subempleo": 1.0}, 0.0, 6.0, 8.0).collect()
+    assert [(x.scenario_id, x.provincia, x.estado, x.prediccion, x.riesgo) for x in r] == [(7, "nowhere", "sin fila base", None, None)]

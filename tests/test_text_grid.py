@@ -125,3 +125,12 @@ def test_greedy_anchors_match_sequential_scan(spark):
                                      ("Agrícola", "Colón"), ("Total", None)])
 def test_default_entity_patterns(spark, raw, ent):
     assert _one(spark, tx.canonical_entity, raw) == ent
+
+
+def test_harvest_links_quoting_and_references(spark):
+    html = ("<a href='s.xls'>Regi&oacute;n &amp;lt; &#209;&#xE1;&#0;&bogus;</a><A class=x HREF=u.xls title='T &quot;1&quot;'></A>"
+            '<a data-href="no.xls">n</a><a href="a.xls?x=1&amp;y=2">&nbsp;A & B&nbsp;</a>')
+    pages = spark.createDataFrame([(1, "https://site.test/pub/1", html)], "page_id long, url string, html string")
+    got = [(r.nombre, r.url_completa) for r in harvest_links(pages, ".xls").orderBy("pos").collect()]
+    assert got == [("Región &lt; Ñá&#0;&bogus;", "https://site.test/s.xls"), ('T "1"', "https://site.test/u.xls"),
+                   ("A & B", "https://site.test/a.xls?x=1&y=2")]
