@@ -267,10 +267,10 @@ def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, ke
                 .select(*keys, FOLD, "real", F.greatest(F.col("prediccion_raw"), F.lit(0.0)).alias("predicho")))
 
 
-def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str, make_estimator,
+def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str, keys: list[str], make_estimator,
                   folds: list[str] | None = None, parallelism: int = 8) -> DataFrame:
-    """M5-M7: a Spark ML regressor per fold; folds are fitted as concurrent
-    jobs.  Returns (fold, real, predicho).
+    """M5-M7 + M11: a Spark ML regressor per fold; folds are fitted as
+    concurrent jobs.  Returns (keys, fold, real, predicho).
 
     The rows are checkpointed once; fold k trains on ``period != k`` and
     tests on ``period == k``, both imputed with fold k's medians (fitted
@@ -286,12 +286,13 @@ def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str,
     holes = null_columns(df, features)
     for r in (fold_medians(df, holes, period, folds).collect() if holes else []):  # folds x features numbers
         med.setdefault(r[FOLD], {})[r["feature"]] = r["median"]
-    base = materialize(df.select(period, target, *features).where(F.col(target).isNotNull()))
+    kept = list(dict.fromkeys([*keys, period]))
+    base = materialize(df.select(*kept, target, *features).where(F.col(target).isNotNull()))
     va = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
 
     def prepared(rows: DataFrame, k: str) -> DataFrame:
         m = med.get(k, {})
-        filled = rows.select(period, target, *[F.coalesce(F.col(f).cast("double"), F.lit(m.get(f)).cast("double"))
+        filled = rows.select(*kept, target, *[F.coalesce(F.col(f).cast("double"), F.lit(m.get(f)).cast("double"))
                                                .alias(f) for f in features])
         return va.transform(filled)
 
@@ -303,7 +304,7 @@ def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str,
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         parts = list(pool.map(run, folds))
     out = reduce(DataFrame.unionByName, parts)
-    return out.select(FOLD, F.col(target).alias("real"), F.greatest(F.col("_pred"), F.lit(0.0)).alias("predicho"))
+    return out.select(*keys, FOLD, F.col(target).alias("real"), F.greatest(F.col("_pred"), F.lit(0.0)).alias("predicho"))
 
 
 def forest(**kw):
@@ -313,12 +314,16 @@ def forest(**kw):
 
 
 def boosting(**kw):
-    """M6, and M7 re-aimed: gradient-boosted trees, 150 rounds, depth 3,
-    leaf >= 4, learning rate 0.05."""
+    """M6: gradient-boosted trees, 150 rounds, depth 3, leaf >= 4, learning rate 0.05."""
     from pyspark.ml.regression import GBTRegressor
     return GBTRegressor(maxIter=150, maxDepth=3, minInstancesPerNode=4, stepSize=0.05, seed=42, **kw)
 
 
+def boosting_sampled(**kw):
+    """M7 re-aimed: boosting whose trees see a share of the rows and of the features."""
+    return boosting(subsamplingRate=0.8, featureSubsetStrategy="0.8", **kw)
+
+
 def cv_metrics(pred: DataFrame, by: list[str], real: str = "real", pred_col: str = "predicho") -> DataFrame:
     """MAE, RMSE, R² per group.  R² is 0 for a one-row test set and,
     for a constant test target, 1 when the fit is exact else 0."""

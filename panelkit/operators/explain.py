@@ -74,7 +74,7 @@ def importance_compare(a: DataFrame, b: DataFrame, name_a: str, name_b: str) ->
 
 def permutation_shapley(df: DataFrame, keys: list[str], features: list[str], model, reps: int = 8,
                         seed: int = 42, features_col: str = "features") -> DataFrame:
-    """H1 (any model, sampled): (keys, feature, phi) plus f(x) and f(background).
+    """H1 (any model, ``reps`` sampled orders a row): (keys, feature, phi) plus f(x) and f(background).
 
     ``df`` holds imputed numeric features; the background is their mean."""
     from pyspark.ml.functions import array_to_vector
@@ -82,7 +82,9 @@ def permutation_shapley(df: DataFrame, keys: list[str], features: list[str], mod
     means = fitted(df, **{c: F.avg(c) for c in features})
     x = F.array(*[F.col(c).cast("double") for c in features])
     bg = F.array(*[F.lit(means[c]).cast("double") for c in features])
-    base = df.select(*keys, x.alias("_x"), bg.alias("_b"))
+    # spread by key before every row becomes reps x (features + 1) rows; the windows below need no further shuffle
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = df.select(*keys, x.alias("_x"), bg.alias("_b")).repartition(spread, *keys)
     rep = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_rep"))
     # random order: rank of a per-(row, rep, feature) hash; _pos[j] = place of feature j
     h = F.transform(F.sequence(F.lit(0), F.lit(nf - 1)),
@@ -97,11 +99,12 @@ def permutation_shapley(df: DataFrame, keys: list[str], features: list[str], mod
                       lambda j: F.when(F.col("_pos")[j] < F.col("_t"), F.col("_x")[j]).otherwise(F.col("_b")[j]))
     steps = steps.withColumn(features_col, array_to_vector(vec))
     scored = model.transform(steps).withColumnRenamed(model.getPredictionCol(), "_f")
-    w = Window.partitionBy(*keys, "_rep").orderBy("_t")
-    d = scored.select(*keys, "_rep", "_t", "_order", "_f", (F.col("_f") - F.lag("_f").over(w)).alias("_d"))
-    contrib = d.where(F.col("_t") > 0).select(*keys, "_rep", F.col("_order")[F.col("_t") - 1].alias("_j"), "_d")
+    walk = Window.partitionBy(*keys, "_rep")
+    w = walk.orderBy("_t")
+    ends = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = scored.select(*keys, "_rep", "_t", "_order", (F.col("_f") - F.lag("_f").over(w)).alias("_d"),
+                      F.last("_f").over(ends).alias("f_x"), F.first("_f").over(ends).alias("f_base"))
+    contrib = d.where(F.col("_t") > 0).withColumn("_j", F.col("_order")[F.col("_t") - 1])
     names = F.array(*[F.lit(c) for c in features])
-    phi = contrib.groupBy(*keys, "_j").agg(F.avg("_d").alias("phi"))
-    ends = (d.groupBy(*keys).agg(F.max(F.when(F.col("_t") == nf, F.col("_f"))).alias("f_x"),
-                                 F.max(F.when(F.col("_t") == 0, F.col("_f"))).alias("f_base")))
-    return phi.select(*keys, names[F.col("_j")].alias("feature"), "phi").join(ends, keys)
+    phi = contrib.groupBy(*keys, "_j").agg(F.avg("_d").alias("phi"), F.max("f_x").alias("f_x"), F.max("f_base").alias("f_base"))
+    return phi.select(*keys, names[F.col("_j")].alias("feature"), "phi", "f_x", "f_base")

@@ -6,9 +6,10 @@ of the rows.  Here a bounded sketch (``percentile_approx``) first brackets the
 target ranks, then only values inside the bracket are counted exactly:
 
 1. per group: ``n`` and sketch values just below / above each target rank;
-2. per row: values below the bracket collapse to one ``-inf`` key, above to
-   ``+inf``; values inside stay distinct; count per (group, prob, key) —
-   a normal partial aggregation, skew-safe;
+2. per row: values below the bracket collapse to one key, those above to
+   another; values inside stay distinct; count per (group, prob, key) —
+   a normal partial aggregation, skew-safe.  The brackets are broadcast where
+   their counted rows are few, so rows are not shuffled on the group;
 3. running counts over the bracket keys of each (group, prob) — the window
    holds at most ~6·n/accuracy + 2 rows — pick ranks floor/ceil of
    ``p·(n-1)`` and interpolate linearly (type 7, the pandas/SQL default).
@@ -25,7 +26,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_INF = float("inf")
+from panelkit.session import materialize
+
+#: Groups up to which the brackets are broadcast.
+FEW_GROUPS = 10_000
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
@@ -47,6 +51,9 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     base = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
               .where(F.col("_v").isNotNull()))
     sketch = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), sketch_q.alias("_q"))
+    sketch = materialize(sketch)
+    if sketch.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        sketch = F.broadcast(sketch)
     per_prob = F.explode(F.array(*[
         F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p"),
                  F.col("_q")[i].alias("_lo"), F.col("_q")[k + i].alias("_hi"))
@@ -78,34 +85,31 @@ def _global_quantiles(df: DataFrame, value_col: str, names: list[str], ps: list[
 
 def _select(rows: DataFrame, group_cols: list[str]) -> DataFrame:
     """rows: (group..., _v, _i, _pos, _lo, _hi) -> (group..., _i, _q)."""
-    key = (F.when(F.col("_v") < F.col("_lo"), F.lit(-_INF))
-             .when(F.col("_v") > F.col("_hi"), F.lit(_INF))
-             .otherwise(F.col("_v")))
-    counted = (rows.groupBy(*group_cols, "_i", "_pos", key.alias("_k"))
+    side = F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0)
+    counted = (rows.withColumn("_side", side)
+                   .groupBy(*group_cols, "_i", "_pos", "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_k"))
                    .agg(F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_mx"), F.min("_v").alias("_mn")))
-    w = (Window.partitionBy(*group_cols, "_i").orderBy("_k")
+    w = (Window.partitionBy(*group_cols, "_i").orderBy("_side", "_k")
                .rowsBetween(Window.unboundedPreceding, -1))
     ranked = counted.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    r_lo = F.floor("_pos")
-    r_hi = F.ceil("_pos")
 
     def at(rank):
         # Inside the bracket every key is one distinct value.  The collapsed
         # sides still answer the rank next to the bracket exactly: the last
         # rank below is the max below, the first rank above the min above.
         hit = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
-        k = F.col("_k")
-        exact = (F.when(k == -_INF, F.when(rank == F.col("_before") + F.col("_c") - 1, F.col("_mx")))
-                  .when(k == _INF, F.when(rank == F.col("_before"), F.col("_mn")))
-                  .otherwise(k))
-        return F.max(F.when(hit, F.coalesce(exact, F.lit(_INF))))
+        exact = (F.when(F.col("_side") == 0, F.col("_k"))
+                  .when((F.col("_side") < 0) & (rank == F.col("_before") + F.col("_c") - 1), F.col("_mx"))
+                  .when((F.col("_side") > 0) & (rank == F.col("_before")), F.col("_mn")))
+        return F.max(F.when(hit, exact))
 
-    picked = ranked.groupBy(*group_cols, "_i", "_pos").agg(at(r_lo).alias("_a"), at(r_hi).alias("_b"))
+    picked = ranked.groupBy(*group_cols, "_i", "_pos").agg(at(F.floor("_pos")).alias("_a"), at(F.ceil("_pos")).alias("_b"))
     frac = F.col("_pos") - F.floor("_pos")
-    value = F.col("_a") + (F.col("_b") - F.col("_a")) * frac
-    missed = F.col("_a").isin(_INF, -_INF) | F.col("_b").isin(_INF, -_INF)
-    value = F.when(missed, F.raise_error(F.lit("exact_quantiles: sketch bracket missed its rank"))
-                   .cast("double")).otherwise(value)
+    # equal ends first: the difference of two infinities is no number
+    value = (F.when(F.col("_a").isNull() | F.col("_b").isNull(),
+                    F.raise_error(F.lit("exact_quantiles: sketch bracket missed its rank")).cast("double"))
+              .when(F.col("_a") == F.col("_b"), F.col("_a"))
+              .otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * frac))
     return picked.select(*group_cols, "_i", value.alias("_q"))
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from panelkit.functions.bands import risk_band
 from panelkit.operators import features as feat
 from panelkit.operators import panel as pan
-from panelkit.plans.common import HIGH, LOW, SPEC, enriched, enriched_table, features, panel, round_doubles, source
+from panelkit.plans.common import HIGH, LOW, SPEC, enriched, enriched_table, features, panel, round_doubles, source, stored
+from panelkit.session import materialize
 from panelkit.sources import bridge
 from panelkit.operators.util import fitted
 from panelkit.sources.tables import Tables
@@ -634,35 +635,77 @@ def q_model_table(spark, sf_dir):
     return round_doubles(rows.withColumns(flags).orderBy(F.desc("r2")))
 
 
-def _lopo_model(spark, sf_dir, name, fn):
+def _fold_predictions(spark, sf_dir, name, fn):
+    """Out-of-fold predictions of a model, fitted once per session and read from shared storage."""
     f = _ft(spark, sf_dir)
-    p = fn(f, model_features(f))
+    return stored(_t(spark, sf_dir), f"folds_{name}", lambda: fn(f, model_features(f)))
+
+
+def _lopo_model(spark, sf_dir, name, fn):
+    p = _fold_predictions(spark, sf_dir, name, fn)
     return round_doubles(ev.cv_metrics(p, [ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo")
                          .withColumn("modelo", F.lit(name)))
 
 
+def _linear(kind: str, alpha: float):
+    return lambda f, x: ev.lopo_linear(f, x, SPEC.target, SPEC.period, KEY, kind, alpha)
+
+
+def _tree(make):
+    return lambda f, x: ev.lopo_spark_ml(f, x, SPEC.target, SPEC.period, KEY, make)
+
+
+# M3-M7: every fitted model -> its out-of-fold predictions with the row key.
+MODELS = {
+    "Ridge": _linear("ridge", 1.0),
+    "Lasso": _linear("lasso", 0.1),
+    "RandomForest": _tree(ev.forest),
+    "GradientBoosting": _tree(ev.boosting),
+    "BoostingMuestreado": _tree(ev.boosting_sampled),
+}
+
+
 @query
 def q_lopo_ridge(spark, sf_dir):
-    return _lopo_model(spark, sf_dir, "Ridge",
-                       lambda f, x: ev.lopo_linear(f, x, SPEC.target, SPEC.period, KEY, "ridge", 1.0))
+    return _lopo_model(spark, sf_dir, "Ridge", MODELS["Ridge"])
 
 
 @query
 def q_lopo_lasso(spark, sf_dir):
-    return _lopo_model(spark, sf_dir, "Lasso",
-                       lambda f, x: ev.lopo_linear(f, x, SPEC.target, SPEC.period, KEY, "lasso", 0.1))
+    return _lopo_model(spark, sf_dir, "Lasso", MODELS["Lasso"])
 
 
 @query
 def q_lopo_forest(spark, sf_dir):
-    return _lopo_model(spark, sf_dir, "RandomForest",
-                       lambda f, x: ev.lopo_spark_ml(f, x, SPEC.target, SPEC.period, ev.forest))
+    return _lopo_model(spark, sf_dir, "RandomForest", MODELS["RandomForest"])
 
 
 @query
 def q_lopo_gbt(spark, sf_dir):
-    return _lopo_model(spark, sf_dir, "GradientBoosting",
-                       lambda f, x: ev.lopo_spark_ml(f, x, SPEC.target, SPEC.period, ev.boosting))
+    return _lopo_model(spark, sf_dir, "GradientBoosting", MODELS["GradientBoosting"])
+
+
+@query
+def q_lopo_gbt_sampled(spark, sf_dir):
+    return _lopo_model(spark, sf_dir, "BoostingMuestreado", MODELS["BoostingMuestreado"])
+
+
+def all_predictions(spark, sf_dir) -> DataFrame:
+    """M11 over baselines and fitted models: (key, fold, real, predicho, modelo)."""
+    out = baseline_predictions(_ft(spark, sf_dir)).select(*KEY, ev.FOLD, "real", "predicho", "modelo")
+    for name, fn in MODELS.items():
+        out = out.unionByName(_fold_predictions(spark, sf_dir, name, fn).withColumn("modelo", F.lit(name)))
+    return out
+
+
+@query
+def q_model_contest(spark, sf_dir):
+    """A21 + T5 + T9 + A19 over all models: mean fold metrics, risk accuracy
+    and the best model (lowest RMSE)."""
+    p = materialize(ev.with_bands(all_predictions(spark, sf_dir), "real", "predicho", LOW, HIGH))
+    m = ev.cv_metrics(p, ["modelo", ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo")
+    acc = p.groupBy("modelo").agg(F.avg((F.col("riesgo_real") == F.col("riesgo_pred")).cast("double")).alias("precision_riesgo"))
+    return round_doubles(ev.cv_summary(m).join(acc, "modelo"))
 
 
 # ---------------------------------------------------------------- scoring, risk, explanation, scenarios

@@ -9,48 +9,44 @@ the shared checkpoint folder, so a restarted driver resumes where it
 stopped and a lost executor only replays its task.
 
 The consolidated panel has panel grain (entities x periods x members), so
-rewriting it per micro-batch is cheap; each version goes to a new folder
-and a pointer file names the current one, so a failed batch never leaves a
-half-written table behind.  Every path goes through Spark readers and
+rewriting it per micro-batch is cheap.  Batch k reads version k - 1 and writes
+version k, both in folders of their own: a repeated batch does the same work
+again, and a version that cannot be read ends the stream.  One table folder
+belongs to one stream checkpoint.  Every path goes through Spark readers and
 writers, so the folders can sit on any shared file system.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelkit.operators.panel import keep_last
 
 
 def consolidate_stream(spark: SparkSession, source_dir: str, schema, key: list[str], table_dir: str,
-                       checkpoint_dir: str, order_cols=("pub_seq", "row")) -> str:
+                       checkpoint_dir: str, order_cols=("pub_seq", "row")) -> str | None:
     """Process every publication file available now (``availableNow``
-    trigger) and return the folder of the current consolidated table."""
-    pointer = table_dir.rstrip("/") + "/_current"
+    trigger) and return the folder of the current consolidated table (None
+    before the first publication)."""
+    root = table_dir.rstrip("/")
 
-    def current_path():
-        try:
-            row = spark.read.text(pointer).first()
-        except Exception:  # noqa: BLE001 - no table yet
-            return None
-        return row[0] if row else None
+    def version(k: int) -> str:
+        return f"{root}/v{k:09d}"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        cur = current_path()
-        frames = [batch]
-        if cur:
-            frames.append(spark.read.parquet(cur))
-        u = frames[0]
-        for f in frames[1:]:
-            u = u.unionByName(f)
-        out = keep_last(u, key, order_cols)
-        dest = table_dir.rstrip("/") + f"/v{batch_id:06d}"  # a retried batch rewrites its own version
-        out.write.mode("overwrite").parquet(dest)
-        spark.createDataFrame([(dest,)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
+        if batch_id > 0:
+            batch = batch.unionByName(spark.read.schema(batch.schema).parquet(version(batch_id - 1)))
+        keep_last(batch, key, order_cols).write.mode("overwrite").parquet(version(batch_id))
 
+    # the table's folder exists before its first version
+    spark.createDataFrame([], "version long").write.mode("ignore").parquet(f"{root}/versions")
     q = (spark.readStream.schema(schema).parquet(source_dir)
               .writeStream.foreachBatch(merge)
               .option("checkpointLocation", checkpoint_dir)
               .trigger(availableNow=True).start())
     q.awaitTermination()
-    return current_path()
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+                  .load(root).select(F.regexp_extract("path", r"/v(\d{9})/[^/]*$", 1).alias("k")))
+    last = files.where(F.col("k") != "").agg(F.max("k")).first()[0]
+    return None if last is None else version(int(last))

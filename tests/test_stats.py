@@ -147,3 +147,20 @@ def test_rank_sum_with_a_hot_tied_value(spark):
     r = stats.rank_sum_test(df, "v", F.col("g"), buckets=8).first()
     u1, z = _mann_whitney(a, b)
     assert abs(r.u1 - u1) < 1e-6 and abs(r.z - z) < 1e-9
+
+
+def test_exact_quantiles_with_infinities_and_empty_input(spark):
+    inf = math.inf
+    rows = [("a", -inf), ("a", 1.0), ("a", 3.0), ("a", inf), ("b", inf), ("b", inf), ("b", inf), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.lo, r.mid, r.hi) for r in exact_quantiles(df, ["g"], "v", {"lo": 0.0, "mid": 0.5, "hi": 1.0}).collect()}
+    assert got == {"a": (-inf, 2.0, inf), "b": (inf, inf, inf)}
+    whole = exact_quantiles(df.where("g = 'a'"), [], "v", {"lo": 0.0, "mid": 0.5, "hi": 1.0}).first()
+    assert tuple(whole) == (-inf, 2.0, inf)
+    assert exact_quantiles(df.where("g = 'c'"), ["g"], "v", {"mid": 0.5}).count() == 0
+
+
+def test_exact_quantiles_do_not_shuffle_rows_on_the_group(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    plan = exact_quantiles(df, ["g"], "v", {"mid": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
