@@ -1,14 +1,18 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-The target weights are rounded to whole slots of a frame (``frame`` slots, or
-more where there are more sources). A source with ``q`` of ``Q`` slots has its
-block ``j`` of a frame released at ``floor(j * Q / q)`` and due at
-``ceil((j + 1) * Q / q)``. Slot by slot the released, unplaced block with the
-earliest deadline (ties: the smaller source) is placed. That keeps every
-source, at every slot, within less than one block of its exact share; at the
-end of a frame all shares are met exactly, so the frame repeats. A frame's
-table is found once by a fold over its slots (``aggregate`` on arrays, inside
-Spark); every block then finds its slot by arithmetic and one join.
+Slots are dealt in frames of ``frame``. A frame gives a source as many whole
+slots as its target share of all slots up to the frame's end, less what it has
+had: what rounding takes or gives in one frame is carried into the next, so it
+never adds up, and a source below one slot a frame has its slot in one frame of
+several. A source with ``q`` of a frame's ``Q`` slots has its block ``j`` of the
+frame released at ``floor(j * Q / q)`` and due at ``ceil((j + 1) * Q / q)``.
+Slot by slot the released, unplaced block with the earliest deadline (ties: the
+smaller source) is placed. That keeps every source within less than one block
+of its share of the frame, and so within less than two of its target share of
+all slots so far, however many. The frames' shares are found by one fold over
+the frames, the order in a frame by one over its slots for every distinct set
+of shares (``aggregate`` on arrays, inside Spark); every block then finds its
+slot by one join.
 
 Within a source, documents stand in the order of the md5 of their id (then of
 their text), and a block is ``block_chars`` characters of that order: a
@@ -47,25 +51,38 @@ def target_weights(sizes: DataFrame, alpha: float = ALPHA) -> DataFrame:
     return sizes.select("source", F.pow(F.col("chars").cast("double"), F.lit(alpha)).alias("weight"))
 
 
+def frames_of(weights: DataFrame, frame: int = FRAME) -> DataFrame:
+    """(all, t, q, n): of every frame the slots and each source's blocks before it, and each source's
+    slots in it, in the order of ``all``. Frames go on until every source has had its ``blocks``.
+    ``weights`` (source, weight, blocks) has a row per source, of which there are few; they meet in one task."""
+    w = weights.where("weight > 0").withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy()))
+    w = w.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNotNull().alias("given"),
+                                                             "source", "share", "blocks"))).alias("all"),
+                        F.max(F.expr(f"(blocks + 3) / (share * {int(frame)})")).alias("most"))
+    w = w.where("most IS NOT NULL").selectExpr("all", "transform(all, x -> x.share) AS share", "CAST(ceil(most) AS BIGINT) + 1 AS frames")
+    # whole slots by largest remainder of what is due by the frame's end; none are taken back
+    quota = f"""
+      transform(array(transform(share, (w, i) -> struct(w * (s.t + {int(frame)}) - s.q[i] AS x, i AS i))), due ->
+        transform(array(transform(due, y -> struct(greatest(CAST(floor(y.x) AS BIGINT), 0L) - y.x AS short, y.i AS i, greatest(CAST(floor(y.x) AS BIGINT), 0L) AS n))), c ->
+          transform(array_sort(transform(array_sort(c), (y, place) -> struct(y.i AS i,
+              y.n + IF(place < {int(frame)} - aggregate(c, 0L, (a, z) -> a + z.n), 1L, 0L) AS n))), y -> y.n))[0])[0]"""
+    run = f"""
+      aggregate(sequence(1L, frames),
+        struct(0L AS t, transform(share, x -> 0L) AS q, CAST(array() AS ARRAY<STRUCT<t: BIGINT, q: ARRAY<BIGINT>, n: ARRAY<BIGINT>>>) AS out),
+        (s, k) -> transform(array({quota}), n -> struct(s.t + aggregate(n, 0L, (a, x) -> a + x) AS t, zip_with(s.q, n, (a, x) -> a + x) AS q,
+                                                       concat(s.out, array(struct(s.t AS t, s.q AS q, n AS n))) AS out))[0],
+        s -> s.out)"""
+    return w.selectExpr("all", f"explode({run}) AS f").select("all", "f.*")
+
+
 def slots_of(weights: DataFrame, frame: int = FRAME) -> DataFrame:
-    """(source, n, total): whole slots per source by largest remainder, one at
-    least, ``total`` together. ``weights`` has a row per source, of which there
-    are few; they meet in one task."""
-    everyone = Window.partitionBy()
-    w = weights.where("weight > 0").withColumn("exact", F.col("weight") / F.sum("weight").over(everyone) * frame)
-    w = w.withColumn("n", F.greatest(F.floor("exact"), F.lit(1)).cast("long"))
-    rest = F.lit(frame) - F.sum("n").over(everyone)
-    order = Window.orderBy((F.col("n") - F.col("exact")).asc(), F.col("source").asc_nulls_first())
-    w = w.withColumn("rest", rest).withColumn("place", F.row_number().over(order))
-    w = w.withColumn("n", F.col("n") + (F.col("place") <= F.col("rest")).cast("long"))
-    return w.select("source", "n", F.sum("n").over(everyone).alias("total"))
+    """(source, n, total): whole slots per source in the first frame, ``total`` together."""
+    first = frames_of(weights.withColumn("blocks", F.lit(0)), frame).where("t = 0")
+    return first.selectExpr("inline(zip_with(all, n, (x, k) -> struct(x.source AS source, k AS n, aggregate(n, 0L, (a, y) -> a + y) AS total)))")
 
 
-def frame_table(slots: DataFrame) -> DataFrame:
-    """(source, j, slot): the slot of every block of one frame."""
-    whole = slots.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNotNull().alias("given"),
-                                                                     "source", "n"))).alias("all"), F.max("total").alias("total"))
-    whole = whole.where("total IS NOT NULL").selectExpr("all", "total", "transform(all, x -> x.n) AS n")
+def _in_frame(shares: DataFrame) -> DataFrame:
+    """(n, i, j, slot): the slot of block ``j`` of the ``i``-th source in a frame with the slots ``n``."""
     # state: blocks placed per source so far; out: the source placed at each slot
     placed = f"""
       aggregate(sequence(0L, total - 1),
@@ -77,9 +94,24 @@ def frame_table(slots: DataFrame) -> DataFrame:
           k -> struct(transform(s.done, (d, i) -> IF(i = k, d + 1, d)) AS done,
                       concat(s.out, array(k)) AS out))[0],
         s -> s.out)"""
-    table = whole.selectExpr("all", f"{placed} AS placed")
-    table = table.selectExpr("all", "posexplode(placed) AS (slot, i)").selectExpr("all[i].source AS source", "CAST(slot AS BIGINT) AS slot")
-    return table.withColumn("j", F.row_number().over(Window.partitionBy("source").orderBy("slot")).cast("long") - 1)
+    table = shares.selectExpr("n", "aggregate(n, 0L, (a, x) -> a + x) AS total").selectExpr("n", f"posexplode({placed}) AS (slot, i)")
+    table = table.withColumn("slot", F.col("slot").cast("long"))
+    return table.withColumn("j", F.row_number().over(Window.partitionBy("n", "i").orderBy("slot")).cast("long") - 1)
+
+
+def frame_table(slots: DataFrame) -> DataFrame:
+    """(source, slot, j): the slot of every block of one frame, from (source, n)."""
+    whole = slots.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNotNull().alias("given"),
+                                                                     "source", "n"))).alias("all"))
+    whole = whole.where("size(all) > 0").selectExpr("all", "transform(all, x -> x.n) AS n")
+    return _in_frame(whole.select("n")).join(whole, "n").selectExpr("all[i].source AS source", "slot", "j")
+
+
+def block_slots(frames: DataFrame) -> DataFrame:
+    """(source, block, slot) of every block that a source has, from the written ``frames_of``."""
+    cells = small(stage(_in_frame(frames.select("n").distinct()), "cells"))
+    out = frames.join(cells, "n").selectExpr("all[i] AS s", "q[i] + j AS block", "t + slot AS slot")
+    return out.where("block < s.blocks").select("s.source", "block", "slot")
 
 
 def _order_key(docs: DataFrame, id_col: str, text: Column) -> Column:
@@ -110,14 +142,12 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "d
     sizes = ranges.groupBy("source").agg(F.sum("chars").alias("chars"))
     if weights is None:
         weights = target_weights(sizes, alpha)
-    else:
-        weights = weights.join(sizes.select(F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s")), "left_semi")
-    slots = small(stage(slots_of(weights, frame), "slots"))
-    cells = small(stage(frame_table(slots), "frame")).select(F.col("source").alias("s2"), "j", F.col("slot").alias("frame_slot"))
-    placed = placed.join(slots.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
-    placed = placed.join(cells, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") % F.col("n") == F.col("j")), "left")
-    return placed.withColumn("slot", F.expr("(block DIV n) * total + frame_slot")).select(
-        "doc_id", "source", "chars", "start_char", "block", "slot", "key")
+    blocks = sizes.select(F.col("source").alias("s"), F.expr(f"chars DIV {int(block_chars)} + 1").alias("blocks"))
+    weights = weights.join(blocks, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    frames = stage(frames_of(weights, frame), "frames")
+    cells = small(stage(block_slots(frames), "slots")).select(F.col("source").alias("s"), F.col("block").alias("b"), "slot")
+    placed = placed.join(cells, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
+    return placed.select("doc_id", "source", "chars", "start_char", "block", "slot", "key")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:

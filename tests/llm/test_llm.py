@@ -361,6 +361,19 @@ def test_mix_keeps_every_source_within_a_block(spark, docs, nothing):
     assert mixing.schedule(nothing).collect() == [] and mixing.mixed(nothing).collect() == []
 
 
+def test_mix_follows_target_weights_over_many_frames(spark):
+    share = {"a": 0.5234567, "b": 0.3101, None: 0.1656333, "c": 0.00071, "d": 0.0001}
+    total = sum(share.values())
+    weights = spark.createDataFrame([(s, x, int(20_000 * x) + 1) for s, x in share.items()], "source string, weight double, blocks long")
+    frames = mixing.stage(mixing.frames_of(weights), "frames")
+    order = sorted((r.slot, r.source) for r in mixing.block_slots(frames).collect())
+    done, first = dict.fromkeys(share, 0), min(int(20_000 * x) / x for x in share.values())
+    for t, (slot, s) in enumerate(order[:int(first)]):  # until a source runs out
+        done[s] += 1
+        assert slot == t and all(abs(done[k] - (t + 1) * x / total) < 2 for k, x in share.items())
+    assert t > 19 * mixing.FRAME
+
+
 # ------------------------------------------------------------------ pipeline
 
 def test_pipeline(spark, docs):
