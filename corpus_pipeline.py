@@ -4,9 +4,11 @@ the order of their mix, and the texts become token ids.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the one before it
 kept; its result is written as Parquet and read again. All but the last return
-the columns of ``docs``, any clashing or extra ones unchanged. The mix takes
-effect as the order of the rows: its files, read in their order, give every
-source its target share of each stretch.
+the columns of ``docs``, any clashing or extra ones unchanged. The mix is the
+order of the rows by (``slot``, ``source``, ``start_char``, ``mix_key``), rows
+without a slot last: files need not be read in the order in which they were
+written, so the last stage carries that place, and any stretch of slots has
+every source in its target share.
 """
 
 from __future__ import annotations
@@ -43,12 +45,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE: (doc_id, source, n_tokens, ids, restored); ``restored``: the decoded ids are the text."""
+    """Byte-level BPE, in the order of the mix: (doc_id, source, n_tokens, ids, restored, slot, start_char, mix_key);
+    ``restored``: the decoded ids are the text. Rows that agree in id, source and text have the place of the first of them."""
     ready(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN)
-    return decoded.select(f"{ROW}.doc_id", f"{ROW}.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                          (F.col("decoded") == F.coalesce(F.col(f"{ROW}.text"), F.lit("")).cast("binary")).alias("restored"))
+    row = F.col(ROW)
+    ids = decoded.select(row["doc_id"].alias("doc_id"), row["source"].alias("source"), F.size("ids").cast("long").alias("n_tokens"), "ids",
+                         (F.col("decoded") == F.coalesce(row["text"], F.lit("")).cast("binary")).alias("restored"),
+                         mixing.order_key(row["doc_id"], row["text"].cast("string")).alias("mix_key"))
+    places = mixing.schedule(docs).groupBy("key", F.col("source").alias("s")).agg(F.min(F.struct("slot", "start_char")).alias("place"))
+    placed = ids.join(places, (F.col("mix_key") == F.col("key")) & F.col("source").cast("string").eqNullSafe(F.col("s")))
+    return (placed.select("doc_id", "source", "n_tokens", "ids", "restored", "place.slot", "place.start_char", "mix_key")
+            .orderBy(F.col("slot").asc_nulls_last(), "source", "start_char", "mix_key"))
 
 
 STAGES = [

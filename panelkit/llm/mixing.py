@@ -114,8 +114,9 @@ def block_slots(frames: DataFrame) -> DataFrame:
     return out.where("block < s.blocks").select("s.source", "block", "slot")
 
 
-def _order_key(docs: DataFrame, id_col: str, text: Column) -> Column:
-    return F.concat(F.md5(F.coalesce(column_of(docs, id_col).cast("string"), F.lit("null")).cast("binary")),
+def order_key(doc_id: Column, text: Column) -> Column:
+    """What the documents of a source are ordered by."""
+    return F.concat(F.md5(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")),
                     F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
@@ -124,7 +125,7 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "d
     """Every row's place in the mix: (doc_id, source, chars, start_char, block, slot, key).
     The mix is ordered by (slot, source, start_char, key); ``weights`` is (source, weight)."""
     text = column_of(docs, text_col).cast("string")
-    key = _order_key(docs, id_col, text)
+    key = order_key(column_of(docs, id_col), text)
     rows = docs.select(column_of(docs, id_col).alias("doc_id"), column_of(docs, source_col).cast("string").alias("source"),
                        F.coalesce(F.length(text), F.lit(0)).cast("long").alias("chars"), key.alias("key"))
     rows = stage(rows.withColumn("range", F.substring("key", 1, RANGE_DIGITS)), "mix")
@@ -152,7 +153,7 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "d
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The rows of ``docs``, unchanged, sorted over all partitions into the order of the mix."""
-    rows = packed(docs, key=_order_key(docs, id_col, column_of(docs, text_col).cast("string")))
+    rows = packed(docs, key=order_key(column_of(docs, id_col), column_of(docs, text_col).cast("string")))
     places = schedule(docs, id_col=id_col, text_col=text_col, **params).groupBy("key").agg(F.min(F.struct(
         F.col("slot").isNull().alias("late"), "slot", F.col("source").isNotNull().alias("given"), "source", "start_char")).alias("place"))
     return rows.join(places, "key").orderBy("place", "key").select(f"{ROW}.*")

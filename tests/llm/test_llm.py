@@ -400,3 +400,31 @@ def test_pipeline(spark, docs):
         odd = apply(spark, odd, "")
         assert odd.columns == docs.columns
     assert pipeline.STAGES[-1][1](spark, odd, "").where("NOT restored").count() == 0
+
+
+def test_pipeline_result_holds_the_mix(spark, monkeypatch):
+    import corpus_pipeline as pipeline
+    # the last two stages on many files of very different sizes, with blocks small enough for many slots
+    monkeypatch.setattr(mixing.schedule, "__defaults__", tuple(500 if x == mixing.BLOCK_CHARS else x for x in mixing.schedule.__defaults__))
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source", "text").where("doc_id < 400").repartitionByRange(7, "doc_id")
+    docs = mixing.stage(table.unionByName(spark.createDataFrame([(9001, None, None), (9002, None, "short")], table.schema)), "mix-in")
+    out = docs
+    for _, apply in pipeline.STAGES[-2:]:
+        out = mixing.stage(apply(spark, out, ""), "mix-test")
+    rows = out.collect()
+    assert len(rows) == docs.count() and all(r.restored for r in rows)
+    place = {r.doc_id: (r.slot, r.start_char, r.key) for r in mixing.schedule(docs).collect()}
+    assert {r.doc_id: (r.slot, r.start_char, r.mix_key) for r in rows} == place
+    chars = {r.source: r.n for r in docs.groupBy("source").agg(F.sum(F.length("text")).alias("n")).collect()}
+    share = {s: n ** mixing.ALPHA for s, n in chars.items()}
+    total, ends = sum(share.values()), {s: max(r.slot for r in rows if r.source == s) for s in share}
+    used = defaultdict(set)
+    for r in rows:
+        used[r.source].add(r.slot)
+    # any stretch of slots, until a source runs out (a slot whose block no document starts in is empty)
+    last = min(e for s, e in ends.items() if s is not None)
+    place_of = {(r.source, r.start_char // 500): r.slot for r in rows}
+    for s, w in share.items():
+        blocks = sorted((b, t) for (x, b), t in place_of.items() if x == s and t <= last)
+        assert all(abs(b - t * w / total) < 2 for b, t in blocks)
+    assert last > 20 and len(used) == len(share)
