@@ -1,14 +1,13 @@
 """Quality rules: word counts, repetition, and n-gram perplexity bands.
 
 A modified Kneser-Ney model of byte n-grams (``ORDER`` bytes, one vocabulary
-per value of the language column) is counted by Spark over all texts. Every
-task adds its chunks into a table of ``2**bits`` hash slots, so what a task
-ships is bounded by the slots and what all tasks ship grows with the corpus;
-a slot that several n-grams share stands for the smallest of them. The summed
-table has at most ``2**bits`` rows whatever the corpus, which is the proven
-bound under which it is collected, turned into probabilities and broadcast.
-Lower orders use continuation counts and are kept as sorted key arrays; the
-top order is kept in slot (hash) order, so a look-up is one gather.
+per value of the language column) is counted by Spark over all texts, every
+(language, n-gram) by itself. Lower orders use continuation counts. Counts,
+contexts and probabilities of all orders are Spark tables, joined order by
+order, so nothing of the model is held in one place; the result is one
+probability for every n-gram that occurs. Texts are scored against it in passes
+of about ``PASS_KEYS`` n-grams, each broadcast in the order of the keys' hash:
+the number of passes grows with the different n-grams, memory does not.
 
 A document's score is its mean negative log probability (nats per byte).
 Quartiles per language over all documents that pass the base rules give the
@@ -34,7 +33,10 @@ from .common import ROW, column_of, packed, small, stage
 from .textarrays import LEAD, SPACE, buffers, chunks, count_where, mix, span_hash, word_bounds
 
 ORDER = 5
-BITS = 22
+#: n-grams of the model that are broadcast at once, and that a counting task gathers before it lets go of them.
+PASS_KEYS, HELD_KEYS = 6_000_000, 1 << 21
+#: Bits of a key for the language, above the bytes.
+LANG_BITS = 22
 REACH = 4.0
 #: Least spread, as a share of the median score: near-uniform corpora keep a wide band.
 SPREAD_FLOOR = 0.06
@@ -43,8 +45,8 @@ _U = np.uint64
 _SPREAD = _U(0x9E3779B97F4A7C15)
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
-STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, nll double"
-_STATS_TYPE = pa.struct([(name, pa.int64()) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, nll double"
+_STATS_TYPE = pa.struct([(name, pa.int64()) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams")]
                         + [("nll", pa.float64())])
 
 
@@ -104,7 +106,7 @@ def _repeated_words(data, starts, ends, doc, n: int) -> np.ndarray:
 # ------------------------------------------------------------- n-gram model
 
 def ngram_keys(data: np.ndarray, at: np.ndarray, lang: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """Key (16 bits of language, then the bytes) and document of every n-gram that lies in one document."""
+    """Key (the language's code, then the bytes) and document of every n-gram that lies in one document."""
     n = len(data) - order + 1
     if n <= 0:
         return np.zeros(0, _U), np.zeros(0, np.int64)
@@ -120,50 +122,81 @@ def ngram_keys(data: np.ndarray, at: np.ndarray, lang: np.ndarray, order: int =
     return key[whole], doc[whole]
 
 
-def slots(keys: np.ndarray, bits: int) -> np.ndarray:
-    return ((keys * _SPREAD) >> _U(64 - bits)).astype(np.int64)
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys and the sums of their counts."""
+    known, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return known, np.bincount(back, np.concatenate(counts), len(known)).astype(np.int64)
 
 
-def count_ngrams(docs: DataFrame, text: Column, lang: Column, bits: int = BITS) -> DataFrame:
-    """(slot, key, n): one row per used slot, over all texts."""
+def count_ngrams(rows: DataFrame, held: int = HELD_KEYS) -> DataFrame:
+    """(key, n) of every n-gram in (text, code) rows."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.int32)
-        least = np.full(1 << bits, np.iinfo(np.int64).max, np.int64)
+        keys, counts, size = [], [], 0
+
+        def out(known, n):
+            for low in range(0, len(known), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(known[low:low + (1 << 16)].astype(np.int64)), pa.array(n[low:low + (1 << 16)])], ["key", "n"])
+
         for batch in batches:
             code = batch.column(1).to_numpy(zero_copy_only=False)
             for low, high, data, at in chunks(batch.column(0)):
-                keys, _ = ngram_keys(data, at, code[low:high])
-                slot = slots(keys, bits)
-                np.add.at(total, slot, 1)
-                np.minimum.at(least, slot, keys.astype(np.int64))
-        used = np.flatnonzero(total)
-        for part in np.array_split(used, max(1, len(used) >> 16)):
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(least[part]), pa.array(total[part].astype(np.int64))], ["slot", "key", "n"])
+                known, n = np.unique(ngram_keys(data, at, code[low:high])[0], return_counts=True)
+                keys, counts, size = keys + [known], counts + [n], size + len(known)
+                if size > 2 * held:
+                    known, n = merged(keys, counts)
+                    if len(known) > held:  # summed with what follows by Spark
+                        yield from out(known, n)
+                        known, n = known[:0], n[:0]
+                    keys, counts, size = [known], [n], len(known)
+        if size:
+            yield from out(*merged(keys, counts))
 
-    rows = docs.select(text.cast("string").alias("text"), language_code(lang).alias("lang"))
-    return (rows.mapInArrow(count, "slot long, key long, n long")
-            .groupBy("slot").agg(F.min("key").alias("key"), F.sum("n").alias("n")))
+    return rows.select("text", "code").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def language_code(lang: Column) -> Column:
-    return F.crc32(F.coalesce(lang.cast("string"), F.lit("")).cast("binary")).bitwiseAND(F.lit(0xFFFF))
+    return F.crc32(F.coalesce(lang.cast("string"), F.lit("")).cast("binary")).bitwiseAND(F.lit((1 << LANG_BITS) - 1))
+
+
+class Table:
+    """Values by key: the keys in the order of their hash, and where each of ``2**bits`` ranges of it begins."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int):
+        hashed = keys * _SPREAD  # an odd factor: different keys stay different
+        order = np.argsort(hashed)
+        self.bits, self.hashed, self.values = bits, hashed[order], values[order].astype(np.float32)
+        self.start = np.append(0, np.cumsum(np.bincount(self._range(hashed), minlength=1 << bits))).astype(np.int32)
+
+    def _range(self, hashed: np.ndarray) -> np.ndarray:
+        return (hashed >> _U(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray, other: float) -> np.ndarray:
+        hashed, out = keys * _SPREAD, np.full(len(keys), other)
+        own = self._range(hashed)
+        spot, end = self.start[own], self.start[own + 1]
+        left = np.flatnonzero(spot < end)
+        spot, end = spot[left], end[left]
+        while len(left):
+            hit = self.hashed[spot] == hashed[left]
+            out[left[hit]] = self.values[spot[hit]]
+            spot = spot + 1
+            on = ~hit & (spot < end)
+            left, spot, end = left[on], spot[on], end[on]
+        return out
 
 
 @dataclass
 class Model:
-    """``top``: keys and log probabilities in slot order. For each lower order:
+    """The model in memory. ``top``: log probabilities of the top order. For each lower order:
     sorted keys and log probabilities; for each order: sorted contexts and log back-off weights."""
 
-    bits: int
-    top_keys: np.ndarray
-    top_logp: np.ndarray
+    top: Table
     lower: list[tuple[np.ndarray, np.ndarray]]
     backoff: list[tuple[np.ndarray, np.ndarray]]
 
     def logp(self, keys: np.ndarray) -> np.ndarray:
-        slot = slots(keys, self.bits)
-        out = self.top_logp[slot].astype(np.float64)
-        missed = np.flatnonzero(self.top_keys[slot] != keys)
+        out = self.top.find(keys, np.nan)
+        missed = np.flatnonzero(np.isnan(out))
         if len(missed):
             unique, back = np.unique(keys[missed], return_inverse=True)
             out[missed] = self._backed_off(unique, ORDER)[back]
@@ -195,8 +228,8 @@ def _suffix(keys: np.ndarray, order: int) -> np.ndarray:
     return ((keys >> body) << _U(8 * (order - 1))) | (keys & ((_U(1) << _U(8 * (order - 1))) - _U(1)))
 
 
-def fit(keys: np.ndarray, counts: np.ndarray, bits: int = BITS) -> Model:
-    """Modified Kneser-Ney: interpolated log probabilities of every order from the top order's counts."""
+def fit(keys: np.ndarray, counts: np.ndarray, bits: int = 16) -> Model:
+    """Modified Kneser-Ney in memory, for counts that fit there: interpolated log probabilities of every order from the top order's counts."""
     order_keys, order_counts = {}, {}
     sort = np.argsort(keys)
     order_keys[ORDER], order_counts[ORDER] = keys[sort].astype(_U), counts[sort].astype(np.float64)
@@ -207,7 +240,7 @@ def fit(keys: np.ndarray, counts: np.ndarray, bits: int = BITS) -> Model:
     backoff: list = [None] * (ORDER + 1)
     for order in range(1, ORDER + 1):
         known, n = order_keys[order], order_counts[order]
-        cut = _discounts(n)[np.minimum(n, 3).astype(int)]
+        cut = _discounts([float((n == k).sum()) for k in (1, 2, 3, 4)])[np.minimum(n, 3).astype(int)]
         context, back = np.unique(known >> _U(8), return_inverse=True)
         total = np.bincount(back, n, len(context))
         weight = np.bincount(back, cut, len(context)) / np.maximum(total, 1e-300)
@@ -217,16 +250,13 @@ def fit(keys: np.ndarray, counts: np.ndarray, bits: int = BITS) -> Model:
             shorter = np.exp(_find(order_keys[order - 1], logp[order - 1], _suffix(known, order), 0.0))
         logp[order] = np.log(np.maximum((n - cut) / total[back] + weight[back] * shorter, 1e-300))
         backoff[order] = (context, np.log(np.maximum(weight, 1e-300)))
-    top_keys, top_logp = np.zeros(1 << bits, _U), np.zeros(1 << bits, np.float32)
-    spot = slots(order_keys[ORDER], bits)
-    top_keys[spot], top_logp[spot] = order_keys[ORDER], logp[ORDER]
     lower = [(order_keys[o], logp[o].astype(np.float32)) if 0 < o < ORDER else None for o in range(ORDER + 1)]
-    return Model(bits, top_keys, top_logp, lower, backoff)
+    return Model(Table(order_keys[ORDER], logp[ORDER], bits), lower, backoff)
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """D(0), D(1), D(2), D(3+) from the counts of counts; halves of the count where those are too few."""
-    n = [0, *(float((counts == k).sum()) for k in (1, 2, 3, 4))]
+def _discounts(once: list[float]) -> np.ndarray:
+    """D(0), D(1), D(2), D(3+) from how many counts are 1, 2, 3 and 4; halves of the count where those are too few."""
+    n = [0, *once]
     out = np.array([0.0, 0.5, 0.75, 1.0])
     if all(n[1:]):
         y = n[1] / (n[1] + 2 * n[2])
@@ -235,48 +265,113 @@ def _discounts(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, text: Column, lang: Column, bits: int = BITS) -> Model:
-    table = count_ngrams(docs, text, lang, bits).select("key", "n").toArrow()
-    return fit(table.column("key").to_numpy().astype(np.int64).view(_U), table.column("n").to_numpy(), bits)
+def probabilities(counts: DataFrame) -> DataFrame:
+    """(key, logp) of every key of the written ``counts``: what ``fit`` finds, by joins."""
+    orders = {ORDER: counts}
+    for order in range(ORDER, 1, -1):
+        short = orders[order].select(_suffix_of(F.col("key"), order).alias("key"))
+        orders[order - 1] = stage(short.groupBy("key").agg(F.count(F.lit(1)).alias("n")), f"order{order - 1}")
+    for order in range(1, ORDER + 1):
+        few = {r["n"]: float(r["count"]) for r in orders[order].where("n < 5").groupBy("n").count().collect()}
+        d = _discounts([few.get(k, 0.0) for k in (1, 2, 3, 4)]).tolist()
+        model = orders[order].withColumn("cut", F.when(F.col("n") == 1, d[1]).when(F.col("n") == 2, d[2]).otherwise(d[3]))
+        contexts = model.groupBy(_context(F.col("key")).alias("context")).agg(F.sum("n").alias("total"), F.sum("cut").alias("cuts"))
+        asked = orders[order].select("key", _context(F.col("key")).alias("context"))
+        found = asked.join(model.select("key", (F.col("n") - F.col("cut")).alias("own")), "key", "left").join(contexts, "context", "left")
+        if order == 1:
+            found = found.withColumn("shorter", F.lit(1 / 256))
+        else:
+            found = found.withColumn("suffix", _suffix_of(F.col("key"), order)).join(below, "suffix")  # noqa: F821
+        p = F.coalesce(F.col("own") / F.col("total"), F.lit(0.0)) + F.coalesce(F.col("cuts") / F.col("total"), F.lit(1.0)) * F.col("shorter")
+        found = stage(found.select("key", F.greatest(p, F.lit(1e-300)).alias("p")), f"probabilities{order}")
+        below = found.select(F.col("key").alias("suffix"), F.col("p").alias("shorter"))
+    return found.select("key", F.log("p").cast("float").alias("logp"))
+
+
+def _context(key: Column) -> Column:
+    return F.shiftright(key, 8)
+
+
+def _suffix_of(key: Column, order: int) -> Column:
+    body = 8 * (order - 1)
+    return F.shiftleft(F.shiftright(key, body + 8), body).bitwiseOR(key.bitwiseAND(F.lit((1 << body) - 1)))
 
 
 # ------------------------------------------------------------------ verdicts
 
-def measure(spark, model: Model):
-    """UDF (text, language code) -> base counts and mean negative log probability."""
-    shared = spark.sparkContext.broadcast(model)
+def part_of(model: DataFrame, part: int, parts: int):
+    """The keys of one pass, broadcast."""
+    found = model.where(F.col("key") % parts == part).toArrow()
+    keys = found.column("key").to_numpy().astype(np.int64).view(_U)
+    return model.sparkSession.sparkContext.broadcast(Table(keys, found.column("logp").to_numpy(), min(24, max(1, len(keys).bit_length()))))
+
+
+def _negative_logp(table: Table, part: int, parts: int, keys: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Sum per document over the keys of one pass."""
+    if parts > 1:
+        own = keys % _U(parts) == _U(part)
+        keys, doc = keys[own], doc[own]
+    return -np.bincount(doc, table.find(keys, 0.0), n)
 
+
+def measure(table, parts: int = 1):
+    """UDF (text, code) -> base counts, number of n-grams and negative log probability of those of the first pass."""
     @F.arrow_udf(STATS_DDL)
     def measured(text: pa.Array, lang: pa.Array) -> pa.Array:
         code = lang.to_numpy(zero_copy_only=False)
         found = []
         for low, high, data, at in chunks(text):
-            columns = base_counts(data, at)
             keys, doc = ngram_keys(data, at, code[low:high])
-            n = np.bincount(doc, minlength=high - low)
-            nll = -np.bincount(doc, shared.value.logp(keys), high - low)
-            found.append([*columns, np.where(n > 0, nll / np.maximum(n, 1), np.nan)])
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0)] * 6
-        arrays = [pa.array(c.astype(np.int64)) for c in columns[:5]]
-        arrays.append(pa.array(columns[5], mask=np.isnan(columns[5])))
-        return pa.StructArray.from_arrays(arrays, fields=list(_STATS_TYPE))
+            found.append([*base_counts(data, at), np.bincount(doc, minlength=high - low), _negative_logp(table.value, 0, parts, keys, doc, high - low)])
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0)] * 7
+        return pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in columns[:6]] + [pa.array(columns[6])], fields=list(_STATS_TYPE))
 
     # so that a filter on the result does not evaluate it again
     return measured.asNondeterministic()
 
 
+def measure_part(table, part: int, parts: int):
+    """UDF (text, code) -> negative log probability of the n-grams of one pass."""
+    @F.arrow_udf("double")
+    def measured(text: pa.Array, lang: pa.Array) -> pa.Array:
+        code = lang.to_numpy(zero_copy_only=False)
+        found = [np.zeros(0)]
+        for low, high, data, at in chunks(text):
+            found.append(_negative_logp(table.value, part, parts, *ngram_keys(data, at, code[low:high]), high - low))
+        return pa.array(np.concatenate(found))
+
+    return measured
+
+
 STATS_DDL = f"struct<{STATS.replace(' long', ': bigint').replace(' double', ': double')}>"
 
 
-def judge(rows: DataFrame, text: Column, lang: Column, keep: list[Column], reach: float = REACH, bits: int = BITS, written: bool = True) -> DataFrame:
+def judge(rows: DataFrame, text: Column, lang: Column, keep: list[Column], reach: float = REACH, written: bool = True, pass_keys: int = PASS_KEYS) -> DataFrame:
     """``keep`` columns plus the counts, ``nll``, ``base_failed`` and ``kept`` of every row.
     The scores are needed twice (for the bands, then to judge): they are ``written`` with
     the ``keep`` columns, or, where those hold whole texts, found twice instead."""
-    model = train(rows, text, lang, bits)
-    scored = rows.select(*keep, F.coalesce(lang.cast("string"), F.lit("")).alias("band_lang"),
-                         measure(rows.sparkSession, model)(text.cast("string"), language_code(lang)).alias("m"))
+    text, code = text.cast("string"), language_code(lang)
+    coded = rows.select(text.alias("text"), code.alias("code"))
+    model = probabilities(stage(count_ngrams(coded), "ngrams"))
+    parts = -(-model.count() // pass_keys) or 1
+    parts += parts > 1 and parts % 2 == 0  # odd, so that a key's part depends on all its bytes
+    # what later passes find belongs to the text, whose rows are met again by its hash
+    name = F.md5(F.concat(code.cast("string"), F.lit(" "), F.coalesce(text, F.lit(""))).cast("binary"))
+    later = []
+    for part in range(1, parts):
+        found = measure_part(part_of(model, part, parts), part, parts)(F.col("text"), F.col("code"))
+        found = coded.select(F.md5(F.concat(F.col("code").cast("string"), F.lit(" "), F.coalesce("text", F.lit(""))).cast("binary")).alias("name"), found.alias("more"))
+        later.append(stage(found.groupBy("name").agg(F.max("more").alias("more")), "pass"))
+    scored = rows.select(*keep, F.coalesce(lang.cast("string"), F.lit("")).alias("band_lang"), *([name.alias("name")] if later else []),
+                         measure(part_of(model, 0, parts), parts)(text, code).alias("m"))
     names = [c.split(" ")[0] for c in STATS.split(", ")]
     scored = scored.select("*", *(F.col(f"m.{c}").alias(c) for c in names)).drop("m")
+    if later:
+        more = later[0]
+        for found in later[1:]:
+            more = more.unionByName(found)
+        scored = scored.join(more.groupBy("name").agg(F.sum("more").alias("more")), "name").withColumn("nll", F.col("nll") + F.col("more")).drop("name", "more")
+    scored = scored.withColumn("nll", F.when(F.col("n_grams") > 0, F.col("nll") / F.col("n_grams"))).drop("n_grams")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PCT * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
     if written:

@@ -428,3 +428,24 @@ def test_pipeline_result_holds_the_mix(spark, monkeypatch):
         blocks = sorted((b, t) for (x, b), t in place_of.items() if x == s and t <= last)
         assert all(abs(b - t * w / total) < 2 for b, t in blocks)
     assert last > 20 and len(used) == len(share)
+
+
+def test_ngrams_are_counted_and_scored_exactly(spark, docs):
+    rows = docs.select("text", quality_rules.language_code(F.col("lang")).alias("code"))
+    counts = quality_rules.stage(quality_rules.count_ngrams(rows, held=500), "counts")
+    want = defaultdict(int)
+    for r in rows.collect():
+        data = (r.text or "").encode()
+        for i in range(len(data) - 4):
+            want[r.code << 40 | int.from_bytes(data[i:i + 5])] += 1
+    assert {r.key: r.n for r in counts.collect()} == want
+    keys, n = np.array(list(want), np.uint64), np.array(list(want.values()))
+    for bits in (4, 16):  # far fewer ranges than n-grams lose none
+        assert np.abs(np.sort(quality_rules.fit(keys, n, bits).top.values) - np.sort(quality_rules.fit(keys, n, 20).top.values)).max() == 0
+    report = [sorted(map(str, quality_rules.judge(docs, F.col("text"), F.col("lang"), [F.col("doc_id")], pass_keys=k).withColumn("nll", F.round("nll", 6)).collect()))
+              for k in (10**6, len(want) // 4)]
+    assert report[0] == report[1]
+    model = quality_rules.fit(np.sort(keys), n[np.argsort(keys)])
+    got = quality_rules.probabilities(counts).collect()
+    assert len(got) == len(want)
+    assert np.abs(model.logp(np.array([r.key for r in got], np.uint64)) - [r.logp for r in got]).max() < 1e-4
