@@ -9,6 +9,11 @@ probability for every n-gram that occurs. Texts are scored against it in passes
 of about ``PASS_KEYS`` n-grams, each broadcast in the order of the keys' hash:
 the number of passes grows with the different n-grams, memory does not.
 
+No document is scored by a model that holds it: a hash of the text puts it into
+one of two folds (copies into the same), each fold has a model of its own, and
+the texts of one are scored by the other's. The discounts, three numbers an
+order, come from both.
+
 A document's score is its mean negative log probability (nats per byte).
 Quartiles per language over all documents that pass the base rules give the
 band ``[q1 - reach * iqr, q3 + reach * iqr]``; scores outside are rejected.
@@ -158,6 +163,12 @@ def language_code(lang: Column) -> Column:
     return F.crc32(F.coalesce(lang.cast("string"), F.lit("")).cast("binary")).bitwiseAND(F.lit((1 << LANG_BITS) - 1))
 
 
+def model_code(lang: Column, text: Column) -> Column:
+    """The language's code and, above it, the text's fold."""
+    fold = F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(1))
+    return F.shiftleft(fold, LANG_BITS).bitwiseOR(language_code(lang))
+
+
 class Table:
     """Values by key: the keys in the order of their hash, and where each of ``2**bits`` ranges of it begins."""
 
@@ -265,8 +276,8 @@ def _discounts(once: list[float]) -> np.ndarray:
     return out
 
 
-def probabilities(counts: DataFrame) -> DataFrame:
-    """(key, logp) of every key of the written ``counts``: what ``fit`` finds, by joins."""
+def probabilities(counts: DataFrame, held_out: bool = True) -> DataFrame:
+    """(key, logp) of every key of the written ``counts``: what ``fit`` finds, by joins; if ``held_out``, from the other fold."""
     orders = {ORDER: counts}
     for order in range(ORDER, 1, -1):
         short = orders[order].select(_suffix_of(F.col("key"), order).alias("key"))
@@ -275,6 +286,8 @@ def probabilities(counts: DataFrame) -> DataFrame:
         few = {r["n"]: float(r["count"]) for r in orders[order].where("n < 5").groupBy("n").count().collect()}
         d = _discounts([few.get(k, 0.0) for k in (1, 2, 3, 4)]).tolist()
         model = orders[order].withColumn("cut", F.when(F.col("n") == 1, d[1]).when(F.col("n") == 2, d[2]).otherwise(d[3]))
+        if held_out:  # the model's keys become those of the fold that asks
+            model = model.withColumn("key", F.col("key").bitwiseXOR(F.lit(1 << (8 * order + LANG_BITS))))
         contexts = model.groupBy(_context(F.col("key")).alias("context")).agg(F.sum("n").alias("total"), F.sum("cut").alias("cuts"))
         asked = orders[order].select("key", _context(F.col("key")).alias("context"))
         found = asked.join(model.select("key", (F.col("n") - F.col("cut")).alias("own")), "key", "left").join(contexts, "context", "left")
@@ -350,7 +363,8 @@ def judge(rows: DataFrame, text: Column, lang: Column, keep: list[Column], reach
     """``keep`` columns plus the counts, ``nll``, ``base_failed`` and ``kept`` of every row.
     The scores are needed twice (for the bands, then to judge): they are ``written`` with
     the ``keep`` columns, or, where those hold whole texts, found twice instead."""
-    text, code = text.cast("string"), language_code(lang)
+    text = text.cast("string")
+    code = model_code(lang, text)
     coded = rows.select(text.alias("text"), code.alias("code"))
     model = probabilities(stage(count_ngrams(coded), "ngrams"))
     parts = -(-model.count() // pass_keys) or 1

@@ -446,6 +446,21 @@ def test_ngrams_are_counted_and_scored_exactly(spark, docs):
               for k in (10**6, len(want) // 4)]
     assert report[0] == report[1]
     model = quality_rules.fit(np.sort(keys), n[np.argsort(keys)])
-    got = quality_rules.probabilities(counts).collect()
+    got = quality_rules.probabilities(counts, held_out=False).collect()
     assert len(got) == len(want)
     assert np.abs(model.logp(np.array([r.key for r in got], np.uint64)) - [r.logp for r in got]).max() < 1e-4
+
+
+def test_no_document_is_scored_by_its_own_ngrams(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en' AND doc_id % 4 = 0").select("doc_id", "text", "lang")
+    r = np.random.default_rng(5)
+    odd = {}
+    for n in (100, 500, 2000):
+        odd[-n] = " ".join(map(str, r.integers(0, 10**6, n)))
+        odd[-n - 1] = " ".join(f"{x:08x}" for x in r.integers(0, 1 << 32, n))
+        odd[-n - 2] = " ".join("".join(r.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 6)) for _ in range(n))
+    rows = table.unionByName(spark.createDataFrame([(i, t, "en") for i, t in odd.items()], table.schema))
+    got = quality_rules.quality_report(rows).collect()
+    assert not any(x.kept for x in got if x.doc_id in odd)
+    score = {x.doc_id: x.nats_per_byte for x in got if x.nats_per_byte is not None}
+    assert min(score[i] for i in odd) > np.median(list(score.values()))
