@@ -15,8 +15,10 @@ Symbols are UTF-8 bytes, A-Z in lower case, with every run of other ASCII
 characters than letters as one separator.
 
 The sample: per language up to ``sample`` symbols of labelled texts drawn by a
-hash of the id, those of at most ``SHORT`` characters first. Totals for the
-drawing cover all labelled rows.
+hash of the id and text, those of at most ``SHORT`` characters first, and of a
+longer text ``WINDOWS`` stretches over its whole length. The first ``LEAST``
+texts of a language in the order of the hash are always drawn, so every label
+with a text has a sample. Totals for the drawing cover all labelled rows.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0;
 so is every text if nothing is labelled. Equal costs go to the first language
@@ -32,12 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import column_of, crc_fold, small, stage
 from .textarrays import chunks
 
 SAMPLE = 1 << 15
 SHORT = 4096
+#: Stretches taken from a longer text (``SHORT`` characters together), and texts of a language that are drawn in any case.
+WINDOWS, LEAST = 8, 64
 SEGMENT = 1024
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
@@ -162,22 +167,30 @@ def build_parser(samples: dict[str, np.ndarray]) -> Parser:
 
 def draw_samples(rows: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
     """Symbols per language from (doc_id, text, lang) rows; at most about twice ``sample``
-    characters and one long text of a language reach the driver."""
+    characters and ``LEAST`` short and ``LEAST`` cut texts of a language reach the driver."""
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("long", F.length("text") > SHORT)
     sizes = rows.groupBy("lang", "long").agg(F.sum(F.length("text")).alias("chars"))
     totals = sizes.groupBy("lang").agg(*(F.coalesce(F.sum(F.when(F.col("long") == v, F.col("chars"))), F.lit(0)).alias(n) for n, v in (("short_chars", False), ("long_chars", True))))
     totals = small(stage(totals, "langs"))
-    share = F.when(~F.col("long"), 2.0 * sample / F.col("short_chars")).when(F.col("short_chars") < sample, 2.0 * sample / F.col("long_chars")).otherwise(0.0)
+    share = F.when(F.col("long"), 0.0).when(F.col("short_chars") > 0, 2.0 * sample / F.col("short_chars")).otherwise(0.0)
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.join(totals, "lang").withColumn("draw", draw).where(F.col("draw") < share).select("lang", "long", "draw", "text")
+    size = SHORT // WINDOWS
+    stretches = F.when(F.col("long"), F.expr(f"transform(sequence(0, {WINDOWS - 1}), i -> substring(text, CAST(i * CAST(length(text) - {size} AS BIGINT) DIV {WINDOWS - 1} AS INT) + 1, {size}))"))
+    cut = rows.withColumn("draw", draw).select("lang", "long", "draw", F.coalesce(stretches, F.array("text")).alias("texts"))
+    # long texts only where the short ones do not fill the sample
+    cut = cut.join(totals, "lang").where(~F.col("long") | (F.col("short_chars") < sample)).withColumn("drawn", F.col("draw") < share)
+    first = Window.partitionBy("lang", "long").orderBy("draw", "texts")
+    least = cut.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= LEAST).where("NOT drawn")
+    wanted = ["lang", "long", "draw", "texts"]
     found: dict[str, list[np.ndarray]] = {}
-    size: dict[str, int] = {}
-    for r in sorted(drawn.collect(), key=lambda r: (r["lang"], r["long"], r["draw"], r["text"])):
-        if size.get(r["lang"], 0) < sample:
-            data = np.frombuffer(r["text"].encode(), np.uint8)
-            value = np.append(0, symbols(data, np.array([0, len(data)]))[0])
-            found.setdefault(r["lang"], []).append(value)
-            size[r["lang"]] = size.get(r["lang"], 0) + len(value)
+    have: dict[str, int] = {}
+    for r in sorted(cut.where("drawn").select(wanted).unionByName(least.select(wanted)).collect(), key=lambda r: (r["lang"], r["long"], r["draw"], r["texts"])):
+        for text in r["texts"]:
+            if have.get(r["lang"], 0) < sample:
+                data = np.frombuffer(text.encode(), np.uint8)
+                value = np.append(0, symbols(data, np.array([0, len(data)]))[0])
+                found.setdefault(r["lang"], []).append(value)
+                have[r["lang"]] = have.get(r["lang"], 0) + len(value)
     return {k: np.concatenate(v)[:sample].astype(np.int32) for k, v in found.items()}
 
 

@@ -464,3 +464,11 @@ def test_no_document_is_scored_by_its_own_ngrams(spark):
     assert not any(x.kept for x in got if x.doc_id in odd)
     score = {x.doc_id: x.nats_per_byte for x in got if x.nats_per_byte is not None}
     assert min(score[i] for i in odd) > np.median(list(score.values()))
+
+
+def test_languages_of_long_texts_only_have_a_sample(spark):
+    rows = [(i, "ab " * 60_000 + "xy " * 60_000, f"l{i:02d}") for i in range(12)] + [(50 + i, "cdefghij"[i] * 90_000, "many") for i in range(8)]
+    got = language_id.draw_samples(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(got) == {r[2] for r in rows} and all(len(x) <= language_id.SAMPLE for x in got.values())
+    assert all(set(b"abxy") <= set(got[f"l{i:02d}"].tolist()) for i in range(12))
+    assert set(b"cdefghi") <= set(got["many"].tolist())
