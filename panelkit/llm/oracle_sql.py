@@ -48,4 +48,48 @@ LEFT JOIN slots s ON b.source IS NOT DISTINCT FROM s.source
 LEFT JOIN cells c ON c.i = s.i AND c.j = b.block % s.n
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_exact_top_k": TOP_K, "op7_mixing_sources": MIX}
+EXACT = """
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM texts WINDOW w AS (PARTITION BY t)
+"""
+
+TRIE = """
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place,
+    struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+stored AS (
+  SELECT conv_id, list(t ORDER BY place) AS ts,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295) % 9 AS h
+  FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ts, [])[1:c.h], c.ts[c.h + 1:]) AS ts
+  FROM stored c LEFT JOIN stored b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (SELECT conv_id, len(ts) AS n, d::BIGINT AS depth, ts[1:d] AS path FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN n = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * strlen(path[depth].text) END AS saved
+  FROM prefixes GROUP BY depth, path),
+named AS (SELECT p.conv_id AS member, p.depth, n.conv_id FROM prefixes p JOIN nodes n ON n.depth = p.depth AND n.path = p.path),
+kin AS (SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id FROM nodes n LEFT JOIN named up ON up.member = n.conv_id AND up.depth = n.depth - 1),
+children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM kin WHERE depth > 0 GROUP BY ALL),
+sums AS (
+  SELECT a.conv_id, a.depth, sum((c.n_children IS NULL)::BIGINT)::BIGINT AS n_leaves, sum(n.saved)::BIGINT AS saved_tokens
+  FROM nodes n JOIN named a ON a.member = n.conv_id AND a.depth <= n.depth
+  LEFT JOIN children c ON c.conv_id = n.conv_id AND c.depth = n.depth
+  GROUP BY ALL)
+SELECT n.conv_id, n.depth, k.parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256,
+  l.turn_conv_id, l.turn_place
+FROM nodes n JOIN kin k USING (conv_id, depth) JOIN sums s USING (conv_id, depth) LEFT JOIN children c USING (conv_id, depth)
+LEFT JOIN (
+  SELECT r.conv_id, d::BIGINT AS depth, CASE WHEN d <= r.hb THEN r.base ELSE r.conv_id END AS turn_conv_id,
+    CASE WHEN d <= r.hb THEN d ELSE d - r.hb + r.h END::BIGINT AS turn_place
+  FROM (SELECT c.conv_id, c.h, c.conv_id - c.conv_id % 5 AS base, least(c.h, len(coalesce(b.ts, []))) AS hb, unnest(range(1, least(c.h, len(coalesce(b.ts, []))) + greatest(len(c.ts) - c.h, 0) + 1)) AS d
+        FROM stored c LEFT JOIN stored b ON b.conv_id = c.conv_id - c.conv_id % 5) r) l USING (conv_id, depth)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_exact_top_k": TOP_K, "op7_mixing_sources": MIX, "op11_exact_dedup": EXACT, "op13_prefix_trie": TRIE}

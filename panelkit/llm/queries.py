@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, huffman_ids, language_id, mih_search, mixing, passages, quality_rules, simhash, toxicity, weak_quality
+from . import bpe, exact_dedup, huffman_ids, language_id, mih_search, mixing, passages, prefix_trie, quality_rules, simhash, toxicity, weak_quality
 from .common import documents, table
 from .oracle_sql import ORACLE_SQL  # noqa: F401
 
@@ -53,8 +53,16 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passages(documents(spark, sf_dir))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_id_output, op2_language_id, op3_exact_top_k, op4_quality_classifier, op5_simhash_near_dedup,
-        op6_byte_level_bpe, op7_mixing_sources, op8_toxicity, op9_quality_rules, op10_suffix_array_dedup)
+        op6_byte_level_bpe, op7_mixing_sources, op8_toxicity, op9_quality_rules, op10_suffix_array_dedup, op11_exact_dedup, op13_prefix_trie)
 }
