@@ -92,4 +92,23 @@ LEFT JOIN (
         FROM stored c LEFT JOIN stored b ON b.conv_id = c.conv_id - c.conv_id % 5) r) l USING (conv_id, depth)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_exact_top_k": TOP_K, "op7_mixing_sources": MIX, "op11_exact_dedup": EXACT, "op13_prefix_trie": TRIE}
+RANKED = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+totals AS (SELECT count(*) AS big_n, sum(len(ts))::BIGINT AS big_l FROM words WHERE len(ts) > 0),
+entries AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM words) x WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * max(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM entries, totals GROUP BY term),
+adds AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * big_n) // big_l))) AS add FROM entries JOIN weights USING (term), totals),
+scores AS (SELECT item_id, doc_id, sum(add)::BIGINT AS score FROM items JOIN adds USING (term) GROUP BY ALL HAVING sum(add) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_exact_top_k": TOP_K, "op7_mixing_sources": MIX, "op11_exact_dedup": EXACT, "op12_ranked_search": RANKED, "op13_prefix_trie": TRIE}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, huffman_ids, language_id, mih_search, mixing, passages, prefix_trie, quality_rules, simhash, toxicity, weak_quality
+from . import ball_tree, bpe, exact_dedup, huffman_ids, language_id, mih_search, mixing, passages, prefix_trie, quality_rules, simhash, toxicity, weak_quality
 from .common import documents, table
 from .oracle_sql import ORACLE_SQL  # noqa: F401
 
@@ -57,6 +57,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.ranked(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -64,5 +68,5 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_id_output, op2_language_id, op3_exact_top_k, op4_quality_classifier, op5_simhash_near_dedup,
-        op6_byte_level_bpe, op7_mixing_sources, op8_toxicity, op9_quality_rules, op10_suffix_array_dedup, op11_exact_dedup, op13_prefix_trie)
+        op6_byte_level_bpe, op7_mixing_sources, op8_toxicity, op9_quality_rules, op10_suffix_array_dedup, op11_exact_dedup, op12_ranked_search, op13_prefix_trie)
 }
