@@ -336,9 +336,9 @@ def ranked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         block = queries.where(F.pmod(F.xxhash64("number"), F.lit(blocks)) == k)
         one = _ranked_block(docs, block.select("number", "terms").collect(), id_col, text_col, top)
         found = one if found is None else found.union(one)
-    found = found.join(queries.select("number", "item_id"), "number")
     order = Window.partitionBy("number").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
-    return found.select("item_id", F.row_number().over(order).alias("rank"), "doc_id", "score").where(F.col("rank") <= top)
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return best.join(queries.select("number", "item_id"), "number").select("item_id", "rank", "doc_id", "score")
 
 
 def _ranked_block(docs: DataFrame, block: list, id_col: str, text_col: str, top: int) -> DataFrame:
