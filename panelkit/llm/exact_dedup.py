@@ -84,6 +84,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bit
 def groups(written: DataFrame) -> DataFrame:
     """Per row of ``recipes``: row_no, doc_id, keep_id, group_size, kept, text_sha256."""
     shared = written.groupBy("recipe").agg(F.max(F.struct("doc_id", "row_no")).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stage(shared, "shared")  # so that the join deals the rows anew, and a large group of copies is split
     rows = written.join(shared, "recipe", "left")
     alone = F.col("n").isNull()
     return rows.select("row_no", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("last.doc_id")).alias("keep_id"),
