@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import column_of, scratch_path
+from .common import column_of, scratch_path, stage
 from .token_chunks import PieceTable, encoded, joins_safely, ragged
 
 MOST_BITS = 20
@@ -58,8 +58,7 @@ def worker_table(path: str) -> PieceTable:
     if path not in _tables:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokenizer = Tokenizer.from_file(path)  # a special token's string in a text is that token, as in the plain call
         # a byte-level token has one character for each byte
         width = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())], np.int64)
         _tables[path] = PieceTable(lambda values: encode_pieces(tokenizer, width, values), PIECES)
@@ -91,10 +90,9 @@ def encode_pieces(tokenizer, width: np.ndarray, values: list[str], at_once: int
 
 def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """(place, doc_id, ids): rows in ascending id order over all partitions; ``place`` rises
-    with it. Ids are little-endian integers of 16 bits where all of a text fit, else of 32."""
+    with it. Ids are little-endian integers of 16 bits where all of a text fit, else of 32.
+    Texts are encoded where they are read; only their ids, written once, are sorted."""
     text = column_of(docs, text_col).cast("string")
-    rows = docs.select(column_of(docs, id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
-    rows = rows.orderBy(F.col("doc_id").asc_nulls_first(), "tie")
 
     @F.arrow_udf(T.BinaryType())
     def encode(text: pa.Array) -> pa.Array:
@@ -103,7 +101,9 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         return pa.array([_narrow(np.append(ids[a:b], end)) for ids, at in encoded(text, table, CHUNK_BYTES)
                          for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
 
-    return rows.select(F.monotonically_increasing_id().alias("place"), "doc_id", encode("text").alias("ids"))
+    rows = docs.select(column_of(docs, id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), encode(text).alias("ids"))
+    rows = stage(rows, "ids").orderBy(F.col("doc_id").asc_nulls_first(), "tie")
+    return rows.select(F.monotonically_increasing_id().alias("place"), "doc_id", "ids")
 
 
 def _narrow(ids: np.ndarray) -> bytes:
