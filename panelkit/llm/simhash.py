@@ -177,16 +177,17 @@ def _forest(fp: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def components(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Adds ``component_id`` to rows with (doc_id, fp). ``rows`` must be a written table: it is read twice."""
+    """Adds ``component_id`` and ``root`` to rows with (doc_id, fp). ``rows`` must be a written table: it is read
+    twice. ``root``, the least fingerprint of a component, names it also where ids are null or repeat."""
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
     roots = connected_components(links_within(nodes.select("fp"), max_bits))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
     best = rooted.where("linked").groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(best, "root", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), "linked", "n")
+    named = rooted.join(best, "root", "left").select("fp", "root", F.coalesce("component_id", "least").alias("component_id"), "linked", "n")
     # a document alone under its fingerprint, and unlinked, is its own component
-    named = named.where("linked OR n > 1").select("fp", "component_id")
+    named = named.where("linked OR n > 1").select("fp", "root", "component_id")
     out = rows.join(named, "fp", "left")
-    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return out.withColumns({"component_id": F.coalesce("component_id", "doc_id"), "root": F.coalesce("root", "fp")})
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -198,13 +199,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, unchanged, of which one per component stays: that
-    with the smallest id (of equal ids the first by text hash, of equal rows one)."""
+    with the smallest id (null ids last, of equal ids the first by text hash, of
+    equal rows one). Rows that share an id, or have none, are in one component only if their texts are."""
     text = column_of(docs, text_col).cast("string")
     same = dict(doc_id=column_of(docs, id_col), tie=F.xxhash64(text))
     rows = stage(docs.select(*(c.alias(k) for k, c in same.items()), fingerprint_udf(shingle)(text).alias("fp")), "simhash")
     found = components(rows, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tie")
-    first = found.groupBy("component_id").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("d"), F.col("k.tie").alias("t"))
+    first = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("d"), F.col("k.tie").alias("t"))
     again = rows.groupBy(F.col("doc_id").alias("d"), F.col("tie").alias("t")).agg(F.count(F.lit(1)).alias("n"))
     first = first.join(again, first["d"].eqNullSafe(again["d"]) & (first["t"] == again["t"])).select(first["d"], first["t"], "n")
     kept = packed(docs, **same).join(first, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")))
