@@ -8,15 +8,17 @@ all probes of radius ``r`` in segments 0..j everything up to that distance has
 been seen. Radii grow, segment by segment, until the k-th verified distance is
 covered, which proves the result.
 
-Rows with equal codes are one entry of the index, with their least k + 1 ids, so
-a code that a third of all rows share is searched once. Index entries and
-distinct query codes are dealt into blocks; a task searches one block of
-queries in one block of entries and returns at most k + 1 entries per query.
+Rows with equal codes are one entry of the index, with their least k + o ids, so
+a code that a third of all rows share is searched once; o is the largest number
+of codes that one id has, as so many entries may be the query's own. Index
+entries and distinct query codes are dealt into blocks; a task searches one block
+of queries in one block of entries and returns at most k + o entries per query.
 
 Defined results: a null vector has no code, is not found and finds nothing. A
 null or not-a-number entry counts as 0, shorter vectors are filled with zeros.
-Ties in distance go to the smaller id. The query's own row is left out; other
-rows with its id are not distinguished from it. An empty table gives an empty result.
+Ties in distance go to the smaller id. Rows that agree in id and code are one. An
+id with several codes is a neighbour, and a query, with each of them, and never a
+neighbour of itself. Rows without id are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -120,11 +122,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id
     vector = column_of(vectors, vector_col)
     longest = vectors.agg(F.max(F.size(vector))).first()[0] or 0
     rows = vectors.select(column_of(vectors, id_col).alias("id"), queries.alias("asks"), code_udf(max(1, (longest + 7) // 8))(vector).alias("code"))
-    rows = stage(rows.where("code IS NOT NULL AND id IS NOT NULL"), "codes")
+    rows = rows.where("code IS NOT NULL AND id IS NOT NULL").groupBy("code", "id").agg(F.max("asks").alias("asks"))
+    rows = stage(rows, "codes")
+    most = k + (rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1)
 
-    # equal codes are one entry, with its least k + 1 ids (cut before the shuffle, too)
+    # equal codes are one entry, with its least ids (cut before the shuffle, too)
     order = Window.partitionBy("code").orderBy("id")
-    members = rows.select("code", "id").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1)
+    members = rows.select("code", "id").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
     members = stage(members, "members")
     entries = members.groupBy("code").agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("least"))
     asked = rows.where("asks").select("code", F.col("id").alias("query_id"))
@@ -142,13 +146,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id
             return pa.table({"query": pa.array([], pa.binary()), "code": pa.array([], pa.binary()), "distance": pa.array([], pa.int64())})
         codes, asks = index.column("code").combine_chunks(), asked.column("code").combine_chunks()
         least = index.column("least").to_pandas().rank(method="first").to_numpy()
-        query, entry, distance = search_block(_words(codes), index.column("weight").to_numpy(), least, _words(asks), k + 1)
+        query, entry, distance = search_block(_words(codes), index.column("weight").to_numpy(), least, _words(asks), most)
         return pa.table({"query": asks.take(pa.array(query)), "code": codes.take(pa.array(entry)), "distance": pa.array(distance)})
 
     near = left.groupBy("i", "q").cogroup(right.groupBy("i", "q")).applyInArrow(search, "query binary, code binary, distance long")
     by_query = Window.partitionBy("query").orderBy("distance", "id")
-    best = near.join(members.select("code", "id"), "code").withColumn("nth", F.row_number().over(by_query)).where(F.col("nth") <= k + 1)
+    best = near.join(members.select("code", "id"), "code").withColumn("nth", F.row_number().over(by_query)).where(F.col("nth") <= most)
     best = best.select(F.col("query").alias("code"), "distance", "id")
-    by_row = Window.partitionBy("query_id").orderBy("distance", "id")
+    by_row = Window.partitionBy("query_id", "code").orderBy("distance", "id")
     out = asked.join(best, "code").where("id <> query_id").withColumn("rank", F.row_number().over(by_row)).where(F.col("rank") <= k)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("neighbor_id"), "distance")
