@@ -5,6 +5,9 @@ padded matrices by length; in every round all rows of a matrix look up the rank
 of each neighbouring pair in a hash table, every row merges its leftmost pair
 of least rank, and the matrix is compacted; rows without a mergeable pair
 leave. A pair's rank is that of the token its bytes form, as in the ranks file.
+A very long row (a text without spaces) is a matrix of its own with the least rank
+of every block of columns beside it, and links over the merged columns in place of
+compaction: a merge then touches a block or two, not the whole row.
 
 Only pieces that a worker has not met lately are encoded (see token_chunks).
 
@@ -34,6 +37,8 @@ _NONE = np.int64(1) << 40
 _SPREAD = _U(0x9E3779B97F4A7C15)
 #: Rows of one matrix, and pieces a worker remembers.
 ROWS, PIECES = 1 << 14, 500_000
+#: Bytes from which a row is merged alone, and columns whose least rank is held together.
+LONG, BLOCK = 1 << 10, 1 << 10
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -101,12 +106,51 @@ class Encoder:
         low = 0
         while low < len(order):
             width = int(by_length[low])
+            if width >= LONG:
+                out[order[low]] = self._merge_long(rows[order[low]])
+                low += 1
+                continue
             # a bucket: lengths up to a quarter above its least
-            high = min(int(np.searchsorted(by_length, width + width // 4, "right")), low + max(1, ROWS * 16 // width))
+            high = min(int(np.searchsorted(by_length, min(width + width // 4, LONG - 1), "right")), low + max(1, ROWS * 16 // width))
             self._merge_matrix([rows[i] for i in order[low:high].tolist()], order[low:high], out)
             low = high
         return out
 
+    def _merge_long(self, row: bytes) -> bytes:
+        """Ids of one long row: the leftmost pair of least rank is merged until none is left."""
+        n, ranks, tokens = len(row), self.ranks, self.tokens
+        first = self.byte_id[np.frombuffer(row, np.uint8)]
+        rank = np.full(-(-n // BLOCK) * BLOCK, _NONE, np.int64)  # of the pair that begins in a column
+        rank[:n - 1] = self.pair_ranks(first[:-1], first[1:])
+        blocks = rank.reshape(-1, BLOCK)
+        least = blocks.min(1)
+        ids, after, before = first.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        none = int(_NONE)
+        while True:
+            block = int(least.argmin())
+            best = int(least[block])
+            if best == none:
+                break
+            at = block * BLOCK + int(blocks[block].argmin())
+            gone = after[at]
+            follow = after[gone]
+            ids[at], ids[gone], after[at] = best, -1, follow
+            rank[gone] = _NONE
+            changed = {block, gone // BLOCK}
+            if follow < n:
+                before[follow] = at
+                rank[at] = ranks.get(tokens[best] + tokens[ids[follow]], none)
+            else:
+                rank[at] = _NONE
+            ahead = before[at]
+            if ahead >= 0:
+                rank[ahead] = ranks.get(tokens[ids[ahead]] + tokens[best], none)
+                changed.add(ahead // BLOCK)
+            for k in changed:
+                least[k] = blocks[k].min()
+        merged = np.array(ids, np.int64)
+        return merged[merged >= 0].astype("<i4").tobytes()
+
     def _merge_matrix(self, rows: list[bytes], places: np.ndarray, out: list[bytes]) -> None:
         length = np.fromiter(map(len, rows), np.int64, len(rows))
         width = int(length.max())
