@@ -59,7 +59,6 @@ def collected(df):
 def test_token_files_match_the_library(spark, docs):
     got = huffman_ids.written_and_read(docs, JSON).collect()
     t = tokenizers.Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     want = defaultdict(list)
     for r in rows:
@@ -111,6 +110,28 @@ def test_bpe_matches_the_library(docs, nothing):
     assert bpe.round_trip(nothing, BPE, P.PATTERN).collect() == []
 
 
+def test_special_token_strings_inside_texts():
+    import pyarrow as pa
+    from panelkit.llm.token_chunks import encoded
+    some = ["a<|endoftext|>b c", "<|endoftext|>", "x <|endoftext|><|endoftext|> y  <|endoftext|>\n", " <|endoftext|>", "a <|endof text|> b <|endoftext|>. c d"]
+    t = tokenizers.Tokenizer.from_file(JSON)
+    got = [ids[a:b].tolist() for ids, at in encoded(pa.array(some), huffman_ids.worker_table(JSON)) for a, b in zip(at, at[1:])]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in some]
+
+
+def test_long_rows_without_a_space():
+    """Single pre-tokens of up to a megabyte, and lengths around those at which rows are merged alone."""
+    import time
+    encoder = bpe.Encoder(bpe.read_ranks(BPE), P.PATTERN)
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    r = np.random.default_rng(0)
+    letters = lambda n, some: "".join(r.choice(list(some), n))
+    some = [letters(n, "etaoinshr") for n in (1022, 1023, 1024, 1025, 2048, 5000)] + ["a" * 3000, "中文字符" * 700, letters(4000, "aé"), letters(1_000_000, "etaoinshrdlu")]
+    start = time.time()
+    got = [np.frombuffer(x, "<i4").tolist() for x in encoder.merge([t.encode() for t in some])]
+    assert got == [lib.encode_ordinary(t) for t in some] and time.time() - start < 120
+
+
 def test_pieces_of_odd_white_space():
     import pyarrow as pa
     from panelkit.llm.token_chunks import PieceTable, encoded
@@ -213,6 +234,25 @@ def test_top_k(spark):
     assert mih_search.top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_top_k_with_repeated_ids(spark):
+    r = np.random.default_rng(1)
+    vector = lambda: [float(x) for x in r.normal(size=24)]
+    same, rows = vector(), []
+    rows += [(0, same)] * 12 + [(i, vector()) for i in range(1, 15)]
+    rows += [(20, vector()), (20, vector()), (20, vector()), (33, same), (33, same), (34, vector()), (34, vector()), (None, same)]
+    got = defaultdict(list)
+    for x in mih_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 10).collect():
+        got[x.query_id].append((x.rank, x.neighbor_id, x.distance))
+    code = sorted({(i, tuple(v > 0 for v in e)) for i, e in rows if i is not None})
+    want = defaultdict(list)
+    for q, c in code:
+        if q % 20 == 0:
+            near = sorted((sum(a != b for a, b in zip(c, d)), i) for i, d in code if i != q)[:10]
+            want[q] += [(k + 1, i, d) for k, (d, i) in enumerate(near)]
+    assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()}
+    assert len(got[0]) == 10 and len(got[20]) == 30
+
+
 # ------------------------------------------------------------------- dedup
 
 def fingerprint(text):
@@ -238,7 +278,15 @@ def test_simhash(docs, nothing):
         assert component == min((i for i, g in rows if g in group[f] and i is not None), default=None)
     assert simhash.near_duplicates(nothing).collect() == []
     kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns and kept.count() == len({x[2] for x in got})
+    assert kept.columns == docs.columns and kept.count() == len({frozenset(group[f]) for _, f in rows})
+
+
+def test_unrelated_rows_without_or_with_equal_ids_all_stay(spark):
+    rows = [(None, sentence(21, 40)), (None, sentence(22, 50)), (7, sentence(23, 60)), (7, sentence(24, 70)), (1, sentence(25, 80)),
+            (None, sentence(25, 80)), (9, sentence(22, 50)), (7, sentence(24, 70))]
+    df = spark.createDataFrame([(*r, "", "", 0, 0, "", 0) for r in rows], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=str)
+    assert kept == sorted([(None, sentence(21, 40)), (9, sentence(22, 50)), (7, sentence(23, 60)), (7, sentence(24, 70)), (1, sentence(25, 80))], key=str)
 
 
 def test_links_in_hot_buckets(spark, monkeypatch):
