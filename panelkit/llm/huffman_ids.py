@@ -42,6 +42,8 @@ from .token_chunks import PieceTable, encoded, joins_safely, ragged
 MOST_BITS = 20
 BLOCK_IDS = 1 << 16
 STRIDE = 512
+#: Ids that are decoded in step: a few blocks, or one large one.
+DECODED = 1 << 20
 #: Bytes of text looked up together: fewer, larger additions to the worker's table.
 CHUNK_BYTES = (1 << 22) - (1 << 12)
 #: Pieces a worker remembers.
@@ -89,9 +91,7 @@ def encode_pieces(tokenizer, width: np.ndarray, values: list[str], at_once: int
 
 
 def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
-    """(place, doc_id, ids): rows in ascending id order over all partitions; ``place`` rises
-    with it. Ids are little-endian integers of 16 bits where all of a text fit, else of 32.
-    Texts are encoded where they are read; only their ids, written once, are sorted."""
+    """(doc_id, tie, ids), written. Ids are little-endian integers of 16 bits where all of a text fit, else of 32."""
     text = column_of(docs, text_col).cast("string")
 
     @F.arrow_udf(T.BinaryType())
@@ -102,7 +102,12 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                          for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
 
     rows = docs.select(column_of(docs, id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), encode(text).alias("ids"))
-    rows = stage(rows, "ids").orderBy(F.col("doc_id").asc_nulls_first(), "tie")
+    return stage(rows, "ids")
+
+
+def ordered(rows: DataFrame) -> DataFrame:
+    """(place, doc_id, ids) in ascending id order over all partitions; ``place`` rises with it."""
+    rows = rows.orderBy(F.col("doc_id").asc_nulls_first(), "tie")
     return rows.select(F.monotonically_increasing_id().alias("place"), "doc_id", "ids")
 
 
@@ -120,8 +125,10 @@ def count_ids(rows: DataFrame) -> pa.Table:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                own = np.bincount(_wide(raw.as_py()))
+            raws = [raw.as_py() for raw in batch.column(0)]
+            for wide in (False, True):
+                ids = np.frombuffer(b"".join(raw[1:] for raw in raws if bool(raw[0]) is wide), "<u4" if wide else "<u2")
+                own = np.bincount(ids)
                 if len(own) > len(total):
                     total = np.pad(total, (0, len(own) - len(total)))
                 total[:len(own)] += own
@@ -203,33 +210,45 @@ class Decoder:
         self.symbol, self.length = np.pad(self.symbol, (0, missing)), np.pad(self.length, (0, missing), constant_values=1)
 
     def unpack(self, payload: bytes, checkpoints: np.ndarray, n: int, stride: int = STRIDE) -> np.ndarray:
-        """The n ids: every checkpoint is decoded in step with the others."""
-        words = np.frombuffer(payload, ">u4").astype(_U)
+        """The n ids of one block."""
+        return self.unpack_all([(payload, checkpoints, n)], stride)[0]
+
+    def unpack_all(self, blocks: list[tuple[bytes, np.ndarray, int]], stride: int = STRIDE) -> list[np.ndarray]:
+        """The ids of each block (payload, checkpoints, n): the checkpoints of all blocks are decoded in step."""
+        words = np.frombuffer(b"".join(p for p, _, _ in blocks), ">u4").astype(_U)
         pairs = (words << _U(32)) | np.append(words[1:], _U(0))
-        at = checkpoints.astype(np.int64)
-        out = np.zeros((stride, len(at)), np.int32)
-        last = n - (len(at) - 1) * stride
+        before = 8 * np.cumsum([0, *(len(p) for p, _, _ in blocks)])
+        lanes = [len(c) for _, c, _ in blocks]
+        start = np.concatenate([c.astype(np.int64) + b for (_, c, _), b in zip(blocks, before)])
+        size = np.full(len(start), min(stride, max(n for _, _, n in blocks)), np.int64)  # ids behind each checkpoint
+        ends = np.cumsum(lanes)
+        size[ends - 1] = [n - (k - 1) * stride for k, (_, _, n) in zip(lanes, blocks)]
+        order = np.argsort(-size, kind="stable")
+        at, going = start[order], len(start) - np.searchsorted(np.sort(size), np.arange(size.max()), "right")
+        out = np.zeros((int(size.max()), len(at)), np.int32)
         top = np.int64(64 - self.most)
-        for i in range(min(stride, n)):
-            if i == last and len(at) > 1:
-                at = at[:-1]
-            window = (pairs[at >> 5] >> (top - (at & 31)).astype(_U)).astype(np.int64) & ((1 << self.most) - 1)
-            out[i, :len(at)] = self.symbol[window]
-            at = at + self.length[window]
-        return out.T.reshape(-1)[:n] if last == stride else np.concatenate([out.T[:-1].reshape(-1), out.T[-1, :last]])
+        for i, m in enumerate(going.tolist()):
+            here = at[:m]
+            window = (pairs[here >> 5] >> (top - (here & 31)).astype(_U)).astype(np.int64) & ((1 << self.most) - 1)
+            out[i, :m] = self.symbol[window]
+            here += self.length[window]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        ids = out.T[back]
+        whole = ids[np.arange(ids.shape[1]) < size[:, None]]
+        return np.split(whole, np.cumsum([n for _, _, n in blocks])[:-1])
 
 
 # -------------------------------------------------------------------- files
 
 def write_ids(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0,
               block_ids: int = BLOCK_IDS) -> None:
-    """Tokenise ``docs`` and write codebook, blocks and index to ``folder``."""
+    """Tokenise ``docs`` and write codebook, blocks and index to ``folder``. The ids are written once, unordered;
+    the code comes from their counts, and blocks are packed where the sort delivers them."""
     spark = docs.sparkSession
-    rows = tokenised(docs, path, id_col, text_col, end_id)
-    rows.write.option("compression", "zstd").parquet(f"{folder}/ids")
-    rows = spark.read.schema(rows.schema).parquet(f"{folder}/ids")
-
-    counts = count_ids(rows)
+    encoded_rows = tokenised(docs, path, id_col, text_col, end_id)
+    counts = count_ids(encoded_rows)
+    rows = ordered(encoded_rows)
     tally = np.zeros(max(counts.column("id").to_pylist(), default=0) + 1, np.int64)
     tally[counts.column("id").to_numpy()] = counts.column("n").to_numpy()
     bits = code_lengths(tally)
@@ -242,7 +261,7 @@ def write_ids(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", t
                            T.StructField("checkpoints", T.ArrayType(T.LongType()))])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a file come in its order; a block ends where it is full or the next file begins."""
+        """Rows of a partition come in its order; a block ends where it is full."""
         codes, bits = shared.value
         places, held, docs, size = [], [], [], 0
 
@@ -298,18 +317,26 @@ def read_ids(spark: SparkSession, folder: str, digest: bool = False) -> DataFram
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value)
         for batch in batches:
+            held, size = [], 0
             for i in range(len(batch)):
                 place, docs, lengths, payload, checkpoints = (batch.column(k)[i] for k in range(5))
-                size = lengths.values.to_numpy().astype(np.int64)
-                ends = np.cumsum(size)
-                ids = decoder.unpack(payload.as_py(), checkpoints.values.to_numpy(), int(ends[-1]))
-                if digest:
-                    raw = memoryview(ids.astype("<u4").tobytes())
-                    value = pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in zip((ends - size).tolist(), ends.tolist())], pa.int64())
-                else:
-                    value = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), place.as_py())), docs.values, pa.array(ends - size), pa.array(size), value],
-                                                 [f.name for f in schema])
+                ends = np.cumsum(lengths.values.to_numpy().astype(np.int64))
+                held.append((place.as_py(), docs.values, ends, (payload.as_py(), checkpoints.values.to_numpy(), int(ends[-1]))))
+                size += int(ends[-1])
+                if size >= DECODED or i + 1 == len(batch):
+                    for (place, docs, ends, _), ids in zip(held, decoder.unpack_all([b for *_, b in held])):
+                        yield made(place, docs, ends, ids)
+                    held, size = [], 0
+
+    def made(place: int, docs: pa.Array, ends: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        starts = np.append(0, ends[:-1])
+        if digest:
+            raw = memoryview(ids.astype("<u4").tobytes())
+            value = pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())], pa.int64())
+        else:
+            value = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ends), place)), docs, pa.array(starts), pa.array(ends - starts), value],
+                                          [f.name for f in schema])
 
     decoded = blocks.select("place", "docs", "lengths", "payload", "checkpoints").mapInArrow(decode, schema)
     index = spark.read.parquet(f"{folder}/index").select("place", "start")
