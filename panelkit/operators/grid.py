@@ -3,16 +3,22 @@
 A report is a long table ``grid(file_id, row, col, text)``.  Row addressing
 becomes equi-joins on ``(file_id, row, col)``; the only sequential rule —
 greedy anchor selection, where an accepted anchor skips its block — runs as
-an ``aggregate`` over each file's (small, sorted) candidate array.  Files are
-the unit of parallelism: no step gathers more than one file's candidates.
+an ``aggregate`` over a file's sorted candidates while they are few, and by
+pointer doubling over (file, row) in longer files, so that no task holds more
+than a run of rows of a file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from panelkit.functions.text import canonical_entity, is_entity_row, is_page_break, period_from_label, safe_double
+from panelkit.session import materialize
+
+# Rows of a file that one task takes together, and candidates that are scanned at once.
+RUN, AT_ONCE = 4096, 4096
 
 # Row offsets of the core measures inside one sub-block, the
 # sub-block height, and whether the layout carries urban/rural sub-blocks.
@@ -29,18 +35,21 @@ SEXES = ("total", "hombres", "mujeres")
 CORE_MEASURES = ("poblacion_15_mas", "pea", "ocupados", "desocupados", "tasa_desempleo")
 
 
-def drop_page_breaks(grid: DataFrame, label_col: int = 0, marker: str = "ontinuaci") -> DataFrame:
+def drop_page_breaks(grid: DataFrame, label_col: int = 0, marker: str = "ontinuaci", run: int = RUN) -> DataFrame:
     """remove page-break rows and renumber the rows below them.
 
-    Break rows per file are few: they are gathered per file (a short sorted
-    array) and each cell's new row = row - #breaks above it."""
-    brk = (grid.where((F.col("col") == label_col) & is_page_break(F.col("text"), marker))
-               .groupBy("file_id").agg(F.sort_array(F.collect_set("row")).alias("_breaks")))
-    g = grid.join(brk, "file_id", "left")
-    breaks = F.coalesce(F.col("_breaks"), F.array().cast("array<int>"))
-    return (g.where(~F.array_contains(breaks, F.col("row")))
-             .select("file_id", (F.col("row") - F.size(F.filter(breaks, lambda b: b < F.col("row")))).alias("row"),
-                     "col", "text"))
+    A cell moves up by the breaks above it: those of earlier runs of ``run``
+    rows (a running sum over the runs of a file) and those above it in its own
+    run (at most ``run`` row numbers)."""
+    g = grid.withColumn("_run", F.floor(F.col("row") / run).cast("int"))
+    is_break = (F.col("col") == label_col) & is_page_break(F.col("text"), marker)
+    runs = g.groupBy("file_id", "_run").agg(F.collect_set(F.when(is_break, F.col("row"))).alias("_breaks"))
+    earlier = Window.partitionBy("file_id").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_earlier", F.coalesce(F.sum(F.size("_breaks")).over(earlier), F.lit(0)))
+    g = g.join(runs, ["file_id", "_run"])
+    above = F.col("_earlier") + F.size(F.filter("_breaks", lambda b: b < F.col("row")))
+    return (g.where(~F.array_contains("_breaks", F.col("row")))
+             .select("file_id", (F.col("row") - above).cast("int").alias("row"), "col", "text"))
 
 
 def row_view(grid: DataFrame, cols: list[int]) -> DataFrame:
@@ -67,13 +76,23 @@ def entity_candidates(grid: DataFrame, patterns, label_col: int = 0, probe_col:
     return rv.where(cond).select("file_id", "row", ent.alias("entity"), lab.alias("label"))
 
 
-def greedy_anchors(cands: DataFrame, skip: F.Column) -> DataFrame:
+def greedy_anchors(cands: DataFrame, skip: F.Column, at_once: int = AT_ONCE) -> DataFrame:
     """Scan candidates in row order; accept one when its row is at or
     past the next allowed row, then jump ``skip`` rows (a rejected row only
     advances by one, which the 'row >= next' test already expresses).
 
-    Runs as one ``aggregate`` over each file's sorted candidate array."""
-    c = cands.withColumn("_skip", skip.cast("int"))
+    Files of up to ``at_once`` candidates run as one ``aggregate`` over their
+    sorted array; larger ones by pointer doubling, with the same result."""
+    c = materialize(cands.select("file_id", "row", "entity", skip.cast("int").alias("_skip")))
+    sizes = c.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n"))
+    large = materialize(sizes.where(F.col("_n") > at_once).select("file_id"))
+    if not large.limit(1).count():
+        return _scanned(c)
+    return _scanned(c.join(large, "file_id", "left_anti")).union(_linked(c.join(large, "file_id")))
+
+
+def _scanned(c: DataFrame) -> DataFrame:
+    """One ordered scan per file."""
     per_file = c.groupBy("file_id").agg(F.sort_array(F.collect_list(
         F.struct("row", "entity", "_skip"))).alias("_c"))
     init = F.struct(F.lit(0).alias("next"),
@@ -88,6 +107,33 @@ def greedy_anchors(cands: DataFrame, skip: F.Column) -> DataFrame:
     return kept.select("file_id", F.col("_a.row").alias("row"), F.col("_a.entity").alias("entity"))
 
 
+def _linked(c: DataFrame, run: int = RUN) -> DataFrame:
+    """The scan without an order of work: every candidate points to the next one
+    it would accept, and the anchors are those that the first candidate of a file
+    reaches.  Pointers over 2**k steps come from those over 2**(k-1), and with
+    each round the anchors known reach twice as far; all joins are on (file, row)."""
+    # candidates that share a row: the scan meets the smallest first
+    c = c.groupBy("file_id", "row").agg(F.min(F.struct("entity", "_skip")).alias("_x")).select("file_id", "row", "_x.*")
+    ends = c.select("file_id", (F.col("row") + F.greatest("_skip", F.lit(1))).alias("at"), F.col("row").alias("_from"))
+    marks = c.select("file_id", F.col("row").alias("at"), F.lit(None).cast("int").alias("_from")).union(ends)
+    marks = marks.withColumn("_run", F.floor(F.col("at") / run))
+    row = F.when(F.col("_from").isNull(), F.col("at"))
+    # the next candidate at or below a mark: in its own run, else the first of a later run
+    ahead = Window.partitionBy("file_id", "_run").orderBy("at", F.col("_from").isNull()).rowsBetween(0, Window.unboundedFollowing)
+    later = Window.partitionBy("file_id").orderBy("_run").rowsBetween(1, Window.unboundedFollowing)
+    firsts = marks.groupBy("file_id", "_run").agg(F.min(row).alias("_first"))
+    firsts = firsts.select("file_id", "_run", F.min("_first").over(later).alias("_later"))
+    pointers = marks.withColumn("_next", F.min(row).over(ahead)).where("_from IS NOT NULL").join(firsts, ["file_id", "_run"])
+    pointers = materialize(pointers.select("file_id", F.col("_from").alias("row"), F.coalesce("_next", "_later").alias("next")).where("next IS NOT NULL"))
+    reached = materialize(c.groupBy("file_id").agg(F.min("row").alias("row")))
+    while pointers.limit(1).count():
+        more = reached.join(pointers, ["file_id", "row"]).select("file_id", F.col("next").alias("row"))
+        reached = materialize(reached.union(more))  # the two parts of a chain never meet
+        hop = pointers.select("file_id", F.col("row").alias("next"), F.col("next").alias("_then"))
+        pointers = materialize(pointers.join(hop, ["file_id", "next"]).select("file_id", "row", F.col("_then").alias("next")))
+    return reached.join(c, ["file_id", "row"]).select("file_id", "row", "entity")
+
+
 def layout_table(spark) -> DataFrame:
     """Broadcastable literal table (layout, area, sub-block offset, measure, row offset)."""
     rows = []
@@ -120,13 +166,13 @@ def core_blocks(grid: DataFrame, registry: DataFrame, patterns, total_only: list
     columns.  Output: one row per (file, entity, period, area, sex)."""
     g = drop_page_breaks(grid, label_col)
     files = registry.select("file_id", "layout").distinct()
-    cands = entity_candidates(g, patterns, label_col, probe_col).join(F.broadcast(files), "file_id")
+    cands = entity_candidates(g, patterns, label_col, probe_col).join(files, "file_id")
     comarca = F.col("entity").isin(*total_only) if total_only else F.lit(False)
     anchors = greedy_anchors(cands, block_skip(F.col("layout"), comarca))
     lay = F.broadcast(layout_table(grid.sparkSession))
     sexes = F.explode(F.array(*[F.struct(F.lit(s).alias("sexo"), F.lit(i).alias("sex_off"))
                                 for i, s in enumerate(SEXES)])).alias("_s")
-    a = (anchors.join(F.broadcast(registry), "file_id")
+    a = (anchors.join(registry, "file_id")
                 .join(lay, "layout")
                 .where(~(F.col("entity").isin(*total_only) & (F.col("area") != "total")) if total_only else F.lit(True))
                 .select("*", sexes).select("*", "_s.*").drop("_s"))
@@ -152,7 +198,7 @@ def row_records(grid: DataFrame, registry: DataFrame, patterns, label_col: int,
     if first_per_entity:
         cands = (cands.groupBy("file_id", "entity").agg(F.min("row").alias("row")))
     keep_row = [] if first_per_entity else ["row"]
-    recs = cands.join(F.broadcast(registry), "file_id")
+    recs = cands.join(registry, "file_id")
     names = list(value_cols)
     cells = recs.select("*", F.explode(F.array(*[
         F.struct(F.lit(n).alias("_m"), F.col(value_cols[n]).alias("col")) for n in names])).alias("_x")
@@ -196,7 +242,7 @@ def sector_blocks(grid: DataFrame, registry: DataFrame, patterns, label_col: int
         kind = F.when(F.col("s2").contains(text), F.lit(k)).otherwise(kind)
     hits = (win.where(kind.isNotNull()).groupBy("file_id", "row", "entity")
                .agg(*[F.max(F.when(kind == k, F.col("r2"))).alias(f"_r_{k}") for k in labels]))
-    recs = hits.join(F.broadcast(registry), "file_id")
+    recs = hits.join(registry, "file_id")
     cells = recs.select("file_id", "pub_seq", "entity", "periodo", "anio", F.explode(F.array(*[
         F.struct(F.lit(k).alias("_m"), F.col(f"_r_{k}").alias("row")) for k in labels])).alias("_x"),
         F.col("col_pct").alias("col")).select("file_id", "pub_seq", "entity", "periodo", "anio", "_x._m", "_x.row", "col")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import text as tx
 from panelkit.operators import grid as gr
+from panelkit.operators import report_rows as rr
 from panelkit.sources import bridge
 from panelkit.sources.links import harvest_links
 
@@ -121,6 +122,78 @@ def test_greedy_anchors_match_sequential_scan(spark):
     assert {k: sorted(v) for k, v in got.items()} == expected
 
 
+def test_linked_anchors_match_the_scan_on_a_long_file(spark):
+    """A file of 10**6 rows, far more than are scanned at once, equals the sequential scan; so do small files beside it."""
+    import random
+    rnd = random.Random(8)
+    rows = sorted(rnd.sample(range(10**6), 30_000))
+    skip = {r: rnd.choice([1, 22, 66, 9000]) if rnd.random() < 0.99 else 60_000 for r in rows}
+    data = [("long", r, "E", skip[r]) for r in rows] + [("short", r, "F", 5) for r in (0, 3, 5, 6, 12)] + [("long", rows[7], "A", skip[rows[7]])]
+    c = spark.createDataFrame(data, "file_id string, row int, entity string, s int")
+    got = {}
+    for r in gr.greedy_anchors(c, F.col("s")).collect():
+        got.setdefault(r.file_id, []).append(r.row)
+    assert {k: sorted(v) for k, v in got.items()} == {"long": _greedy_python(rows, skip), "short": [0, 5, 12]}
+
+
+def test_page_breaks_over_many_runs(spark):
+    rows = [("f", r, 0, "(Continuación)" if r % 7 == 3 else f"t{r}") for r in range(400)]
+    g = spark.createDataFrame(rows, "file_id string, row int, col int, text string")
+    want = [t for _, r, _, t in rows if r % 7 != 3]
+    for run in (4096, 16):
+        assert [r.text for r in gr.drop_page_breaks(g, run=run).orderBy("row").collect()] == want
+        assert [r.row for r in gr.drop_page_breaks(g, run=run).orderBy("row").collect()] == list(range(len(want)))
+
+
+PATTERNS = [("Colón", "Colón"), ("Darién", "Darién"), ("Coclé", "Coclé")]
+REGISTRY = [("f", 1, "2020-08", 2020), ("g", 2, "2021-08", 2021)]
+
+
+def _grid_of(spark, files):
+    """files: file -> {row: [cells]}."""
+    cells = [(f, r, c, str(v)) for f, rows in files.items() for r, vs in rows.items() for c, v in enumerate(vs) if v is not None]
+    return spark.createDataFrame(cells, "file_id string, row int, col int, text string")
+
+
+def _registry_of(spark):
+    return spark.createDataFrame(REGISTRY, "file_id string, pub_seq int, periodo string, anio int")
+
+
+def test_row_tables_choose_the_first_valid_row(spark):
+    grid = _grid_of(spark, {
+        "f": {14: ["Colón", None, None, 50, 1, 1, 1, 1, 1, 1, 1],        # above the first data row
+              15: ["Colón ...", None, None, "-", 1, 1, 1, 1, 1, 1, 1],   # no total
+              16: ["Colón", None, None, 0, 1, 1, 1, 1, 1, 1, 1],         # zero total
+              17: ["  colón…", None, None, "1,000", 100, 50, 150, 100, 100, 50, 250],
+              18: ["Colón", None, None, 10, 9, 9, 9, 9, 9, 9, 9],        # later: does not count
+              19: ["Total Darién", None, None, 10, 1, 1, 1, 1, 1, 1, 1],
+              20: ["Darién", None, None, 200, 20, 10, "..", 30, 10, 20, 50]},
+        "g": {20: ["Darién", None, None, 100, 10, 10, 10, 10, 10, 10, 10], 21: ["Coclé", None, None, "n/d", 1]}})
+    got = {(r.periodo, r.provincia): r for r in rr.row_table(grid, _registry_of(spark), PATTERNS, rr.ROW_TABLES["cuadro16"]).collect()}
+    assert set(got) == {("2020-08", "Colón"), ("2020-08", "Darién"), ("2021-08", "Darién")}
+    colon, darien = got["2020-08", "Colón"], got["2020-08", "Darién"]
+    assert (colon.row, colon.pct_sin_educacion, colon.pct_primaria, colon.pct_secundaria, colon.pct_universitaria) == (17, 10.0, 20.0, 25.0, 25.0)
+    assert (darien.pct_sin_educacion, darien.pct_primaria, darien.pct_secundaria) == (10.0, None, 30.0)
+
+
+def test_row_tables_of_plain_values(spark):
+    grid = _grid_of(spark, {"f": {9: ["Colón", 1, 1, 1], 10: ["Colón", "..", 5, 5], 11: ["Colón", 0, 61.5, "-"], 12: ["Colón", 60, 1, 1],
+                                  15: ["Urbana Colón", 1, 2, 3], 16: ["Darién", 59.5, None, 58]}})
+    got = {r.provincia: r for r in rr.row_table(grid, _registry_of(spark), PATTERNS, rr.ROW_TABLES["cuadro6"]).collect()}
+    assert (got["Colón"].row, got["Colón"].tasa_actividad_total, got["Colón"].tasa_actividad_urbana, got["Colón"].tasa_actividad_rural) == (11, 0.0, 61.5, None)
+    assert (got["Darién"].tasa_actividad_total, got["Darién"].tasa_actividad_urbana) == (59.5, None)
+
+
+def test_age_blocks(spark):
+    grid = _grid_of(spark, {"f": {
+        4: ["Colón", 1, 200], 5: ["Colón (cont.)", 1, 7], 6: ["15-19", 1, 10], 7: ["20-24", 1, 30], 12: ["60-69", 1, 20], 13: ["70 y más", 1, "-"],
+        33: ["Darién", 1, 50],                                      # within the block: passed over
+        34: ["Darién", 1, "0"], 36: ["15-19", 1, 1], 37: ["20-24", 1, 1],
+        64: ["Darién", 1, 100], 66: ["15-19", 1, 5], 67: ["20-24", 1, 5], 72: ["60-69", 1, 1], 73: ["70 y más", 1, 2], 95: ["Coclé", None, 5]}})
+    got = {r.row: (r.provincia, r.pct_jovenes_pea, r.pct_mayores_pea) for r in rr.age_table(grid, _registry_of(spark), PATTERNS).collect()}
+    assert got == {4: ("Colón", 20.0, None), 34: ("Darién", None, None), 64: ("Darién", 10.0, 3.0)}
+
+
 @pytest.mark.parametrize("raw,ent", [("Panamá Oeste", "Panamá Oeste"), ("Panama", "Panamá"), ("Com. Kuna Yala ....", "Comarca Kuna Yala"),
                                      ("Agrícola", "Colón"), ("Total", None)])
 def test_default_entity_patterns(spark, raw, ent):
