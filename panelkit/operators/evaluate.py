@@ -2,14 +2,13 @@
 
 Layout of the work:
 
-* Every row is exploded to the folds it trains (all periods but its own);
-  fold statistics — exact medians, mean/population std, and for linear
-  models the full Gram matrix — are then plain grouped aggregations over
-  that exploded frame, for all folds in one pass.
+* Fold statistics — exact medians, mean/population std, and for linear models
+  the full Gram matrix — come from counts and moments per period: a fold is
+  all periods without its own, so no row is repeated per fold.
 * Linear models (ridge, lasso) are solved on the driver from the per-fold
   Gram matrices: F×F numbers per fold, independent of the row count.
-* Tree models are Spark ML estimators fitted per fold on the imputed,
-  checkpointed exploded frame; folds run as concurrent jobs.
+* Tree models are Spark ML estimators fitted per fold on the imputed rows,
+  which are checkpointed once; folds run as concurrent jobs.
 * Predictions are applied as a join of test rows to a long model table
   (fold, feature, coefficient), so no per-fold expression is compiled.
 """
@@ -23,8 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.bands import risk_band
-from panelkit.operators.quantiles import exact_quantiles
+from panelkit.operators.quantiles import medians_without
 from panelkit.operators.util import fitted
+from panelkit.session import materialize
 
 FOLD = "fold"
 
@@ -41,12 +41,6 @@ def lopo_split(df: DataFrame, period: str) -> DataFrame:
     return n.select(F.col(period).alias(FOLD), (total - F.col("n_test")).alias("n_train"), "n_test")
 
 
-def train_rows(df: DataFrame, period: str, folds: list[str]) -> DataFrame:
-    """Each row once per fold it trains (its own period excluded)."""
-    arr = F.array(*[F.lit(f) for f in folds])
-    return df.withColumn(FOLD, F.explode(F.filter(arr, lambda f: f != F.col(period))))
-
-
 def _long(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features
@@ -55,9 +49,10 @@ def _long(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
 
 def fold_medians(df: DataFrame, features: list[str], period: str, folds: list[str]) -> DataFrame:
     """M1: exact median of every feature over each fold's training rows,
-    (fold, feature, median).  An all-null training column has no row."""
-    tr = train_rows(df.select(period, *features), period, folds)
-    return exact_quantiles(_long(tr, [FOLD], features), [FOLD, "feature"], "value", {"median": 0.5})
+    (fold, feature, median).  An all-null training column has no row.  A fold's
+    counts are all periods' less its own, so rows are not repeated per fold."""
+    long = _long(df, [period], features).where(F.col(period).isNotNull())
+    return medians_without(long.withColumnRenamed(period, FOLD), ["feature"], "value", FOLD, folds)
 
 
 def null_columns(df: DataFrame, features: list[str]) -> list[str]:
@@ -67,67 +62,40 @@ def null_columns(df: DataFrame, features: list[str]) -> list[str]:
     return [f for f in features if row[f]]
 
 
-def medians_wide(medians: DataFrame, features: list[str], key: str = FOLD) -> DataFrame:
-    """(fold, feature, median) -> one row per fold, ``_m_<feature>`` columns."""
-    pv = medians.groupBy(key).pivot("feature", features).agg(F.max("median"))
-    return pv.select(key, *[F.col(f"`{f}`").alias(f"_m_{f}") for f in features])
-
-
-def impute(df: DataFrame, features: list[str], wide: DataFrame, key: str = FOLD) -> DataFrame:
-    """Fill each feature with its fold median.  The median table has one
-    row per fold (bounded by the number of periods): broadcast."""
-    j = df.join(F.broadcast(wide), key, "left")
-    return j.select(*[c for c in df.columns if c not in features],
-                    *[F.coalesce(F.col(f).cast("double"), F.col(f"_m_{f}")).alias(f) for f in features])
-
-
 def fold_scaler(df: DataFrame, features: list[str], period: str, folds: list[str],
                 medians: DataFrame) -> DataFrame:
     """M2: mean and population std of the imputed training features per
-    fold; a constant column gets scale 1."""
-    tr = impute(train_rows(df.select(period, *features), period, folds), features, medians_wide(medians, features))
-    g = _long(tr, [FOLD], features).groupBy(FOLD, "feature").agg(
-        F.avg("value").alias("media"), F.stddev_pop("value").alias("_sd"))
-    return g.select(FOLD, "feature", "media",
-                    F.when((F.col("_sd") == 0) | F.col("_sd").isNull(), F.lit(1.0)).otherwise(F.col("_sd")).alias("escala"))
-
-
-def fold_gram(df: DataFrame, features: list[str], target: str, period: str, folds: list[str],
-              medians: DataFrame) -> dict:
-    """Per-fold sufficient statistics of the imputed training rows in one
-    aggregation: n, Σx, Σxxᵀ (upper triangle), Σxy, Σy, Σy².  Brings
-    folds × (F²/2 + 2F + 3) numbers to the driver."""
-    tr = impute(train_rows(df.select(period, target, *features), period, folds), features,
-                medians_wide(medians, features))
-    tr = tr.where(F.col(target).isNotNull())
-    nf = len(features)
-    x = [F.col(f) for f in features]
-    y = F.col(target)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    aggs += [F.sum(x[i]).alias(f"sx{i}") for i in range(nf)]
-    aggs += [F.sum(x[i] * y).alias(f"sxy{i}") for i in range(nf)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"sxx{i}_{j}") for i in range(nf) for j in range(i, nf)]
-    rows = tr.groupBy(FOLD).agg(*aggs).collect()
-    out = {}
-    for r in rows:
-        n = r["n"]
-        sx = np.array([r[f"sx{i}"] for i in range(nf)], dtype=float)
-        sxy = np.array([r[f"sxy{i}"] for i in range(nf)], dtype=float)
-        sxx = np.zeros((nf, nf))
-        for i in range(nf):
-            for j in range(i, nf):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
-        out[r[FOLD]] = {"n": n, "sy": r["sy"], "syy": r["syy"], "sx": sx, "sxy": sxy, "sxx": sxx}
-    return out
+    fold; a constant column gets scale 1.
+
+    Counts, means and centred squares per (period, feature) in one pass over the
+    rows; a fold puts together those of the other periods, and its median once
+    for every missing value.  Nothing is subtracted, so no digits cancel."""
+    long = _long(df, [period], features).where(F.col(period).isNotNull())
+    per = materialize(long.groupBy(F.col(period).alias("_p"), "feature").agg(
+        F.count("value").alias("_n"), F.avg("value").alias("_mean"), (F.var_pop("value") * F.count("value")).alias("_m2"),
+        F.count_if(F.col("value").isNull()).alias("_gaps")))
+    others = per.withColumn(FOLD, F.explode(F.filter(F.array(*map(F.lit, folds)), lambda k: k != F.col("_p"))))
+    gaps = others.groupBy(FOLD, "feature").agg(F.sum("_gaps").alias("_n")).join(medians, [FOLD, "feature"])
+    pieces = others.where("_n > 0").select(FOLD, "feature", "_n", "_mean", "_m2").union(
+        gaps.where("_n > 0").select(FOLD, "feature", "_n", F.col("median").alias("_mean"), F.lit(0.0).alias("_m2")))
+    g = pieces.groupBy(FOLD, "feature").agg(
+        F.collect_list(F.struct("_n", "_mean", "_m2")).alias("_l"),  # one entry per period
+        F.sum("_n").alias("_all"), (F.sum(F.col("_n") * F.col("_mean")) / F.sum("_n")).alias("media"))
+    m2 = F.aggregate("_l", F.lit(0.0), lambda a, x: a + x["_m2"] + x["_n"] * (x["_mean"] - F.col("media")) * (x["_mean"] - F.col("media")))
+    sd = F.sqrt(m2 / F.col("_all"))
+    return g.select(FOLD, "feature", "media", F.when((sd == 0) | sd.isNull(), F.lit(1.0)).otherwise(sd).alias("escala"))
 
 
 def fold_gram_by_period(df: DataFrame, features: list[str], target: str, period: str, folds: list[str],
                         medians: DataFrame | None) -> dict:
-    """Same statistics as ``fold_gram`` without exploding rows to folds.
+    """Per-fold sufficient statistics of the imputed training rows: n, Σx, Σxxᵀ,
+    Σxy, Σy, Σy², without exploding rows to folds.
 
-    One aggregation per period collects masked sums; a fold's training
-    statistics are (all periods) − (its own period), and median imputation
-    enters as scalar corrections:
+    One aggregation per period collects masked sums of values less a reference
+    (the column's mean over all rows, kept as ``cx``, ``cy``), so that large
+    values with a small spread keep their digits; a fold's training statistics
+    are (all periods) − (its own period), and median imputation enters as scalar
+    corrections:
 
       Σx̃ᵢ     = Σ_{xᵢ set} xᵢ + mᵢ·#(xᵢ null)
       Σx̃ᵢx̃ⱼ   = Σ_{both set} xᵢxⱼ + mⱼ·Σ_{xᵢ set, xⱼ null} xᵢ + mᵢ·Σ_{xᵢ null, xⱼ set} xⱼ + mᵢmⱼ·#(both null)
@@ -138,10 +106,11 @@ def fold_gram_by_period(df: DataFrame, features: list[str], target: str, period:
     the number of folds; the driver receives periods × O(F²) numbers."""
     d = df.select(period, target, *features).where(F.col(target).isNotNull())
     nf = len(features)
-    cnt = d.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in features]).first()
-    nullable = [i for i, f in enumerate(features) if cnt[f]]
-    x = [F.col(f).cast("double") for f in features]
-    y = F.col(target)
+    cnt = d.agg(F.avg(target), *[F.count_if(F.col(f).isNull()) for f in features], *[F.avg(F.col(f).cast("double")) for f in features]).first()
+    nullable = [i for i in range(nf) if cnt[1 + i]]
+    cy, cx = cnt[0] or 0.0, np.array([cnt[1 + nf + i] or 0.0 for i in range(nf)])
+    x = [F.col(f).cast("double") - float(cx[i]) for i, f in enumerate(features)]
+    y = F.col(target).cast("double") - float(cy)
     miss = {i: x[i].isNull() for i in nullable}
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
     aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(nf)]
@@ -161,7 +130,7 @@ def fold_gram_by_period(df: DataFrame, features: list[str], target: str, period:
         own = per.get(k, {})
         g = {key: total[key] - (own.get(key) or 0) for key in total}
         n = g["n"]
-        m = np.array([(med.get(k, {}).get(f) or 0.0) if i in nullable else 0.0 for i, f in enumerate(features)])
+        m = np.array([med.get(k, {}).get(f, cx[i]) - cx[i] if i in nullable else 0.0 for i, f in enumerate(features)])
         sx = np.array([g[f"s{i}"] + m[i] * (n - g[f"c{i}"]) for i in range(nf)])
         sxy = np.array([g[f"d{i}"] + (m[i] * g[f"e{i}"] if i in nullable else 0.0) for i in range(nf)])
         sxx = np.zeros((nf, nf))
@@ -175,7 +144,7 @@ def fold_gram_by_period(df: DataFrame, features: list[str], target: str, period:
                 if i in nullable and j in nullable:
                     v += m[i] * m[j] * g[f"z{i}_{j}"]
                 sxx[i, j] = sxx[j, i] = v
-        out[k] = {"n": n, "sy": g["sy"], "syy": g["syy"], "sx": sx, "sxy": sxy, "sxx": sxx}
+        out[k] = {"n": n, "sy": g["sy"], "syy": g["syy"], "sx": sx, "sxy": sxy, "sxx": sxx, "cx": cx, "cy": cy}
     return out
 
 
@@ -189,7 +158,7 @@ def _standardised(st: dict):
     sd[sd == 0] = 1.0
     g = cov / np.outer(sd, sd)                       # Gram of scaled, centred X
     c = (st["sxy"] - n * mu * ybar) / sd             # X_sᵀ (y - ȳ)
-    return n, mu, sd, ybar, g, c
+    return n, mu + st["cx"], sd, ybar + st["cy"], g, c
 
 
 def ridge_from_gram(st: dict, alpha: float = 1.0):
@@ -249,7 +218,6 @@ def apply_linear(df: DataFrame, keys: list[str], features: list[str], model: Dat
 def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, keys: list[str],
                 kind: str = "ridge", alpha: float | None = None, folds: list[str] | None = None) -> DataFrame:
     """M3/M4 + M9: out-of-fold predictions (keys, fold, real, predicho)."""
-    from panelkit.session import materialize
     folds = folds or periods_of(df, period)
     holes = null_columns(df, features)
     # folds x (features with nulls) rows, read twice
@@ -280,7 +248,6 @@ def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str,
 
     from pyspark.ml.feature import VectorAssembler
 
-    from panelkit.session import materialize
     folds = folds or periods_of(df, period)
     med = {}
     holes = null_columns(df, features)
@@ -384,51 +351,26 @@ def lopo_persistence(df: DataFrame, target: str, lag: str, period: str, keys: li
 
 
 def lopo_ols1(df: DataFrame, target: str, x: str, period: str, keys: list[str]) -> DataFrame:
-    """One-feature least squares, leave one period out, from per-period sums
-    (fold = totals − period); rows need both values."""
-    d = df.where(F.col(target).isNotNull() & F.col(x).isNotNull())
-    y, xv = F.col(target), F.col(x)
-    per, tot = _per_period(d, period, [F.count(F.lit(1)).alias("n"), F.sum(xv).alias("sx"), F.sum(y).alias("sy"),
-                                       F.sum(xv * xv).alias("sxx"), F.sum(xv * y).alias("sxy")])
-    n, sx, sy, sxx, sxy = [tot[c] - F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")]
-    b = (sxy - sx * sy / n) / (sxx - sx * sx / n)
-    fm = per.select(F.col(period).alias(FOLD), b.alias("_b"), ((sy - b * sx) / n).alias("_a"))
-    out = d.join(F.broadcast(fm), d[period] == fm[FOLD])
+    """One-feature least squares, leave one period out; rows need both values.
+
+    Counts, means and centred co-moments per period (a handful of numbers each)
+    come to the driver, and a fold puts those of the other periods together."""
+    d = df.where(F.col(target).isNotNull() & F.col(x).isNotNull() & F.col(period).isNotNull())
+    y, xv = F.col(target).cast("double"), F.col(x).cast("double")
+    per = d.groupBy(F.col(period).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.avg(xv).alias("mx"), F.avg(y).alias("my"),
+                                                  F.var_pop(xv).alias("vx"), F.covar_pop(xv, y).alias("vxy")).collect()
+    fits = []
+    for own in per:
+        rest = [r for r in per if r.p != own.p]
+        n = sum(r.n for r in rest)
+        if not n:
+            continue
+        mx, my = (sum(r.n * r[m] for r in rest) / n for m in ("mx", "my"))
+        sxx = sum(r.n * (r.vx + (r.mx - mx) ** 2) for r in rest)
+        sxy = sum(r.n * (r.vxy + (r.mx - mx) * (r.my - my)) for r in rest)
+        b = sxy / sxx if sxx > 0 else None
+        fits.append((own.p, None if b is None else float(my - b * mx), None if b is None else float(b)))
+    fm = df.sparkSession.createDataFrame(fits, f"{FOLD} string, _a double, _b double")
+    out = d.join(F.broadcast(fm), d[period] == fm[FOLD])  # a row per period
     p = F.col("_a") + F.col("_b") * xv
     return out.select(*keys, FOLD, F.col(target).alias("real"), F.greatest(p, F.lit(0.0)).alias("predicho"))
-
-
-# ----------------------------------------------------------- hyper-parameter search (M8)
-# The boosting search space (five axes) of the evaluation step.
-BOOSTING_GRID = {
-    "stepSize": [0.01, 0.03, 0.05, 0.08],
-    "maxIter": [100, 200, 300],
-    "maxDepth": [3, 4, 5],
-    "minInstancesPerNode": [3, 4, 6],
-    "subsamplingRate": [0.8, 0.9, 1.0],
-}
-
-
-def random_search(data: DataFrame, estimator, grid: dict, n_iter: int = 30, folds: int = 5, seed: int = 42,
-                  label: str = "label", parallelism: int = 4):
-    """M8: ``n_iter`` parameter maps drawn without replacement (seeded) from
-    the full grid, each scored by k-fold RMSE with Spark ML's
-    CrossValidator (fits run ``parallelism`` at a time); returns the
-    refitted best model and the (params, rmse) table."""
-    import itertools
-    import random
-
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator
-
-    axes = list(grid)
-    combos = list(itertools.product(*[grid[a] for a in axes]))
-    picked = random.Random(seed).sample(combos, min(n_iter, len(combos)))
-    maps = [{estimator.getParam(a): v for a, v in zip(axes, c)} for c in picked]
-    ev_ = RegressionEvaluator(labelCol=label, predictionCol=estimator.getPredictionCol(), metricName="rmse")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev_, numFolds=folds, seed=seed,
-                        parallelism=parallelism)
-    model = cv.fit(data)
-    rows = [tuple(float(x) for x in c) + (float(m),) for c, m in zip(picked, model.avgMetrics)]
-    table = data.sparkSession.createDataFrame(rows, ", ".join(f"{a} double" for a in axes) + ", rmse double")
-    return model.bestModel, table

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.bands import risk_band, risk_band_nullsafe
 from panelkit.operators import evaluate as ev
+from panelkit.operators import tuning as tn
 
 
 @pytest.mark.parametrize("rate,band", [(5.99, "bajo"), (6.0, "moderado"), (7.99, "moderado"), (8.0, "critico"),
@@ -32,8 +33,7 @@ def test_ridge_matches_closed_form(spark):
     cols = [f"x{i}" for i in range(x.shape[1])]
     df = spark.createDataFrame([(float(v), *map(float, r), "p") for r, v in zip(x, y)],
                                "y double, " + ", ".join(f"{c} double" for c in cols) + ", periodo string")
-    med = ev.fold_medians(df.withColumn("periodo", F.lit("a")), cols, "periodo", ["b"])  # fold 'b' trains on all rows
-    st = ev.fold_gram(df.withColumn("periodo", F.lit("a")), cols, "y", "periodo", ["b"], med)["b"]
+    st = ev.fold_gram_by_period(df, cols, "y", "periodo", ["b"], None)["b"]  # fold 'b' trains on all rows
     b0, beta = ev.ridge_from_gram(st, alpha=1.0)
     mu, sd = x.mean(0), x.std(0)
     xs = (x - mu) / sd
@@ -45,7 +45,7 @@ def test_ridge_matches_closed_form(spark):
 def test_lasso_matches_coordinate_descent(spark):
     x, y = _design(seed=2)
     n = len(y)
-    st = {"n": n, "sy": y.sum(), "syy": (y * y).sum(), "sx": x.sum(0), "sxy": x.T @ y, "sxx": x.T @ x}
+    st = {"n": n, "sy": y.sum(), "syy": (y * y).sum(), "sx": x.sum(0), "sxy": x.T @ y, "sxx": x.T @ x, "cx": np.zeros(4), "cy": 0.0}
     b0, beta = ev.lasso_from_gram(st, alpha=0.1)
     # brute-force check of the optimality (KKT) conditions on standardised data
     mu, sd = x.mean(0), x.std(0)
@@ -83,33 +83,87 @@ def test_persistence_uses_fold_train_mean(spark):
     assert p == {"p1": 25.0, "p2": 10.0, "p3": 20.0}
 
 
-def test_random_search_picks_from_grid(spark):
+def test_search_is_pinned_by_its_seed(spark):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import DecisionTreeRegressor
     x, y = _design(n=80)
-    df = spark.createDataFrame([(float(v), *map(float, r)) for r, v in zip(x, y)],
-                               "label double, a double, b double, c double, d double")
+    df = spark.createDataFrame([(i, float(v), *map(float, r)) for i, (r, v) in enumerate(zip(x, y))],
+                               "id int, label double, a double, b double, c double, d double")
     data = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(df)
     grid = {"maxDepth": [1, 2, 4], "minInstancesPerNode": [1, 5]}
-    best, table = ev.random_search(data, DecisionTreeRegressor(seed=1), grid, n_iter=4, folds=3, parallelism=2)
-    assert table.count() == 4
-    assert best.getOrDefault("maxDepth") in (1, 2, 4)
+    runs = [tn.search(d, DecisionTreeRegressor(seed=1), grid, ["id"], "label", draws=4, folds=3, parallelism=2)
+            for d in (data, data.repartition(7))]
+    (best, chosen, tried), (_, again, tried_again) = runs
+    assert len(tried) == 4 and len({tuple(m.items()) for m, _ in tried}) == 4
+    assert chosen == again and np.allclose([s for _, s in tried], [s for _, s in tried_again])
+    assert chosen == min(tried, key=lambda t: t[1])[0] and best.getOrDefault("maxDepth") == chosen["maxDepth"]
+    assert tn.draw(grid, 99) != tn.draw(grid, 99, seed=1) and len(tn.draw(grid, 99)) == 6
+    assert [len(list(g)) for g in tn.GRIDS.values()] == [5, 6]
+
+
+def test_nested_search_predicts_every_row_from_other_periods(spark):
+    df, rows = _panel(spark, 0.0)
+    df = df.withColumn("id", F.monotonically_increasing_id()).cache()
+    grid = {"maxIter": [2, 3], "maxDepth": [1, 2], "stepSize": [0.3]}
+    pred, trials = tn.lopo_tuned(df, ["a", "b", "c"], "y", "periodo", ["id"], grid=grid, draws=2, inner=2)
+    got = pred.join(df.select("id", "periodo"), "id").collect()
+    assert len(got) == len(rows) and all(r.fold == r.periodo and r.predicho >= 0 for r in got)
+    t = trials.collect()
+    assert len(t) == 10 and sum(r.elegido for r in t) == 5
+    for fold in {r.fold for r in t}:
+        assert min((r for r in t if r.fold == fold), key=lambda r: r.rmse).elegido
+
+
+def test_linear_importances(spark):
+    x, y = _design()
+    df = spark.createDataFrame([(float(v), *map(float, r)) for r, v in zip(x, y)], "y double, a double, b double, c double, d double")
+    xs = (x - x.mean(0)) / x.std(0)
+    w = np.linalg.solve(xs.T @ xs + np.eye(4), xs.T @ (y - y.mean()))
+    got = tn.linear_importances(df, ["a", "b", "c", "d"], "y")
+    assert np.allclose([got[f] for f in "abcd"], np.abs(w), atol=1e-9)
+    table = tn.importance_table(spark, {"Ridge": got}).orderBy("puesto").collect()
+    assert [r.importancia for r in table] == sorted(got.values(), reverse=True)
 
 
-def test_gram_by_period_equals_exploded(spark):
-    rng = np.random.default_rng(11)
+def _panel(spark, shift, seed=11):
+    rng = np.random.default_rng(seed)
     rows = []
-    for i in range(120):
-        per = f"p{i % 5}"
+    for i in range(150):
         x = rng.normal(size=3)
-        a = None if rng.random() < 0.2 else float(x[0])
-        b = None if rng.random() < 0.3 else float(x[1])
-        rows.append((per, float(x @ [1, 2, 3] + rng.normal()), a, b, float(x[2])))
-    df = spark.createDataFrame(rows, "periodo string, y double, a double, b double, c double")
+        a = None if rng.random() < 0.2 else float(x[0]) + shift
+        b = None if rng.random() < 0.3 else float(x[1]) - shift
+        rows.append((f"p{i % 5}", float(x @ [1, 2, 3] + rng.normal()) + shift, a, b, float(x[2])))
+    return spark.createDataFrame(rows, "periodo string, y double, a double, b double, c double"), rows
+
+
+def _train(rows, fold):
+    """Training rows of a fold, imputed with their medians."""
+    x = np.array([[np.nan if v is None else v for v in r[2:]] for r in rows if r[0] != fold])
+    med = np.nanmedian(x, axis=0)
+    return np.where(np.isnan(x), med, x), np.array([r[1] for r in rows if r[0] != fold]), med
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e9])
+def test_fold_statistics_keep_their_digits(spark, shift):
+    """Scales, ridge and one-feature least squares over folds, also for values near 1e9 with a spread of 1."""
+    df, rows = _panel(spark, shift)
     feats, folds = ["a", "b", "c"], [f"p{i}" for i in range(5)]
     med = ev.fold_medians(df, feats, "periodo", folds)
-    g1 = ev.fold_gram(df, feats, "y", "periodo", folds, med)
-    g2 = ev.fold_gram_by_period(df, feats, "y", "periodo", folds, med)
+    scale = {(r.fold, r.feature): r for r in ev.fold_scaler(df, feats, "periodo", folds, med).collect()}
+    stats = ev.fold_gram_by_period(df, feats, "y", "periodo", folds, med)
+    for k in folds:
+        x, y, _ = _train(rows, k)
+        for i, f in enumerate(feats):
+            assert np.isclose(scale[k, f].media, x[:, i].mean(), rtol=1e-14) and np.isclose(scale[k, f].escala, x[:, i].std(), rtol=1e-6)
+        xs = (x - x.mean(0)) / x.std(0)
+        w = np.linalg.solve(xs.T @ xs + np.eye(3), xs.T @ (y - y.mean()))
+        b0, beta = ev.ridge_from_gram(stats[k])
+        assert np.allclose(beta, w / x.std(0), rtol=1e-6)
+        assert np.allclose(b0 + x @ beta, y.mean() + xs @ w, rtol=1e-12, atol=1e-6)
+    got = {r.c: r.predicho for r in ev.lopo_ols1(df, "y", "c", "periodo", ["c"]).collect()}
     for k in folds:
-        for key in ("n", "sy", "syy", "sx", "sxy", "sxx"):
-            assert np.allclose(g1[k][key], g2[k][key], rtol=1e-9, atol=1e-9), (k, key)
+        x, y, _ = _train(rows, k)
+        slope, cut = np.polyfit(x[:, 2], y - y.mean(), 1)
+        for r in rows:
+            if r[0] == k:
+                assert np.isclose(got[r[4]], max(0.0, cut + slope * r[4] + y.mean()), rtol=1e-12, atol=1e-8)
