@@ -14,7 +14,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.functions.normal import erfc, normal_quantile
 from panelkit.operators.quantiles import exact_quantiles
+from panelkit.session import materialize
 from panelkit.operators.util import fitted
 
 
@@ -108,7 +110,8 @@ def describe(df: DataFrame, cols: list[str], dp: int | None = 2) -> DataFrame:
     out = basic.join(qs, "columna", "left")
     cols_out = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     if dp is not None:
-        out = out.select("columna", "count", *[F.round(c, dp).alias(c) for c in cols_out])
+        # as array libraries round: the scaled double half to even, not its decimal digits
+        out = out.select("columna", "count", *[(F.rint(F.col(c) * 10.0 ** dp) / 10.0 ** dp).alias(c) for c in cols_out])
     return out
 
 
@@ -198,31 +201,30 @@ def iqr_outliers(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
 
 
 # ------------------------------------------------------- ranks without a global window
-def prefix_counts(counts: DataFrame, value: str, count_cols: list[str], buckets: int = 256) -> DataFrame:
+#: Rows that one array of a tied value makes.
+TIED = 10_000
+
+
+def prefix_counts(counts: DataFrame, value: str, count_cols: list[str], ranges: int | None = None) -> DataFrame:
     """For a table with one row per distinct ``value`` and count columns,
     add ``below_<c>`` = sum of ``c`` over all smaller values.
 
-    Distributed prefix sum: values are cut into ~``buckets`` ranges at sketch
-    quantiles (a bounded list brought to the driver), bucket totals are
-    prefix-summed over the few bucket rows, and the in-bucket running sum is
-    a window partitioned by bucket.  No window ever spans all values."""
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx(value, probs, 10 * buckets)).first()[0] or []
-    cuts = sorted(set(float(c) for c in cuts))
-    arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    b = F.size(F.filter(arr, lambda c: c < F.col(value)))
-    d = counts.withColumn("_bucket", b)
-    tot = d.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in count_cols])
-    wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # <= `buckets` rows
-    tot = tot.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}")
-                                  for c in count_cols])
-    wi = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.join(F.broadcast(tot), "_bucket")
+    Distributed prefix sum: the values are dealt by range into as many
+    partitions as Spark makes for their size (or ``ranges``), the totals of the
+    ranges are summed up over those few rows, and the running sum inside a range
+    is a window of that range alone.  No window ever spans all values."""
+    dealt = counts.repartitionByRange(ranges, value) if ranges else counts.repartitionByRange(value)
+    d = materialize(dealt.withColumn("_range", F.spark_partition_id()))
+    tot = d.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in count_cols])
+    wb = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    tot = tot.select("_range", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}") for c in count_cols])
+    wi = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.join(F.broadcast(tot), "_range")  # one row per partition
     return d.select(*counts.columns, *[
         (F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0))).alias(f"below_{c}") for c in count_cols])
 
 
-def rank_sum_test(df: DataFrame, value: str, group: Column, buckets: int = 256) -> DataFrame:
+def rank_sum_test(df: DataFrame, value: str, group: Column, ranges: int | None = None) -> DataFrame:
     """Mann-Whitney U (two-sided, normal approximation with tie and
     continuity correction).  ``group`` is a boolean column: True = sample 1.
 
@@ -232,7 +234,7 @@ def rank_sum_test(df: DataFrame, value: str, group: Column, buckets: int = 256)
     d = df.where(v.isNotNull() & group.isNotNull()).select(v.cast("double").alias("_v"), group.alias("_g"))
     counts = d.groupBy("_v").agg(F.count_if("_g").alias("c1"), F.count_if(~F.col("_g")).alias("c2"))
     counts = counts.withColumn("t", F.col("c1") + F.col("c2"))
-    ranked = prefix_counts(counts, "_v", ["t"], buckets)
+    ranked = prefix_counts(counts, "_v", ["t"], ranges)
     mid = F.col("below_t") + (F.col("t") + 1) / 2.0
     s = ranked.agg(F.sum(F.col("c1") * mid).alias("r1"), F.sum("c1").alias("n1"), F.sum("c2").alias("n2"),
                    F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("ties"))
@@ -246,6 +248,11 @@ def rank_sum_test(df: DataFrame, value: str, group: Column, buckets: int = 256)
                     (n1 * n2 - u1).alias("u2"), z.alias("z"))
 
 
+def two_sided_p(z: Column) -> Column:
+    """P(|Z| >= z) of a standard normal variable."""
+    return erfc(z / math.sqrt(2))
+
+
 def normality_jb(df: DataFrame, value: str) -> DataFrame:
     """X6 (re-aimed): Jarque-Bera from population skewness and excess
     kurtosis; p-value = exp(-JB/2) (chi-square with 2 d.o.f.)."""
@@ -255,35 +262,29 @@ def normality_jb(df: DataFrame, value: str) -> DataFrame:
     return s.withColumns({"jb": jb, "p_valor": F.exp(-jb / 2.0)})
 
 
-def qq_positions(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
+def qq_positions(df: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
     """X7 part 1: order statistics with Filliben plotting positions
     (1 - 0.5^(1/n) for the first, 0.5^(1/n) for the last,
-    (i - 0.3175)/(n + 0.365) in between)."""
+    (i - 0.3175)/(n + 0.365) in between).  A tied value makes its rows in runs
+    of ``TIED``, so that no array grows with its number."""
     v = F.col(value)
     d = df.where(v.isNotNull())
     counts = d.groupBy(v.cast("double").alias("valor")).agg(F.count(F.lit(1)).alias("c"))
-    ranked = prefix_counts(counts, "valor", ["c"], buckets)
+    ranked = prefix_counts(counts, "valor", ["c"], ranges)
     n = d.select(F.count(F.lit(1))).scalar()
-    pos = ranked.select("valor", F.explode(F.sequence(F.col("below_c") + 1, F.col("below_c") + F.col("c"))).alias("i"))
+    first, last_i = F.col("below_c") + 1, F.col("below_c") + F.col("c")
+    runs = ranked.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("c") - 1) / TIED))))
+    start = first + F.col("_run") * TIED
+    pos = runs.select("valor", F.explode(F.sequence(start, F.least(start + (TIED - 1), last_i))).alias("i"))
     last = F.pow(F.lit(0.5), F.lit(1.0) / n)
     m = (F.when(F.col("i") == 1, 1 - last).when(F.col("i") == n, last)
           .otherwise((F.col("i") - 0.3175) / (n + 0.365)))
     return pos.select(F.col("i").cast("bigint").alias("i"), "valor", m.alias("p"))
 
 
-def qq_points(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
-    """Theoretical normal quantile per order statistic (Arrow-batched
-    pandas UDF for the inverse normal CDF)."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
-    def norm_ppf(p):
-        from statistics import NormalDist
-        nd = NormalDist()
-        return p.map(nd.inv_cdf)
-
-    pos = qq_positions(df, value, buckets)
-    return pos.withColumn("teorico", norm_ppf(F.col("p")))
+def qq_points(df: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
+    """Theoretical normal quantile per order statistic."""
+    return qq_positions(df, value, ranges).withColumn("teorico", normal_quantile(F.col("p")))
 
 
 def kde_grid(df: DataFrame, value: str, points: int = 100, by: list[str] | None = None) -> DataFrame:
