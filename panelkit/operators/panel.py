@@ -93,14 +93,17 @@ def macro_by_year(wide: DataFrame, indicators: dict[str, str] = MACRO_INDICATORS
                   code_col: str = "codigo_indicador", year_col: str = "anio") -> DataFrame:
     """Wide years -> one row per year with one column per wanted code.
 
-    A wanted code with no source row becomes an all-null column; duplicate
-    code rows keep the first (by ``_row`` when present).  Years are the
-    wide table's numeric column names (plan-time choice from the schema).
-    """
+    Years are the wide table's numeric column names (plan-time choice from the
+    schema)."""
     years = [c for c in wide.columns if c.isdigit()]
     order = F.col("_row") if "_row" in wide.columns else F.lit(0)
     w = wide.select(F.col(code_col).alias("_code"), order.alias("_row"), *years)
-    long = w.unpivot(["_code", "_row"], years, "_year", "_val")
+    return macro_from_long(w.unpivot(["_code", "_row"], years, "_year", "_val"), indicators, year_col)
+
+
+def macro_from_long(long: DataFrame, indicators: dict[str, str] = MACRO_INDICATORS, year_col: str = "anio") -> DataFrame:
+    """U3 from (_code, _row, _year, _val).  A wanted code with no source row
+    becomes an all-null column; duplicate code rows keep the first by ``_row``."""
     codes = list(indicators)
     pv = (long.groupBy(F.col("_year").cast("int").alias(year_col))
               .pivot("_code", codes)

@@ -59,15 +59,19 @@ def feature_quality(features: DataFrame, panel_cols: int, spec: PanelSpec = DEFA
 
 
 def prediction_quality(preds: DataFrame, summary: DataFrame, accuracy: float | None = None,
-                       min_models: int = 2, max_rmse: float = 5.0) -> DataFrame:
+                       min_models: int = 2, max_rmse: float = 5.0, required: list[str] | None = None) -> DataFrame:
     """Q3: predictions >= 0, model count, R² > 0 and RMSE below a bound for
-    the best model, risk accuracy > 0.5."""
+    the best model; with ``accuracy``, risk accuracy > 0.5; with ``required``, the columns of the predictions."""
     p = _report(preds, [("predicciones_no_negativas", F.coalesce(F.bool_and(F.col("prediccion") >= 0), F.lit(True)),
                          F.count_if(F.col("prediccion") < 0))])
     s = _report(summary, [("min_modelos", F.count(F.lit(1)) >= min_models, F.count(F.lit(1))),
                           ("r2_positivo", F.max("r2") > 0, F.format_string("%.4f", F.max("r2"))),
                           ("rmse_acotado", F.min("rmse") < max_rmse, F.format_string("%.4f", F.min("rmse")))])
     out = p.unionByName(s)
+    if required is not None:
+        missing = [c for c in required if c not in preds.columns]
+        out = out.unionByName(out.sparkSession.createDataFrame(
+            [("columnas_requeridas", not missing, ",".join(missing) or "ok")], "check string, passed boolean, observed string"))
     if accuracy is not None:
         out = out.unionByName(out.sparkSession.createDataFrame(
             [("precision_riesgo", accuracy > 0.5, str(round(accuracy, 4)))], "check string, passed boolean, observed string"))

@@ -23,8 +23,8 @@ FEATURE_SCHEMA = StructType([
 ])
 POLYGON = "array<array<array<double>>>"
 
-KM_PER_DEG_LAT = 110.574
-KM_PER_DEG_LON = 111.320
+# Equatorial radius in km and flattening of the WGS84 ellipsoid.
+WGS84 = (6378.137, 1 / 298.257223563)
 
 
 def read_features(lines: DataFrame, text_col: str = "value") -> DataFrame:
@@ -71,33 +71,47 @@ def to_features(vertices: DataFrame) -> DataFrame:
                           .otherwise(feature("MultiPolygon", polygons)).alias("value"))
 
 
-def polygon_measures(vertices: DataFrame) -> DataFrame:
+def equal_area(lon: F.Column, lat: F.Column, radius: float = WGS84[0], flattening: float = WGS84[1]) -> tuple[F.Column, F.Column]:
+    """Cylindrical equal-area projection of an ellipsoid, in the unit of
+    ``radius``: x grows with the longitude, y is half the authalic function of
+    the latitude, so that plane areas are areas on the ellipsoid."""
+    sin = F.sin(F.radians(lat))
+    e = math.sqrt(flattening * (2 - flattening))
+    if e == 0:
+        half = sin
+    else:
+        half = (1 - e * e) / 2 * (sin / (1 - e * e * sin * sin) - F.log((1 - e * sin) / (1 + e * sin)) / (2 * e))
+    return radius * F.radians(lon), radius * half
+
+
+def polygon_measures(vertices: DataFrame, radius: float = WGS84[0], flattening: float = WGS84[1]) -> DataFrame:
     """Shoelace area and centroid per (region, level) over all its
     parts, holes taken off whichever way their rings turn; planar in degrees,
-    plus km² with a local equirectangular scale at the centroid latitude (an
-    approximation; not a UTM projection).  The window holds one ring."""
+    and the area in km² from the vertices in an equal-area projection.  The
+    window holds one ring."""
     ring = ["region", "level", "part", "ring"]
     w = Window.partitionBy(*ring).orderBy("seq")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     nxt_x = F.coalesce(F.lead("x").over(w), F.first("x").over(whole))
     nxt_y = F.coalesce(F.lead("y").over(w), F.first("y").over(whole))
     e = _with_part(vertices).select(*ring, "x", "y", nxt_x.alias("x2"), nxt_y.alias("y2"))
+    px, py = equal_area(F.col("x"), F.col("y"), radius, flattening)
+    px2, py2 = equal_area(F.col("x2"), F.col("y2"), radius, flattening)
     cross = F.col("x") * F.col("y2") - F.col("x2") * F.col("y")
     r = e.groupBy(*ring).agg(
-        (F.sum(cross) / 2).alias("_a"),
+        (F.sum(cross) / 2).alias("_a"), (F.sum((px - px2) * (py + py2)) / 2).alias("_km2"),
         F.sum((F.col("x") + F.col("x2")) * cross).alias("_cx"), F.sum((F.col("y") + F.col("y2")) * cross).alias("_cy"),
         F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"),
         F.count(F.lit(1)).alias("vertices"))
     sign = F.signum("_a") * F.when(F.col("ring") == 0, 1).otherwise(-1)
     a = r.groupBy("region", "level").agg(
-        F.sum(sign * F.col("_a")).alias("_a"), F.sum(sign * F.col("_cx")).alias("_cx"), F.sum(sign * F.col("_cy")).alias("_cy"),
+        F.sum(sign * F.col("_a")).alias("_a"), F.sum(sign * F.col("_km2")).alias("_km2"), F.sum(sign * F.col("_cx")).alias("_cx"), F.sum(sign * F.col("_cy")).alias("_cy"),
         F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"),
         F.sum("vertices").alias("vertices"))
     cx = F.try_divide("_cx", 6 * F.col("_a"))
     cy = F.try_divide("_cy", 6 * F.col("_a"))
-    km2 = F.col("_a") * KM_PER_DEG_LAT * KM_PER_DEG_LON * F.cos(F.radians(cy))
     return a.select("region", "level", "vertices", F.col("_a").alias("area_grados2"), cx.alias("centro_x"),
-                    cy.alias("centro_y"), km2.alias("area_km2"), "xmin", "xmax", "ymin", "ymax")
+                    cy.alias("centro_y"), F.col("_km2").alias("area_km2"), "xmin", "xmax", "ymin", "ymax")
 
 
 def layer_profile(measures: DataFrame, by: list[str] | None = None) -> DataFrame:

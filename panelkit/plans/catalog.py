@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.bands import risk_band
 from panelkit.operators import features as feat
 from panelkit.operators import panel as pan
-from panelkit.plans.common import HIGH, LOW, SPEC, enriched, enriched_table, features, panel, round_doubles, source, stored
+from panelkit.plans.common import HIGH, LOW, SPEC, enriched, enriched_table, entities, features, panel, round_doubles, source, stored
 from panelkit.session import materialize
 from panelkit.sources import bridge
 from panelkit.operators.util import fitted
@@ -66,13 +66,13 @@ def q_enrich_panel(spark, sf_dir):
 
 @query
 def q_macro_by_year(spark, sf_dir):
-    return round_doubles(pan.macro_by_year(bridge.macro_wide(_t(spark, sf_dir))))
+    return round_doubles(pan.macro_from_long(bridge.macro_long(_t(spark, sf_dir))))
 
 
 @query
 def q_enrich_macro(spark, sf_dir):
     t = _t(spark, sf_dir)
-    m = pan.macro_by_year(bridge.macro_wide(t))
+    m = pan.macro_from_long(bridge.macro_long(t))
     p = pan.enrich_macro(panel(t), m, SPEC)
     return round_doubles(p.select(*KEY, "anio", *[c for c in m.columns if c != "anio"]))
 
@@ -298,16 +298,9 @@ def q_rank_sum_test(spark, sf_dir):
 
 @query
 def q_rank_sum_pvalue(spark, sf_dir):
-    """X5 p-value: 2·sf(z) = erfc(z/√2) on the one result row (Arrow UDF)."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
-    def erfc(x):
-        import math
-        return x.map(lambda v: math.erfc(v) if v == v else float("nan"))
-
-    r = q_rank_sum_test(spark, sf_dir)
-    return r.withColumn("p_valor", erfc(F.col("z") / F.lit(2 ** 0.5)))
+    """The test with its two-sided p-value."""
+    r = st.rank_sum_test(_tot(spark, sf_dir), SPEC.target, F.col(SPEC.year) < ERA_SPLIT)
+    return round_doubles(r.withColumn("p_valor", st.two_sided_p(F.col("z"))))
 
 
 @query
@@ -317,7 +310,7 @@ def q_normality_jb(spark, sf_dir):
 
 @query
 def q_qq_points(spark, sf_dir):
-    return st.qq_points(_tot(spark, sf_dir), SPEC.target)
+    return round_doubles(st.qq_points(_tot(spark, sf_dir), SPEC.target))
 
 
 @query
@@ -380,39 +373,18 @@ def q_vintage_latest(spark, sf_dir):
     return round_doubles(pan.vintage_latest(frames, SPEC).select(*KEY, "anio", *MEASURES))
 
 
-@query
-def q_composition_shares(spark, sf_dir):
-    """Guarded shares per entity-period from the report tables."""
-    tabs = bridge.attribute_tables(_t(spark, sf_dir), SPEC)
-    key = [SPEC.entity, SPEC.period]
-    out = tabs["cuadro4"]
-    for name in ("cuadro16", "cuadro19", "cuadro22"):
-        out = out.join(tabs[name], key, "full")
-    return round_doubles(out)
-
-
-@query
-def q_activity_rates(spark, sf_dir):
-    """Activity rates total/urban/rural per entity-period."""
-    return round_doubles(bridge.attribute_tables(_t(spark, sf_dir), SPEC)["cuadro6"])
-
-
-@query
-def q_median_wage(spark, sf_dir):
-    """Exact median order value per entity-period."""
-    return round_doubles(bridge.wage_attributes(_t(spark, sf_dir), SPEC))
-
-
 # ---------------------------------------------------------------- text functions and report grids
 from panelkit.functions import text as tx  # noqa: E402
 from panelkit.operators import grid as gr  # noqa: E402
 
-TOTAL_ONLY = [f"NATION_{k}" for k in range(bridge.COMARCA_FROM_KEY, 25)]
 
 
 def _patterns(t: Tables):
-    names = [r[0] for r in t.nation.select("n_name").collect()]  # 25 rows: the entity dimension
-    return bridge.entity_patterns(names)
+    return bridge.entity_patterns(list(entities(t)))
+
+
+def _total_only(t: Tables) -> list[str]:
+    return [n for n, k in entities(t).items() if k >= bridge.COMARCA_FROM_KEY]
 
 
 def label_variants(t: Tables) -> DataFrame:
@@ -493,7 +465,7 @@ def _registry(t):
 
 
 def _core(t):
-    return gr.core_blocks(_grid(t), _registry(t), _patterns(t), TOTAL_ONLY)
+    return gr.core_blocks(_grid(t), _registry(t), _patterns(t), _total_only(t))
 
 
 @query
@@ -508,8 +480,8 @@ def q_grid_anchors(spark, sf_dir):
     t = _t(spark, sf_dir)
     g = gr.drop_page_breaks(_grid(t))
     reg = _registry(t).select("file_id", "layout").distinct()
-    cands = gr.entity_candidates(g, _patterns(t)).join(F.broadcast(reg), "file_id")
-    skip = gr.block_skip(F.col("layout"), F.col("entity").isin(*TOTAL_ONLY))
+    cands = gr.entity_candidates(g, _patterns(t)).join(reg, "file_id")
+    skip = gr.block_skip(F.col("layout"), F.col("entity").isin(*_total_only(t)))
     return gr.greedy_anchors(cands, skip).withColumnRenamed("entity", "provincia")
 
 
@@ -529,8 +501,58 @@ def q_grid_panel(spark, sf_dir):
     return round_doubles(pan.keep_last(c.drop("file_id"), KEY).drop("pub_seq", "row"))
 
 
+# ---------------------------------------------------------------- report tables with a row or a block per entity
+from panelkit.operators import report_rows as rr  # noqa: E402
+from panelkit.sources import report_fixtures as rf  # noqa: E402
+
+
+def _report_registry(t):
+    return source(t, "report_registry", lambda: rf.report_registry(t, SPEC))
+
+
+def _row_report(t, name: str) -> DataFrame:
+    """G3, G5-G8 on the grids of one table, the newest publication's record per entity-period."""
+    reg = _report_registry(t)
+    grid = source(t, f"grid_{name}", lambda: rf.row_grid(t, name, reg, SPEC))
+    records = rr.row_table(grid, rf.registry_of(reg, name.removeprefix("cuadro")), _patterns(t), rr.ROW_TABLES[name])
+    return pan.keep_last(records.drop("file_id", "anio"), [SPEC.entity, SPEC.period], ("pub_seq", "row")).drop("pub_seq", "row")
+
+
+@query
+def q_activity_rates(spark, sf_dir):
+    """Activity rates total/urban/rural per entity-period, from the report grids."""
+    return round_doubles(_row_report(_t(spark, sf_dir), "cuadro6"))
+
+
+@query
+def q_composition_shares(spark, sf_dir):
+    """Guarded shares per entity-period, from the report grids."""
+    t, key = _t(spark, sf_dir), [SPEC.entity, SPEC.period]
+    out = _row_report(t, "cuadro16")
+    for name in ("cuadro19", "cuadro22"):
+        out = out.join(_row_report(t, name), key, "full")
+    return round_doubles(out)
+
+
+@query
+def q_median_wage(spark, sf_dir):
+    """Median wage per entity-period, from the report grids."""
+    return round_doubles(_row_report(_t(spark, sf_dir), "cuadro25"))
+
+
+@query
+def q_age_structure(spark, sf_dir):
+    """Shares of the young and the old in the labour force, from age blocks of several rows."""
+    t = _t(spark, sf_dir)
+    reg = _report_registry(t)
+    grid = source(t, "grid_cuadro4", lambda: rf.age_grid(t, reg, SPEC))
+    records = rr.age_table(grid, rf.registry_of(reg, "4"), _patterns(t))
+    return round_doubles(pan.keep_last(records.drop("file_id", "anio"), [SPEC.entity, SPEC.period], ("pub_seq", "row")).drop("pub_seq", "row"))
+
+
 # ---------------------------------------------------------------- model evaluation
 from panelkit.operators import evaluate as ev  # noqa: E402
+from panelkit.operators import tuning as tn  # noqa: E402
 from panelkit.spec import SELECTED_FEATURES  # noqa: E402
 
 
@@ -588,8 +610,11 @@ def q_cv_predictions(spark, sf_dir):
 
 
 def _cv_metrics(spark, sf_dir):
-    p = baseline_predictions(_ft(spark, sf_dir))
-    return ev.cv_metrics(p, ["modelo", ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo")
+    """Fold metrics of the two baselines (periods x 2 rows), written once for their several readers."""
+    def build():
+        p = baseline_predictions(_ft(spark, sf_dir))
+        return ev.cv_metrics(p, ["modelo", ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo")
+    return stored(_t(spark, sf_dir), "cv_metrics", build)
 
 
 @query
@@ -613,28 +638,34 @@ def q_risk_accuracy(spark, sf_dir):
     return round_doubles(ev.risk_accuracy(p, ["modelo"]))
 
 
+def metric_matrix(m: DataFrame, models: list[str]) -> DataFrame:
+    return m.groupBy("periodo").pivot("modelo", models).agg(
+        F.round(F.max("rmse"), 4).alias("rmse"), F.round(F.max("mae"), 4).alias("mae"), F.round(F.max("r2"), 4).alias("r2"))
+
+
 @query
 def q_cv_matrix(spark, sf_dir):
     """Period x model matrix of RMSE, MAE and R² (4 dp)."""
-    m = _cv_metrics(spark, sf_dir)
-    pv = m.groupBy("periodo").pivot("modelo", ["MCO1", "Persistencia"]).agg(
-        F.round(F.max("rmse"), 4).alias("rmse"), F.round(F.max("mae"), 4).alias("mae"), F.round(F.max("r2"), 4).alias("r2"))
-    return pv
+    return metric_matrix(_cv_metrics(spark, sf_dir), ["MCO1", "Persistencia"])
 
 
-@query
-def q_model_table(spark, sf_dir):
+def metric_table(m: DataFrame) -> DataFrame:
     """T9 + U6: model summary as a map model -> metrics, exploded back to
     rows, ranked by R² with the best value of each metric flagged."""
-    s = ev.cv_summary(_cv_metrics(spark, sf_dir))
+    s = ev.cv_summary(m)
     nested = s.agg(F.map_from_entries(F.collect_list(F.struct("modelo", F.struct("mae", "rmse", "r2")))).alias("m"))
-    rows = nested.select(F.explode("m").alias("modelo", "v")).select("modelo", "v.*")
+    rows = materialize(nested.select(F.explode("m").alias("modelo", "v")).select("modelo", "v.*"))  # a row per model, read twice
     best = fitted(rows, mae=F.min("mae"), rmse=F.min("rmse"), r2=F.max("r2"))
     flags = {"mejor_mae": F.col("mae") == best["mae"], "mejor_rmse": F.col("rmse") == best["rmse"],
              "mejor_r2": F.col("r2") == best["r2"]}
     return round_doubles(rows.withColumns(flags).orderBy(F.desc("r2")))
 
 
+@query
+def q_model_table(spark, sf_dir):
+    return metric_table(_cv_metrics(spark, sf_dir))
+
+
 def _fold_predictions(spark, sf_dir, name, fn):
     """Out-of-fold predictions of a model, fitted once per session and read from shared storage."""
     f = _ft(spark, sf_dir)
@@ -698,14 +729,86 @@ def all_predictions(spark, sf_dir) -> DataFrame:
     return out
 
 
+def _contest(spark, sf_dir) -> DataFrame:
+    """Out-of-fold predictions of all models with both bands, written once."""
+    return stored(_t(spark, sf_dir), "contest", lambda: ev.with_bands(all_predictions(spark, sf_dir), "real", "predicho", LOW, HIGH))
+
+
+def _contest_metrics(spark, sf_dir) -> DataFrame:
+    return stored(_t(spark, sf_dir), "contest_metrics",
+                  lambda: ev.cv_metrics(_contest(spark, sf_dir), ["modelo", ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo"))
+
+
+def _contest_accuracy(spark, sf_dir) -> DataFrame:
+    hit = (F.col("riesgo_real") == F.col("riesgo_pred")).cast("double")
+    return _contest(spark, sf_dir).groupBy("modelo").agg(F.avg(hit).alias("precision_riesgo"))
+
+
 @query
 def q_model_contest(spark, sf_dir):
     """A21 + T5 + T9 + A19 over all models: mean fold metrics, risk accuracy
     and the best model (lowest RMSE)."""
-    p = materialize(ev.with_bands(all_predictions(spark, sf_dir), "real", "predicho", LOW, HIGH))
-    m = ev.cv_metrics(p, ["modelo", ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo")
-    acc = p.groupBy("modelo").agg(F.avg((F.col("riesgo_real") == F.col("riesgo_pred")).cast("double")).alias("precision_riesgo"))
-    return round_doubles(ev.cv_summary(m).join(acc, "modelo"))
+    return round_doubles(ev.cv_summary(_contest_metrics(spark, sf_dir)).join(_contest_accuracy(spark, sf_dir), "modelo"))
+
+
+@query
+def q_contest_matrix(spark, sf_dir):
+    """A9 over all models: period x model matrix of RMSE, MAE and R² (4 dp)."""
+    return metric_matrix(_contest_metrics(spark, sf_dir), ["Persistencia", "MCO1", *MODELS])
+
+
+@query
+def q_contest_table(spark, sf_dir):
+    """T9 + U6 over all models, ranked by R² with the best value of each metric flagged."""
+    return metric_table(_contest_metrics(spark, sf_dir))
+
+
+@query
+def q_contest_best(spark, sf_dir):
+    """T5 + T12: the folds of the best of all models."""
+    m = _contest_metrics(spark, sf_dir)
+    best = ev.cv_summary(m).where("mejor").select("modelo", F.col("rmse").alias("rmse_medio"))
+    return round_doubles(m.join(best, "modelo").orderBy("periodo"))
+
+
+# Features of the small linear model whose solution the SQL twins repeat in closed form.
+FEW_FEATURES = ["tasa_desempleo_lag1", "tasa_participacion", "pct_subempleo"]
+
+
+@query
+def q_lopo_ridge_few(spark, sf_dir):
+    """M1-M3 + M10 on three features: ridge with fold medians and scaling, metrics per period."""
+    p = ev.lopo_linear(_ft(spark, sf_dir), FEW_FEATURES, SPEC.target, SPEC.period, KEY, "ridge", 1.0)
+    return round_doubles(ev.cv_metrics(p, [ev.FOLD]).withColumnRenamed(ev.FOLD, "periodo"))
+
+
+@query
+def q_linear_importance(spark, sf_dir):
+    """M12, linear part: absolute standardised weights of the final ridge on three features."""
+    imp = tn.linear_importances(_ft(spark, sf_dir), FEW_FEATURES, SPEC.target)
+    return round_doubles(tn.importance_table(spark, {"Ridge": imp}))
+
+
+# Draws and inner folds of the registered searches (the operators' own are 30 and 5).
+QUERY_DRAWS, QUERY_INNER = 2, 2
+
+
+@query
+def q_lopo_tuned(spark, sf_dir):
+    """M8 in M9: the drawn parameters of every fold's own search, all rows, pinned by the seed."""
+    f = _ft(spark, sf_dir)
+    _, trials = tn.lopo_tuned(f, model_features(f), SPEC.target, SPEC.period, KEY, grid=tn.GRIDS["GradientBoosting"], draws=QUERY_DRAWS, inner=QUERY_INNER)
+    return round_doubles(trials)
+
+
+@query
+def q_model_importances(spark, sf_dir):
+    """M12 + T2: importances of the final linear models and of boosting tuned over the six-axis grid, 15 largest each."""
+    f = _ft(spark, sf_dir)
+    feats = model_features(f)
+    _, _, _, trees = tn.final_tuned(f, feats, SPEC.target, KEY, ev.boosting_sampled, tn.GRIDS["BoostingMuestreado"], QUERY_DRAWS, QUERY_INNER)
+    per_model = {k: tn.linear_importances(f, feats, SPEC.target, k.lower()) for k in ("Ridge", "Lasso")}
+    return round_doubles(tn.importance_table(spark, per_model | {"BoostingMuestreado": trees}).where("puesto <= 15"))
 
 
 # ---------------------------------------------------------------- scoring, risk, explanation, scenarios
@@ -928,9 +1031,10 @@ def q_polygon_measures(spark, sf_dir):
 
 @query
 def q_multipart_measures(spark, sf_dir):
-    """S8 + Z5 on regions with holes and several parts, through GeoJSON and back."""
+    """S8 + Z5 + Z6 on a region per customer, with holes and several parts, through GeoJSON and back."""
     t = _t(spark, sf_dir)
-    v = rg.holes_and_islands(rg.regular_polygons(t.nation.select("n_nationkey", "n_name"), "n_nationkey", region_name(t)))
+    name = F.concat(F.lit("Zona "), F.col("c_custkey").cast("string"))
+    v = rg.holes_and_islands(rg.regular_polygons(t.customer.select("c_custkey"), "c_custkey", name))
     m = rg.polygon_measures(rg.read_features(rg.to_features(v)))
     return round_doubles(m.select("region", "level", "vertices", "area_grados2", "centro_x", "centro_y"))
 
@@ -997,6 +1101,37 @@ def q_indicators_per_year(spark, sf_dir):
     return ind.indicators_per_year(_records(_t(spark, sf_dir)))
 
 
+@query
+def q_indicator_files(spark, sf_dir):
+    """K7 + S3: the long and the wide indicator file written as CSV with a byte-order mark and read back."""
+    records = _records(_t(spark, sf_dir))
+    base = _scratch(spark, "indicators")
+    ind.write_csv(records, base + "/largo")
+    ind.write_csv(ind.indicator_wide(records), base + "/ancho")
+    long = ind.read_long_csv(spark, base + "/largo").groupBy("codigo").agg(
+        F.count(F.lit(1)).alias("registros"), F.count("valor").alias("con_valor"), F.max("pais").alias("pais"), F.round(F.sum("valor"), 4).alias("suma_larga"))
+    wide = ind.wide_to_long(ind.read_wide_csv(spark, base + "/ancho"), "codigo").groupBy("codigo").agg(
+        F.max("indicador").alias("indicador"), F.count("valor").alias("celdas"), F.round(F.sum("valor"), 4).alias("suma_ancha"))
+    return long.join(wide, "codigo", "left")
+
+
+@query
+def q_indicator_file_wide(spark, sf_dir):
+    """U4 read back from its CSV file: years are whatever columns the header has."""
+    path = _scratch(spark, "indicators-wide")
+    ind.write_csv(ind.indicator_wide(_records(_t(spark, sf_dir))), path)
+    wide = ind.read_wide_csv(spark, path)
+    return round_doubles(ind.wide_to_long(wide, "codigo").where("valor IS NOT NULL").select("codigo", "indicador", "anio", "valor"))
+
+
+@query
+def q_macro_file(spark, sf_dir):
+    """S3 -> U3: the wide indicator table as a CSV file with a byte-order mark, read by its header, one row per year."""
+    path = _scratch(spark, "macro")
+    ind.write_csv(bridge.macro_wide(_t(spark, sf_dir)), path, order="_row")
+    return round_doubles(pan.macro_by_year(ind.read_wide_csv(spark, path)))
+
+
 @query
 def q_locate_report(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -1041,12 +1176,11 @@ def q_sink_roundtrip(spark, sf_dir):
 
 
 def _summary(spark, sf_dir):
-    """M14 summary of the checkable models: best model, rounded metrics,
-    map model -> metrics, counts, risk accuracies and the top-10 weights."""
+    """M14 summary of all models: best model, rounded metrics, map model ->
+    metrics, counts, risk accuracies and the top-10 weights."""
     f = _ft(spark, sf_dir)
-    s = ev.cv_summary(_cv_metrics(spark, sf_dir))
-    preds = ev.with_bands(baseline_predictions(f), "real", "predicho", LOW, HIGH)
-    acc = preds.groupBy("modelo").agg(F.avg((F.col("riesgo_real") == F.col("riesgo_pred")).cast("double")).alias("acc"))
+    s = ev.cv_summary(_contest_metrics(spark, sf_dir))
+    acc = _contest_accuracy(spark, sf_dir).withColumnRenamed("precision_riesgo", "acc")
     sc = _scored(spark, sf_dir)
     acc_train = sc.select(F.avg((F.col("riesgo_real") == F.col("riesgo_predicho")).cast("double"))).scalar()
     top10 = [k for k, _ in sorted(WEIGHTS.items(), key=lambda kv: -abs(kv[1]))[:10]]
@@ -1160,18 +1294,25 @@ def q_quality_report(spark, sf_dir):
     return a.unionByName(b).unionByName(c)
 
 
+@query
+def q_prediction_quality(spark, sf_dir):
+    """Q3 over all models: columns, bounds, at least four models, and the best model's risk accuracy."""
+    s = ev.cv_summary(_contest_metrics(spark, sf_dir))
+    best = s.where("mejor").join(_contest_accuracy(spark, sf_dir), "modelo").first()  # one row
+    return qa.prediction_quality(_scored(spark, sf_dir), s, best["precision_riesgo"], min_models=4,
+                                 required=[SPEC.entity, SPEC.period, SPEC.target, "prediccion", "riesgo_real", "riesgo_predicho"])
+
+
 @query
 def q_stream_consolidate(spark, sf_dir):
-    """Publications streamed in as files and consolidated by foreachBatch."""
-    from panelkit.streaming.consolidate import consolidate_stream
+    """Publications streamed in as files into one table, of which the latest records are taken."""
+    from panelkit.streaming.consolidate import consolidated, publish
     t = _t(spark, sf_dir)
     v = source(t, "vintages", lambda: bridge.vintages(t, SPEC))
-    src = _scratch(spark, "publications")
-    v.repartition("pub_seq").write.partitionBy("pub_seq").parquet(src)
-    schema = spark.read.parquet(src).schema
-    table = consolidate_stream(spark, src, schema, KEY, _scratch(spark, "panel-table"), _scratch(spark, "stream-ckpt"))
-    out = spark.read.parquet(table)
-    return round_doubles(out.select(*KEY, "anio", *MEASURES))
+    src, table = _scratch(spark, "publications"), _scratch(spark, "published")
+    v.write.parquet(src)
+    publish(spark, src, v.schema, table, _scratch(spark, "stream-ckpt"))
+    return round_doubles(consolidated(spark, table, v.schema, KEY).select(*KEY, "anio", *MEASURES))
 
 
 def prepare_sources(spark, sf_dir) -> None:
@@ -1186,6 +1327,10 @@ def prepare_sources(spark, sf_dir) -> None:
     source(t, "national_grid", lambda: bridge.national_grid(t, SPEC))
     source(t, "sector_grid", lambda: bridge.sector_grid(t, SPEC))
     source(t, "informal_grid", lambda: bridge.informal_grid(t, SPEC))
+    reg = _report_registry(t)
+    source(t, "grid_cuadro4", lambda: rf.age_grid(t, reg, SPEC))
+    for name in rr.ROW_TABLES:
+        source(t, f"grid_{name}", lambda: rf.row_grid(t, name, reg, SPEC))
 
 
 @query

@@ -17,9 +17,16 @@ SPEC = DEFAULT_SPEC
 # Risk thresholds used by the fixture queries: the terciles of the fixture's
 # rate distribution (the default 6/8 would put every row in one band).
 LOW, HIGH = 43.0, 56.0
-ENTITIES = [f"NATION_{i}" for i in range(25)]  # nation table: 25 rows at every scale factor
-CATEGORIES = {"provincia": ENTITIES, "area": ["rural", "total", "urbana"],
-              "sexo": ["hombres", "mujeres", "total"]}
+
+
+def entities(t: Tables) -> dict[str, int]:
+    """The entity dimension, name -> key, from the nation table."""
+    return {r[0]: r[1] for r in t.nation.select("n_name", "n_nationkey").collect()}
+
+
+def categories(t: Tables) -> dict[str, list[str]]:
+    """Members of the one-hot columns."""
+    return {"provincia": sorted(entities(t)), "area": ["rural", "total", "urbana"], "sexo": ["hombres", "mujeres", "total"]}
 
 
 def round_doubles(df: DataFrame, dp: int = 6) -> DataFrame:
@@ -37,7 +44,7 @@ def panel(t: Tables) -> DataFrame:
 
 def enriched(t: Tables) -> DataFrame:
     p = pan.enrich_panel(panel(t), bridge.attribute_sources(t, SPEC), SPEC)
-    p = pan.enrich_macro(p, pan.macro_by_year(bridge.macro_wide(t)), SPEC)
+    p = pan.enrich_macro(p, pan.macro_from_long(bridge.macro_long(t)), SPEC)
     return pan.order_columns(p)
 
 
@@ -85,7 +92,7 @@ def features(t: Tables) -> DataFrame:
         from pyspark.sql import functions as F
         from panelkit.operators.util import fitted
         yr = fitted(panel(t), lo=F.min(SPEC.year), hi=F.max(SPEC.year))
-        return feat.feature_table(enriched(t), SPEC, categories=CATEGORIES, year_range=(yr["lo"], yr["hi"]))
+        return feat.feature_table(enriched(t), SPEC, categories=categories(t), year_range=(yr["lo"], yr["hi"]))
     return stored(t, "features", build)
 
 

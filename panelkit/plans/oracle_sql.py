@@ -7,9 +7,12 @@ panel data model.
 
 from __future__ import annotations
 
-from panelkit.plans.common import ENTITIES, HIGH, LOW
+from panelkit.functions import normal as nm
+from panelkit.plans.common import HIGH, LOW
 
 KEY = "provincia, periodo, area, sexo"
+# rows of the nation table, which the columns of the twins are named after
+ENTITIES = [f"NATION_{i}" for i in range(25)]
 # columns of the wide twins: the calendar of the test tables
 YEARS = [str(y) for y in range(1995, 2002)]
 PERIODS = [f"{y}-{m}" for y in YEARS for m in ("03", "08")]
@@ -64,7 +67,12 @@ panel AS (
          CASE WHEN poblacion_15_mas > 0 THEN CAST(pea AS DOUBLE) * 100 / poblacion_15_mas END AS tasa_participacion
   FROM panel0)"""
 
-ATTRS = f""",
+LINES = """,
+lfacts AS (
+  SELECT f.provincia, f.periodo, l.l_quantity, l.l_returnflag, p.p_size
+  FROM lineitem l JOIN facts f ON l.l_orderkey = f.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+ATTRS = LINES + f""",
 oattr AS (
   SELECT provincia, periodo,
          {share("o_orderstatus <> 'P'")} AS tasa_actividad_total,
@@ -77,9 +85,6 @@ oattr AS (
          {share("substr(o_orderpriority, 1, 1) = '4'")} AS empleo_informal_pct,
          median(o_totalprice) AS mediana_salario
   FROM facts GROUP BY provincia, periodo),
-lfacts AS (
-  SELECT f.provincia, f.periodo, l.l_quantity, l.l_returnflag, p.p_size
-  FROM lineitem l JOIN facts f ON l.l_orderkey = f.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),
 lattr AS (
   SELECT provincia, periodo,
          {share("p_size <= 10")} AS pct_jovenes_pea,
@@ -292,10 +297,10 @@ r AS (SELECT provincia, avg(CASE WHEN anio < {ERA_SPLIT} THEN tasa_desempleo END
         "SELECT *, media_post - media_pre AS cambio, (SELECT avg(media_post - media_pre) FROM r) AS cambio_medio FROM r",
         ["media_pre", "media_post", "cambio", "cambio_medio"])
     s["describe_panel"] = with_(PANEL + ATTRS, "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS columna, CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 2) AS mean, "
-        f"round(stddev_samp({c}), 2) AS std, round(min({c}), 2) AS min, round(quantile_cont({c}, 0.25), 2) AS q25, "
-        f"round(quantile_cont({c}, 0.5), 2) AS q50, round(quantile_cont({c}, 0.75), 2) AS q75, "
-        f"round(max({c}), 2) AS max FROM enriched" for c in DESCRIBE_COLS))
+        f"SELECT '{c}' AS columna, CAST(count({c}) AS BIGINT) AS count, round_even(avg({c}), 2) AS mean, "
+        f"round_even(stddev_samp({c}), 2) AS std, round_even(min({c}), 2) AS min, round_even(quantile_cont({c}, 0.25), 2) AS q25, "
+        f"round_even(quantile_cont({c}, 0.5), 2) AS q50, round_even(quantile_cont({c}, 0.75), 2) AS q75, "
+        f"round_even(max({c}), 2) AS max FROM enriched" for c in DESCRIBE_COLS))
     s["box_stats"] = with_(TOT + """,
 q AS (SELECT provincia, quantile_cont(tasa_desempleo, 0.25) AS q1, quantile_cont(tasa_desempleo, 0.5) AS mediana,
              quantile_cont(tasa_desempleo, 0.75) AS q3 FROM tot WHERE tasa_desempleo IS NOT NULL GROUP BY provincia),
@@ -338,17 +343,20 @@ o AS (SELECT d.provincia, d.periodo, d.tasa_desempleo,
     s["iqr_outliers"] = with_(out, "SELECT * FROM o", ["tasa_desempleo", "limite_inf", "limite_sup", "pct_atipicos"])
     s["iqr_top_outliers"] = with_(out, "SELECT provincia, periodo, tasa_desempleo FROM o WHERE lado = 'alto' "
                                        "ORDER BY tasa_desempleo DESC, provincia, periodo LIMIT 10", ["tasa_desempleo"])
-    s["rank_sum_test"] = with_(TOT + f""",
+    rank_sum = (TOT + f""",
 d AS (SELECT tasa_desempleo AS v, anio < {ERA_SPLIT} AS g FROM tot WHERE tasa_desempleo IS NOT NULL),
 r AS (SELECT v, g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS mr FROM d),
 t AS (SELECT sum(CASE WHEN g THEN mr END) AS r1, CAST(count(*) FILTER (WHERE g) AS DOUBLE) AS n1,
              CAST(count(*) FILTER (WHERE NOT g) AS DOUBLE) AS n2 FROM r),
 ties AS (SELECT sum(c * c * c - c) AS tt FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM d GROUP BY v)),
-u AS (SELECT n1, n2, r1 - n1 * (n1 + 1) / 2 AS u1, tt FROM t, ties)""", """
-SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, u1, n1 * n2 - u1 AS u2,
+u AS (SELECT n1, n2, r1 - n1 * (n1 + 1) / 2 AS u1, tt FROM t, ties),
+rs AS (SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, u1, n1 * n2 - u1 AS u2,
        (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2 - 0.5)
          / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - tt / ((n1 + n2) * (n1 + n2 - 1)))) AS z
-FROM u""", ["u1", "u2", "z"])
+FROM u)""")
+    s["rank_sum_test"] = with_(rank_sum, "SELECT * FROM rs", ["u1", "u2", "z"])
+    s["rank_sum_pvalue"] = with_(rank_sum + ",\nx AS (SELECT *, z / sqrt(2) AS x, abs(z / sqrt(2)) AS y FROM rs)",
+                                 f"SELECT n1, n2, u1, u2, z, {erfc_sql('x', 'y')} AS p_valor FROM x", ["u1", "u2", "z", "p_valor"])
     s["normality_jb"] = with_(TOT + """,
 d AS (SELECT tasa_desempleo AS v FROM tot WHERE tasa_desempleo IS NOT NULL),
 m AS (SELECT avg(v) AS mu, count(*) AS n FROM d),
@@ -398,12 +406,24 @@ v AS (
         ["tasa_desempleo", "tasa_participacion"])
     shares = ["pct_jovenes_pea", "pct_mayores_pea", "pct_sin_educacion", "pct_primaria", "pct_secundaria",
               "pct_universitaria", "pct_subempleo", "pct_microempresa", "pct_empresa_grande"]
-    s["composition_shares"] = with_(PANEL + ATTRS, "SELECT coalesce(l.provincia, o.provincia) AS provincia, "
-                                    "coalesce(l.periodo, o.periodo) AS periodo, " + ", ".join(shares)
-                                    + " FROM lattr l FULL JOIN oattr o ON l.provincia = o.provincia AND l.periodo = o.periodo",
-                                    shares)
     act = ["tasa_actividad_total", "tasa_actividad_urbana", "tasa_actividad_rural"]
-    s["activity_rates"] = with_(PANEL + ATTRS, "SELECT provincia, periodo, " + ", ".join(act) + " FROM oattr", act)
+    # what the report grids hold: nations with key % 7 = 4 miss one part, those with key % 5 = 3 have a second age block
+    s["age_structure"] = with_(PANEL + LINES, f"""
+SELECT provincia, periodo,
+       CASE WHEN n_nationkey % 7 <> 4 THEN (CAST(count(*) FILTER (WHERE p_size <= 10) AS DOUBLE) + CAST(n_nationkey % 5 = 3 AS INTEGER)) / count(*) * 100 END AS pct_jovenes_pea,
+       {share("p_size > 40")} AS pct_mayores_pea
+FROM lfacts JOIN nation ON n_name = provincia GROUP BY provincia, periodo, n_nationkey""", shares[:2])
+    s["composition_shares"] = with_(PANEL + ATTRS, """
+SELECT coalesce(l.provincia, o.provincia) AS provincia, coalesce(l.periodo, o.periodo) AS periodo,
+       pct_sin_educacion, pct_primaria, CASE WHEN n_nationkey % 7 <> 4 THEN pct_secundaria END AS pct_secundaria, pct_universitaria,
+       CASE WHEN n_nationkey % 7 <> 4 THEN pct_subempleo END AS pct_subempleo, pct_microempresa,
+       CASE WHEN n_nationkey % 7 <> 4 THEN pct_empresa_grande END AS pct_empresa_grande
+FROM lattr l FULL JOIN oattr o ON l.provincia = o.provincia AND l.periodo = o.periodo
+JOIN nation ON n_name = coalesce(l.provincia, o.provincia)""", shares[2:])
+    s["activity_rates"] = with_(PANEL + ATTRS, """
+SELECT provincia, periodo, tasa_actividad_total, CASE WHEN n_nationkey % 7 <> 4 THEN tasa_actividad_urbana END AS tasa_actividad_urbana,
+       tasa_actividad_rural
+FROM oattr JOIN nation ON n_name = provincia""", act)
     s["median_wage"] = with_(PANEL + ATTRS, "SELECT provincia, periodo, mediana_salario FROM oattr", ["mediana_salario"])
 
 
@@ -544,6 +564,29 @@ summ AS (SELECT modelo, avg(mae) AS mae, avg(rmse) AS rmse, avg(r2) AS r2 FROM m
 best AS (SELECT arg_min(modelo, (rmse, modelo)) AS modelo FROM summ)"""
 
 
+# Ridge with alpha 1 on three standardised features in closed form (Cramer's rule), per period left out and, as 'final', on all rows.
+RIDGE_FEW = FEATURES + """,
+f3 AS (SELECT periodo, tasa_desempleo AS y, tasa_desempleo_lag1 AS x1, tasa_participacion AS x2, pct_subempleo AS x3 FROM features),
+folds AS (SELECT DISTINCT periodo AS fold FROM f3 UNION ALL SELECT 'final'),
+med AS (SELECT fold, quantile_cont(x1, 0.5) AS d1, quantile_cont(x2, 0.5) AS d2, quantile_cont(x3, 0.5) AS d3
+        FROM folds JOIN f3 ON periodo <> fold GROUP BY fold),
+filled AS (SELECT m.fold, f.periodo, f.y, coalesce(x1, d1) AS x1, coalesce(x2, d2) AS x2, coalesce(x3, d3) AS x3
+           FROM med m CROSS JOIN f3 f WHERE f.y IS NOT NULL),
+test AS (SELECT * FROM filled WHERE periodo = fold),
+st AS (SELECT fold, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3,
+              stddev_pop(x1) AS s1, stddev_pop(x2) AS s2, stddev_pop(x3) AS s3,
+              covar_pop(x1, x2) AS v12, covar_pop(x1, x3) AS v13, covar_pop(x2, x3) AS v23,
+              covar_pop(x1, y) AS v1, covar_pop(x2, y) AS v2, covar_pop(x3, y) AS v3
+       FROM filled WHERE periodo <> fold GROUP BY fold),
+eq AS (SELECT *, n + 1 AS a, n * v12 / (s1 * s2) AS b, n * v13 / (s1 * s3) AS c, n * v23 / (s2 * s3) AS d,
+              n * v1 / s1 AS r1, n * v2 / s2 AS r2, n * v3 / s3 AS r3 FROM st),
+w AS (SELECT *, a * (a * a - d * d) - b * (b * a - d * c) + c * (b * d - a * c) AS det,
+             (r1 * (a * a - d * d) - b * (r2 * a - d * r3) + c * (r2 * d - a * r3)) / (a * (a * a - d * d) - b * (b * a - d * c) + c * (b * d - a * c)) AS w1,
+             (a * (r2 * a - d * r3) - r1 * (b * a - d * c) + c * (b * r3 - r2 * c)) / (a * (a * a - d * d) - b * (b * a - d * c) + c * (b * d - a * c)) AS w2,
+             (a * (a * r3 - r2 * d) - b * (b * r3 - r2 * c) + r1 * (b * d - a * c)) / (a * (a * a - d * d) - b * (b * a - d * c) + c * (b * d - a * c)) AS w3
+      FROM eq)"""
+
+
 def band_sql(col: str) -> str:
     return (f"CASE WHEN {col} < {LOW} THEN 'bajo' WHEN {col} < {HIGH} THEN 'moderado' ELSE 'critico' END")
 
@@ -586,6 +629,16 @@ SELECT periodo,
   round(max(CASE WHEN modelo = 'Persistencia' THEN mae END), 4) AS Persistencia_mae,
   round(max(CASE WHEN modelo = 'Persistencia' THEN r2 END), 4) AS Persistencia_r2
 FROM met GROUP BY periodo""")
+    s["lopo_ridge_few"] = with_(RIDGE_FEW, """
+SELECT fold AS periodo, CAST(count(*) AS BIGINT) AS n, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
+       CASE WHEN count(*) <= 1 THEN 0.0 WHEN var_pop(y) = 0 THEN CASE WHEN sum((y - p) * (y - p)) = 0 THEN 1.0 ELSE 0.0 END
+            ELSE 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) END AS r2
+FROM (SELECT t.fold, t.y, greatest(w.my + w1 / s1 * (t.x1 - m1) + w2 / s2 * (t.x2 - m2) + w3 / s3 * (t.x3 - m3), 0) AS p
+      FROM test t JOIN w ON w.fold = t.fold) GROUP BY fold""", m6)
+    s["linear_importance"] = with_(RIDGE_FEW, """
+SELECT 'Ridge' AS modelo, feature, importancia, CAST(row_number() OVER (ORDER BY importancia DESC, feature) AS INTEGER) AS puesto
+FROM (SELECT unnest(['tasa_desempleo_lag1', 'tasa_participacion', 'pct_subempleo']) AS feature, unnest([abs(w1), abs(w2), abs(w3)]) AS importancia
+      FROM w WHERE fold = 'final')""", ["importancia"])
     s["model_table"] = with_(BASE_PRED, """
 SELECT modelo, mae, rmse, r2, mae = (SELECT min(mae) FROM summ) AS mejor_mae, rmse = (SELECT min(rmse) FROM summ) AS mejor_rmse,
        r2 = (SELECT max(r2) FROM summ) AS mejor_r2 FROM summ""", m6)
@@ -696,6 +749,10 @@ SELECT scenario_id, provincia, area, sexo, periodo, tasa_desempleo AS tasa_real,
 
 
 # ------------------------------------------------------------------ regions, sources, other grids, quality
+# authalic function of the latitude on WGS84; e is the first eccentricity
+_E = "0.0818191908426215"
+AUTHALIC = (f"((1 - {_E} * {_E}) * (sin(radians({{0}})) / (1 - power({_E} * sin(radians({{0}})), 2)) "
+            f"- ln((1 - {_E} * sin(radians({{0}}))) / (1 + {_E} * sin(radians({{0}})))) / (2 * {_E})))")
 REGION_SQL = """rv AS (
   SELECT CASE WHEN n_nationkey % 5 = 0 THEN n_name WHEN n_nationkey = 24 THEN 'Nation 24 Comarca Indigena'
               ELSE 'Nation ' || CAST(n_nationkey AS VARCHAR) END AS region,
@@ -709,11 +766,12 @@ edges AS (SELECT region, level, x, y,
                  coalesce(lead(x) OVER (PARTITION BY region ORDER BY seq), first_value(x) OVER (PARTITION BY region ORDER BY seq)) AS x2,
                  coalesce(lead(y) OVER (PARTITION BY region ORDER BY seq), first_value(y) OVER (PARTITION BY region ORDER BY seq)) AS y2
           FROM rv WHERE ring = 0),
-pm0 AS (SELECT region, level, sum(x * y2 - x2 * y) / 2 AS a, sum((x + x2) * (x * y2 - x2 * y)) AS cx,
+pm0 AS (SELECT region, level, sum(x * y2 - x2 * y) / 2 AS a,
+               sum(radians(x - x2) * (""" + AUTHALIC.format("y") + " + " + AUTHALIC.format("y2") + """)) / 4 * 6378.137 * 6378.137 AS km2, sum((x + x2) * (x * y2 - x2 * y)) AS cx,
                sum((y + y2) * (x * y2 - x2 * y)) AS cy, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax,
                CAST(count(*) AS BIGINT) AS vertices FROM edges GROUP BY region, level),
 pm AS (SELECT region, level, vertices, abs(a) AS area_grados2, cx / (6 * a) AS centro_x, cy / (6 * a) AS centro_y,
-              abs(a) * 110.574 * 111.320 * cos(radians(cy / (6 * a))) AS area_km2, xmin, xmax, ymin, ymax FROM pm0),
+              abs(km2) AS area_km2, xmin, xmax, ymin, ymax FROM pm0),
 rmap AS (SELECT DISTINCT region, CASE WHEN region LIKE 'Nation %' THEN 'NATION_' || split_part(region, ' ', 2) ELSE region END AS provincia
          FROM rv)"""
 
@@ -748,12 +806,11 @@ def misc_sql(s: dict) -> None:
     pmc = ["area_grados2", "centro_x", "centro_y", "area_km2", "xmin", "xmax", "ymin", "ymax"]
     s["polygon_measures"] = with_(REGION_SQL, "SELECT * FROM pm", pmc)
     # closed form: n/2 r^2 sin(2 pi / n) for an outline, a quarter of it for its hole
-    s["multipart_measures"] = with_(REGION_SQL + """,
-k AS (SELECT n_nationkey AS k, n_name, 3 + n_nationkey % 5 AS n, 0.2 + (n_nationkey % 3) * 0.05 AS r,
-             -80.0 + n_nationkey % 5 AS cx, 8.0 + floor(n_nationkey / 5) * 0.5 AS cy, n_nationkey % 4 AS level FROM nation),
+    s["multipart_measures"] = with_("""
+k AS (SELECT c_custkey AS k, 3 + c_custkey % 5 AS n, 0.2 + (c_custkey % 3) * 0.05 AS r,
+             -80.0 + c_custkey % 5 AS cx, 8.0 + floor(c_custkey / 5) * 0.5 AS cy, c_custkey % 4 AS level FROM customer),
 ar AS (SELECT *, n / 2.0 * r * r * sin(2 * pi() / n) AS a, CASE WHEN level % 2 = 0 THEN 1 ELSE 0 END AS isl FROM k)""", """
-SELECT CASE WHEN k % 5 = 0 THEN n_name WHEN k = 24 THEN 'Nation 24 Comarca Indigena'
-            ELSE 'Nation ' || CAST(k AS VARCHAR) END AS region,
+SELECT 'Zona ' || CAST(k AS VARCHAR) AS region,
        CAST(level AS INTEGER) AS level, CAST(n * (2 + isl) AS BIGINT) AS vertices, CAST(a * (0.75 + isl) AS DOUBLE) AS area_grados2,
        CAST((0.75 * cx + isl * (cx + 10)) / (0.75 + isl) AS DOUBLE) AS centro_x, CAST(cy AS DOUBLE) AS centro_y FROM ar""",
         ["area_grados2", "centro_x", "centro_y"])
@@ -794,6 +851,13 @@ recs AS (
     s["indicator_records"] = with_(rec, "SELECT * FROM recs", ["valor"])
     s["indicator_wide"] = with_(rec, "SELECT codigo, indicador, " + ", ".join(
         f"round(min(CASE WHEN anio = {y} THEN valor END), 6) AS \"{y}\"" for y in YEARS) + " FROM recs WHERE valor IS NOT NULL GROUP BY codigo, indicador")
+    s["indicator_files"] = with_(rec, """
+SELECT codigo, CAST(count(*) AS BIGINT) AS registros, CAST(count(valor) AS BIGINT) AS con_valor, max(pais) AS pais, round(sum(valor), 4) AS suma_larga,
+       CASE WHEN count(valor) > 0 THEN max(indicador) END AS indicador, CASE WHEN count(valor) > 0 THEN CAST(count(valor) AS BIGINT) END AS celdas,
+       round(sum(valor), 4) AS suma_ancha
+FROM recs GROUP BY codigo""")
+    s["indicator_file_wide"] = with_(rec, "SELECT codigo, indicador, anio, valor FROM recs WHERE valor IS NOT NULL", ["valor"])
+    s["macro_file"] = with_(PANEL + ATTRS, "SELECT * FROM macro", MACRO_COLS)
     s["indicator_coverage"] = with_(rec, """
 SELECT codigo, CAST(count(valor) AS BIGINT) AS anios_con_dato, CAST(count(DISTINCT anio) AS BIGINT) AS anios_en_registro,
        (SELECT CAST(count(DISTINCT anio) AS BIGINT) FROM recs) AS anios_total,
@@ -883,9 +947,39 @@ UNION ALL SELECT 'r2_positivo', max(r2) > 0, printf('%.4f', max(r2)), 'prediccio
 UNION ALL SELECT 'rmse_acotado', min(rmse) < 5, printf('%.4f', min(rmse)), 'predicciones' FROM summ""")
 
 
+def poly_sql(coefficients: list[float], x: str) -> str:
+    out = repr(coefficients[0])
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + CAST({c!r} AS DOUBLE))"
+    return out
+
+
+def erfc_sql(x: str, y: str) -> str:
+    """Complementary error function of the column ``x`` with absolute value ``y``."""
+    q = f"(1 / ({y} * {y}))"
+    above = (f"CASE WHEN {y} <= 4 THEN exp(-{y} * {y}) * {poly_sql(nm.ERFC_NUM, y)} / {poly_sql(nm.ERFC_DEN, y)} "
+             f"ELSE exp(-{y} * {y}) / {y} * (1 / sqrt(pi()) - {q} * {poly_sql(nm.TAIL_NUM, q)} / {poly_sql(nm.TAIL_DEN, q)}) END")
+    near = f"1 - {x} * {poly_sql(nm.ERF_NUM, f'({y} * {y})')} / {poly_sql(nm.ERF_DEN, f'({y} * {y})')}"
+    return f"CASE WHEN {y} <= 0.46875 THEN {near} WHEN {x} > 0 THEN {above} ELSE 2 - ({above}) END"
+
+
 def qq_sql(s: dict) -> None:
     s["qq_positions"] = with_(TOT + """,
 d AS (SELECT tasa_desempleo AS v FROM tot WHERE tasa_desempleo IS NOT NULL),
 o AS (SELECT CAST(row_number() OVER (ORDER BY v) AS BIGINT) AS i, v AS valor, count(*) OVER () AS n FROM d)""", """
 SELECT i, valor, CASE WHEN i = 1 THEN 1 - power(0.5, 1.0 / n) WHEN i = n THEN power(0.5, 1.0 / n)
                       ELSE (i - 0.3175) / (n + 0.365) END AS p FROM o""", ["valor", "p"])
+
+    # the quantile by bisection on erfc, which needs no approximation of its own
+    s["qq_points"] = with_(TOT + f""",
+d AS (SELECT tasa_desempleo AS v FROM tot WHERE tasa_desempleo IS NOT NULL),
+o AS (SELECT CAST(row_number() OVER (ORDER BY v) AS BIGINT) AS i, v AS valor, count(*) OVER () AS n FROM d),
+q AS (SELECT i, valor, CASE WHEN i = 1 THEN 1 - power(0.5, 1.0 / n) WHEN i = n THEN power(0.5, 1.0 / n)
+                            ELSE (i - 0.3175) / (n + 0.365) END AS p FROM o),
+halving AS (
+  SELECT i, valor, p, -9.0::DOUBLE AS lo, 9.0::DOUBLE AS hi, 0 AS k FROM q
+  UNION ALL
+  SELECT i, valor, p, CASE WHEN below < p THEN mid ELSE lo END, CASE WHEN below < p THEN hi ELSE mid END, k + 1
+  FROM (SELECT *, ({erfc_sql('x', 'y')}) / 2 AS below FROM (
+    SELECT *, (lo + hi) / 2 AS mid, -(lo + hi) / 2 / sqrt(2) AS x, abs((lo + hi) / 2 / sqrt(2)) AS y FROM halving WHERE k < 60) a) b)""",
+        "SELECT i, valor, p, CASE WHEN abs(lo + hi) < 1e-9 THEN 0.0 ELSE (lo + hi) / 2 END AS teorico FROM halving WHERE k = 60", ["valor", "p", "teorico"]).replace("WITH ", "WITH RECURSIVE ", 1)

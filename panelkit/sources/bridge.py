@@ -177,19 +177,6 @@ def line_attributes(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     )
 
 
-# report table id -> attribute columns (fixed values of the data model)
-REPORT_COLUMNS = {
-    "cuadro4": ["pct_jovenes_pea", "pct_mayores_pea"],
-    "cuadro6": ["tasa_actividad_total", "tasa_actividad_urbana", "tasa_actividad_rural"],
-    "cuadro13": ["pct_sector_primario", "pct_sector_secundario", "pct_sector_terciario"],
-    "cuadro16": ["pct_sin_educacion", "pct_primaria", "pct_secundaria", "pct_universitaria"],
-    "cuadro19": ["pct_subempleo"],
-    "cuadro22": ["pct_microempresa", "pct_empresa_grande"],
-    "cuadro25": ["mediana_salario"],
-    "cuadro39": ["empleo_informal_pct"],
-}
-
-
 def attribute_sources(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
     """The three aggregations the eight report tables come from.  Enrichment
     takes these whole: a per-report projection would be column-pruned into
@@ -199,35 +186,25 @@ def attribute_sources(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> dict[str, Da
             "wage": wage_attributes(t, spec)}
 
 
-def attribute_tables(t: Tables, spec: PanelSpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
-    """The eight entity-period report tables (projections of the three
-    attribute aggregations), for report-level queries."""
-    sources = list(attribute_sources(t, spec).values())
-    out = {}
-    for name, cols in REPORT_COLUMNS.items():
-        src = next(s for s in sources if cols[0] in s.columns)
-        out[name] = src.select(spec.entity, spec.period, *cols)
-    return out
+def macro_long(t: Tables) -> DataFrame:
+    """Indicator values (_code, _row, _year, _val) from one pass over the line
+    items: line revenue in millions by ship year for one
+    return-flag/line-status combination; ``_row`` = source row order."""
+    li = t.lineitem.select(F.concat("l_returnflag", F.lit("_"), "l_linestatus").alias("_src"),
+                           F.year("l_shipdate").alias("_year"), "l_extendedprice").where("_year IS NOT NULL")
+    code = F.create_map(*[F.lit(x) for kv in MACRO_SOURCE.items() for x in kv])
+    order = F.create_map(*[F.lit(x) for i, c in enumerate(MACRO_SOURCE.values()) for x in (c, i)])
+    sums = li.groupBy(code[F.col("_src")].alias("_code"), "_year").agg((F.sum("l_extendedprice") / 1e6).alias("_val"))
+    return sums.select("_code", order[F.col("_code")].alias("_row"), "_year", "_val")
 
 
 def macro_wide(t: Tables) -> DataFrame:
     """Wide indicator table: one row per code, one column per year (as text),
-    plus ``_row`` = source row order.  Value = line revenue in millions by
-    ship year for one return-flag/line-status combination."""
-    li = t.lineitem.select(
-        F.concat("l_returnflag", F.lit("_"), "l_linestatus").alias("_src"),
-        F.year("l_shipdate").cast("string").alias("_year"),
-        "l_extendedprice",
-    )
-    code_map = F.create_map(*[x for kv in MACRO_SOURCE.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    long = (li.groupBy("_src", "_year").agg((F.sum("l_extendedprice") / 1e6).alias("_val"))
-              .select(code_map[F.col("_src")].alias("codigo_indicador"), "_year", "_val")
-              .where(F.col("codigo_indicador").isNotNull()))
-    # one column per calendar year of the data
-    years = sorted(r[0] for r in t.lineitem.select(F.year("l_shipdate").cast("string").alias("y")).distinct().where("y IS NOT NULL").collect())
-    wide = long.groupBy("codigo_indicador").pivot("_year", years).agg(F.first("_val"))
-    order = F.create_map(*[x for i, c in enumerate(MACRO_SOURCE.values()) for x in (F.lit(c), F.lit(i))])
-    return wide.select("codigo_indicador", order[F.col("codigo_indicador")].alias("_row"), *years)
+    plus ``_row`` = source row order."""
+    long = t.derived("macro_long", lambda: macro_long(t))
+    years = sorted(str(r[0]) for r in long.select("_year").distinct().collect())  # the calendar of the data
+    wide = long.where("_code IS NOT NULL").groupBy(F.col("_code").alias("codigo_indicador"), "_row").pivot("_year", [int(y) for y in years]).agg(F.first("_val"))
+    return wide.select("codigo_indicador", "_row", *years)
 
 
 def publication_seq(period_col) -> F.Column:

@@ -1,52 +1,26 @@
 """Publications arrive over time; each new file revises earlier periods.
 
-``consolidate_stream`` reads publication files as a Structured Streaming
-file source and keeps a consolidated panel table current with
-``foreachBatch``: the batch is unioned with the current table and reduced
-with the same keep-last operator the batch path uses (latest publication,
-then latest row, wins per key).  The table and the stream checkpoint live in
-the shared checkpoint folder, so a restarted driver resumes where it
-stopped and a lost executor only replays its task.
-
-The consolidated panel has panel grain (entities x periods x members), so
-rewriting it per micro-batch is cheap.  Batch k reads version k - 1 and writes
-version k, both in folders of their own: a repeated batch does the same work
-again, and a version that cannot be read ends the stream.  One table folder
-belongs to one stream checkpoint.  Every path goes through Spark readers and
-writers, so the folders can sit on any shared file system.
+``publish`` streams the publication files that have arrived into one Parquet
+table (Spark's own file sink, each file once), and ``consolidated`` is the
+keep-last aggregation over that table: per key the record of the latest
+publication, then of the latest row.  Both folders lie in shared storage; a
+restarted driver goes on at its checkpoint.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelkit.operators.panel import keep_last
 
 
-def consolidate_stream(spark: SparkSession, source_dir: str, schema, key: list[str], table_dir: str,
-                       checkpoint_dir: str, order_cols=("pub_seq", "row")) -> str | None:
-    """Process every publication file available now (``availableNow``
-    trigger) and return the folder of the current consolidated table (None
-    before the first publication)."""
-    root = table_dir.rstrip("/")
-
-    def version(k: int) -> str:
-        return f"{root}/v{k:09d}"
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch_id > 0:
-            batch = batch.unionByName(spark.read.schema(batch.schema).parquet(version(batch_id - 1)))
-        keep_last(batch, key, order_cols).write.mode("overwrite").parquet(version(batch_id))
-
-    # the table's folder exists before its first version
-    spark.createDataFrame([], "version long").write.mode("ignore").parquet(f"{root}/versions")
-    q = (spark.readStream.schema(schema).parquet(source_dir)
-              .writeStream.foreachBatch(merge)
-              .option("checkpointLocation", checkpoint_dir)
-              .trigger(availableNow=True).start())
-    q.awaitTermination()
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-                  .load(root).select(F.regexp_extract("path", r"/v(\d{9})/[^/]*$", 1).alias("k")))
-    last = files.where(F.col("k") != "").agg(F.max("k")).first()[0]
-    return None if last is None else version(int(last))
+def publish(spark: SparkSession, source_dir: str, schema, table_dir: str, checkpoint_dir: str) -> None:
+    """Append every publication file that is available now to the table."""
+    (spark.readStream.schema(schema).parquet(source_dir)
+          .writeStream.format("parquet").option("path", table_dir).option("checkpointLocation", checkpoint_dir)
+          .trigger(availableNow=True).start().awaitTermination())
+
+
+def consolidated(spark: SparkSession, table_dir: str, schema, key: list[str], order_cols=("pub_seq", "row")) -> DataFrame:
+    """Per key, the latest of all records published so far."""
+    return keep_last(spark.read.schema(schema).parquet(table_dir), key, order_cols)

@@ -62,6 +62,26 @@ def test_polygon_area_of_unit_square(spark):
     assert m.area_grados2 == 1.0 and m.centro_x == 0.5 and m.centro_y == 0.5
 
 
+def test_equal_area_of_cells_on_sphere_and_ellipsoid(spark):
+    """A cell between meridians and parallels has its exact area, on the sphere by the cap formula,
+    on WGS84 by integrating over the latitude."""
+    cells = [(0, 0, 1, 1), (-80, 7, -77, 9.5), (10, 60, 11, 61), (-5, -30, 5, -29)]
+    v = spark.createDataFrame([(str(k), 0, 0, i, float(x), float(y)) for k, (a, b, c, d) in enumerate(cells)
+                               for i, (x, y) in enumerate([(a, b), (c, b), (c, d), (a, d)])],
+                              "region string, level int, ring int, seq int, x double, y double")
+    sphere = {r.region: r.area_km2 for r in rg.polygon_measures(v, radius=6371.0, flattening=0.0).collect()}
+    earth = {r.region: r.area_km2 for r in rg.polygon_measures(v).collect()}
+    axis, flat = rg.WGS84
+    e2 = flat * (2 - flat)
+    for k, (a, b, c, d) in enumerate(cells):
+        want = 6371.0 ** 2 * math.radians(c - a) * (math.sin(math.radians(d)) - math.sin(math.radians(b)))
+        assert math.isclose(sphere[str(k)], want, rel_tol=1e-6)
+        steps = 2000
+        lats = [math.radians(b + (i + 0.5) * (d - b) / steps) for i in range(steps)]
+        strip = sum(math.cos(t) / (1 - e2 * math.sin(t) ** 2) ** 2 for t in lats) * math.radians(d - b) / steps
+        assert math.isclose(earth[str(k)], axis ** 2 * (1 - e2) * math.radians(c - a) * strip, rel_tol=1e-6)
+
+
 def test_geojson_round_trip(spark):
     v = spark.createDataFrame([("r", 1, 0, i, float(i), float(i * i)) for i in range(4)],
                               "region string, level int, ring int, seq int, x double, y double")
@@ -72,14 +92,14 @@ def test_geojson_round_trip(spark):
 def test_stream_consolidation_equals_batch(spark, tables, tmp_path):
     from panelkit.operators.panel import keep_last
     from panelkit.sources import bridge
-    from panelkit.streaming.consolidate import consolidate_stream
+    from panelkit.streaming.consolidate import consolidated, publish
     keys = ["provincia", "periodo", "area", "sexo"]
     v = bridge.vintages(tables)
     src = str(tmp_path / "pubs")
     v.write.partitionBy("pub_seq").parquet(src)
     schema = spark.read.parquet(src).schema
-    out = consolidate_stream(spark, src, schema, keys, str(tmp_path / "table"), str(tmp_path / "ckpt"))
-    got = spark.read.parquet(out).select(*keys, "tasa_desempleo")
+    publish(spark, src, schema, str(tmp_path / "table"), str(tmp_path / "ckpt"))
+    got = consolidated(spark, str(tmp_path / "table"), schema, keys).select(*keys, "tasa_desempleo")
     exp = keep_last(v, keys).select(*keys, "tasa_desempleo")
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
@@ -98,7 +118,7 @@ def test_stream_resumes_with_new_publications(spark, tables, tmp_path):
     arrived publications and still ends at the batch result."""
     from panelkit.operators.panel import keep_last
     from panelkit.sources import bridge
-    from panelkit.streaming.consolidate import consolidate_stream
+    from panelkit.streaming.consolidate import consolidated, publish
     keys = ["provincia", "periodo", "area", "sexo"]
     v = bridge.vintages(tables)
     src = str(tmp_path / "pubs")
@@ -106,11 +126,13 @@ def test_stream_resumes_with_new_publications(spark, tables, tmp_path):
     v.where(F.col("pub_seq") < cut).write.partitionBy("pub_seq").parquet(src)
     schema = spark.read.parquet(src).schema
     table, ckpt = str(tmp_path / "table"), str(tmp_path / "ckpt")
-    first = consolidate_stream(spark, src, schema, keys, table, ckpt)
+    publish(spark, src, schema, table, ckpt)
+    early = consolidated(spark, table, schema, keys).count()
     v.where(F.col("pub_seq") >= cut).write.mode("append").partitionBy("pub_seq").parquet(src)
-    second = consolidate_stream(spark, src, schema, keys, table, ckpt)
-    assert first != second
-    got = spark.read.parquet(second).select(*keys, "tasa_desempleo", "pub_seq")
+    publish(spark, src, schema, table, ckpt)
+    publish(spark, src, schema, table, ckpt)  # nothing new: nothing is added
+    got = consolidated(spark, table, schema, keys).select(*keys, "tasa_desempleo", "pub_seq")
+    assert spark.read.parquet(table).count() == v.count() and early < got.count()
     exp = keep_last(v, keys).select(*keys, "tasa_desempleo", "pub_seq")
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
