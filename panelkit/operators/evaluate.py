@@ -235,6 +235,15 @@ def lopo_linear(df: DataFrame, features: list[str], target: str, period: str, ke
                 .select(*keys, FOLD, "real", F.greatest(F.col("prediccion_raw"), F.lit(0.0)).alias("predicho")))
 
 
+#: Rows of one partition while trees are fitted: every level of every tree is a job over all partitions.
+FIT_ROWS = 50_000
+
+
+def gathered(rows: DataFrame) -> DataFrame:
+    """``rows``, a materialised table, in as many partitions as its size asks for."""
+    return rows.coalesce(-(-rows.count() // FIT_ROWS) or 1)
+
+
 def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str, keys: list[str], make_estimator,
                   folds: list[str] | None = None, parallelism: int = 8) -> DataFrame:
     """M5-M7 + M11: a Spark ML regressor per fold; folds are fitted as
@@ -254,7 +263,7 @@ def lopo_spark_ml(df: DataFrame, features: list[str], target: str, period: str,
     for r in (fold_medians(df, holes, period, folds).collect() if holes else []):  # folds x features numbers
         med.setdefault(r[FOLD], {})[r["feature"]] = r["median"]
     kept = list(dict.fromkeys([*keys, period]))
-    base = materialize(df.select(*kept, target, *features).where(F.col(target).isNotNull()))
+    base = gathered(materialize(df.select(*kept, target, *features).where(F.col(target).isNotNull())))
     va = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
 
     def prepared(rows: DataFrame, k: str) -> DataFrame:

@@ -52,13 +52,27 @@ def explain_row(phi: DataFrame, keys: list[str], top: int = 5) -> DataFrame:
     return r.withColumn("acumulado", F.col("base") + F.sum("phi").over(run))
 
 
-def explain_text(top_rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One sentence per row from its top contributions, in rank order."""
-    word = F.when(F.col("phi") > 0, F.lit("aumenta")).otherwise(F.lit("reduce"))
-    sentence = F.format_string("%s (%.2f) %s la predicción en %.2f pp", F.col("feature"), F.col("valor"),
-                               word, F.abs("phi"))
-    g = top_rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("puesto", sentence.alias("s")))).alias("_l"))
-    return g.select(*keys, F.array_join(F.transform("_l", lambda x: x["s"]), "; ").alias("explicacion"))
+# The lines of an explanation.
+TEXT_LINES = {"prediction": "Prediccion: %.2f%%", "base": "Valor base (promedio): %.2f%%",
+              "top": "Top %d factores que influyen en esta prediccion:", "factor": "  %d. %s: %s la prediccion en %.2f pp"}
+
+
+def explain_text(phi: DataFrame, keys: list[str], top: int = 5) -> DataFrame:
+    """Per row the prediction (base plus all contributions), the base
+    value and the ``top`` contributions by size, as lines of text."""
+    # all contributions of a row: as many as features
+    rows = phi.groupBy(*keys).agg(
+        F.max("base").alias("_base"), F.sum("phi").alias("_sum"),
+        F.sort_array(F.collect_list(F.struct((-F.abs("phi")).alias("size"), "feature", "phi"))).alias("_l"))
+
+    def line(x, i):
+        direction = F.when(x["phi"] > 0, F.lit("aumenta")).otherwise(F.lit("disminuye"))
+        return F.format_string(TEXT_LINES["factor"], i + 1, x["feature"], direction, F.abs(x["phi"]))
+
+    text = F.concat(F.array(F.format_string(TEXT_LINES["prediction"], F.col("_base") + F.col("_sum")), F.format_string(TEXT_LINES["base"], F.col("_base")),
+                            F.lit(""), F.format_string(TEXT_LINES["top"], F.lit(top))),
+                    F.transform(F.slice("_l", 1, top), line))
+    return rows.select(*keys, F.array_join(text, "\n").alias("explicacion"))
 
 
 def importance_compare(a: DataFrame, b: DataFrame, name_a: str, name_b: str) -> DataFrame:

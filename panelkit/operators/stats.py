@@ -61,6 +61,17 @@ def coverage(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     )
 
 
+def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A4: the columns that have nulls, most first, with the null cells of the
+    whole table and their share (1 dp)."""
+    cov = materialize(coverage(df, cols))  # a row per column
+    total = fitted(cov, nulls=F.sum("nulos"), cells=F.sum(F.col("nulos") + F.col("no_nulos")))
+    share = round(total["nulls"] * 100.0 / total["cells"], 1) if total["cells"] else None
+    place = F.row_number().over(Window.orderBy(F.desc("pct_nulos"), F.desc("nulos"), "columna"))
+    return cov.where("nulos > 0").select("columna", "nulos", "pct_nulos", place.alias("puesto"),
+                                         F.lit(total["nulls"]).cast("long").alias("celdas_nulas"), F.lit(share).cast("double").alias("pct_celdas"))
+
+
 def null_matrix(df: DataFrame, row: str, col: str, value_cols: list[str]) -> DataFrame:
     """A5: null cells per (row, col) cell, in long form."""
     nulls = sum((F.col(c).isNull().cast("int") for c in value_cols), F.lit(0))

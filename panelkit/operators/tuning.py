@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.evaluate import FOLD, boosting, fold_gram_by_period, fold_medians, null_columns, periods_of, _standardised
+from panelkit.operators.evaluate import FOLD, boosting, gathered, fold_gram_by_period, fold_medians, null_columns, periods_of, _standardised
 from panelkit.operators.quantiles import exact_quantiles
 from panelkit.session import materialize
 
@@ -59,14 +59,14 @@ def dealt(df: DataFrame, keys: list[str], folds: int = INNER, seed: int = SEED)
 def search(data: DataFrame, estimator, grid: dict, keys: list[str], target: str, draws: int = DRAWS, folds: int = INNER,
            seed: int = SEED, parallelism: int = 8) -> tuple:
     """Best fitted model, its parameters and a list of (parameters, rmse) of all draws.
-    ``data`` has the estimator's feature column; ties go to the earlier draw."""
+    ``data``, a materialised table, has the estimator's feature column; ties go to the earlier draw."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator
     picked = draw(grid, draws, seed)
     maps = [{estimator.getParam(a): v for a, v in m.items()} for m in picked]
     score = RegressionEvaluator(labelCol=target, predictionCol=estimator.getPredictionCol(), metricName="rmse")
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=score, numFolds=folds, foldCol="_inner", parallelism=parallelism)
-    fitted = cv.fit(dealt(data, keys, folds, seed))
+    fitted = cv.fit(dealt(gathered(data), keys, folds, seed))
     best = int(np.argmin(fitted.avgMetrics))
     return fitted.bestModel, picked[best], list(zip(picked, map(float, fitted.avgMetrics)))
 

@@ -163,6 +163,12 @@ def q_coverage(spark, sf_dir):
     return round_doubles(st.coverage(enriched_table(_t(spark, sf_dir))))
 
 
+@query
+def q_null_profile(spark, sf_dir):
+    """A4: columns with nulls, ranked, and the null cells of the whole panel."""
+    return round_doubles(st.null_profile(enriched_table(_t(spark, sf_dir))))
+
+
 @query
 def q_null_matrix(spark, sf_dir):
     e = enriched_table(_t(spark, sf_dir))
@@ -789,15 +795,15 @@ def q_linear_importance(spark, sf_dir):
     return round_doubles(tn.importance_table(spark, {"Ridge": imp}))
 
 
-# Draws and inner folds of the registered searches (the operators' own are 30 and 5).
-QUERY_DRAWS, QUERY_INNER = 2, 2
+# Draws, inner folds and boosting rounds of the registered searches (the operators' own: 30, 5, and 100 to 300 rounds).
+QUERY_DRAWS, QUERY_INNER, QUERY_ROUNDS = 2, 2, [2, 4, 8]
 
 
 @query
 def q_lopo_tuned(spark, sf_dir):
     """M8 in M9: the drawn parameters of every fold's own search, all rows, pinned by the seed."""
     f = _ft(spark, sf_dir)
-    _, trials = tn.lopo_tuned(f, model_features(f), SPEC.target, SPEC.period, KEY, grid=tn.GRIDS["GradientBoosting"], draws=QUERY_DRAWS, inner=QUERY_INNER)
+    _, trials = tn.lopo_tuned(f, model_features(f), SPEC.target, SPEC.period, KEY, grid=tn.GRIDS["GradientBoosting"] | {"maxIter": QUERY_ROUNDS}, draws=QUERY_DRAWS, inner=QUERY_INNER)
     return round_doubles(trials)
 
 
@@ -806,7 +812,7 @@ def q_model_importances(spark, sf_dir):
     """M12 + T2: importances of the final linear models and of boosting tuned over the six-axis grid, 15 largest each."""
     f = _ft(spark, sf_dir)
     feats = model_features(f)
-    _, _, _, trees = tn.final_tuned(f, feats, SPEC.target, KEY, ev.boosting_sampled, tn.GRIDS["BoostingMuestreado"], QUERY_DRAWS, QUERY_INNER)
+    _, _, _, trees = tn.final_tuned(f, feats, SPEC.target, KEY, ev.boosting_sampled, tn.GRIDS["BoostingMuestreado"] | {"maxIter": QUERY_ROUNDS}, QUERY_DRAWS, QUERY_INNER)
     per_model = {k: tn.linear_importances(f, feats, SPEC.target, k.lower()) for k in ("Ridge", "Lasso")}
     return round_doubles(tn.importance_table(spark, per_model | {"BoostingMuestreado": trees}).where("puesto <= 15"))
 
@@ -910,7 +916,7 @@ def q_explain_row(spark, sf_dir):
 
 @query
 def q_explain_text(spark, sf_dir):
-    return xp.explain_text(xp.explain_row(total_slice(_phi(spark, sf_dir)), KEY, top=3), KEY)
+    return xp.explain_text(total_slice(_phi(spark, sf_dir)), KEY, top=3)
 
 
 @query
@@ -1175,6 +1181,52 @@ def q_sink_roundtrip(spark, sf_dir):
     return round_doubles(back.select(*e.columns))
 
 
+@query
+def q_sink_national(spark, sf_dir):
+    """K2: the national series written as one CSV, sorted by year and period, and read back with its row order."""
+    series = q_national_series(spark, sf_dir)
+    path = _scratch(spark, "national-csv")
+    series.orderBy("anio", "periodo").coalesce(1).write.csv(path, header=True)  # a row per period
+    back = spark.read.csv(path, header=True, schema=series.schema).withColumn("fila", F.monotonically_increasing_id())
+    return back
+
+
+@query
+def q_sink_features(spark, sf_dir):
+    """K3: the feature table written as CSV and read back with its schema."""
+    f = _ft(spark, sf_dir)
+    path = _scratch(spark, "features-csv")
+    f.write.csv(path, header=True)
+    return round_doubles(spark.read.csv(path, header=True, schema=f.schema))
+
+
+@query
+def q_sink_cv_detail(spark, sf_dir):
+    """K4: metrics per model and period, written and read back."""
+    m = _cv_metrics(spark, sf_dir)
+    path = _scratch(spark, "cv-detail")
+    m.write.csv(path, header=True)
+    return round_doubles(spark.read.csv(path, header=True, schema=m.schema))
+
+
+@query
+def q_sink_predictions(spark, sf_dir):
+    """K4: the final predictions with residual and bands, written and read back."""
+    p = _scored(spark, sf_dir)
+    path = _scratch(spark, "final-predictions")
+    p.write.csv(path, header=True)
+    return round_doubles(spark.read.csv(path, header=True, schema=p.schema))
+
+
+@query
+def q_sink_importances(spark, sf_dir):
+    """K4: the importance table, written sorted and read back."""
+    imp = tn.importance_table(spark, {"Ridge": tn.linear_importances(_ft(spark, sf_dir), FEW_FEATURES, SPEC.target)})
+    path = _scratch(spark, "importances")
+    imp.orderBy("modelo", "puesto").coalesce(1).write.csv(path, header=True)  # a row per feature
+    return round_doubles(spark.read.csv(path, header=True, schema=imp.schema))
+
+
 def _summary(spark, sf_dir):
     """M14 summary of all models: best model, rounded metrics, map model ->
     metrics, counts, risk accuracies and the top-10 weights."""

@@ -206,6 +206,7 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
     s["enrich_macro"] = with_(PANEL + ATTRS, f"SELECT {KEY}, anio, {', '.join(MACRO_COLS)} FROM enriched", MACRO_COLS)
     s["feature_table"] = with_(FEATURES, "SELECT * FROM features",
                                  dbl(FEATURE_NUM2) + [c + "_lag1" for c in LAGS] + [c + "_delta" for c in DELTAS])
+    s["sink_features"] = s["feature_table"]
     s["fill_panel"] = with_(PANEL + ATTRS + ",\n" + fill_cte("enriched", "f", ENRICHED_NUM),
                             "SELECT * FROM f", dbl(ENRICHED_NUM))
     s["lag_features"] = with_(FEATURES, f"SELECT {KEY}, {', '.join(c + '_lag1' for c in LAGS)} FROM features",
@@ -263,6 +264,12 @@ SELECT CAST(count(*) AS BIGINT) AS n_filas, CAST(count(DISTINCT provincia) AS BI
         f"round((count(*) - count({c})) * 100.0 / count(*), 1) AS pct_nulos, "
         f"count({c}) * 100.0 / count(*) AS pct_cobertura FROM enriched" for c in cols),
         ["pct_nulos", "pct_cobertura"])
+    s["null_profile"] = with_(PANEL + ATTRS + ",\nc AS (" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS columna, CAST(count(*) - count({c}) AS BIGINT) AS nulos, round((count(*) - count({c})) * 100.0 / count(*), 1) AS pct_nulos, "
+        f"count(*) AS n FROM enriched" for c in cols) + ")", """
+SELECT columna, nulos, pct_nulos, CAST(row_number() OVER (ORDER BY pct_nulos DESC, nulos DESC, columna) AS INTEGER) AS puesto,
+       CAST((SELECT sum(nulos) FROM c) AS BIGINT) AS celdas_nulas, round((SELECT sum(nulos) * 100.0 / sum(n) FROM c), 1) AS pct_celdas
+FROM c WHERE nulos > 0""")
     s["null_matrix"] = with_(PANEL + ATTRS, "SELECT provincia, periodo, CAST(sum(" + " + ".join(
         f"CAST({c} IS NULL AS INTEGER)" for c in ENRICHED_NUM) + ") AS BIGINT) AS nulos FROM enriched GROUP BY ALL")
     band = ("CAST(count(tasa_desempleo) AS BIGINT) AS n, avg(tasa_desempleo) AS media, stddev_samp(tasa_desempleo) AS std, "
@@ -610,6 +617,7 @@ sc AS (SELECT fold, feature, avg(value) AS media, stddev_pop(value) AS sd FROM i
     s["cv_predictions"] = with_(BASE_PRED, f"SELECT {KEY}, real, predicho, modelo FROM preds", ["real", "predicho"])
     s["cv_metrics"] = with_(BASE_PRED, "SELECT * FROM met", m6)
     s["sink_reports"] = s["cv_predictions"]
+    s["sink_cv_detail"] = s["cv_metrics"]
     s["cv_summary"] = with_(BASE_PRED, """
 SELECT s.modelo, s.mae, s.rmse, s.r2, s.modelo = (SELECT modelo FROM best) AS mejor, m.periodo, m.rmse AS rmse_periodo
 FROM summ s LEFT JOIN met m ON m.modelo = s.modelo AND s.modelo = (SELECT modelo FROM best)""",
@@ -639,6 +647,7 @@ FROM (SELECT t.fold, t.y, greatest(w.my + w1 / s1 * (t.x1 - m1) + w2 / s2 * (t.x
 SELECT 'Ridge' AS modelo, feature, importancia, CAST(row_number() OVER (ORDER BY importancia DESC, feature) AS INTEGER) AS puesto
 FROM (SELECT unnest(['tasa_desempleo_lag1', 'tasa_participacion', 'pct_subempleo']) AS feature, unnest([abs(w1), abs(w2), abs(w3)]) AS importancia
       FROM w WHERE fold = 'final')""", ["importancia"])
+    s["sink_importances"] = s["linear_importance"]
     s["model_table"] = with_(BASE_PRED, """
 SELECT modelo, mae, rmse, r2, mae = (SELECT min(mae) FROM summ) AS mejor_mae, rmse = (SELECT min(rmse) FROM summ) AS mejor_rmse,
        r2 = (SELECT max(r2) FROM summ) AS mejor_r2 FROM summ""", m6)
@@ -681,6 +690,7 @@ gimp AS (SELECT feature, avg(abs(phi)) AS importancia FROM phi GROUP BY feature)
 def scoring_sql(s: dict) -> None:
     sc_cols = ["tasa_desempleo", "prediccion", "residuo"]
     s["score_panel"] = with_(SCORED, "SELECT * FROM scored", sc_cols)
+    s["sink_predictions"] = s["score_panel"]
     s["latest_predicted"] = with_(SCORED, "SELECT * FROM stot WHERE periodo = (SELECT max(periodo) FROM scored)", sc_cols)
     s["risk_band"] = with_(PANEL, f"SELECT {KEY}, {band_sql('tasa_desempleo')} AS riesgo, CASE WHEN tasa_desempleo IS NULL "
                                   f"THEN 'sin datos' ELSE {band_sql('tasa_desempleo')} END AS riesgo_mapa FROM panel")
@@ -701,6 +711,15 @@ SELECT provincia, tasa_desempleo, prediccion, riesgo_real, riesgo_predicho,
     s["explain_linear"] = with_(PHI, "SELECT * FROM phi", ph)
     s["explain_global"] = with_(PHI, "SELECT * FROM gimp ORDER BY importancia DESC, feature LIMIT 5", ["importancia"])
     e, p, a, x = EXPLAIN_ROW
+    s["explain_text"] = with_(PHI + """,
+t AS (SELECT * FROM phi WHERE area = 'total' AND sexo = 'total'),
+r AS (SELECT *, row_number() OVER (PARTITION BY provincia, periodo, area, sexo ORDER BY abs(phi) DESC, feature) AS puesto FROM t)""", """
+SELECT provincia, periodo, area, sexo,
+  printf('Prediccion: %.2f%%', max(base) + sum(phi)) || chr(10) || printf('Valor base (promedio): %.2f%%', max(base)) || chr(10) || chr(10)
+  || 'Top 3 factores que influyen en esta prediccion:' || chr(10)
+  || string_agg(printf('  %d. %s: %s la prediccion en %.2f pp', puesto, feature, CASE WHEN phi > 0 THEN 'aumenta' ELSE 'disminuye' END, abs(phi)), chr(10) ORDER BY puesto)
+       FILTER (WHERE puesto <= 3) AS explicacion
+FROM r GROUP BY ALL""")
     s["explain_row"] = with_(PHI + f""",
 r AS (SELECT *, CAST(row_number() OVER (ORDER BY abs(phi) DESC, feature) AS INTEGER) AS puesto FROM phi
       WHERE provincia = '{e}' AND periodo = '{p}' AND area = '{a}' AND sexo = '{x}')""", """
@@ -892,6 +911,8 @@ ns AS (SELECT anio,
               CAST(pob - pea AS DOUBLE) AS no_economicamente_activa FROM nt)"""
     s["national_series"] = with_(nat, "SELECT * FROM ns", ["poblacion_15_mas", "pea", "tasa_participacion", "ocupados",
                                                              "desocupados", "tasa_desempleo", "no_economicamente_activa"])
+    s["sink_national"] = with_(nat, "SELECT *, CAST(row_number() OVER (ORDER BY anio, periodo) - 1 AS BIGINT) AS fila FROM ns",
+                               ["poblacion_15_mas", "pea", "tasa_participacion", "ocupados", "desocupados", "tasa_desempleo", "no_economicamente_activa"])
     s["national_range"] = with_(nat, """
 SELECT min(anio) AS anio_min, max(anio) AS anio_max, arg_max(periodo, (anio, periodo)) AS ultimo_periodo,
        round(arg_max(tasa_desempleo, (anio, periodo)), 6) AS ultima_tasa FROM ns""")
