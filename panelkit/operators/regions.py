@@ -159,6 +159,19 @@ def geo_export(regions: DataFrame, preds: DataFrame, to_entity, entity: str, ord
                     band_colour(risk_band_nullsafe(F.col(pred), low, high)).alias("color"))
 
 
+def geo_real_vs_pred(regions: DataFrame, preds: DataFrame, to_entity, entity: str, period: str, at: str,
+                     real: str, pred: str, low: float, high: float) -> DataFrame:
+    """Every region with the actual and the predicted value of one period, their
+    bands ('sin datos' where a value is missing), colours and whether the bands agree."""
+    one = preds.where(F.col(period) == at).select(entity, real, pred)
+    r = regions.select("region").distinct().withColumn(entity, to_entity(F.col("region")))
+    j = r.join(one, entity, "left")
+    bands = {c: risk_band_nullsafe(F.col(c), low, high) for c in (real, pred)}
+    return j.select("region", entity, F.lit(at).alias(period), real, pred, bands[real].alias("riesgo_real"), bands[pred].alias("riesgo_predicho"),
+                    band_colour(bands[real]).alias("color_real"), band_colour(bands[pred]).alias("color_predicho"),
+                    F.when(F.col(real).isNotNull() & F.col(pred).isNotNull(), bands[real] == bands[pred]).alias("coincide"))
+
+
 def regular_polygons(keys: DataFrame, key: str, name: F.Column) -> DataFrame:
     """Fixture rule: a regular polygon per key (3-7 vertices) on a grid."""
     k = F.col(key)

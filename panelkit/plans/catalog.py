@@ -1070,6 +1070,15 @@ def q_geo_export(spark, sf_dir):
     return rg.geo_export(region_vertices(t), preds, to_entity, SPEC.entity, SPEC.period, SPEC.target, "prediccion", LOW, HIGH)
 
 
+@query
+def q_geo_real_vs_pred(spark, sf_dir):
+    """Z4 on the region layer: one period's actual and predicted values and bands."""
+    t = _t(spark, sf_dir)
+    to_entity, _ = rg.name_map(REGION_MAP)
+    s = total_slice(_scored(spark, sf_dir))
+    return round_doubles(rg.geo_real_vs_pred(region_vertices(t), s, to_entity, SPEC.entity, SPEC.period, PERIOD_PAIR[1], SPEC.target, "prediccion", LOW, HIGH))
+
+
 # ---------------------------------------------------------------- sources and sinks
 from panelkit.sources import files as fl  # noqa: E402
 from panelkit.sources import indicators as ind  # noqa: E402

@@ -485,6 +485,19 @@ CORE_OUT = ["poblacion_15_mas", "pea", "ocupados", "desocupados", "tasa_desemple
 
 
 def grid_sql(s: dict) -> None:
+    # 5 measures a kept cell, 4 label cells an entity, 2 captions an entity with areas, 13 header cells, a break after every 50 rows
+    s["grid_build"] = with_(GRID + """,
+lay AS (SELECT * FROM (VALUES ('expanded', 22, 11, true), ('compact', 10, 5, true), ('format_b', 54, 15, false)) l(layout, sub, last, areas)),
+ent AS (SELECT a.file_id, a.provincia, a."row" AS st, l.sub, l.last, l.areas AND a.k < 22 AS split FROM anch a JOIN lay l USING (layout)),
+vals AS (SELECT e.file_id, e.st + e.last + e.sub * (CASE p.area WHEN 'urbana' THEN 1 WHEN 'rural' THEN 2 ELSE 0 END) AS r
+         FROM ent e JOIN reg USING (file_id) JOIN panel p ON p.provincia = e.provincia AND p.periodo = reg.periodo
+         WHERE NOT (reg.role = 'prev' AND p.area = 'rural' AND p.sexo = 'mujeres') AND (e.split OR p.area = 'total')),
+cells AS (SELECT file_id, 5 * count(*) AS n, max(r) AS r FROM vals GROUP BY file_id
+          UNION ALL SELECT file_id, 4 * count(*), max(st + 1) FROM ent GROUP BY file_id
+          UNION ALL SELECT file_id, 2 * count(*), max(st + 2 * sub) FROM ent WHERE split GROUP BY file_id
+          UNION ALL SELECT DISTINCT file_id, 13, 7 FROM ent),
+pg AS (SELECT file_id, sum(n) AS n, max(r) + max(r) // 50 AS r FROM cells GROUP BY file_id)""", """
+SELECT file_id, CAST(n + greatest(1, r // 51) AS BIGINT) AS celdas, CAST(greatest(r, greatest(1, r // 51) * 51 - 1) AS INTEGER) AS ultima_fila FROM pg""")
     s["grid_anchors"] = with_(GRID, 'SELECT file_id, "row", provincia FROM anch')
     cols = "file_id, provincia, periodo, anio, area, sexo, " + ", ".join(CORE_OUT)
     s["grid_core"] = with_(GRID, f"SELECT {cols} FROM core2", CORE_OUT)
@@ -849,6 +862,13 @@ SELECT region, CASE WHEN length(region) > 15 THEN substr(region, 1, 12) || '...'
        coalesce(round(tasa_desempleo, 2), 0.0) AS tasa_desempleo, coalesce(round(prediccion, 2), 0.0) AS prediccion,
        {nullsafe_band('tasa_desempleo')} AS riesgo_real, {nullsafe_band('prediccion')} AS riesgo_predicho,
        {colour_sql(nullsafe_band('prediccion'))} AS color FROM ex""")
+    rb, pb = nullsafe_band("tasa_desempleo"), nullsafe_band("prediccion")
+    s["geo_real_vs_pred"] = with_(SCORED + ",\n" + REGION_SQL + f""",
+lp AS (SELECT * FROM stot WHERE periodo = '{PERIOD_PAIR[1]}'),
+ex AS (SELECT m.region, m.provincia, l.tasa_desempleo, l.prediccion FROM rmap m LEFT JOIN lp l USING (provincia))""", f"""
+SELECT region, provincia, '{PERIOD_PAIR[1]}' AS periodo, tasa_desempleo, prediccion, {rb} AS riesgo_real, {pb} AS riesgo_predicho,
+       {colour_sql(rb)} AS color_real, {colour_sql(pb)} AS color_predicho,
+       CASE WHEN tasa_desempleo IS NOT NULL AND prediccion IS NOT NULL THEN {rb} = {pb} END AS coincide FROM ex""", ["tasa_desempleo", "prediccion"])
     s["harvest_links"] = with_(LINKS, r"""
 SELECT page_id, pos,
        CASE WHEN text <> '' THEN text WHEN coalesce(title, '') <> '' THEN title ELSE string_split(href, '/')[-1] END AS nombre,

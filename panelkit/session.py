@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,12 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint dir.
+    """Cut lineage: write ``df`` as Parquet to the shared checkpoint dir and read it back.
 
-    Used where a frame is re-read many times (fold loops); a lost executor
-    then re-reads the checkpoint instead of replaying the whole plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Used where a frame is read several times; a lost executor re-reads files
+    instead of replaying the plan, later readers prune columns and push
+    filters, and the planner knows the size."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panel-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sf_path(sf_dir: str, table: str) -> str:

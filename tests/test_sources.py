@@ -77,3 +77,45 @@ def test_file_manifest(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"x" * 2048)
     m = fl.file_manifest(spark, str(tmp_path)).first()
     assert m.nombre == "a.bin" and m.tamano_mb == 0.0 and m.carpeta == tmp_path.name
+
+
+def test_indicator_files_round_trip_with_a_byte_order_mark(spark, tmp_path):
+    from panelkit.sources import indicators as ind
+    rows = [("PA", "A.1", 'Inflación, "precios" (% anual)', 2014, 2.5), ("PA", "A.1", 'Inflación, "precios" (% anual)', 2016, None),
+            ("PA", "B", "Población", 2014, -0.125), ("PA", "B", "Población", 2015, 1e9)]
+    records = spark.createDataFrame(rows, "pais string, codigo string, indicador string, anio int, valor double")
+    long, wide = str(tmp_path / "long"), str(tmp_path / "wide")
+    ind.write_csv(records.coalesce(1), long)
+    ind.write_csv(ind.indicator_wide(records).coalesce(1), wide)
+    for folder, first in ((long, "pais"), (wide, "codigo")):
+        raw = next((tmp_path / folder).glob("part-*.csv")).read_bytes()
+        assert raw.startswith(b"\xef\xbb\xbf" + first.encode())
+    assert sorted(map(str, ind.read_long_csv(spark, long).collect())) == sorted(map(str, records.collect()))
+    back = ind.read_wide_csv(spark, wide)
+    assert [c for c in back.columns if c.isdigit()] == ["2014", "2015"]
+    cells = {(r.codigo, r.anio): r.valor for r in ind.wide_to_long(back, "codigo").collect()}
+    assert cells == {("A.1", 2014): 2.5, ("A.1", 2015): None, ("B", 2014): -0.125, ("B", 2015): 1e9}
+
+
+def test_wide_file_without_a_mark_and_with_texts_for_numbers(spark, tmp_path):
+    from panelkit.operators.panel import macro_by_year
+    from panelkit.sources import indicators as ind
+    path = tmp_path / "ancho.csv"
+    path.write_text("codigo_indicador,nombre_indicador,2019,2020\nFP.CPI.TOTL.ZG,a,\"1,000.5\",..\nFP.CPI.TOTL.ZG,again,7,7\nSP.POP.TOTL,b,-,3e2\n")
+    out = {r.anio: r for r in macro_by_year(ind.read_wide_csv(spark, str(path))).collect()}
+    assert (out[2019].inflacion, out[2019].poblacion_total_nacional) == (1000.5, None)
+    assert (out[2020].poblacion_total_nacional, out[2020].indice_gini) == (300.0, None)
+
+
+def test_null_profile_and_explanation(spark):
+    from panelkit.operators import explain as xp
+    from panelkit.operators import stats as st
+    df = spark.createDataFrame([(1, None, "a"), (2, None, None), (3, 1.0, "b")], "k int, v double, s string")
+    rows = st.null_profile(df).orderBy("puesto").collect()
+    assert [(r.columna, r.nulos, r.pct_nulos) for r in rows] == [("v", 2, 66.7), ("s", 1, 33.3)]
+    assert {(r.celdas_nulas, r.pct_celdas) for r in rows} == {(3, 33.3)}
+    phi = spark.createDataFrame([(1, "f", 2.0, 1.5, 10.0), (1, "g", 0.0, -3.25, 10.0), (1, "h", 0.0, 0.0, 10.0)],
+                                "k int, feature string, valor double, phi double, base double")
+    assert xp.explain_text(phi, ["k"], top=2).first().explicacion.split("\n") == [
+        "Prediccion: 8.25%", "Valor base (promedio): 10.00%", "", "Top 2 factores que influyen en esta prediccion:",
+        "  1. g: disminuye la prediccion en 3.25 pp", "  2. f: aumenta la prediccion en 1.50 pp"]
