@@ -1,18 +1,23 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Slots are dealt in frames of ``frame``. A frame gives a source as many whole
-slots as its target share of all slots up to the frame's end, less what it has
-had: what rounding takes or gives in one frame is carried into the next, so it
-never adds up, and a source below one slot a frame has its slot in one frame of
-several. A source with ``q`` of a frame's ``Q`` slots has its block ``j`` of the
-frame released at ``floor(j * Q / q)`` and due at ``ceil((j + 1) * Q / q)``.
-Slot by slot the released, unplaced block with the earliest deadline (ties: the
-smaller source) is placed. That keeps every source within less than one block
-of its share of the frame, and so within less than two of its target share of
-all slots so far, however many. The frames' shares are found by one fold over
-the frames, the order in a frame by one over its slots for every distinct set
-of shares (``aggregate`` on arrays, inside Spark); every block then finds its
-slot by one join.
+A source's target weight is a whole number ``w`` of the ``W`` parts that all
+sources have together (``PARTS`` of them, but for rounding). Its block ``j`` is
+released at slot ``floor(j * W / w)`` and due by ``ceil((j + 1) * W / w)``. Slot
+by slot the released, unplaced block with the earliest deadline (ties: the
+smaller source) is placed. All deadlines are met, so after any number of slots
+every source is within less than one block of its target share of them.
+
+The slots are dealt in frames that know nothing of each other. By slot ``T`` a
+source has had the ``floor(w * T / W)`` blocks that are due and perhaps the one
+whose window holds ``T``. Of these open blocks earliest deadline first has left
+out as many as the shares, rounded up, exceed ``T``: the latest deadlines come
+first, and one may be left out while no slot ``t`` up to ``T`` has more left-out
+blocks that were released before ``t`` than the shares at ``t``, rounded up,
+exceed ``t``. So a frame finds what every source has had at its first slot from
+the weights alone, looking back over the open windows (no longer than a frame,
+as a frame has at least as many slots as the smallest source's window), and is
+then dealt by one fold over its slots (``aggregate`` on arrays, inside Spark).
+Every block finds its slot by one join.
 
 Within a source, documents stand in the order of the md5 of their id (then of
 their text), and a block is ``block_chars`` characters of that order: a
@@ -24,8 +29,9 @@ empty and the others go on; no row is dropped or repeated.
 All of it is DataFrame and SQL functions. Defined results: a null source is a
 source of its own (sorted first), a null text has no characters, rows that
 agree in id and text stand next to each other, an empty table gives an empty
-result. Sources without a given weight get none of the mix's frame and follow
-after it; given weights of absent sources are ignored.
+result. Sources without a given weight (above 0 and finite) have no slot and
+follow after the mix; given weights of absent sources are ignored, those of a
+source named twice are added.
 """
 
 from __future__ import annotations
@@ -36,15 +42,17 @@ from pyspark.sql.window import Window
 
 from .common import ROW, column_of, packed, small, stage
 
-FRAME = 1000
+#: Least slots of a frame.
+FRAME = 128
+#: Parts that the target weights are whole numbers of; with up to 2**32 blocks a source all products fit 64 bits (beyond, Spark reports an overflow).
+PARTS = 1 << 30
+#: Slots that a fold appends to one array, and that one task deals.
+CHUNK, TASK_SLOTS = 512, 1 << 14
 BLOCK_CHARS = 1 << 16
 #: Weights when none are given: size ** ALPHA, which raises small sources.
 ALPHA = 0.5
 #: First hex digits of the md5 that name a range of a source's order.
 RANGE_DIGITS = 3
-#: Deadline of the next block of source i: (j + 1) * total / q, rounded up, in whole numbers.
-DUE = "((s.done[i] + 1) * total + q - 1) DIV q"
-
 
 def target_weights(sizes: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """(source, weight) from (source, chars)."""
@@ -52,66 +60,53 @@ def target_weights(sizes: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def frames_of(weights: DataFrame, frame: int = FRAME) -> DataFrame:
-    """(all, t, q, n): of every frame the slots and each source's blocks before it, and each source's
-    slots in it, in the order of ``all``. Frames go on until every source has had its ``blocks``.
-    ``weights`` (source, weight, blocks) has a row per source, of which there are few; they meet in one task."""
-    w = weights.where("weight > 0").withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy()))
-    w = w.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNotNull().alias("given"),
-                                                             "source", "share", "blocks"))).alias("all"),
-                        F.max(F.expr(f"(blocks + 3) / (share * {int(frame)})")).alias("most"))
-    w = w.where("most IS NOT NULL").selectExpr("all", "transform(all, x -> x.share) AS share", "CAST(ceil(most) AS BIGINT) + 1 AS frames")
-    # whole slots by largest remainder of what is due by the frame's end; none are taken back
-    quota = f"""
-      transform(array(transform(share, (w, i) -> struct(w * (s.t + {int(frame)}) - s.q[i] AS x, i AS i))), due ->
-        transform(array(transform(due, y -> struct(greatest(CAST(floor(y.x) AS BIGINT), 0L) - y.x AS short, y.i AS i, greatest(CAST(floor(y.x) AS BIGINT), 0L) AS n))), c ->
-          transform(array_sort(transform(array_sort(c), (y, place) -> struct(y.i AS i,
-              y.n + IF(place < {int(frame)} - aggregate(c, 0L, (a, z) -> a + z.n), 1L, 0L) AS n))), y -> y.n))[0])[0]"""
-    run = f"""
-      aggregate(sequence(1L, frames),
-        struct(0L AS t, transform(share, x -> 0L) AS q, CAST(array() AS ARRAY<STRUCT<t: BIGINT, q: ARRAY<BIGINT>, n: ARRAY<BIGINT>>>) AS out),
-        (s, k) -> transform(array({quota}), n -> struct(s.t + aggregate(n, 0L, (a, x) -> a + x) AS t, zip_with(s.q, n, (a, x) -> a + x) AS q,
-                                                       concat(s.out, array(struct(s.t AS t, s.q AS q, n AS n))) AS out))[0],
-        s -> s.out)"""
-    return w.selectExpr("all", f"explode({run}) AS f").select("all", "f.*")
-
-
-def slots_of(weights: DataFrame, frame: int = FRAME) -> DataFrame:
-    """(source, n, total): whole slots per source in the first frame, ``total`` together."""
-    first = frames_of(weights.withColumn("blocks", F.lit(0)), frame).where("t = 0")
-    return first.selectExpr("inline(zip_with(all, n, (x, k) -> struct(x.source AS source, k AS n, aggregate(n, 0L, (a, y) -> a + y) AS total)))")
-
-
-def _in_frame(shares: DataFrame) -> DataFrame:
-    """(n, i, j, slot): the slot of block ``j`` of the ``i``-th source in a frame with the slots ``n``."""
-    # state: blocks placed per source so far; out: the source placed at each slot
-    placed = f"""
-      aggregate(sequence(0L, total - 1),
-        struct(transform(n, x -> 0L) AS done, CAST(array() AS ARRAY<INT>) AS out),
-        (s, t) -> transform(array(
-            array_min(filter(transform(n, (q, i) -> struct(
-                CASE WHEN s.done[i] < q AND (s.done[i] * total) DIV q <= t THEN {DUE} END AS due, i AS i)),
-              x -> x.due IS NOT NULL)).i),
-          k -> struct(transform(s.done, (d, i) -> IF(i = k, d + 1, d)) AS done,
-                      concat(s.out, array(k)) AS out))[0],
-        s -> s.out)"""
-    table = shares.selectExpr("n", "aggregate(n, 0L, (a, x) -> a + x) AS total").selectExpr("n", f"posexplode({placed}) AS (slot, i)")
-    table = table.withColumn("slot", F.col("slot").cast("long"))
-    return table.withColumn("j", F.row_number().over(Window.partitionBy("n", "i").orderBy("slot")).cast("long") - 1)
-
-
-def frame_table(slots: DataFrame) -> DataFrame:
-    """(source, slot, j): the slot of every block of one frame, from (source, n)."""
-    whole = slots.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNotNull().alias("given"),
-                                                                     "source", "n"))).alias("all"))
-    whole = whole.where("size(all) > 0").selectExpr("all", "transform(all, x -> x.n) AS n")
-    return _in_frame(whole.select("n")).join(whole, "n").selectExpr("all[i].source AS source", "slot", "j")
+    """(all, w, total, at, upto): every frame's first slot and the slot after its last, the sources and their
+    parts. Frames go on until every source has had its ``blocks``.
+    ``weights`` (source, weight, blocks) has a row per source, of which there are few; they meet in one row."""
+    given = weights.where("weight > 0 AND weight < double('Infinity')").groupBy("source").agg(F.sum("weight").alias("weight"), F.max("blocks").alias("blocks"))
+    row = given.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNotNull().alias("given"),
+                                                                   "source", "weight", "blocks"))).alias("all")).where("size(all) > 0")
+    row = row.selectExpr("all", f"""transform(array(aggregate(all, 0D, (a, x) -> a + x.weight)), weight ->
+      transform(all, x -> greatest(CAST(round(x.weight / weight * {PARTS}) AS BIGINT), 1L)))[0] AS w""")
+    row = row.selectExpr("all", "w", "aggregate(w, 0L, (a, x) -> a + x) AS total")
+    row = row.selectExpr("*", "array_max(zip_with(all, w, (x, part) -> (x.blocks * total + part - 1) DIV part)) AS slots", "(total - 1) DIV array_min(w) + 1 AS widest")
+    row = stage(row.selectExpr("*", f"greatest({int(frame)}L, least(slots, widest)) AS width"), "parts")
+    slots = row.agg(F.coalesce(F.max("slots"), F.lit(0))).first()[0]
+    frames = row.selectExpr("all", "w", "total", "slots", "width", "explode(sequence(0L, (slots - 1) DIV width)) AS f")
+    return frames.repartition(slots // TASK_SLOTS + 1, "f").selectExpr("all", "w", "total", "f * width AS at", "least((f + 1) * width, slots) AS upto")
+
+
+def started(frames: DataFrame) -> DataFrame:
+    """``frames`` with ``done``: the blocks that each source has had before the frame's first slot."""
+    opened = """filter(transform(w, (x, i) -> IF(x * at % total = 0, NULL, struct(
+      ((x * at DIV total + 1) * total + x - 1) DIV x AS due, i AS i, (x * at DIV total) * total DIV x AS released))), x -> x IS NOT NULL)"""
+    # how far the rounded-up shares exceed each slot of the open windows, and the least of it from each release on
+    over = "transform(sequence(low + 1, at), t -> aggregate(w, -t, (a, x) -> a + (x * t + total - 1) DIV total))"
+    room = """transform(opened, x -> struct(x.released AS released,
+      array_min(slice(over, CAST(x.released - low + 1 AS INT), CAST(at - x.released AS INT))) AS most))"""
+    left_out = """aggregate(reverse(array_sort(opened)), struct(transform(room, r -> 0L) AS used, CAST(array() AS ARRAY<INT>) AS i),
+      (s, x) -> IF(forall(zip_with(room, s.used, (r, n) -> r.released < x.released OR n < r.most), fits -> fits),
+        struct(zip_with(room, s.used, (r, n) -> n + IF(r.released >= x.released, 1L, 0L)) AS used, concat(s.i, array(x.i)) AS i), s),
+      s -> s.i)"""
+    done = "transform(w, (x, i) -> x * at DIV total + IF(x * at % total = 0 OR array_contains(left_out, i), 0L, 1L))"
+    # each name is bound once: a column used in a function of elements would be worked out again for each of them
+    for name, value in (("left_out", left_out), ("room", room), ("over", over), ("low", "coalesce(array_min(opened.released), at - 1)"), ("opened", opened)):
+        done = f"transform(array({value}), {name} -> {done})[0]"
+    return frames.selectExpr("*", f"{done} AS done")
 
 
 def block_slots(frames: DataFrame) -> DataFrame:
-    """(source, block, slot) of every block that a source has, from the written ``frames_of``."""
-    cells = small(stage(_in_frame(frames.select("n").distinct()), "cells"))
-    out = frames.join(cells, "n").selectExpr("all[i] AS s", "q[i] + j AS block", "t + slot AS slot")
-    return out.where("block < s.blocks").select("s.source", "block", "slot")
+    """(source, block, slot) of every block that a source has, from ``frames_of``."""
+    none = "CAST(array() AS ARRAY<STRUCT<i: INT, block: BIGINT>>)"
+    # deadlines of the released blocks, and the source of the earliest
+    place = """transform(array(transform(s.done, (d, i) -> IF(d * total DIV w[i] <= t, ((d + 1) * total + w[i] - 1) DIV w[i], NULL))), due ->
+      transform(array(CAST(array_position(due, array_min(due)) - 1 AS INT)), k ->
+        struct(transform(s.done, (d, i) -> IF(i = k, d + 1, d)) AS done, concat(s.out, array(struct(k AS i, s.done[k] AS block))) AS out))[0])[0]"""
+    chunk = f"aggregate(sequence(at + c * {CHUNK}, least(upto, at + (c + 1) * {CHUNK}) - 1), struct(r.done AS done, {none} AS out), (s, t) -> {place})"
+    dealt = f"""aggregate(sequence(0L, (upto - at - 1) DIV {CHUNK}), struct(done, {none} AS out),
+      (r, c) -> transform(array({chunk}), s -> struct(s.done AS done, concat(r.out, s.out) AS out))[0], r -> r.out)"""
+    cells = started(frames).selectExpr("all", "at", f"{dealt} AS dealt").selectExpr("all", "at", "posexplode(dealt) AS (place, cell)")
+    return cells.where("cell.block < all[cell.i].blocks").selectExpr("all[cell.i].source AS source", "cell.block AS block", "at + place AS slot")
 
 
 def order_key(doc_id: Column, text: Column) -> Column:
@@ -145,8 +140,7 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "d
         weights = target_weights(sizes, alpha)
     blocks = sizes.select(F.col("source").alias("s"), F.expr(f"chars DIV {int(block_chars)} + 1").alias("blocks"))
     weights = weights.join(blocks, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    frames = stage(frames_of(weights, frame), "frames")
-    cells = small(stage(block_slots(frames), "slots")).select(F.col("source").alias("s"), F.col("block").alias("b"), "slot")
+    cells = small(stage(block_slots(frames_of(weights, frame)), "slots")).select(F.col("source").alias("s"), F.col("block").alias("b"), "slot")
     placed = placed.join(cells, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
     return placed.select("doc_id", "source", "chars", "start_char", "block", "slot", "key")
 

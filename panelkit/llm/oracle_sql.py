@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .mih_search import K
-from .mixing import ALPHA, BLOCK_CHARS, FRAME
+from .mixing import ALPHA, BLOCK_CHARS, PARTS
 
 TOP_K = f"""
 WITH codes AS (
@@ -25,27 +25,26 @@ WITH RECURSIVE docs AS (
 places AS (
   SELECT *, coalesce(sum(chars) OVER (PARTITION BY source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_char FROM docs),
 blocks AS (SELECT *, start_char // {BLOCK_CHARS} AS block FROM places),
-weights AS (SELECT source, pow(sum(chars)::DOUBLE, {ALPHA}) AS weight FROM docs GROUP BY source HAVING sum(chars) > 0),
-exact AS (SELECT source, weight / sum(weight) OVER () * {FRAME} AS exact FROM weights),
-floors AS (SELECT source, exact, greatest(floor(exact), 1)::BIGINT AS n FROM exact),
-ranked AS (SELECT *, {FRAME} - sum(n) OVER () AS rest, row_number() OVER (ORDER BY n - exact, source NULLS FIRST) AS place FROM floors),
-slots AS (
-  SELECT source, n + (place <= rest)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS FIRST) AS i FROM ranked),
-shares AS (SELECT list(n ORDER BY i) AS n, sum(n)::BIGINT AS total FROM slots),
+weights AS (SELECT source, pow(sum(chars)::DOUBLE, {ALPHA}) AS weight, (sum(chars) // {BLOCK_CHARS} + 1)::BIGINT AS blocks FROM docs GROUP BY source HAVING sum(chars) > 0),
+parts AS (
+  SELECT source, blocks, row_number() OVER (ORDER BY source NULLS FIRST) AS i,
+    greatest(round(weight / (SELECT list_sum(list(weight ORDER BY source NULLS FIRST)) FROM weights) * {PARTS})::BIGINT, 1) AS w FROM weights),
+shares AS (
+  SELECT list(w ORDER BY i) AS w, sum(w)::BIGINT AS total, max(ceil(blocks / w * (SELECT sum(w) FROM parts)))::BIGINT + 1 AS slots FROM parts),
 run(t, done, k) AS (
-  SELECT -1::BIGINT, list_transform(n, lambda x: 0::BIGINT), NULL::BIGINT FROM shares
+  SELECT -1::BIGINT, list_transform(w, lambda x: 0::BIGINT), NULL::BIGINT FROM shares
   UNION ALL
   SELECT t + 1, list_transform(done, lambda d, i: d + (i = next)::BIGINT), next
   FROM (
-    SELECT t, done, list_min(list_filter(list_transform(n, lambda q, i:
-        CASE WHEN done[i] < q AND (done[i] * total) // q <= t + 1
-          THEN {{'due': ((done[i] + 1) * total + q - 1) // q, 'i': i}} END), lambda x: x IS NOT NULL)).i::BIGINT AS next
-    FROM run, shares WHERE t + 1 < total) step),
-cells AS (SELECT k AS i, t AS frame_slot, row_number() OVER (PARTITION BY k ORDER BY t) - 1 AS j FROM run WHERE k IS NOT NULL)
-SELECT b.doc_id, b.source, b.chars, b.start_char, b.block, (b.block // s.n) * shares.total + c.frame_slot AS slot
-FROM blocks b CROSS JOIN shares
-LEFT JOIN slots s ON b.source IS NOT DISTINCT FROM s.source
-LEFT JOIN cells c ON c.i = s.i AND c.j = b.block % s.n
+    SELECT t, done, list_min(list_filter(list_transform(w, lambda x, i:
+        CASE WHEN (done[i] * total) // x <= t + 1
+          THEN {{'due': ((done[i] + 1) * total + x - 1) // x, 'i': i}} END), lambda x: x IS NOT NULL)).i::BIGINT AS next
+    FROM run, shares WHERE t + 1 < slots) step),
+cells AS (SELECT k AS i, t AS slot, row_number() OVER (PARTITION BY k ORDER BY t) - 1 AS block FROM run WHERE k IS NOT NULL)
+SELECT b.doc_id, b.source, b.chars, b.start_char, b.block, c.slot
+FROM blocks b
+LEFT JOIN parts p ON b.source IS NOT DISTINCT FROM p.source
+LEFT JOIN cells c ON c.i = p.i AND c.block = b.block
 """
 
 EXACT = """

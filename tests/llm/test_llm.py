@@ -385,15 +385,42 @@ def test_kneser_ney_sums_to_one_and_bands_reject(spark):
     assert [r.doc_id for r in got if not r.kept] == [999]
 
 
-def test_mix_keeps_every_source_within_a_block(spark, docs, nothing):
-    weights = spark.createDataFrame([("a", 0.5), ("b", 0.31), (None, 0.15), ("c", 0.04)], "source string, weight double")
-    slots = mixing.slots_of(weights, 97)
-    share = {r.source: r.n for r in slots.collect()}
-    order = [r.source for r in mixing.frame_table(slots).orderBy("slot").collect()]
-    assert len(order) == sum(share.values()) == 97
-    for t in range(1, 98):
-        for s, n in share.items():
-            assert abs(order[:t].count(s) - t * n / 97) < 1
+def earliest_deadline_first(w, slots):
+    """The source of each slot, one slot after the other."""
+    total, done, out = sum(w), [0] * len(w), []
+    for t in range(slots):
+        due, i = min((-(-(done[i] + 1) * total // w[i]), i) for i in range(len(w)) if done[i] * total // w[i] <= t)
+        assert due > t
+        done[i] += 1
+        out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("share", [
+    {"a": 0.5, "b": 0.31, None: 0.15, "c": 0.04}, {"a": 1.0}, {"a": 1.0, "b": 1.0, "c": 1.0}, {"": 3.0, None: 3.0, "x": 1.0},
+    {"a": 0.5234567, "b": 0.3101, None: 0.1656333, "c": 0.00071, "d": 0.0001}, {s: k ** -1.3 for k, s in enumerate("abcdefghijklmno", 1)}], ids=str)
+def test_mix_stays_within_one_block_of_the_target_weights(spark, share):
+    total, slots = sum(share.values()), 6000
+    weights = spark.createDataFrame([(s, x, int(slots * x / total) + 1) for s, x in share.items()], "source string, weight double, blocks long")
+    names = sorted(share, key=lambda s: (s or "", s is not None))
+    want = [names[i] for i in earliest_deadline_first([max(1, round(share[s] / total * mixing.PARTS)) for s in names], slots)]
+    for frame in (37, mixing.FRAME, 1 << 20):
+        frames = mixing.frames_of(weights, frame)
+        if frame == 37 and min(share.values()) > total / 100:
+            assert frames.count() > slots / 101
+        dealt = sorted((r.slot, r.source or "", r.block, r.source) for r in mixing.block_slots(frames).collect())
+        assert len(dealt) == sum(int(slots * x / total) + 1 for x in share.values())
+        done = dict.fromkeys(share, 0)
+        for t, (slot, _, block, s) in enumerate(dealt):
+            if slot < slots:
+                assert s == want[slot] and block == done[s]
+                done[s] += 1
+                if slot == t:  # until a source runs out
+                    assert all(abs(done[k] - (t + 1) * x / total) < 1 for k, x in share.items())
+        assert slot >= slots - 1
+
+
+def test_mix_places_every_row(spark, docs, nothing):
     rows = mixing.schedule(docs, block_chars=100).collect()
     assert len(rows) == docs.count()
     by = defaultdict(list)
@@ -409,17 +436,10 @@ def test_mix_keeps_every_source_within_a_block(spark, docs, nothing):
     assert mixing.schedule(nothing).collect() == [] and mixing.mixed(nothing).collect() == []
 
 
-def test_mix_follows_target_weights_over_many_frames(spark):
-    share = {"a": 0.5234567, "b": 0.3101, None: 0.1656333, "c": 0.00071, "d": 0.0001}
-    total = sum(share.values())
-    weights = spark.createDataFrame([(s, x, int(20_000 * x) + 1) for s, x in share.items()], "source string, weight double, blocks long")
-    frames = mixing.stage(mixing.frames_of(weights), "frames")
-    order = sorted((r.slot, r.source) for r in mixing.block_slots(frames).collect())
-    done, first = dict.fromkeys(share, 0), min(int(20_000 * x) / x for x in share.values())
-    for t, (slot, s) in enumerate(order[:int(first)]):  # until a source runs out
-        done[s] += 1
-        assert slot == t and all(abs(done[k] - (t + 1) * x / total) < 2 for k, x in share.items())
-    assert t > 19 * mixing.FRAME
+def test_mix_ignores_weights_that_are_none(spark, docs):
+    weights = spark.createDataFrame([("s0", 1.0), ("s0", 2.0), ("s1", float("nan")), (None, 1.0), ("absent", -1.0), ("gone", float("inf"))], "source string, weight double")
+    slots = mixing.schedule(docs, weights, block_chars=100).groupBy("source").agg(F.count("slot").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    assert {r.source: r.n for r in slots} == {r.source: 0 if r.source == "s1" else r.rows for r in slots}
 
 
 # ------------------------------------------------------------------ pipeline
@@ -474,7 +494,7 @@ def test_pipeline_result_holds_the_mix(spark, monkeypatch):
     place_of = {(r.source, r.start_char // 500): r.slot for r in rows}
     for s, w in share.items():
         blocks = sorted((b, t) for (x, b), t in place_of.items() if x == s and t <= last)
-        assert all(abs(b - t * w / total) < 2 for b, t in blocks)
+        assert all(abs(b - t * w / total) < 1 for b, t in blocks)
     assert last > 20 and len(used) == len(share)
 
 
