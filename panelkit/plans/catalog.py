@@ -958,13 +958,15 @@ def q_top_importance(spark, sf_dir):
 
 
 def sample_fixed(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Deterministic sample of n rows (smallest hash of the key)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in KEY]), *KEY).limit(n)
+    """Deterministic sample of n rows (smallest md5 of seed and key; a null
+    key part counts as empty)."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in KEY]
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), *KEY).limit(n)
 
 
 @query
 def q_sample_fixed(spark, sf_dir):
-    return sample_fixed(_ft(spark, sf_dir).select(*KEY, SPEC.target), 500)
+    return round_doubles(sample_fixed(_ft(spark, sf_dir).select(*KEY, SPEC.target), 500))
 
 
 @query

@@ -207,6 +207,9 @@ FROM c WHERE periodo = (SELECT max(periodo) FROM panel) AND area = 'total' AND s
     s["feature_table"] = with_(FEATURES, "SELECT * FROM features",
                                  dbl(FEATURE_NUM2) + [c + "_lag1" for c in LAGS] + [c + "_delta" for c in DELTAS])
     s["sink_features"] = s["feature_table"]
+    s["sample_fixed"] = with_(FEATURES, f"""
+SELECT {KEY}, tasa_desempleo FROM features
+ORDER BY md5(concat_ws('|', '42', {', '.join(f"coalesce({k.strip()}, '')" for k in KEY.split(','))})), {KEY} LIMIT 500""", ["tasa_desempleo"])
     s["fill_panel"] = with_(PANEL + ATTRS + ",\n" + fill_cte("enriched", "f", ENRICHED_NUM),
                             "SELECT * FROM f", dbl(ENRICHED_NUM))
     s["lag_features"] = with_(FEATURES, f"SELECT {KEY}, {', '.join(c + '_lag1' for c in LAGS)} FROM features",
