@@ -188,10 +188,13 @@ def regular_polygons(keys: DataFrame, key: str, name: F.Column) -> DataFrame:
 
 def holes_and_islands(vertices: DataFrame) -> DataFrame:
     """Fixture rule: every outline gets a hole of half its size around the
-    same centre, and every region of an even level a second part ten degrees east."""
-    mid = vertices.groupBy("region", "level").agg(F.avg("x").alias("_mx"), F.avg("y").alias("_my"))
-    v = vertices.join(mid, ["region", "level"])
-    cols = vertices.columns
-    hole = v.withColumns({"ring": F.lit(1), "x": (F.col("x") + F.col("_mx")) / 2, "y": (F.col("y") + F.col("_my")) / 2})
-    island = v.where(F.col("level") % 2 == 0).withColumns({"part": F.lit(1), "x": F.col("x") + 10})
-    return v.select(*cols).unionByName(hole.select(*cols)).unionByName(island.select(*cols))
+    same centre, and every region of an even level a second part ten degrees east.
+    The centre is a window over one region's vertices: a join would broadcast a row per region."""
+    w = Window.partitionBy("region", "level")
+    c = F.col
+    v = vertices.where(c("region").isNotNull() & c("level").isNotNull()).withColumns({"_mx": F.avg("x").over(w), "_my": F.avg("y").over(w)})
+    piece = lambda part, ring, x, y: F.struct(part.alias("part"), ring.alias("ring"), x.alias("x"), y.alias("y"))
+    hole = piece(c("part"), F.lit(1), (c("x") + c("_mx")) / 2, (c("y") + c("_my")) / 2)
+    island = F.when(c("level") % 2 == 0, piece(F.lit(1), c("ring"), c("x") + 10, c("y")))
+    pieces = F.explode(F.array_compact(F.array(piece(c("part"), c("ring"), c("x"), c("y")), hole, island)))
+    return v.select("region", "level", "seq", pieces.alias("_p")).select("region", "level", "_p.part", "_p.ring", "seq", "_p.x", "_p.y")

@@ -168,3 +168,16 @@ def test_scenario_without_base_row_is_reported(spark, synthetic):
                                "scenario_id int, provincia string, area string, sexo string, variable string, value double")
     r = scn.what_if(f, sc, {"pct_subempleo": 1.0}, 0.0, 6.0, 8.0).collect()
     assert [(x.scenario_id, x.provincia, x.estado, x.prediccion, x.riesgo) for x in r] == [(7, "nowhere", "sin fila base", None, None)]
+
+
+def test_holes_and_islands_without_a_join(spark):
+    """A region per row: a join with the regions' centres would be broadcast, and grow with the table."""
+    from panelkit.operators import regions as rg
+    v = spark.createDataFrame([(n, lv, 0, 0, i, x, y) for n, lv in (("A", 0), ("B", 1), (None, 2))
+                               for i, (x, y) in enumerate([(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)])],
+                              "region string, level int, part int, ring int, seq int, x double, y double")
+    out = rg.holes_and_islands(v)
+    assert "Join" not in out._jdf.queryExecution().toString()
+    got = sorted((r.region, r.part, r.ring, r.seq, r.x, r.y) for r in out.collect())
+    assert len(got) == 4 * 3 + 4 * 2 and {r[0] for r in got} == {"A", "B"} and out.columns == v.columns
+    assert ("A", 0, 1, 0, 0.5, 0.5) in got and ("A", 1, 0, 2, 12.0, 2.0) in got and ("B", 0, 1, 2, 1.5, 1.5) in got
