@@ -167,3 +167,32 @@ def test_fold_statistics_keep_their_digits(spark, shift):
         for r in rows:
             if r[0] == k:
                 assert np.isclose(got[r[4]], max(0.0, cut + slope * r[4] + y.mean()), rtol=1e-12, atol=1e-8)
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_boosting_of_all_folds_is_that_of_each_fold(spark, partitions, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+    monkeypatch.setattr(ev, "gathered", lambda rows: ev.materialize(rows.repartition(partitions)))
+    df, _ = _panel(spark, 0.0)
+    df = df.withColumn("id", F.monotonically_increasing_id()).localCheckpoint()
+    x, folds = ["a", "b", "c"], ["p0", "p3"]
+    make = lambda **kw: GBTRegressor(maxIter=12, maxDepth=3, minInstancesPerNode=4, stepSize=0.2, seed=42, **kw)
+    jobs = spark.sparkContext.statusTracker()
+    want = {(r.id, r.fold): (r.real, r.predicho) for r in ev.lopo_spark_ml(df, x, "y", "periodo", ["id"], make, folds).collect()}
+    spark.sparkContext.setJobGroup("folds", "boosting of all folds")
+    rows = ev.lopo_boosted(df, x, "y", "periodo", ["id"], folds, rounds=12, step=0.2).collect()
+    spark.sparkContext.setJobGroup("", "")
+    got = {(r.id, r.fold): (r.real, r.predicho) for r in rows}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], rtol=1e-9, atol=1e-9) for k in want)
+    assert len(jobs.getJobIdsForGroup("folds")) < 80  # 36 levels, not times the folds
+
+
+def test_sampled_boosting_does_not_depend_on_the_layout(spark, monkeypatch):
+    df, _ = _panel(spark, 0.0)
+    df = df.withColumn("id", F.monotonically_increasing_id()).localCheckpoint()
+    runs = []
+    for n in (1, 4):
+        monkeypatch.setattr(ev, "gathered", lambda rows, n=n: ev.materialize(rows.repartition(n)))
+        p = ev.lopo_boosted(df, ["a", "b", "c"], "y", "periodo", ["id"], ["p1", "p2"], rounds=4, step=0.3, share_rows=0.8, share_features=0.6)
+        runs.append({r.id: r.predicho for r in p.collect()})
+    assert len(runs[0]) == 60 and runs[0].keys() == runs[1].keys() and all(np.isclose(runs[0][k], runs[1][k]) for k in runs[0])
