@@ -197,3 +197,19 @@ def test_sampled_boosting_does_not_depend_on_the_layout(spark, monkeypatch):
         p = ev.lopo_boosted(df, ["a", "b", "c"], "y", "periodo", ["id"], ["p1", "p2"], rounds=4, step=0.3, share_rows=0.8, share_features=0.6)
         runs.append({r.id: r.predicho for r in p.collect()})
     assert len(runs[0]) == 60 and runs[0].keys() == runs[1].keys() and all(np.isclose(runs[0][k], runs[1][k]) for k in runs[0])
+
+
+def test_a_small_table_is_boosted_in_one_job_whatever_the_rounds(spark, monkeypatch):
+    from panelkit.operators import boosting
+    df, _ = _panel(spark, 0.0)
+    df = df.withColumn("id", F.monotonically_increasing_id()).localCheckpoint()
+    jobs, runs = [], []
+    for rounds, most in ((2, 50_000), (12, 50_000), (12, 100)):  # the last by levels, as a table over the bound
+        monkeypatch.setattr(boosting, "BLOCK_ROWS", most, raising=False)
+        spark.sparkContext.setJobGroup(f"boosting-{rounds}-{most}", "boosting")
+        p = ev.lopo_boosted(df, ["a", "b", "c"], "y", "periodo", ["id"], ["p0", "p1", "p4"], rounds=rounds, step=0.2, share_rows=0.8, share_features=0.6)
+        runs.append({r.id: r.predicho for r in p.collect()})
+        spark.sparkContext.setJobGroup("", "")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosting-{rounds}-{most}")))
+    assert jobs[0] == jobs[1] < jobs[2] - 30
+    assert len(runs[1]) == 90 and runs[1].keys() == runs[2].keys() and all(np.isclose(runs[1][k], runs[2][k]) for k in runs[1])
