@@ -213,3 +213,32 @@ def test_a_small_table_is_boosted_in_one_job_whatever_the_rounds(spark, monkeypa
         jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosting-{rounds}-{most}")))
     assert jobs[0] == jobs[1] < jobs[2] - 30
     assert len(runs[1]) == 90 and runs[1].keys() == runs[2].keys() and all(np.isclose(runs[1][k], runs[2][k]) for k in runs[1])
+
+
+def test_contest_models_are_fitted_at_the_same_time(spark, monkeypatch):
+    from threading import Barrier
+
+    from panelkit.plans import catalog
+    keys = "provincia string, periodo string, area string, sexo string"
+    f = spark.createDataFrame([("e", p, "total", "total", y, lag) for p, y, lag in (("p1", 1.0, None), ("p2", 2.0, 1.0), ("p3", 4.0, 2.0))],
+                              keys + ", tasa_desempleo double, tasa_desempleo_lag1 double")
+    both = Barrier(2, timeout=60)
+
+    def model(value):
+        def fit(f, features):
+            both.wait()  # for the other model
+            return f.select(*catalog.KEY, F.col("periodo").alias(ev.FOLD), F.col("tasa_desempleo").alias("real"), F.lit(value).alias("predicho"))
+        return fit
+
+    monkeypatch.setattr(catalog, "_ft", lambda spark, sf_dir: f)
+    monkeypatch.setattr(catalog, "stored", lambda t, name, build: build())
+    monkeypatch.setattr(catalog, "MODELS", {"A": model(1.0), "B": model(2.0)})
+    got = {(r.modelo, r.periodo): r.predicho for r in catalog.all_predictions(spark, "unused").collect()}
+    assert {k: v for k, v in got.items() if k[0] in "AB"} == {(m, p): v for m, v in (("A", 1.0), ("B", 2.0)) for p in ("p1", "p2", "p3")}
+    assert sum(k[0] == "Persistencia" for k in got) == 3 and sum(k[0] == "MCO1" for k in got) == 2
+
+
+def test_numbers_and_names_as_sql_text(spark):
+    values = [0.1 + 0.2, -1e-300, 1.7976931348623157e308, 5.0, float("inf"), float("nan"), None]
+    row = spark.range(1).selectExpr(*[f"{ev.literal(v)} AS {ev.quoted(f'a`{i}')}" for i, v in enumerate(values)]).first()
+    assert row.__fields__ == [f"a`{i}" for i in range(7)] and all(a is b or a == b or (a != a and b != b) for a, b in zip(row, values))
